@@ -112,9 +112,12 @@ def headers_map(custom_headers=None, content_type=None, auth_type=None, token=No
         return F.create_map().cast("map<string,string>")
     # map_concat rejects duplicate keys under the default policy, so merge
     # right-to-left: a key is taken from the first map (from the right) having it.
+    def not_in(m):
+        return lambda k, _v: ~F.map_contains_key(m, k)
+
     out = maps[0]
     for m in maps[1:]:
-        out = F.map_concat(F.map_filter(out, lambda k, _v, m=m: ~F.map_contains_key(m, k)), m)
+        out = F.map_concat(F.map_filter(out, not_in(m)), m)
     return out
 
 
@@ -129,7 +132,8 @@ def build_requests(params: DataFrame, url, method: str = "POST",
     and the header options may be literals or Columns.
     """
     m = validate_options(url, params, method, query_type, post_input_format)
-    names = param_columns or [c for c in params.columns if c not in REQUEST_COLUMNS]
+    names = (list(param_columns) if param_columns is not None
+             else [c for c in params.columns if c not in REQUEST_COLUMNS])
     dtypes = dict((f.name, f.dataType) for f in params.schema.fields)
     texts = {n: param_text(F.col(n), dtypes[n]) for n in names}
     base = _as_col(url)

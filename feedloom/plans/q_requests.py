@@ -1 +1,228 @@
 """Queries for request planning (Q1-Q13)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from feedloom.operators.fetch import replay
+from feedloom.operators.requests import (
+    build_requests, cut_pages, plan_pages, range_bounds, range_index, split_range,
+)
+from feedloom.plans import captures
+from feedloom.plans.registry import query
+from feedloom.plans.tables import load
+
+API = captures.API
+
+
+@query("rest_querystring", """
+SELECT o_orderkey,
+       CASE WHEN o_orderstatus = 'F' THEN 'https://api.example.com/orders?v=1&'
+            ELSE 'https://api.example.com/orders?' END
+       || 'o_orderkey=' || o_orderkey || '&o_custkey=' || o_custkey
+       || '&o_orderpriority=' || replace(url_encode(o_orderpriority), '%20', '+') AS url
+FROM orders
+""")
+def rest_querystring(spark, d):
+    """Q1+Q2: GET with parameters appended as a query string."""
+    orders = load(spark, d, "orders")
+    base = F.when(F.col("o_orderstatus") == "F", F.lit(API + "/orders?v=1")) \
+        .otherwise(F.lit(API + "/orders"))
+    params = orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    req = build_requests(params, base, method="GET",
+                         param_columns=["o_orderkey", "o_custkey", "o_orderpriority"])
+    return req.select("o_orderkey", F.col("req_url").alias("url"))
+
+
+@query("rest_inline", """
+SELECT o_orderkey,
+       'https://api.example.com/customers/' || o_custkey || '/orders/' || o_orderkey
+       || '/' || url_encode(o_orderpriority) || '?status=' || url_encode(o_orderstatus) AS url
+FROM orders
+""")
+def rest_inline(spark, d):
+    """Q3: placeholders in the url replaced by path-quoted values."""
+    params = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority",
+                                             "o_orderstatus")
+    req = build_requests(
+        params, API + "/customers/{o_custkey}/orders/{o_orderkey}/{o_orderpriority}"
+        "?status={o_orderstatus}", method="GET", query_type="inline")
+    return req.select("o_orderkey", F.col("req_url").alias("url"))
+
+
+@query("rest_form", """
+SELECT o_orderkey, 'POST' AS method,
+       'o_orderkey=' || o_orderkey || '&o_orderpriority='
+       || replace(url_encode(o_orderpriority), '%20', '+')
+       || '&o_orderstatus=' || o_orderstatus AS body
+FROM orders
+""")
+def rest_form(spark, d):
+    """Q5: POST with a form-encoded body."""
+    params = load(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    req = build_requests(params, API + "/orders", method="POST", post_input_format="form")
+    return req.select("o_orderkey", F.col("req_method").alias("method"),
+                      F.col("req_body").alias("body"))
+
+
+@query("rest_json_body", """
+SELECT c_custkey, c_custkey AS body_custkey, c_name AS body_name, c_nationkey AS body_nationkey,
+       c_acctbal AS body_acctbal, c_mktsegment AS body_mktsegment,
+       'application/json' AS content_type, 'POST' AS method
+FROM customer
+""")
+def rest_json_body(spark, d):
+    """Q4: POST with the row as a JSON body (parsed back to compare values)."""
+    params = load(spark, d, "customer")
+    req = build_requests(params, API + "/customers", method="POST")
+    body = F.from_json("req_body", "c_custkey bigint, c_name string, c_nationkey int, "
+                                   "c_acctbal double, c_mktsegment string")
+    return req.select(
+        "c_custkey",
+        body["c_custkey"].alias("body_custkey"), body["c_name"].alias("body_name"),
+        body["c_nationkey"].alias("body_nationkey"), body["c_acctbal"].alias("body_acctbal"),
+        body["c_mktsegment"].alias("body_mktsegment"),
+        F.col("req_headers")["Content-Type"].alias("content_type"),
+        F.col("req_method").alias("method"))
+
+
+@query("rest_headers", """
+SELECT c_custkey, h.header, h.value
+FROM customer,
+     LATERAL (SELECT * FROM (VALUES
+        ('X-Segment', c_mktsegment), ('Accept', 'application/json'),
+        ('Authorization', 'Basic ' || to_base64(encode(c_name || ':' || 'pw' || c_custkey))))
+        AS v(header, value)) h
+WHERE NOT (c_mktsegment = 'BUILDING' AND h.header IN ('X-Segment', 'Accept'))
+""")
+def rest_headers(spark, d):
+    """Q7: custom JSON headers (non-JSON text ignored) + Basic authorisation."""
+    cust = load(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    custom = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("not json {")).otherwise(
+        F.to_json(F.create_map(F.lit("X-Segment"), F.col("c_mktsegment"),
+                               F.lit("Accept"), F.lit("application/json"))))
+    req = build_requests(cust, API + "/customers", method="GET", param_columns=["c_custkey"],
+                         headers=custom, user=F.col("c_name"),
+                         password=F.concat(F.lit("pw"), F.col("c_custkey")))
+    return req.select("c_custkey", F.explode("req_headers").alias("header", "value"))
+
+
+@query("rest_cookie", """
+SELECT c_custkey,
+       CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL
+            ELSE c_mktsegment || '=' || c_name || '=' || c_nationkey END AS cookie,
+       CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_mktsegment END AS cookie_name
+FROM customer
+""")
+def rest_cookie(spark, d):
+    """Q8: cookie ``name=value`` split at the first ``=``; no ``=`` -> none."""
+    cust = load(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    cookie = F.when(F.col("c_mktsegment") == "MACHINERY", F.col("c_name")).otherwise(
+        F.concat_ws("=", "c_mktsegment", "c_name", "c_nationkey"))
+    req = build_requests(cust, API + "/session", method="GET", param_columns=["c_custkey"],
+                         cookie=cookie)
+    c = F.col("req_headers")["Cookie"]
+    return req.select("c_custkey", c.alias("cookie"),
+                      F.get(F.split(c, "=", 2), 0).alias("cookie_name"))
+
+
+@query("rest_methods", """
+SELECT c_custkey, 'GET' AS method,
+       'https://api.example.com/customers?c_custkey=' || c_custkey || '&c_mktsegment=' || c_mktsegment AS url,
+       NULL AS body, 'Bearer tok' AS authorization
+FROM customer
+UNION ALL
+SELECT c_custkey, 'POST', 'https://api.example.com/customers',
+       '{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}', 'Bearer tok'
+FROM customer
+UNION ALL
+SELECT c_custkey, 'PUT', 'https://api.example.com/customers',
+       'c_custkey=' || c_custkey || '&c_mktsegment=' || c_mktsegment, 'Bearer tok'
+FROM customer
+UNION ALL
+SELECT c_custkey, 'DELETE', 'https://api.example.com/customers', NULL, 'Bearer tok'
+FROM customer
+""")
+def rest_methods(spark, d):
+    """Q6: GET / POST / PUT / DELETE (DELETE sends no parameters), Bearer token."""
+    cust = load(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    out = None
+    for method, fmt in (("get", "json"), ("post", "json"), ("put", "form"), ("delete", "json")):
+        req = build_requests(cust, API + "/customers", method=method, post_input_format=fmt,
+                             auth_type="Bearer", token="tok")
+        part = req.select("c_custkey", F.col("req_method").alias("method"),
+                          F.col("req_url").alias("url"), F.col("req_body").alias("body"),
+                          F.col("req_headers")["Authorization"].alias("authorization"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _order_pages(orders, page_size):
+    """Fixture: a paged API of orders per customer (bounded pages)."""
+    counts = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    pages = F.ceil(F.col("n") / F.lit(page_size)).cast("int")
+    rows = (orders.join(counts, "o_custkey")
+            .select("o_custkey", pages.alias("pages"),
+                    (F.pmod(F.col("o_orderkey"), pages) + 1).alias("page"),
+                    "o_orderkey", "o_totalprice"))
+    filled = (rows.groupBy("o_custkey", "page", "pages")
+              .agg(F.to_json(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_totalprice"))))
+                   .alias("items"))
+              .select("o_custkey", "page",
+                      F.format_string('{"items":%s,"hasMore":%s}', F.col("items"),
+                                      F.when(F.col("page") < F.col("pages"), "true")
+                                      .otherwise("false")).alias("body")))
+    empty = counts.select("o_custkey", (F.ceil(F.col("n") / F.lit(page_size)).cast("int") + 1)
+                          .alias("page"), F.lit('{"items":[],"hasMore":false}').alias("body"))
+    both = filled.unionByName(empty)
+    return both.select(
+        F.lit("orders_pages").alias("feed"),
+        F.format_string(API + "/customers/%d/orders?page=%d&size=%d", "o_custkey", "page",
+                        F.lit(page_size)).alias("key"),
+        F.lit(200).alias("status"), "body", F.lit(None).cast("string").alias("error"),
+        F.lit("2024-02-01").cast("timestamp").alias("fetched_at"))
+
+
+@query("rest_pages", """
+WITH c AS (SELECT o_custkey, ceil(count(*) / 10.0)::INT AS pages FROM orders GROUP BY o_custkey)
+SELECT o.o_custkey, (o.o_orderkey % c.pages) + 1 AS page, o.o_orderkey, o.o_totalprice
+FROM orders o JOIN c USING (o_custkey)
+""")
+def rest_pages(spark, d):
+    """Q11: plan pages per key, fetch, cut at the first empty / last page."""
+    orders = load(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    caps = _order_pages(orders, 10)
+    keys = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("total"))
+    planned = plan_pages(keys, "total", 10).withColumn("size", F.lit(10))
+    req = build_requests(planned, API + "/customers/{o_custkey}/orders?page={page}&size={size}",
+                         method="GET", query_type="inline",
+                         param_columns=["o_custkey", "page", "size"])
+    got = replay(req, caps)
+    parsed = F.from_json("response", "items array<struct<o_orderkey bigint, o_totalprice double>>,"
+                                     " hasMore boolean")
+    pages = got.select("o_custkey", "page", parsed["items"].alias("items"),
+                       parsed["hasMore"].alias("has_more"),
+                       F.size(parsed["items"]).alias("n_items"))
+    kept = cut_pages(pages, ["o_custkey"])
+    return kept.select("o_custkey", "page", F.explode("items").alias("it")) \
+        .select("o_custkey", "page", "it.o_orderkey", "it.o_totalprice")
+
+
+@query("range_split", """
+WITH b AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) + 1 AS hi FROM lineitem),
+     s AS (SELECT lo, hi, (hi - lo) // 8 AS step FROM b),
+     r AS (SELECT l_orderkey, least((l_orderkey - lo) // step, 7) AS range_id, lo, hi, step
+           FROM lineitem, s)
+SELECT range_id, lo + range_id * step AS range_lo,
+       CASE WHEN range_id = 7 THEN hi ELSE lo + (range_id + 1) * step END AS range_hi,
+       count(*) AS n_rows
+FROM r GROUP BY range_id, lo, hi, step
+""")
+def range_split_query(spark, d):
+    """Q12: bounds -> equal key ranges (last takes the rest) -> rows per range."""
+    li = load(spark, d, "lineitem").select("l_orderkey")
+    lo, hi = range_bounds(li, "l_orderkey")
+    ranges = spark.createDataFrame(split_range(lo, hi, 8), "range_id int, range_lo long, range_hi long")
+    counts = (li.select(range_index(F.col("l_orderkey"), lo, hi, 8).alias("range_id"))
+              .groupBy("range_id").agg(F.count(F.lit(1)).alias("n_rows")))
+    return counts.join(F.broadcast(ranges), "range_id")
