@@ -158,7 +158,10 @@ def explode_output(df: DataFrame, element_schema: str, col: str = "response",
     t = F.ltrim(F.col(col))
     as_array = F.when(t.startswith("["), F.col(col)).otherwise(
         F.concat(F.lit("["), F.col(col), F.lit("]")))
-    return df.withColumn(out, F.explode_outer(F.from_json(as_array, f"array<{element_schema}>")))
+    from pyspark.sql.types import ArrayType, _parse_datatype_string
+
+    element = _parse_datatype_string(element_schema)
+    return df.withColumn(out, F.explode_outer(F.from_json(as_array, ArrayType(element))))
 
 
 def fail_on_error(df: DataFrame, enabled: bool = True, col: str = "_corrupt_record") -> DataFrame:

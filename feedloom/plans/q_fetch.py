@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.operators.fetch import enrich, parse_output, replay
+from feedloom.operators.fetch import (
+    call_once, call_stats, enrich, explode_output, infer_schema, parse_output, replay,
+    select_output, split_outcome,
+)
 from feedloom.operators.requests import build_requests
 from feedloom.plans import captures
 from feedloom.plans.registry import query
@@ -35,3 +38,155 @@ FROM events e JOIN customer c ON e.user_id = c.c_custkey
 WHERE e.event_type = 'purchase'
 GROUP BY c.c_mktsegment
 """)(purchases_by_segment)
+
+
+def _page_requests(spark, d):
+    """Every page url, plus one unknown url per page (never captured)."""
+    pages = load(spark, d, "pages").select("page_id", "url")
+    known = pages.select("page_id", F.col("url").alias("target"))
+    unknown = pages.select("page_id", F.concat(F.col("url"), F.lit("/missing")).alias("target"))
+    params = known.unionByName(unknown)
+    return build_requests(params, F.col("target"), method="GET", param_columns=[])
+
+
+def _page_responses(spark, d):
+    caps = captures.web_pages(load(spark, d, "pages"))
+    return replay(_page_requests(spark, d), caps)
+
+
+_PAGES_ORACLE = """
+SELECT page_id, url, 200 AS status, html AS output, NULL AS _corrupt_record FROM pages
+UNION ALL
+SELECT page_id, url || '/missing', NULL, NULL, 'not captured' FROM pages
+"""
+
+
+@query("rest_replay", f"SELECT * FROM ({_PAGES_ORACLE})")
+def rest_replay(spark, d):
+    """F1 replay transport: requests left-joined with landed responses."""
+    got = parse_output(_page_responses(spark, d))
+    return select_output(got.withColumnRenamed("target", "url"),
+                         inputs=["page_id", "url", "status"])
+
+
+@query("rest_body_only", f"SELECT output, _corrupt_record FROM ({_PAGES_ORACLE})")
+def rest_body_only(spark, d):
+    """``includeInputsInOutput = false`` keeps the output only."""
+    return select_output(parse_output(_page_responses(spark, d)), include_inputs=False)
+
+
+@query("rest_errors",
+       f"SELECT page_id, url, _corrupt_record FROM ({_PAGES_ORACLE}) WHERE _corrupt_record IS NOT NULL")
+def rest_errors(spark, d):
+    """failed calls are rows with ``_corrupt_record``, not a failed job."""
+    _ok, failed = split_outcome(_page_responses(spark, d))
+    return failed.select("page_id", F.col("target").alias("url"), "_corrupt_record")
+
+
+@query("rest_stats", """
+SELECT count(*) AS total_calls, count(_corrupt_record) AS failed_calls,
+       round((count(*) - count(_corrupt_record)) * 100.0 / count(*), 2) AS success_pct
+FROM (""" + _PAGES_ORACLE + ")")
+def rest_stats(spark, d):
+    """F8: total, failed, success % in one aggregate."""
+    return call_stats(_page_responses(spark, d))
+
+
+@query("split_outcome", """
+SELECT CASE WHEN _corrupt_record IS NULL THEN 'ok' ELSE 'failed' END AS outcome,
+       count(*) AS n_rows, sum(length(coalesce(output, ''))) AS n_chars
+FROM (""" + _PAGES_ORACLE + ") GROUP BY 1")
+def split_outcome_query(spark, d):
+    """successful rows and failed rows as two branches of one result."""
+    ok, failed = split_outcome(parse_output(_page_responses(spark, d)))
+    def summary(df, name):
+        return df.agg(F.lit(name).alias("outcome"), F.count(F.lit(1)).alias("n_rows"),
+                      F.sum(F.length(F.coalesce("output", F.lit("")))).alias("n_chars"))
+    return summary(ok, "ok").unionByName(summary(failed, "failed"))
+
+
+@query("rest_once", """
+SELECT e.event_id, e.user_id, c.c_name AS name, c.c_mktsegment AS segment
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+""")
+def rest_once(spark, d):
+    """Q10: one call per distinct user, result shared by all of its events."""
+    events = load(spark, d, "events").select("event_id", "user_id")
+    caps = captures.user_lookup(load(spark, d, "customer"))
+
+    def call(distinct):
+        req = build_requests(distinct, USERS_URL, method="GET", query_type="inline")
+        got = parse_output(replay(req, caps), "name string, segment string")
+        return got.select("user_id", F.col("output.name").alias("name"),
+                          F.col("output.segment").alias("segment"))
+
+    return call_once(events, ["user_id"], call, ["name", "segment"])
+
+
+@query("rest_infer", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+""")
+def rest_infer(spark, d):
+    """response schema inferred from a sample of bodies, then applied."""
+    events = load(spark, d, "events").select("event_id", "props")
+    caps = events.select(F.lit("events").alias("feed"),
+                         F.concat(F.lit(captures.API + "/events/"), "event_id").alias("key"),
+                         F.lit(200).alias("status"), F.col("props").alias("body"),
+                         F.lit(None).cast("string").alias("error"),
+                         F.lit(None).cast("timestamp").alias("fetched_at"))
+    req = build_requests(events.select("event_id"), captures.API + "/events/{event_id}",
+                         method="GET", query_type="inline")
+    got = replay(req, caps)
+    schema = infer_schema(got, fraction=0.05)
+    return parse_output(got, schema).select("event_id", "output.*")
+
+
+@query("rest_array_body", "SELECT o_custkey, o_orderkey, o_totalprice FROM orders")
+def rest_array_body(spark, d):
+    """a response may be one object or an array of objects."""
+    orders = load(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    item = F.to_json(F.struct("o_orderkey", "o_totalprice"))
+    lists = captures.chunked_lists(orders, ["o_custkey"], "o_orderkey", item)
+    # a one-element list is answered as a bare object
+    body = F.when(F.size(F.split("body", "},")) == 1,
+                  F.regexp_replace(F.regexp_replace("body", r"^\[", ""), r"\]$", "")) \
+        .otherwise(F.col("body"))
+    caps = lists.select(F.lit("orders").alias("feed"),
+                        F.format_string(captures.API + "/customers/%d/orders?chunk=%d",
+                                        "o_custkey", "_chunk").alias("key"),
+                        F.lit(200).alias("status"), body.alias("body"),
+                        F.lit(None).cast("string").alias("error"),
+                        F.lit(None).cast("timestamp").alias("fetched_at"))
+    params = orders.select("o_custkey", F.floor(F.col("o_orderkey") / 64).alias("chunk")).distinct()
+    req = build_requests(params, captures.API + "/customers/{o_custkey}/orders?chunk={chunk}",
+                         method="GET", query_type="inline")
+    got = explode_output(replay(req, caps), "o_orderkey bigint, o_totalprice double")
+    return got.select("o_custkey", "output.o_orderkey", "output.o_totalprice")
+
+
+@query("valid_filter", "SELECT c_custkey, c_name AS name FROM customer WHERE c_acctbal > 0")
+def valid_filter(spark, d):
+    """filter on a nested response field (``output.is_valid``)."""
+    cust = load(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
+    caps = captures.user_lookup(load(spark, d, "customer"))
+    req = build_requests(cust, USERS_URL, method="GET", query_type="inline")
+    got = parse_output(replay(req, caps), "name string, is_valid boolean")
+    return got.where(F.col("output.is_valid")).select(
+        F.col("user_id").alias("c_custkey"), F.col("output.name").alias("name"))
+
+
+@query("score_texts", """
+SELECT d.doc_id, length(d.text) AS body_chars, l.quality, l.toxic,
+       CASE WHEN l.doc_id IS NULL THEN 'not captured' END AS _corrupt_record
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""")
+def score_texts(spark, d):
+    """POST each document's whole text, one score object back."""
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    caps = captures.scores(load(spark, d, "labels"))
+    req = build_requests(docs, captures.API + "/score", method="POST")
+    got = parse_output(replay(req, caps, on="doc_id"), "quality int, toxic int")
+    return got.select("doc_id",
+                      F.length(F.get_json_object("req_body", "$.text")).alias("body_chars"),
+                      F.col("output.quality").alias("quality"), F.col("output.toxic").alias("toxic"),
+                      "_corrupt_record")
