@@ -328,3 +328,23 @@ def weather_timelines(events: DataFrame) -> DataFrame:
                     (F.col("user_id").cast("double") / 2 - 90).alias("longitude"),
                     F.lit("weather").alias("feed"),
                     F.to_json(F.struct(tl.alias("timelines"))).alias("body"))
+
+
+# -------------------------------------------------------------------- sheets
+def sheet_lines(df: DataFrame, header: str | None, cols: list[Column], n: Column) -> DataFrame:
+    """A sheet as landed lines: (line, n); the header (if any) is line 0."""
+    rows = df.select(F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
+                     .alias("line"), n.cast("long").alias("n"))
+    if header is None:
+        return rows
+    head = df.limit(1).select(F.lit(header).alias("line"), F.lit(0).cast("long").alias("n"))
+    return head.unionByName(rows)
+
+
+def sheet_urls(pages: DataFrame) -> DataFrame:
+    """Per page: a spreadsheet url (with / without gid) and the page url itself."""
+    r = F.pmod(F.col("page_id"), F.lit(3))
+    tail = (F.when(r == 0, F.lit("")).when(r == 1, F.concat(F.lit("?gid="), F.col("page_id")))
+            .otherwise(F.concat(F.lit("?usp=sharing&gid="), F.col("page_id"), F.lit("#gid=9"))))
+    sheet = F.concat(F.lit("https://docs.google.com/spreadsheets/d/"), F.md5("url"), F.lit("/edit"), tail)
+    return pages.select(sheet.alias("url")).unionByName(pages.select("url"))
