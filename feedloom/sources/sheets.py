@@ -101,11 +101,13 @@ def sheet_from_lines(lines: DataFrame, has_header: bool = True, schema=None,
     # one aggregate row to the driver: the first line and its number
     head = lines.agg(F.min_by(line_col, n_col).alias("l"), F.min(n_col).alias("n")).first()
     st = _schema_for(head["l"] if head else None, has_header, schema)
-    body = lines
+    line = F.col(line_col)
     if has_header:
-        body = lines.where(F.col(n_col) != F.lit(head["n"]))
+        # the header line becomes null *before* parsing, so no cast ever sees it
+        line = F.when(F.col(n_col) != F.lit(head["n"]), line)
     ddl = ", ".join(f"`c{i}` string" for i in range(len(st.fields)))
-    parsed = body.select(F.from_csv(F.col(line_col), ddl, {"mode": "PERMISSIVE"}).alias("_r"))
+    parsed = lines.where(line.isNotNull()).select(
+        F.from_csv(line, ddl, {"mode": "PERMISSIVE"}).alias("_r"))
     return parsed.select(*[F.col(f"_r.c{i}").cast(f.dataType).alias(f.name)
                            for i, f in enumerate(st.fields)])
 
