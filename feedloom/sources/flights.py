@@ -97,8 +97,10 @@ def state_columns(state: Column, time_ingest: Column) -> list[Column]:
 def normalise(snapshots: DataFrame, body_col: str = "body", keep: list[str] | None = None) -> DataFrame:
     """Snapshot payloads -> one row per valid state vector."""
     keep = keep or []
-    v = F.try_parse_json(body_col)
-    rows = snapshots.select(
+    # parse each body once; time and states are both read from the variant
+    parsed = snapshots.select(*keep, F.try_parse_json(body_col).alias("_p"))
+    v = F.col("_p")
+    rows = parsed.select(
         *keep,
         F.timestamp_seconds(F.try_variant_get(v, "$.time", "double")).alias("_t"),
         F.explode(F.try_variant_get(v, "$.states", "array<variant>")).alias("_v"))

@@ -23,7 +23,8 @@ def pulls_url(repo: str | None, page: int | None = None) -> str:
 
 def normalise(captures: DataFrame, body_col: str = "body", keep: list[str] | None = None) -> DataFrame:
     keep = keep or []
-    items = captures.select(*keep, F.explode(variant_items(F.try_parse_json(body_col))).alias("_pr"))
+    parsed = captures.select(*keep, F.try_parse_json(body_col).alias("_p"))
+    items = parsed.select(*keep, F.explode(variant_items(F.col("_p"))).alias("_pr"))
     pr = F.col("_pr")
     return items.select(
         *keep,

@@ -85,8 +85,8 @@ def normalise(captures: DataFrame, endpoint: str = "posts", body_col: str = "bod
               keep: list[str] | None = None) -> DataFrame:
     """Capture rows -> typed rows of ``endpoint`` (one per list item)."""
     keep = keep or []
-    items = captures.select(*keep, F.explode(variant_items(F.try_parse_json(body_col)))
-                            .alias("_item"))
+    parsed = captures.select(*keep, F.try_parse_json(body_col).alias("_p"))
+    items = parsed.select(*keep, F.explode(variant_items(F.col("_p"))).alias("_item"))
     return items.select(*keep, *item_columns(F.col("_item"), endpoint))
 
 

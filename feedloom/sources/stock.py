@@ -35,19 +35,22 @@ def series_url(symbol, function: str = "TIME_SERIES_DAILY", api_key: str = "demo
                     symbol, F.lit(f"&apikey={api_key}"))
 
 
-def _series(body):
-    """The map date -> values of the first key that is not ``Meta Data``."""
-    top = F.from_json(body, "map<string,string>")
-    rest = F.map_filter(top, lambda k, _v: k != "Meta Data")
+def _rest(body):
+    """Top-level entries other than ``Meta Data`` (key -> JSON text)."""
+    return F.map_filter(F.from_json(body, "map<string,string>"), lambda k, _v: k != "Meta Data")
+
+
+def _series(rest):
+    """The map date -> values under the first key of ``rest``, and that key."""
     first_key = F.get(F.map_keys(rest), 0)
-    return F.from_json(F.try_element_at(rest, first_key),
-                       "map<string,map<string,string>>"), first_key
+    return F.from_json(F.try_element_at(rest, first_key), "map<string,map<string,string>>"), first_key
 
 
 def normalise(captures: DataFrame, symbol_col: str = "symbol", body_col: str = "body") -> DataFrame:
-    series, _ = _series(F.col(body_col))
-    rows = captures.select(F.col(symbol_col).alias("symbol"),
-                           F.explode(series).alias("date", "_v"))
+    # each payload is parsed once; the series map is materialised, then exploded
+    top = captures.select(F.col(symbol_col).alias("symbol"), _rest(F.col(body_col)).alias("_r"))
+    series, _ = _series(F.col("_r"))
+    rows = top.select("symbol", series.alias("_m")).select("symbol", F.explode("_m").alias("date", "_v"))
     v = F.col("_v")
     num = lambda k: F.try_element_at(v, F.lit(k)).try_cast("double")
     return rows.select(
@@ -61,9 +64,10 @@ def normalise(captures: DataFrame, symbol_col: str = "symbol", body_col: str = "
 
 def errors(captures: DataFrame, symbol_col: str = "symbol", body_col: str = "body") -> DataFrame:
     """Payloads without a series: the symbol and the payload text."""
-    series, key = _series(F.col(body_col))
-    return captures.where(series.isNull() | key.isNull()).select(
-        F.col(symbol_col).alias("symbol"), F.col(body_col).alias("error"))
+    top = captures.select(F.col(symbol_col).alias("symbol"), F.col(body_col).alias("error"),
+                          _rest(F.col(body_col)).alias("_r"))
+    series, key = _series(F.col("_r"))
+    return top.where(series.isNull() | key.isNull()).select("symbol", "error")
 
 
 def resample(daily: DataFrame, unit: str) -> DataFrame:
