@@ -82,7 +82,8 @@ def _generators(i: Column, seed: int) -> dict[str, Column]:
     }
 
 
-GENERATORS = tuple(_generators(F.lit(0), 0))
+GENERATORS = ("first_name", "last_name", "name", "date", "zipcode", "state", "city", "country",
+              "company", "street_address", "email", "phone_number", "word")
 
 
 def check_schema(schema) -> StructType:
