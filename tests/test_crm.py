@@ -1,0 +1,58 @@
+"""CRM records, batching limits, accounting and fallback."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.sinks import crm
+
+
+def test_records_types_and_nulls(spark):
+    df = spark.sql("""
+      SELECT 'Acme' AS Name, NULL AS Phone, true AS Active, DATE'2024-01-02' AS D,
+             TIMESTAMP_NTZ'2024-01-02 03:04:05' AS T, CAST(12.50 AS DECIMAL(5,2)) AS Amount, 7 AS N
+      UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL""")
+    recs = crm.records(df).collect()
+    assert len(recs) == 1
+    assert json.loads(recs[0].record) == {"Name": "Acme", "Active": True, "D": "2024-01-02",
+                                          "T": "2024-01-02T03:04:05", "Amount": "12.50", "N": 7}
+
+
+def test_default_schema_conform(spark):
+    df = spark.createDataFrame([("A", 1.5)], "Name string, AnnualRevenue double")
+    assert crm.conform(df).columns[:5] == ["Name", "Industry", "Phone", "Website", "AnnualRevenue"]
+    with pytest.raises(ValueError):
+        crm.check_options("u", None, "t")
+
+
+@pytest.mark.parametrize("n,sizes", [(0, []), (200, [200]), (201, [200, 1])])
+def test_batch_sizes(spark, n, sizes):
+    df = spark.range(n).select(F.concat(F.lit("N"), F.col("id")).alias("Name")).coalesce(1)
+    b = crm.batches(crm.records(df, key="Name")).collect()
+    assert sorted((r.n_records for r in b), reverse=True) == sizes
+    for r in b:
+        recs = json.loads(r.payload)["records"]
+        assert len(recs) == r.n_records == len(r.keys)
+        assert recs[0]["attributes"] == {"type": "Account", "referenceId": "ref0"}
+
+
+def test_accounting_failures_and_fallback(spark):
+    recs = spark.range(5).select(F.col("id").cast("string").alias("key"),
+                                 F.to_json(F.struct(F.col("id").alias("v"))).alias("record")).coalesce(1)
+    b = crm.batches(recs, batch_size=2)
+
+    def tree(_obj, payload):
+        rs = json.loads(payload)["records"]
+        if any(r["v"] == 4 for r in rs):
+            raise ConnectionError("down")
+        out = [{"referenceId": r["attributes"]["referenceId"], "id": "x"} if r["v"] != 1 else
+               {"referenceId": r["attributes"]["referenceId"], "errors": [{"message": "bad"}]} for r in rs]
+        return json.dumps({"hasErrors": any("errors" in o for o in out), "results": out})
+
+    sent = crm.deliver(b, tree)
+    acc = {r.batch_key: (r.n_records, r.n_ok, r.error is None) for r in crm.accounting(sent).collect()}
+    assert sorted(acc.values()) == [(1, 0, False), (2, 1, True), (2, 2, True)]
+    assert [(r.referenceId, r.message) for r in crm.failures(sent).collect()] == [("ref1", "bad")]
+    fb = crm.fallback(sent, lambda _o, rec: json.dumps({"success": json.loads(rec)["v"] == 4})).collect()
+    assert [(r.pos, r.success) for r in fb] == [(0, True)]
