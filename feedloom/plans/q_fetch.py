@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.operators.fetch import (
-    call_once, call_stats, enrich, explode_output, infer_schema, parse_output, replay,
-    select_output, split_outcome,
+    as_capture, call_once, call_stats, enrich, explode_output, fetch, infer_schema, land,
+    parse_output, replay, select_output, split_outcome,
 )
-from feedloom.operators.requests import build_requests
+from feedloom.operators.requests import build_requests, spread
+from feedloom.session import fresh_dir
 from feedloom.plans import captures
 from feedloom.plans.registry import query
 from feedloom.plans.tables import load
@@ -190,3 +191,37 @@ def score_texts(spark, d):
                       F.length(F.get_json_object("req_body", "$.text")).alias("body_chars"),
                       F.col("output.quality").alias("quality"), F.col("output.toxic").alias("toxic"),
                       "_corrupt_record")
+
+
+def echo_transport(method, url, body, headers):
+    """Fixture service: answers every call with the url it was asked for."""
+    import json
+
+    return 200, json.dumps({"url": url, "chars": len(url)}), None
+
+
+_ORDER_URL_SQL = """
+SELECT o_orderkey,
+       length('https://api.example.com/orders?o_orderkey=' || o_orderkey || '&o_orderpriority='
+              || replace(url_encode(o_orderpriority), '%20', '+')) AS chars
+FROM orders
+"""
+
+
+@query("rest_fetch_land", _ORDER_URL_SQL)
+def rest_fetch_land(spark, d):
+    """F1 + F11: live call stage (Arrow batches), landed once, then replayed."""
+    params = load(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    req = build_requests(params, captures.API + "/orders", method="GET")
+    got = fetch(req, echo_transport)
+    landed = land(as_capture(got, "orders", key="req_url"), fresh_dir(spark, "captures"))
+    out = parse_output(replay(req, landed, feed="orders"), "chars int")
+    return out.select("o_orderkey", F.col("output.chars").alias("chars"))
+
+
+@query("rest_spread", _ORDER_URL_SQL)
+def rest_spread(spark, d):
+    """Q9: requests spread round-robin over a chosen number of tasks."""
+    params = load(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    req = spread(build_requests(params, captures.API + "/orders", method="GET"), 16)
+    return req.select("o_orderkey", F.length("req_url").alias("chars"))
