@@ -319,7 +319,9 @@ def weather_timelines(events: DataFrame) -> DataFrame:
     entry = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"),
                      F.struct(F.col("event_type").alias("type"), k.alias("k"),
                               F.round(F.col("value") * 100).cast("bigint").alias("cents")).alias("values"))
-    g = (events.groupBy("user_id", F.to_date("ts").alias("day"))
+    # bounded bodies: (location, day, event_id div 256)
+    g = (events.groupBy("user_id", F.to_date("ts").alias("day"),
+                        F.floor(F.col("event_id") / 256).alias("_chunk"))
          .agg(F.collect_list(entry).alias("entries")))
     tl = F.struct(F.filter("entries", lambda e: e["values"]["type"] == "click").alias("minutely"),
                   F.col("entries").alias("hourly"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from feedloom.plans.registry import query
 from feedloom.plans.tables import load
+from feedloom.session import fresh_dir
 from feedloom.sinks import crm
 
 ACCOUNT = ("Name STRING, Industry STRING, AnnualRevenue DOUBLE, NumberOfEmployees INT, "
@@ -130,7 +131,8 @@ FROM customer
 """)
 def crm_fallback(spark, d):
     """Failed batch calls fall back to one call per record."""
-    sent = crm.deliver(crm.batches(_records(spark, d)), flaky_tree_endpoint)
+    sent = crm.deliver_landed(crm.batches(_records(spark, d)), flaky_tree_endpoint,
+                              fresh_dir(spark, "crm-replies"))
     by_batch = crm.accounting(sent).where(F.col("error").isNull()) \
         .agg(F.coalesce(F.sum("n_ok"), F.lit(0)).alias("ok"),
              F.coalesce(F.sum(F.col("n_records") - F.col("n_ok")), F.lit(0)).alias("bad"))

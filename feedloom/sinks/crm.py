@@ -160,6 +160,15 @@ def deliver(payloads: DataFrame, transport: Callable[[str, str], str],
     return payloads.mapInPandas(call, schema)
 
 
+def deliver_landed(payloads: DataFrame, transport: Callable[[str, str], str], path: str,
+                   object_type: str = DEFAULT_OBJECT) -> DataFrame:
+    """``deliver``, then land the replies in the shared folder and read them
+    back: anything that uses the replies twice (accounting *and* fallback)
+    must not make the calls twice, and a lost executor must not re-send."""
+    deliver(payloads, transport, object_type).write.mode("overwrite").parquet(path)
+    return payloads.sparkSession.read.parquet(path)
+
+
 def accounting(delivered: DataFrame) -> DataFrame:
     """Per batch: records created (``n_ok``) from the reply."""
     r = F.from_json("response", RESULT_SCHEMA)

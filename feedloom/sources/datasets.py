@@ -28,14 +28,22 @@ def check_credentials(username: str | None, key: str | None) -> None:
 
 
 def read_file(spark, root: str, handle: str, file: str, username: str | None = None,
-              key: str | None = None, **options) -> DataFrame:
+              key: str | None = None, schema=None, **options) -> DataFrame:
+    """Read one file (or a glob) of a dataset.
+
+    CSV types are inferred, which costs one extra pass over the files; for
+    large files give ``schema`` (DDL) or a ``samplingRatio`` option.
+    """
     check_credentials(username, key)
     folder = resolve(root, handle)
     path = f"{folder}/{file}"
     ext = file.rsplit(".", 1)[-1].lower()
     r = spark.read.options(**{k: str(v) for k, v in options.items()})
+    if schema is not None:
+        r = r.schema(schema)
     if ext == "csv":
-        df = r.option("header", "true").option("inferSchema", "true").csv(path)
+        r = r.option("header", "true")
+        df = r.csv(path) if schema is not None else r.option("inferSchema", "true").csv(path)
     elif ext in ("json", "jsonl"):
         df = r.json(path)
     elif ext == "parquet":
