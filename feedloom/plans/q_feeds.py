@@ -211,7 +211,7 @@ def stock_daily(spark, d):
 def _resampled_sql(unit: str) -> str:
     return f"""
 SELECT strftime(max(day), '%Y-%m-%d') AS date, arg_min(open, day) AS open, max(high) AS high,
-       min(low) AS low, arg_max(close, day) AS close, sum(volume) AS volume, symbol
+       min(low) AS low, arg_max(close, day) AS close, CAST(sum(volume) AS BIGINT) AS volume, symbol
 FROM ({_DAILY_SQL}) GROUP BY symbol, date_trunc('{unit}', day)
 """
 

@@ -95,7 +95,7 @@ def rest_stats(spark, d):
 
 @query("split_outcome", """
 SELECT CASE WHEN _corrupt_record IS NULL THEN 'ok' ELSE 'failed' END AS outcome,
-       count(*) AS n_rows, sum(length(coalesce(output, ''))) AS n_chars
+       count(*) AS n_rows, CAST(sum(length(coalesce(output, ''))) AS BIGINT) AS n_chars
 FROM (""" + _PAGES_ORACLE + ") GROUP BY 1")
 def split_outcome_query(spark, d):
     """successful rows and failed rows as two branches of one result."""
@@ -177,7 +177,7 @@ def valid_filter(spark, d):
 
 
 @query("score_texts", """
-SELECT d.doc_id, length(d.text) AS body_chars, l.quality, l.toxic,
+SELECT d.doc_id, CAST(length(d.text) AS INTEGER) AS body_chars, l.quality, l.toxic,
        CASE WHEN l.doc_id IS NULL THEN 'not captured' END AS _corrupt_record
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """)
@@ -202,8 +202,8 @@ def echo_transport(method, url, body, headers):
 
 _ORDER_URL_SQL = """
 SELECT o_orderkey,
-       length('https://api.example.com/orders?o_orderkey=' || o_orderkey || '&o_orderpriority='
-              || replace(url_encode(o_orderpriority), '%20', '+')) AS chars
+       CAST(length('https://api.example.com/orders?o_orderkey=' || o_orderkey || '&o_orderpriority='
+              || replace(url_encode(o_orderpriority), '%20', '+')) AS INTEGER) AS chars
 FROM orders
 """
 

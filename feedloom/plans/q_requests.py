@@ -185,7 +185,7 @@ def _order_pages(orders, page_size):
 
 @query("rest_pages", """
 WITH c AS (SELECT o_custkey, ceil(count(*) / 10.0)::INT AS pages FROM orders GROUP BY o_custkey)
-SELECT o.o_custkey, (o.o_orderkey % c.pages) + 1 AS page, o.o_orderkey, o.o_totalprice
+SELECT o.o_custkey, CAST((o.o_orderkey % c.pages) + 1 AS INTEGER) AS page, o.o_orderkey, o.o_totalprice
 FROM orders o JOIN c USING (o_custkey)
 """)
 def rest_pages(spark, d):
@@ -213,7 +213,7 @@ WITH b AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) + 1 AS hi FROM lineitem
      s AS (SELECT lo, hi, (hi - lo) // 8 AS step FROM b),
      r AS (SELECT l_orderkey, least((l_orderkey - lo) // step, 7) AS range_id, lo, hi, step
            FROM lineitem, s)
-SELECT range_id, lo + range_id * step AS range_lo,
+SELECT CAST(range_id AS INTEGER) AS range_id, lo + range_id * step AS range_lo,
        CASE WHEN range_id = 7 THEN hi ELSE lo + (range_id + 1) * step END AS range_hi,
        count(*) AS n_rows
 FROM r GROUP BY range_id, lo, hi, step

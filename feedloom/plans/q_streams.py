@@ -56,7 +56,7 @@ def stream_weather(spark, d):
 
 
 @query("stream_files", """
-SELECT sum(length(text) + 1) AS total_chars FROM documents
+SELECT CAST(sum(length(text) + 1) AS BIGINT) AS total_chars FROM documents
 """)
 def stream_files(spark, d):
     """File monitor: each new file once, as (name, content); two runs."""
