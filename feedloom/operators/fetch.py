@@ -53,14 +53,25 @@ def latest_capture(captures: DataFrame) -> DataFrame:
             .select("key", "_r.status", "_r.body", "_r.error"))
 
 
-def replay(requests: DataFrame, captures: DataFrame, on=None, feed: str | None = None) -> DataFrame:
+def replay(requests: DataFrame, captures: DataFrame, on=None, feed: str | None = None,
+           latest: bool = True) -> DataFrame:
     """F1 (replay transport): requests left-joined with landed responses.
 
     Adds ``status``, ``response`` and ``_corrupt_record``; a request with no
     capture gets the error ``not captured``.
+
+    With ``latest`` (default) the capture is first reduced to the newest
+    response per key.  That aggregate is partial (a re-fetched hot key is
+    combined map-side) and its exchange and sort on ``key`` are the ones the
+    sort-merge join needs anyway, so at scale it costs no extra shuffle.
+    Pass ``latest=False`` for a capture that is unique per key by
+    construction (landed once) to skip it.
     """
     caps = captures if feed is None else captures.where(F.col("feed") == feed)
-    caps = latest_capture(caps)
+    if latest:
+        caps = latest_capture(caps)
+    else:
+        caps = caps.select("key", F.col("status").cast("int").alias("status"), "body", "error")
     req = requests.withColumn("_req_key", _key_col(on).cast("string"))
     joined = req.join(caps, req["_req_key"] == caps["key"], "left")
     err = F.when(F.col("key").isNull(), F.lit("not captured")).otherwise(F.col("error"))

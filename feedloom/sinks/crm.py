@@ -33,6 +33,8 @@ from pyspark.sql.types import (
 
 from feedloom.functions.safe import iso_text
 
+# Default target object, records per payload, and the default
+# account schema (used when no ``schema`` DDL is given).
 DEFAULT_OBJECT = "Account"
 BATCH_SIZE = 200
 DEFAULT_SCHEMA = (

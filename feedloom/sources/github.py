@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.jsonx import variant_items, vget
 
+# The output schema.
 SCHEMA = "id int, title string, author string, created_at string, updated_at string"
 
 

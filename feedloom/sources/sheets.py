@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+# The sheet host and path prefix, and the rejection message.
 HOST = "docs.google.com"
 PREFIX = "/spreadsheets/d/"
 NOT_A_SHEET = "URL is not a Google Sheets URL"

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The output schema.
 SCHEMA = ("date string, open double, high double, low double, close double, volume long, "
           "symbol string")
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Output schema, timeline names, and the first mark of a location.
 SCHEMA = "latitude double, longitude double, weather string, timestamp string"
 FREQUENCIES = ("minutely", "hourly", "daily")
 INITIAL_MARK = "2024-09-01T00:00:00Z"

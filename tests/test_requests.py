@@ -107,3 +107,12 @@ def test_replay_takes_latest_capture_and_marks_missing(spark):
         .withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
     got = {r.p: (r.response, r._corrupt_record) for r in replay(req, caps).collect()}
     assert got == {"/a": ("new", None), "/b": (None, "not captured")}
+
+
+def test_replay_without_dedupe(spark):
+    req = build_requests(spark.createDataFrame([("/a",)], "p string"), "http://h{p}",
+                         method="GET", query_type="inline")
+    caps = spark.createDataFrame([("f", "http://h/a", 200, "only", None, None)],
+                                 "feed string, key string, status int, body string, error string, "
+                                 "fetched_at timestamp")
+    assert [r.response for r in replay(req, caps, latest=False).collect()] == ["only"]
