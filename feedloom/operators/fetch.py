@@ -32,6 +32,7 @@ CAPTURE_SCHEMA = ("feed string, key string, status int, body string, error strin
                   "fetched_at timestamp")
 
 RESPONSE_COLUMNS = ("status", "response", "_corrupt_record")
+INVALID = "invalid request: a url parameter is null"
 
 Transport = Callable[[str, str, "str | None", "dict | None"], "tuple[int | None, str | None, str | None]"]
 
@@ -74,7 +75,8 @@ def replay(requests: DataFrame, captures: DataFrame, on=None, feed: str | None =
         caps = caps.select("key", F.col("status").cast("int").alias("status"), "body", "error")
     req = requests.withColumn("_req_key", _key_col(on).cast("string"))
     joined = req.join(caps, req["_req_key"] == caps["key"], "left")
-    err = F.when(F.col("key").isNull(), F.lit("not captured")).otherwise(F.col("error"))
+    err = (F.when(F.col("_req_key").isNull(), F.lit(INVALID))
+           .when(F.col("key").isNull(), F.lit("not captured")).otherwise(F.col("error")))
     out_cols = [F.col(c) for c in requests.columns]
     return joined.select(
         *out_cols,
@@ -110,6 +112,8 @@ def fetch(requests: DataFrame, transport: Transport, partitions: int | None = No
                     pdf["req_headers"] if "req_headers" in pdf else [None] * len(pdf)):
                 hdr = dict(headers) if headers is not None else None
                 try:
+                    if url is None:
+                        raise ValueError(INVALID)
                     st, resp, err = transport(method, url, body, hdr)
                 except Exception as e:  # noqa: BLE001 - failures become rows
                     st, resp, err = None, None, f"{type(e).__name__}: {e}"

@@ -60,10 +60,17 @@ def querystring_url(url: Column, params: dict[str, Column]) -> Column:
 
 
 def inline_url(url: Column, params: dict[str, Column]) -> Column:
-    """Q3: replace each ``{name}`` with the path-quoted value (``/`` kept)."""
+    """Q3: replace each ``{name}`` with the path-quoted value (``/`` kept).
+
+    A null value used by a placeholder makes the url null: the request is
+    rejected (reported as ``invalid request``) instead of asking for
+    ``.../None``.
+    """
     out = url
     for name, value in params.items():
-        out = F.replace(out, F.lit("{" + name + "}"), path_quote(value))
+        ph = F.lit("{" + name + "}")
+        out = F.when(F.instr(out, "{" + name + "}") > 0, F.replace(out, ph, path_quote(value))) \
+            .otherwise(out)
     return out
 
 

@@ -35,6 +35,13 @@ def _default(v):
     raise TypeError(f"cannot encode {type(v).__name__}")
 
 
+def _remove(fs, path: str) -> None:
+    try:
+        fs.delete_file(path)
+    except OSError:
+        pass
+
+
 @dataclass
 class StagedFile(WriterCommitMessage):
     staged: str
@@ -62,15 +69,19 @@ class JsonArrayWriter(DataSourceArrowWriter):
         name = f"part-{part:05d}-{self.job}.json"
         staged = f"{stage_dir}/{attempt}-{name}"
         rows = 0
-        with fs.open_output_stream(staged) as out:
-            out.write(b"[")
-            for batch in iterator:
-                for rec in batch.to_pylist():
-                    if rows:
-                        out.write(b",")
-                    out.write(json.dumps(rec, default=_default, ensure_ascii=False).encode("utf-8"))
-                    rows += 1
-            out.write(b"]")
+        try:
+            with fs.open_output_stream(staged) as out:
+                out.write(b"[")
+                for batch in iterator:
+                    for rec in batch.to_pylist():
+                        if rows:
+                            out.write(b",")
+                        out.write(json.dumps(rec, default=_default, ensure_ascii=False).encode("utf-8"))
+                        rows += 1
+                out.write(b"]")
+        except BaseException:
+            _remove(fs, staged)
+            raise
         return StagedFile(staged, f"{base}/{name}", rows)
 
     def commit(self, messages):
@@ -94,13 +105,12 @@ class JsonArrayWriter(DataSourceArrowWriter):
             out.write(b"success")
 
     def abort(self, messages):
-        fs, _ = _fs(self.path)
-        for m in messages or []:
-            if m is not None and m.staged:
-                try:
-                    fs.delete_file(m.staged)
-                except OSError:
-                    pass
+        # every staged file of this job, including those of failed attempts
+        fs, base = _fs(self.path)
+        try:
+            fs.delete_dir(f"{base}/_staging/{self.job}")
+        except OSError:
+            pass
 
 
 class JsonArraySink(DataSource):

@@ -158,14 +158,21 @@ class ArrowDatasetWriter(DataSourceArrowWriter):
         fs.create_dir(f"{base}/_staging/{self.job}", recursive=True)
         rows = 0
         writer = None
-        with fs.open_output_stream(staged) as out:
-            for batch in iterator:
-                if writer is None:
-                    writer = ipc.new_file(out, batch.schema)
-                writer.write_batch(batch)
-                rows += batch.num_rows
-            if writer is not None:
-                writer.close()
+        try:
+            with fs.open_output_stream(staged) as out:
+                for batch in iterator:
+                    if writer is None:
+                        writer = ipc.new_file(out, batch.schema)
+                    writer.write_batch(batch)
+                    rows += batch.num_rows
+                if writer is not None:
+                    writer.close()
+        except BaseException:
+            try:
+                fs.delete_file(staged)
+            except OSError:
+                pass
+            raise
         if writer is None:
             fs.delete_file(staged)
             return StagedFragment("", "", 0)
@@ -182,13 +189,12 @@ class ArrowDatasetWriter(DataSourceArrowWriter):
             pass
 
     def abort(self, messages):
-        fs, _ = _fs(self.path)
-        for m in messages or []:
-            if m is not None and m.staged:
-                try:
-                    fs.delete_file(m.staged)
-                except OSError:
-                    pass
+        # every staged fragment of this job, including those of failed attempts
+        fs, base = _fs(self.path)
+        try:
+            fs.delete_dir(f"{base}/_staging/{self.job}")
+        except OSError:
+            pass
 
 
 class ArrowFilesSource(DataSource):

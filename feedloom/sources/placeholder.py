@@ -96,6 +96,15 @@ def item_url(base: str, endpoint: str, id_value: int | None = None) -> str:
     return f"{base.rstrip('/')}/{ep}" + (f"/{id_value}" if id_value is not None else "")
 
 
+def select_items(df: DataFrame, item_id: int | None = None, limit: int | None = None) -> DataFrame:
+    """``id`` picks one item; ``limit`` applies only when no ``id`` is given."""
+    if item_id is not None:
+        return df.where(F.col("id") == F.lit(int(item_id)))
+    if limit is not None:
+        return first_n(df, int(limit))
+    return df
+
+
 def first_n(df: DataFrame, n: int) -> DataFrame:
     """``_limit``: the first ``n`` items in id order (a top-k, not a sample)."""
     if n < 0:

@@ -127,3 +127,32 @@ def test_fake_rows(spark):
         fake.check_schema("nonsense string")
     with pytest.raises(ValueError):
         fake.check_schema("name int")
+
+
+def test_json_sink_abort_leaves_nothing(spark, tmp_out):
+    bad = spark.range(0, 20, 1, 4).select(
+        "id", F.when(F.col("id") == 17, F.raise_error(F.lit("boom"))).alias("x"))
+    with pytest.raises(Exception):
+        json_array.write_json_array(bad, tmp_out)
+    left = []
+    for root, _dirs, files in os.walk(local_path(tmp_out)):
+        left += [f for f in files if f.endswith(".json")]
+    assert left == []
+
+
+def test_placeholder_id_and_limit(spark):
+    from feedloom.sources import placeholder
+    df = spark.range(1, 11).select(F.col("id").cast("int").alias("id"))
+    assert [r.id for r in placeholder.select_items(df, item_id=3, limit=5).collect()] == [3]
+    assert [r.id for r in placeholder.select_items(df, limit=2).collect()] == [1, 2]
+
+
+def test_arrow_dataset_abort_leaves_nothing(spark, tmp_out):
+    bad = spark.range(0, 20, 1, 4).select(
+        "id", F.when(F.col("id") == 17, F.raise_error(F.lit("boom"))).alias("x"))
+    with pytest.raises(Exception):
+        arrow.append_arrow(bad, tmp_out)
+    left = []
+    for root, _dirs, files in os.walk(local_path(tmp_out)):
+        left += [f for f in files if f.endswith(".arrow")]
+    assert left == []

@@ -116,3 +116,15 @@ def test_replay_without_dedupe(spark):
                                  "feed string, key string, status int, body string, error string, "
                                  "fetched_at timestamp")
     assert [r.response for r in replay(req, caps, latest=False).collect()] == ["only"]
+
+
+def test_inline_null_parameter_is_rejected(spark):
+    df = spark.createDataFrame([("a", None)], "x string, y string")
+    req = build_requests(df, "http://h/{x}/{y}", method="GET", query_type="inline")
+    assert req.first()["req_url"] is None
+    caps = spark.createDataFrame([], "feed string, key string, status int, body string, error string, "
+                                     "fetched_at timestamp")
+    assert replay(req, caps).first()["_corrupt_record"].startswith("invalid request")
+    ok = build_requests(spark.createDataFrame([("a", None)], "x string, y string"), "http://h/{x}",
+                        method="GET", query_type="inline", param_columns=["x", "y"]).first()
+    assert ok["req_url"] == "http://h/a"
