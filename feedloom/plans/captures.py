@@ -96,29 +96,40 @@ def _lists(df: DataFrame, feed: str, id_col: str, item: Column, chunk: int = 64,
 
 
 # ------------------------------------------------------------ demo blog data
+def _struct_lists(df: DataFrame, feed: str, id_col: str, item: Column, chunk: int = 64) -> DataFrame:
+    """JSON array per ``id div chunk`` of ``to_json``-ed structs; null fields
+    are left out of the objects (a *missing* key)."""
+    g = (df.groupBy(F.floor(F.col(id_col) / chunk).alias("_chunk"))
+         .agg(F.to_json(F.collect_list(item)).alias("body")))
+    return g.select(F.lit(feed).alias("feed"),
+                    F.concat_ws("/", F.lit(f"{API}/{feed}"), F.col("_chunk").cast("string")).alias("key"),
+                    F.lit(200).alias("status"), "body", F.lit(None).cast("string").alias("error"),
+                    F.lit("2024-02-01 00:00:00").cast("timestamp").alias("fetched_at"))
+
+
 def blog_users(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     c = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    geo = obj(kv("lat", jstr(F.col("c_nationkey"))), kv("lng", jstr(F.col("n_regionkey"))))
-    address = obj(
-        kv("street", jstr(F.concat(F.col("c_custkey"), F.lit(" Main St")))),
-        kv("suite", jstr(F.concat(F.lit("Apt "), F.col("c_nationkey")))),
-        kv("city", jstr(F.col("n_name"))),
-        kv("zipcode", jstr(F.lpad(F.col("c_custkey").cast("string"), 5, "0"))),
-        kv("geo", geo, F.col("c_mktsegment") == "AUTOMOBILE"))
-    company = obj(kv("name", jstr(F.col("c_mktsegment"))),
-                  kv("catchPhrase", jstr(F.col("r_name"))),
-                  kv("bs", F.lit("null")))
-    item = obj(
-        kv("id", F.col("c_custkey").cast("string")),
-        kv("name", jstr(F.col("c_name"))),
-        kv("username", jstr(F.lower(F.regexp_replace("c_name", "#", "")))),
-        kv("email", jstr(F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")))),
-        kv("phone", jstr(F.concat(F.lit("+"), F.col("c_nationkey"), F.lit("-"), F.col("c_custkey")))),
-        kv("website", jstr(F.concat(F.lit("www."), F.lower("n_name"), F.lit(".example")))),
-        kv("address", address, F.col("c_acctbal") < 0),
-        kv("company", company, F.col("c_mktsegment") == "HOUSEHOLD"))
-    return _lists(c, "users", "c_custkey", item)
+    geo = F.when(F.col("c_mktsegment") != "AUTOMOBILE",
+                 F.struct(F.col("c_nationkey").cast("string").alias("lat"),
+                          F.col("n_regionkey").cast("string").alias("lng")))
+    address = F.when(F.col("c_acctbal") >= 0, F.struct(
+        F.concat(F.col("c_custkey"), F.lit(" Main St")).alias("street"),
+        F.concat(F.lit("Apt "), F.col("c_nationkey")).alias("suite"),
+        F.col("n_name").alias("city"),
+        F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("zipcode"),
+        geo.alias("geo")))
+    company = F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.struct(
+        F.col("c_mktsegment").alias("name"), F.col("r_name").alias("catchPhrase"),
+        F.lower("c_mktsegment").alias("bs")))
+    item = F.struct(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.lower(F.regexp_replace("c_name", "#", "")).alias("username"),
+        F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
+        F.concat(F.lit("+"), F.col("c_nationkey"), F.lit("-"), F.col("c_custkey")).alias("phone"),
+        F.concat(F.lit("www."), F.lower("n_name"), F.lit(".example")).alias("website"),
+        address.alias("address"), company.alias("company"))
+    return _struct_lists(c, "users", "c_custkey", item)
 
 
 def blog_posts(orders: DataFrame) -> DataFrame:
@@ -141,10 +152,9 @@ def blog_post_objects(orders: DataFrame) -> DataFrame:
 
 
 def blog_albums(orders: DataFrame) -> DataFrame:
-    item = obj(kv("userId", F.col("o_custkey").cast("string")),
-               kv("id", F.col("o_orderkey").cast("string")),
-               kv("title", jstr(F.concat(F.lit("album "), F.col("o_orderkey")))))
-    return _lists(orders, "albums", "o_orderkey", item)
+    item = F.struct(F.col("o_custkey").alias("userId"), F.col("o_orderkey").alias("id"),
+                    F.concat(F.lit("album "), F.col("o_orderkey")).alias("title"))
+    return _struct_lists(orders, "albums", "o_orderkey", item)
 
 
 def _line_id(li: DataFrame) -> DataFrame:
@@ -153,24 +163,24 @@ def _line_id(li: DataFrame) -> DataFrame:
 
 def blog_comments(lineitem: DataFrame) -> DataFrame:
     li = _line_id(lineitem)
-    item = obj(kv("postId", F.col("l_orderkey").cast("string")),
-               kv("id", F.col("_lid").cast("string")),
-               kv("name", jstr(F.concat(F.lit("re "), F.col("l_returnflag"), F.col("l_linestatus")))),
-               kv("email", jstr(F.concat(F.lit("u"), F.col("l_suppkey"), F.lit("@example.com"))),
-                  F.col("l_returnflag") == "R"),
-               kv("body", jstr(F.concat(F.lit("qty "), F.col("l_quantity").cast("int")))))
-    return _lists(li, "comments", "_lid", item)
+    item = F.struct(
+        F.col("l_orderkey").alias("postId"), F.col("_lid").alias("id"),
+        F.concat(F.lit("re "), F.col("l_returnflag"), F.col("l_linestatus")).alias("name"),
+        F.when(F.col("l_returnflag") != "R",
+               F.concat(F.lit("u"), F.col("l_suppkey"), F.lit("@example.com"))).alias("email"),
+        F.concat(F.lit("qty "), F.col("l_quantity").cast("int")).alias("body"))
+    return _struct_lists(li, "comments", "_lid", item)
 
 
 def blog_photos(lineitem: DataFrame) -> DataFrame:
     li = _line_id(lineitem)
-    item = obj(kv("albumId", F.col("l_orderkey").cast("string")),
-               kv("id", F.col("_lid").cast("string")),
-               kv("title", jstr(F.concat(F.lit("photo "), F.col("l_linenumber")))),
-               kv("url", jstr(F.concat(F.lit("https://img.example.com/"), F.col("l_partkey")))),
-               kv("thumbnailUrl", jstr(F.concat(F.lit("https://img.example.com/t/"), F.col("l_partkey"))),
-                  F.col("l_linestatus") == "F"))
-    return _lists(li, "photos", "_lid", item)
+    item = F.struct(
+        F.col("l_orderkey").alias("albumId"), F.col("_lid").alias("id"),
+        F.concat(F.lit("photo "), F.col("l_linenumber")).alias("title"),
+        F.concat(F.lit("https://img.example.com/"), F.col("l_partkey")).alias("url"),
+        F.when(F.col("l_linestatus") != "F",
+               F.concat(F.lit("https://img.example.com/t/"), F.col("l_partkey"))).alias("thumbnailUrl"))
+    return _struct_lists(li, "photos", "_lid", item)
 
 
 def blog_todos(events: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name,
        CASE WHEN c_acctbal < 0 OR c_mktsegment = 'AUTOMOBILE' THEN '' ELSE CAST(n_regionkey AS VARCHAR) END AS address_geo_lng,
        CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' ELSE c_mktsegment END AS company_name,
        CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' ELSE r_name END AS company_catchPhrase,
-       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' ELSE NULL END AS company_bs
+       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' ELSE lower(c_mktsegment) END AS company_bs
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 """
 
