@@ -54,10 +54,16 @@ def check_options(username: str | None, password: str | None, security_token: st
 
 
 def _conformed(df: DataFrame, schema: str | None) -> list[Column]:
+    """Fields of the target schema, matched by name (case-insensitive, as
+    Spark resolves names); absent fields are null."""
     st = StructType.fromDDL(schema or DEFAULT_SCHEMA)
-    have = set(df.columns)
-    return [(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in st.fields]
+    have = {c.lower(): c for c in df.columns}
+    out = []
+    for f in st.fields:
+        src = have.get(f.name.lower())
+        c = F.col(f"`{src}`") if src is not None else F.lit(None)
+        out.append(c.cast(f.dataType).alias(f.name))
+    return out
 
 
 def conform(df: DataFrame, schema: str | None = None) -> DataFrame:
