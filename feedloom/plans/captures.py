@@ -54,10 +54,15 @@ def scores(labels: DataFrame) -> DataFrame:
                     F.to_json(F.struct("quality", "toxic")))
 
 
+def _div(name: str, n: int) -> Column:
+    """``name div n``: exact integer division for any long id."""
+    return F.expr(f"`{name}` div {int(n)}")
+
+
 def chunked_lists(df: DataFrame, group_cols: list[str], id_col: str, item: Column,
                   chunk: int = 64) -> DataFrame:
     """JSON array text per (group, id div chunk): bounded lists."""
-    g = df.select(*group_cols, F.floor(F.col(id_col) / chunk).alias("_chunk"),
+    g = df.select(*group_cols, _div(id_col, chunk).alias("_chunk"),
                   F.col(id_col).alias("_id"), item.alias("_item"))
     return (g.groupBy(*group_cols, "_chunk")
             .agg(F.array_sort(F.collect_list(F.struct("_id", "_item"))).alias("_items"))
@@ -99,7 +104,7 @@ def _lists(df: DataFrame, feed: str, id_col: str, item: Column, chunk: int = 64,
 def _struct_lists(df: DataFrame, feed: str, id_col: str, item: Column, chunk: int = 64) -> DataFrame:
     """JSON array per ``id div chunk`` of ``to_json``-ed structs; null fields
     are left out of the objects (a *missing* key)."""
-    g = (df.groupBy(F.floor(F.col(id_col) / chunk).alias("_chunk"))
+    g = (df.groupBy(_div(id_col, chunk).alias("_chunk"))
          .agg(F.to_json(F.collect_list(item)).alias("body")))
     return g.select(F.lit(feed).alias("feed"),
                     F.concat_ws("/", F.lit(f"{API}/{feed}"), F.col("_chunk").cast("string")).alias("key"),
@@ -309,7 +314,7 @@ def flight_snapshots(events: DataFrame) -> DataFrame:
     reps = F.when(F.pmod(eid, F.lit(13)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     st = events.select(eid.alias("event_id"), (epoch - F.pmod(epoch, F.lit(3600))).alias("hour"),
                        F.explode(reps).alias("rep"), state.alias("state"))
-    g = (st.groupBy("hour", F.floor(F.col("event_id") / 256).alias("_chunk"))
+    g = (st.groupBy("hour", _div("event_id", 256).alias("_chunk"))
          .agg(F.array_join(F.collect_list("state"), ",").alias("states")))
     return g.select(F.lit("flights").alias("feed"),
                     F.concat(F.lit(API + "/states/all?time="), F.col("hour"), F.lit("&c="), F.col("_chunk")).alias("key"),
@@ -331,7 +336,7 @@ def weather_timelines(events: DataFrame) -> DataFrame:
                               F.round(F.col("value") * 100).cast("bigint").alias("cents")).alias("values"))
     # bounded bodies: (location, day, event_id div 256)
     g = (events.groupBy("user_id", F.to_date("ts").alias("day"),
-                        F.floor(F.col("event_id") / 256).alias("_chunk"))
+                        _div("event_id", 256).alias("_chunk"))
          .agg(F.collect_list(entry).alias("entries")))
     tl = F.struct(F.filter("entries", lambda e: e["values"]["type"] == "click").alias("minutely"),
                   F.col("entries").alias("hourly"),

@@ -158,7 +158,7 @@ def rest_array_body(spark, d):
                         F.lit(200).alias("status"), body.alias("body"),
                         F.lit(None).cast("string").alias("error"),
                         F.lit(None).cast("timestamp").alias("fetched_at"))
-    params = orders.select("o_custkey", F.floor(F.col("o_orderkey") / 64).alias("chunk")).distinct()
+    params = orders.select("o_custkey", F.expr("o_orderkey div 64").alias("chunk")).distinct()
     req = build_requests(params, captures.API + "/customers/{o_custkey}/orders?chunk={chunk}",
                          method="GET", query_type="inline")
     got = explode_output(replay(req, caps), "o_orderkey bigint, o_totalprice double")
