@@ -140,3 +140,13 @@ def tag_regions(states: DataFrame) -> DataFrame:
 def high_flights(states: DataFrame, altitude: float = 10000.0) -> DataFrame:
     """Airborne filter of the feed's example: callsign set, above ``altitude``."""
     return states.where(F.col("callsign").isNotNull() & (F.col("geo_altitude") > altitude))
+
+
+def read_snapshots(spark, path: str, whole_files: bool = False) -> DataFrame:
+    """Landed snapshots as a batch table of states.
+
+    ``whole_files``: one snapshot per file (``wholetext``); otherwise one
+    snapshot per line, which lets Spark split large files.
+    """
+    r = spark.read.option("wholetext", bool(whole_files))
+    return normalise(r.text(path).select(F.col("value").alias("body")))

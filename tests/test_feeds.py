@@ -134,3 +134,19 @@ def test_weather_rows_marks(spark):
 def test_weather_location_list(spark):
     df = spark.createDataFrame([("[(37.77, -122.42), (40.71, -74.0)]",)], "s string")
     assert df.select(weather.parse_locations(F.col("s")).alias("l")).first().l == [[37.77, -122.42], [40.71, -74.0]]
+
+
+def test_flight_snapshot_files(spark, tmp_out):
+    import os
+
+    from feedloom.session import ensure_dir, local_path
+
+    d = local_path(ensure_dir(tmp_out))
+    st = '["ab", "CS", "NL", 1, 2, 4.5, 52.0, 1.0, false, 1, 1, 1, null, 1, "1", false, 1]'
+    with open(os.path.join(d, "one.json"), "w") as f:
+        f.write('{"time": 1700000000,\n "states": [%s, %s]}' % (st, st))
+    assert flights.read_snapshots(spark, d, whole_files=True).count() == 2
+    d2 = local_path(ensure_dir(tmp_out + "/lines"))
+    with open(os.path.join(d2, "many.txt"), "w") as f:
+        f.write('{"time": 1, "states": [%s]}\n{"time": 2, "states": [%s]}\n' % (st, st))
+    assert flights.read_snapshots(spark, d2).count() == 2
