@@ -148,5 +148,5 @@ def read_snapshots(spark, path: str, whole_files: bool = False) -> DataFrame:
     ``whole_files``: one snapshot per file (``wholetext``); otherwise one
     snapshot per line, which lets Spark split large files.
     """
-    r = spark.read.option("wholetext", bool(whole_files))
-    return normalise(r.text(path).select(F.col("value").alias("body")))
+    text = spark.read.text(path, wholetext=bool(whole_files))
+    return normalise(text.select(F.col("value").alias("body")))
