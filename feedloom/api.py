@@ -52,12 +52,13 @@ def _bool(v, default: bool) -> bool:
 
 
 def _responses(req: DataFrame, feed: str, transport=None, captures: DataFrame | None = None,
-               land_to: str | None = None, on=None, partitions: int | None = None) -> DataFrame:
+               land_to: str | None = None, on=None, partitions: int | None = None,
+               concurrency: int = 1) -> DataFrame:
     if captures is not None:
         return fx.replay(req, captures, on=on)
     if transport is None:
         raise ValueError("give either captures (landed responses) or a transport")
-    got = fx.fetch(req, transport, partitions=partitions)
+    got = fx.fetch(req, transport, partitions=partitions, concurrency=concurrency)
     if land_to is None:
         return got
     landed = fx.land(fx.as_capture(got, feed, key=on), land_to)
@@ -92,7 +93,8 @@ def _read_rest(spark, o, transport, captures, land_to):
         cookie=_opt(o, "cookie"))
     parts = _opt(o, "partitions")
     got = _responses(req, "rest", transport, captures, land_to,
-                     partitions=int(parts) if parts is not None else None)
+                     partitions=int(parts) if parts is not None else None,
+                     concurrency=int(_opt(o, "concurrency", default=1)))
     got = fx.fail_on_error(got, _bool(_opt(o, "failOnError"), False))
     out = fx.parse_output(got, _opt(o, "schema"))
     include = str(_opt(o, "includeInputsInOutput", default="Y")).upper() in ("Y", "TRUE")

@@ -86,13 +86,19 @@ def replay(requests: DataFrame, captures: DataFrame, on=None, feed: str | None =
     )
 
 
-def fetch(requests: DataFrame, transport: Transport, partitions: int | None = None) -> DataFrame:
+def fetch(requests: DataFrame, transport: Transport, partitions: int | None = None,
+          concurrency: int = 1) -> DataFrame:
     """F1 (live): one call per request row, in Arrow batches on the executors.
 
     ``transport`` gets (method, url, body, headers) and returns (status, body,
     error) or raises; an exception becomes the row's ``_corrupt_record``
-    (F2) instead of failing the task.
+    (F2) instead of failing the task.  ``concurrency`` > 1 runs that many
+    calls at once inside each task (a thread pool per batch, results kept in
+    row order), for high-latency services.  Land the result (``land``)
+    before using it twice.
     """
+    if concurrency < 1:
+        raise ValueError("concurrency must be >= 1")
     df = requests if partitions is None else requests.repartition(partitions)
     in_schema = df.schema
     out_schema = StructType(list(in_schema.fields) + [
@@ -101,30 +107,37 @@ def fetch(requests: DataFrame, transport: Transport, partitions: int | None = No
         StructField("_corrupt_record", StringType()),
     ])
 
+    def one(args):
+        method, url, body, headers = args
+        hdr = dict(headers) if headers is not None else None
+        try:
+            if url is None:
+                raise ValueError(INVALID)
+            st, resp, err = transport(method, url, body, hdr)
+        except Exception as e:  # noqa: BLE001 - failures become rows
+            st, resp, err = None, None, f"{type(e).__name__}: {e}"
+        return st, (resp if err is None else None), err
+
     def call(batches):
         import pandas as pd
-
-        for pdf in batches:
-            statuses, bodies, errors = [], [], []
-            for method, url, body, headers in zip(
-                    pdf["req_method"], pdf["req_url"],
-                    pdf["req_body"] if "req_body" in pdf else [None] * len(pdf),
-                    pdf["req_headers"] if "req_headers" in pdf else [None] * len(pdf)):
-                hdr = dict(headers) if headers is not None else None
-                try:
-                    if url is None:
-                        raise ValueError(INVALID)
-                    st, resp, err = transport(method, url, body, hdr)
-                except Exception as e:  # noqa: BLE001 - failures become rows
-                    st, resp, err = None, None, f"{type(e).__name__}: {e}"
-                statuses.append(st)
-                bodies.append(resp if err is None else None)
-                errors.append(err)
-            out = pdf.copy()
-            out["status"] = pd.array(statuses, dtype="Int32")
-            out["response"] = bodies
-            out["_corrupt_record"] = errors
-            yield out
+        from concurrent.futures import ThreadPoolExecutor
+
+        pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
+        try:
+            for pdf in batches:
+                n = len(pdf)
+                args = zip(pdf["req_method"], pdf["req_url"],
+                           pdf["req_body"] if "req_body" in pdf else [None] * n,
+                           pdf["req_headers"] if "req_headers" in pdf else [None] * n)
+                results = list(pool.map(one, args)) if pool else [one(a) for a in args]
+                out = pdf.copy()
+                out["status"] = pd.array([r[0] for r in results], dtype="Int32")
+                out["response"] = [r[1] for r in results]
+                out["_corrupt_record"] = [r[2] for r in results]
+                yield out
+        finally:
+            if pool:
+                pool.shutdown()
 
     return df.mapInPandas(call, out_schema)
 

@@ -61,3 +61,19 @@ def test_call_once_per_distinct_input(spark):
     assert calls == [3]
     assert sorted((r.u, r.v) for r in out if r.u is not None) == [(1, 10), (1, 10), (2, 20)]
     assert [r.v for r in out if r.u is None] == [None, None]
+
+
+def test_fetch_concurrency_keeps_row_order(spark):
+    import time
+
+    def slow(method, url, body, headers):
+        time.sleep(0.01)
+        return 200, url.rsplit("/", 1)[1], None
+
+    params = spark.range(200).select(F.col("id").cast("string").alias("p")).coalesce(1)
+    req = build_requests(params, "http://h/{p}", method="GET", query_type="inline")
+    got = fetch(req, slow, concurrency=16).collect()
+    assert [r.response for r in got] == [r.p for r in got]
+    assert len(got) == 200
+    with pytest.raises(ValueError):
+        fetch(req, slow, concurrency=0)
