@@ -69,11 +69,15 @@ def replay(requests: DataFrame, captures: DataFrame, on=None, feed: str | None =
     construction (landed once) to skip it.
     """
     caps = captures if feed is None else captures.where(F.col("feed") == feed)
+    req = requests.withColumn("_req_key", _key_col(on).cast("string"))
     if latest:
-        caps = latest_capture(caps)
+        # only captures of requested keys are deduplicated: a small request
+        # set is broadcast and filters the capture scan map-side; a large one
+        # shares the key partitioning with the aggregate and the join
+        wanted = req.select(F.col("_req_key").alias("key")).where(F.col("key").isNotNull()).distinct()
+        caps = latest_capture(caps.join(wanted, "key", "left_semi"))
     else:
         caps = caps.select("key", F.col("status").cast("int").alias("status"), "body", "error")
-    req = requests.withColumn("_req_key", _key_col(on).cast("string"))
     joined = req.join(caps, req["_req_key"] == caps["key"], "left")
     err = (F.when(F.col("_req_key").isNull(), F.lit(INVALID))
            .when(F.col("key").isNull(), F.lit("not captured")).otherwise(F.col("error")))
