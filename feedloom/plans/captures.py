@@ -263,7 +263,7 @@ def price_series(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         .alias("Meta Data"),
         F.col("series").alias("Time Series (Daily)")))
     good = per_year.select("symbol", "year", body.alias("body"))
-    brands = d.select("symbol").distinct()
+    brands = part.select(F.col("p_brand").alias("symbol")).distinct()
     note = brands.select("symbol", F.lit(1900).alias("year"),
                          F.lit('{"Note":"Thank you for using the API; call frequency is 5 per minute."}').alias("body"))
     meta_only = brands.select("symbol", F.lit(1901).alias("year"),
