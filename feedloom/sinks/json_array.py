@@ -4,6 +4,10 @@
   staged file ``_staging/<job>/<attempt>-part-<n>.json``: ``[``, objects
   joined by ``,``, ``]``.  Dates and timestamps are written as ISO text,
   decimals as numbers, binary as base64.
+* ``write_json_array`` serialises rows on the JVM (``to_json`` inside
+  whole-stage codegen) and hands the writer one text column, which it only
+  streams; ``df.write.format("jsonarray")`` on any other frame serialises
+  in the task's Python worker.
 * ``commit`` (driver) publishes the staged files under unique names; with
   overwrite it then removes every other file in the folder, and writes
   ``_SUCCESS``.  Nothing is visible before the commit.
@@ -21,6 +25,9 @@ from pyspark.sql.types import StructType
 from feedloom.sources.arrow import _fs
 
 
+JSON_COLUMN = "__json__"
+
+
 def _default(v):
     import base64
     import datetime
@@ -73,10 +80,15 @@ class JsonArrayWriter(DataSourceArrowWriter):
             with fs.open_output_stream(staged) as out:
                 out.write(b"[")
                 for batch in iterator:
-                    for rec in batch.to_pylist():
+                    if batch.schema.names == [JSON_COLUMN]:
+                        texts = batch.column(0).to_pylist()
+                    else:
+                        texts = [json.dumps(rec, default=_default, ensure_ascii=False)
+                                 for rec in batch.to_pylist()]
+                    for t in texts:
                         if rows:
                             out.write(b",")
-                        out.write(json.dumps(rec, default=_default, ensure_ascii=False).encode("utf-8"))
+                        out.write(t.encode("utf-8"))
                         rows += 1
                 out.write(b"]")
         except BaseException:
@@ -133,9 +145,25 @@ def register(spark) -> None:
     spark.dataSource.register(JsonArraySink)
 
 
+def json_rows(df):
+    """One JSON object text per row, built on the JVM: dates / timestamps as
+    ISO text, null fields written as ``null`` (like ``json.dumps``)."""
+    from pyspark.sql import functions as F
+
+    from feedloom.functions.safe import iso_text
+
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if f.dataType.typeName() in ("date", "timestamp", "timestamp_ntz"):
+            c = iso_text(c, f.dataType)
+        cols.append(c.alias(f.name))
+    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias(JSON_COLUMN))
+
+
 def write_json_array(df, path: str, mode: str = "append") -> None:
     register(df.sparkSession)
-    df.write.format("jsonarray").mode(mode).save(path)
+    json_rows(df).write.format("jsonarray").mode(mode).save(path)
 
 
 def read_json_array(spark, path: str, schema=None):

@@ -1,5 +1,6 @@
 """File sources and sinks: sheets, hub, dataset files, Arrow, JSON arrays."""
 
+import json
 import os
 
 import pyarrow as pa
@@ -95,7 +96,7 @@ def test_json_sink_overwrite_and_dates(spark, tmp_out):
     json_array.write_json_array(df.coalesce(1), out2)
     files = [f for f in os.listdir(local_path(out2)) if f.endswith(".json")]
     text = open(os.path.join(local_path(out2), files[0])).read()
-    assert text == '[{"id": 1, "d": "2024-01-02"}]'
+    assert json.loads(text) == [{"id": 1, "d": "2024-01-02"}]
 
 
 def test_dataset_handles(spark, tmp_out):
@@ -156,3 +157,11 @@ def test_arrow_dataset_abort_leaves_nothing(spark, tmp_out):
     for root, _dirs, files in os.walk(local_path(tmp_out)):
         left += [f for f in files if f.endswith(".arrow")]
     assert left == []
+
+
+def test_json_sink_direct_format_python_path(spark, tmp_out):
+    json_array.register(spark)
+    df = spark.createDataFrame([(1, None)], "id int, s string").coalesce(1)
+    df.write.format("jsonarray").mode("append").save(tmp_out)
+    files = [f for f in os.listdir(local_path(tmp_out)) if f.endswith(".json")]
+    assert json.loads(open(os.path.join(local_path(tmp_out), files[0])).read()) == [{"id": 1, "s": None}]
