@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.plans import captures as C
-from feedloom.plans.registry import query
+from feedloom.plans.registry import ORACLES, query
 from feedloom.plans.tables import load
 from feedloom.session import fresh_dir
 from feedloom.sinks import json_array
@@ -224,3 +224,16 @@ def json_sink_overwrite(spark, d):
     return json_array.read_json_array(
         spark, path, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
                      "c_mktsegment string")
+
+
+@query("fake_stream", ORACLES["fake_batch"])
+def fake_stream(spark, d):
+    """Generated columns over a stream of landed order keys (availableNow)."""
+    from feedloom.streaming.sources import run_available
+
+    root = fresh_dir(spark, "fake-stream")
+    keys = load(spark, d, "orders").select("o_orderkey")
+    keys.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(keys.schema).parquet(f"{root}/in")
+    run_available(fake.with_fake(stream, "o_orderkey"), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
