@@ -231,37 +231,59 @@ def fallback(delivered: DataFrame, create: Callable[[str, str], str],
     return singles.mapInPandas(call, "batch_key string, pos int, success boolean, error string")
 
 
+def _read_if_exists(spark, path: str):
+    """The parquet table at ``path``, or None when nothing was written there."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
+def deliver_batch(batch_df: DataFrame, batch_id: int, key: str, transport: Callable[[str, str], str],
+                  ledger_path: str, schema: str | None = None, object_type: str = DEFAULT_OBJECT,
+                  batch_size: int = BATCH_SIZE) -> None:
+    """One micro-batch of streaming delivery (the ``foreachBatch`` body).
+
+    Keys already in the ledger from other batches are skipped; replies are
+    landed under ``<ledger>_responses/batch_id=N`` before the ledger
+    partition ``batch_id=N`` is (re)written, so a retried batch reuses the
+    landed replies instead of calling the service again.
+    """
+    spark = batch_df.sparkSession
+    responses_path = ledger_path.rstrip("/") + "_responses"
+    recs = records(batch_df, key=key, schema=schema)
+    done = _read_if_exists(spark, ledger_path)
+    if done is not None:
+        recs = recs.join(done.select("key").where(F.col("batch_id") != batch_id), "key", "left_anti")
+    log = f"{responses_path}/batch_id={batch_id}"
+    sent = _read_if_exists(spark, log)
+    if sent is None:
+        sent = deliver(batches(recs, batch_size, object_type), transport, object_type)
+        sent.write.mode("overwrite").parquet(log)
+        sent = spark.read.parquet(log)
+    ledger = sent.where(F.col("error").isNull()).select("batch_key", F.explode("keys").alias("key"))
+    ledger.write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}")
+
+
 def deliver_stream(stream: DataFrame, key: str, transport: Callable[[str, str], str],
                    ledger_path: str, checkpoint: str, schema: str | None = None,
                    object_type: str = DEFAULT_OBJECT, batch_size: int = BATCH_SIZE,
                    trigger: dict | None = None):
-    """Streaming delivery with an idempotent ledger (batch id, key).
+    """Streaming delivery with an idempotent ledger (see ``deliver_batch``).
 
-    Each micro-batch: records whose key is already in the ledger are
-    skipped (anti-join), the rest are batched and delivered, and keys of
-    delivered batches are appended to the ledger.  The ledger lives in the
-    shared folder, so a retried micro-batch sees what was already sent.
+    Each micro-batch skips records whose key is already in the ledger
+    (anti-join), delivers the rest in payloads, lands the replies and
+    writes the delivered keys as the batch's ledger partition.  The ledger
+    and replies live in the shared folder, so a retried micro-batch, a
+    restarted query or a re-landed file never creates a record twice.
     """
-    responses_path = ledger_path.rstrip("/") + "_responses"
-
     def each(batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        recs = records(batch_df, key=key, schema=schema)
-        try:
-            done = spark.read.parquet(ledger_path).select("key")
-            recs = recs.join(done, "key", "left_anti")
-        except Exception as e:  # noqa: BLE001 - no ledger yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
-        sent = deliver(batches(recs, batch_size, object_type), transport, object_type)
-        # land the replies once: the calls must not run again for the ledger
-        log = f"{responses_path}/batch_id={batch_id}"
-        sent.write.mode("overwrite").parquet(log)
-        sent = spark.read.parquet(log)
-        ledger = (sent.where(F.col("error").isNull())
-                  .select(F.lit(batch_id).cast("long").alias("batch_id"), "batch_key",
-                          F.explode("keys").alias("key")))
-        ledger.write.mode("append").parquet(ledger_path)
+        deliver_batch(batch_df, batch_id, key, transport, ledger_path, schema, object_type,
+                      batch_size)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))

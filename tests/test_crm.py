@@ -56,3 +56,26 @@ def test_accounting_failures_and_fallback(spark):
     assert [(r.referenceId, r.message) for r in crm.failures(sent).collect()] == [("ref1", "bad")]
     fb = crm.fallback(sent, lambda _o, rec: json.dumps({"success": json.loads(rec)["v"] == 4})).collect()
     assert [(r.pos, r.success) for r in fb] == [(0, True)]
+
+
+def test_retried_micro_batch_does_not_call_again(spark, tmp_out):
+    import os
+
+    from feedloom.session import ensure_dir, local_path
+
+    calls = local_path(ensure_dir(tmp_out + "/calls"))
+
+    def tree(_obj, payload):
+        import uuid
+        open(os.path.join(calls, uuid.uuid4().hex), "w").close()
+        n = len(json.loads(payload)["records"])
+        return json.dumps({"hasErrors": False, "results": [{"id": "x"}] * n})
+
+    df = spark.range(5).select(F.col("id").cast("string").alias("Name")).coalesce(1)
+    crm.deliver_batch(df, 0, "Name", tree, tmp_out + "/ledger", schema="Name STRING")
+    crm.deliver_batch(df, 0, "Name", tree, tmp_out + "/ledger", schema="Name STRING")  # retry
+    assert len(os.listdir(calls)) == 1
+    crm.deliver_batch(df, 1, "Name", tree, tmp_out + "/ledger", schema="Name STRING")  # re-landed
+    assert len(os.listdir(calls)) == 1
+    ledger = spark.read.parquet(tmp_out + "/ledger")
+    assert sorted(r.key for r in ledger.collect()) == ["0", "1", "2", "3", "4"]
