@@ -59,3 +59,28 @@ def test_flight_stream_drops_repeats(spark, tmp_out):
     s = fstream.flight_stream(spark, tmp_out + "/in").select("icao24", "time_ingest")
     run_available(s, tmp_out + "/out", tmp_out + "/ckpt")
     assert spark.read.parquet(tmp_out + "/out").count() == 1
+
+
+def test_crm_stream_three_then_two(spark, tmp_out):
+    from feedloom.sinks import crm
+
+    def tree(_obj, payload):
+        n = len(json.loads(payload)["records"])
+        return json.dumps({"hasErrors": False, "results": [{"id": "x"}] * n})
+
+    schema = "id int, name string, industry string, revenue double"
+    first = spark.createDataFrame([(1, "A", "Tech", 1.0), (2, "B", "Retail", 2.0), (3, "C", "Tech", 3.0)], schema)
+    first.coalesce(1).write.mode("append").parquet(tmp_out + "/in")
+
+    def run():
+        src = spark.readStream.schema(schema).parquet(tmp_out + "/in")
+        renamed = src.selectExpr("id", "name AS Name", "industry AS Industry", "revenue AS AnnualRevenue")
+        crm.deliver_stream(renamed, "id", tree, tmp_out + "/ledger", tmp_out + "/ckpt").awaitTermination()
+        return spark.read.parquet(tmp_out + "/ledger")
+
+    assert run().count() == 3
+    spark.createDataFrame([(4, "D", "Tech", 4.0), (5, "E", "Retail", 5.0)], schema) \
+        .coalesce(1).write.mode("append").parquet(tmp_out + "/in")
+    ledger = run()
+    assert ledger.count() == 5
+    assert sorted(r.key for r in ledger.where("batch_id = 1").collect()) == ["4", "5"]
