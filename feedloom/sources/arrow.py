@@ -3,9 +3,10 @@
 ``arrowfiles`` (reader): ``path`` is a file, a directory (its ``*.arrow``
 files, sorted) or a glob; nothing matching is an error.  The schema comes
 from the first file's IPC footer (no batch is read on the driver).  Input
-partitions are (file, range of record batches), so a large file is read by
-several tasks; every batch is cast to the schema handed to the reader.  A
-failing file is named in the error.
+partitions are (file, range of record batches) of about ``maxPartitionBytes``
+(default 128 MB, estimated from file size / batch count), so a large file is
+read by several tasks; every batch is cast to the schema handed to the
+reader.  A failing file is named in the error.
 
 ``arrowdataset`` (writer): append-only dataset of IPC fragments.  Tasks
 write fragments to a staging folder; the driver's ``commit`` publishes
@@ -26,7 +27,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-BATCHES_PER_SPLIT = 8
+SPLIT_BYTES = 128 * 1024 * 1024  # like spark.sql.files.maxPartitionBytes
 
 
 def _fs(path: str):
@@ -91,9 +92,10 @@ class ArrowSplit(InputPartition):
 
 
 class ArrowFilesReader(DataSourceReader):
-    def __init__(self, path: str, schema: StructType):
+    def __init__(self, path: str, schema: StructType, split_bytes: int = SPLIT_BYTES):
         self.path = path
         self.schema = schema
+        self.split_bytes = max(1, int(split_bytes))
 
     def partitions(self):
         fs, _ = _fs(self.path)
@@ -104,8 +106,11 @@ class ArrowFilesReader(DataSourceReader):
                 out.append(ArrowSplit(file, 0, -1))
                 continue
             n = r.num_record_batches
-            for s in range(0, max(n, 1), BATCHES_PER_SPLIT):
-                out.append(ArrowSplit(file, s, min(s + BATCHES_PER_SPLIT, n)))
+            size = fs.get_file_info(file).size or 0
+            per_batch = size / max(n, 1)
+            step = max(1, int(self.split_bytes // max(per_batch, 1)))
+            for s in range(0, max(n, 1), step):
+                out.append(ArrowSplit(file, s, min(s + step, n)))
         return out
 
     def read(self, partition: ArrowSplit):
@@ -224,7 +229,8 @@ class ArrowFilesSource(DataSource):
             return from_arrow_schema(ipc.open_stream(f).schema)
 
     def reader(self, schema: StructType):
-        return ArrowFilesReader(self._path(), schema)
+        return ArrowFilesReader(self._path(), schema,
+                                int(self.options.get("maxPartitionBytes", SPLIT_BYTES)))
 
 
 class ArrowDatasetSink(DataSource):

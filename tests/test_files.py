@@ -165,3 +165,15 @@ def test_json_sink_direct_format_python_path(spark, tmp_out):
     df.write.format("jsonarray").mode("append").save(tmp_out)
     files = [f for f in os.listdir(local_path(tmp_out)) if f.endswith(".json")]
     assert json.loads(open(os.path.join(local_path(tmp_out), files[0])).read()) == [{"id": 1, "s": None}]
+
+
+def test_arrow_splits_follow_partition_bytes(spark, tmp_out):
+    d = local_path(ensure_dir(tmp_out))
+    t = pa.table({"id": list(range(1000)), "s": ["x" * 50] * 1000})
+    _ipc_file(os.path.join(d, "big.arrow"), t, batch=100)
+    arrow.register(spark)
+    one = spark.read.format("arrowfiles").load(os.path.join(d, "big.arrow"))
+    assert one.rdd.getNumPartitions() == 1 and one.count() == 1000
+    many = spark.read.format("arrowfiles").option("maxPartitionBytes", 20000).load(os.path.join(d, "big.arrow"))
+    assert many.rdd.getNumPartitions() > 1 and many.count() == 1000
+    assert sorted(r.id for r in many.select("id").collect()) == list(range(1000))
