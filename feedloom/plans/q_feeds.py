@@ -165,7 +165,10 @@ SELECT 'U' || user_id || '-USD' AS symbol,
        CASE WHEN event_type IN ('error', 'view', 'signup') THEN 0.0 ELSE value END AS price,
        value * 0.99 AS bid_price, value + 1 AS ask_price,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS updated_at
-FROM events WHERE user_id % 10 <> 0
+FROM events
+-- the fixture answers every 10th user's call with an error payload; a failed
+-- symbol yields no rows (the Spark side still reads and parses every payload)
+WHERE user_id % 10 <> 0
 """)
 def quotes_query(spark, d):
     """Quote payloads -> typed rows; bad numbers 0.0; failed symbols no rows."""
@@ -246,6 +249,8 @@ _EPOCH = "CAST(floor(epoch(ts)) AS BIGINT)"
 _STATES_SQL = f"""
 WITH e AS (
   SELECT *, {_EPOCH} AS ep FROM events
+  -- vectors the normaliser must drop: no longitude (the fixture blanks every
+  -- 11th) and fewer than 17 elements (short vectors for some errors)
   WHERE event_id % 11 <> 0 AND NOT (event_type = 'error' AND event_id % 5 = 0)),
 r AS (SELECT * FROM e UNION ALL SELECT * FROM e WHERE event_id % 13 = 0)
 SELECT make_timestamp((ep - ep % 3600) * 1000000) AS time_ingest,
