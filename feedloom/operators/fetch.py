@@ -78,14 +78,17 @@ def replay(requests: DataFrame, captures: DataFrame, on=None, feed: str | None =
         caps = latest_capture(caps.join(wanted, "key", "left_semi"))
     else:
         caps = caps.select("key", F.col("status").cast("int").alias("status"), "body", "error")
-    joined = req.join(caps, req["_req_key"] == caps["key"], "left")
+    # capture columns get private names, so request columns called key,
+    # status, body or error never collide with them
+    caps = caps.select(*[F.col(c).alias(f"_cap_{c}") for c in ("key", "status", "body", "error")])
+    joined = req.join(caps, F.col("_req_key") == F.col("_cap_key"), "left")
     err = (F.when(F.col("_req_key").isNull(), F.lit(INVALID))
-           .when(F.col("key").isNull(), F.lit("not captured")).otherwise(F.col("error")))
-    out_cols = [F.col(c) for c in requests.columns]
+           .when(F.col("_cap_key").isNull(), F.lit("not captured")).otherwise(F.col("_cap_error")))
+    out_cols = [c for c in requests.columns if c not in RESPONSE_COLUMNS]
     return joined.select(
         *out_cols,
-        F.col("status").alias("status"),
-        F.when(err.isNull(), F.col("body")).alias("response"),
+        F.col("_cap_status").alias("status"),
+        F.when(err.isNull(), F.col("_cap_body")).alias("response"),
         err.alias("_corrupt_record"),
     )
 
@@ -103,7 +106,8 @@ def fetch(requests: DataFrame, transport: Transport, partitions: int | None = No
     """
     if concurrency < 1:
         raise ValueError("concurrency must be >= 1")
-    df = requests if partitions is None else requests.repartition(partitions)
+    df = requests.drop(*RESPONSE_COLUMNS)  # the response columns are this stage's output
+    df = df if partitions is None else df.repartition(partitions)
     in_schema = df.schema
     out_schema = StructType(list(in_schema.fields) + [
         StructField("status", IntegerType()),

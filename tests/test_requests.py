@@ -128,3 +128,13 @@ def test_inline_null_parameter_is_rejected(spark):
     ok = build_requests(spark.createDataFrame([("a", None)], "x string, y string"), "http://h/{x}",
                         method="GET", query_type="inline", param_columns=["x", "y"]).first()
     assert ok["req_url"] == "http://h/a"
+
+
+def test_replay_with_colliding_column_names(spark):
+    params = spark.createDataFrame([("a", "k1", 5, "b", "e")], "p string, key string, status int, body string, error string")
+    req = build_requests(params, "http://h/{p}", method="GET", query_type="inline", param_columns=["p"])
+    caps = spark.createDataFrame([("f", "http://h/a", 201, "ok", None, None)],
+                                 "feed string, key string, status int, body string, error string, "
+                                 "fetched_at timestamp")
+    r = replay(req, caps).first()
+    assert (r.key, r.body, r.error, r.status, r.response) == ("k1", "b", "e", 201, "ok")
