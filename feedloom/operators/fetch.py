@@ -177,9 +177,9 @@ def parse_output(df: DataFrame, schema: str | None = None, col: str = "response"
                  out: str = "output") -> DataFrame:
     """JSON bodies -> ``output``.
 
-    With a schema the body is parsed to that type (``from_json``); without,
-    ``output`` keeps the JSON text when it parses and the raw text otherwise
-    (the reference falls back to the text body).
+    With a schema the body is parsed to that type (``from_json``); without
+    one, ``output`` is the body text as received, JSON or not (a body that is
+    not JSON is kept as text rather than dropped).
     """
     if schema is not None:
         parsed = F.from_json(F.col(col), schema)
