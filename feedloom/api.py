@@ -272,3 +272,58 @@ def write(df: DataFrame, sink: str, **options):
             return crm.deliver_landed(payloads, transport, land_to, obj)
         return crm.deliver(payloads, transport, obj)
     raise ValueError(f"unknown sink {sink!r}")
+
+
+# --------------------------------------------------------------------- streams
+def read_stream(spark, feed: str, **options) -> DataFrame:
+    """Streaming reads over replayable inputs.
+
+    ``fake``: ``numRows`` generated rows per micro-batch (rate source).
+    ``flights``: landed snapshot files at ``path`` (one snapshot per line),
+    repeats dropped within ``watermark`` (default 1 hour), optional region.
+    ``weather``: landed ``{latitude, longitude, body}`` JSON lines at ``path``;
+    entries after each location's mark (keyed state, ``initial_mark``).
+    ``files``: new files at ``path`` as (name, path, content).
+    """
+    from feedloom.streaming import flights as flight_stream
+    from feedloom.streaming import sources as ss
+    from feedloom.streaming import weather as weather_stream
+
+    feed = feed.lower()
+    max_files = _opt(options, "maxFilesPerTrigger")
+    max_files = int(max_files) if max_files else None
+    if feed == "fake":
+        return ss.fake_stream(spark, int(_opt(options, "numRows", default=3)),
+                              _opt(options, "schema", default=fake.DEFAULT_SCHEMA))
+    path = _opt(options, "path")
+    if not path:
+        raise ValueError("path (landed files) is required")
+    if feed == "flights":
+        states = flight_stream.flight_stream(spark, path, _opt(options, "watermark", default="1 hour"),
+                                             max_files)
+        region = _opt(options, "region")
+        return states if region is None else states.where(flights.in_region(region))
+    if feed == "weather":
+        freq = weather.check_frequency(_opt(options, "frequency", default="minutely"))
+        rows = weather.normalise(
+            ss.json_lines(spark, path, "latitude double, longitude double, body string", max_files), freq)
+        return weather_stream.marked_entries(rows, _opt(options, "initial_mark", default=weather.INITIAL_MARK))
+    if feed == "files":
+        return ss.file_monitor(spark, path, max_files)
+    raise ValueError(f"unknown stream feed {feed!r}")
+
+
+def write_stream(df: DataFrame, sink: str, **options):
+    """Streaming delivery: ``crm`` (ledger + checkpoint in the shared folder)."""
+    if sink.lower() != "crm":
+        raise ValueError(f"unknown stream sink {sink!r}")
+    from feedloom.sinks import crm
+
+    crm.check_options(_opt(options, "username"), _opt(options, "password"),
+                      _opt(options, "security_token"))
+    return crm.deliver_stream(
+        df, _opt(options, "key"), _opt(options, "transport"), _opt(options, "ledger"),
+        _opt(options, "checkpointLocation"), schema=_opt(options, "schema"),
+        object_type=_opt(options, "salesforce_object", "object", default=crm.DEFAULT_OBJECT),
+        batch_size=int(_opt(options, "batch_size", default=crm.BATCH_SIZE)),
+        trigger=_opt(options, "trigger"))

@@ -88,3 +88,31 @@ def test_sheets_fake_and_crm(spark):
     assert sorted(r.n_records for r in out.collect()) == [50, 200]
     with pytest.raises(ValueError):
         api.write(spark.range(1), "crm", username="u")
+
+
+def test_stream_reads_and_crm_stream_write(spark, tmp_out):
+    import os
+
+    from feedloom.session import ensure_dir, local_path
+    from feedloom.streaming.sources import run_available
+
+    d = local_path(ensure_dir(tmp_out + "/snaps"))
+    st = '["ab", "CS", "NL", 1, 2, -100.0, 40.0, 1.0, false, 1, 1, 1, null, 1, "1", false, 1]'
+    with open(os.path.join(d, "s.txt"), "w") as f:
+        f.write('{"time": 1700000000, "states": [%s, %s]}\n' % (st, st))
+    s = api.read_stream(spark, "flights", path=tmp_out + "/snaps", region="NORTH_AMERICA")
+    run_available(s.select("icao24", "time_ingest"), tmp_out + "/out", tmp_out + "/ckpt")
+    assert spark.read.parquet(tmp_out + "/out").count() == 1
+    with pytest.raises(ValueError):
+        api.read_stream(spark, "flights")
+
+    def tree(_obj, payload):
+        n = len(json.loads(payload)["records"])
+        return json.dumps({"hasErrors": False, "results": [{"id": "x"}] * n})
+
+    src = api.read_stream(spark, "fake", numRows=4, schema="name string")
+    q = api.write_stream(src, "crm", username="u", password="p", security_token="t", key="name",
+                         transport=tree, ledger=tmp_out + "/ledger", checkpointLocation=tmp_out + "/c2",
+                         schema="Name STRING")
+    q.awaitTermination()
+    assert spark.read.parquet(tmp_out + "/ledger").count() == 4
