@@ -93,3 +93,18 @@ def stream_crm_resume(spark, d):
                        schema=ACCOUNT).awaitTermination()
     ledger = spark.read.parquet(f"{root}/ledger")
     return ledger.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("deliveries"))
+
+
+@query("stream_weather_marks_table", f"SELECT * FROM ({_WEATHER_SQL}) WHERE timestamp > '{_WEATHER_START}'")
+def stream_weather_marks_table(spark, d):
+    """Per-location marks as a versioned table (no keyed state): same result."""
+    root = fresh_dir(spark, "stream-weather-table")
+    bodies = C.weather_timelines(load(spark, d, "events"))
+    day = F.get_json_object("body", "$.timelines.hourly[0].time").substr(9, 2).cast("int")
+    schema = "latitude double, longitude double, body string"
+    for run, part in (("run1", bodies.where(day <= 15)), ("run2", bodies.where(day >= 10))):
+        part.select("latitude", "longitude", "body").write.json(f"{root}/in/{run}")
+        rows = weather.normalise(json_lines(spark, f"{root}/in/*", schema), "hourly")
+        weather_stream.marks_by_batch(rows, f"{root}/out", f"{root}/marks", f"{root}/ckpt",
+                                      _WEATHER_START).awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch_id")

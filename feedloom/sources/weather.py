@@ -56,18 +56,18 @@ def initial_marks(locations: DataFrame, mark: str = INITIAL_MARK) -> DataFrame:
     return locations.select("latitude", "longitude", F.lit(mark).alias("mark"))
 
 
-def increment(rows: DataFrame, marks: DataFrame) -> DataFrame:
+def increment(rows: DataFrame, marks: DataFrame, initial_mark: str = INITIAL_MARK) -> DataFrame:
     """New rows: ``timestamp > mark`` of their location (exclusive start).
 
-    Locations without a mark use the initial mark.  The marks table has one
+    Locations without a mark use ``initial_mark``.  The marks table has one
     row per location, so the join is an equi-join on the location key.
     """
     j = rows.join(marks, ["latitude", "longitude"], "left")
-    start = F.coalesce(F.col("mark"), F.lit(INITIAL_MARK))
+    start = F.coalesce(F.col("mark"), F.lit(initial_mark))
     return j.where(F.col("timestamp") > start).drop("mark")
 
 
-def advance_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
+def advance_marks(rows: DataFrame, marks: DataFrame, initial_mark: str = INITIAL_MARK) -> DataFrame:
     """Next marks: ``greatest(old, max(timestamp))`` per location.
 
     ``max`` is partial-aggregated, so a location with many entries costs
@@ -76,5 +76,5 @@ def advance_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
     newest = rows.groupBy("latitude", "longitude").agg(F.max("timestamp").alias("_newest"))
     j = marks.join(newest, ["latitude", "longitude"], "full")
     return j.select("latitude", "longitude",
-                    F.greatest(F.coalesce("mark", F.lit(INITIAL_MARK)),
+                    F.greatest(F.coalesce("mark", F.lit(initial_mark)),
                                F.coalesce("_newest", F.lit(""))).alias("mark"))

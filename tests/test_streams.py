@@ -84,3 +84,23 @@ def test_crm_stream_three_then_two(spark, tmp_out):
     ledger = run()
     assert ledger.count() == 5
     assert sorted(r.key for r in ledger.where("batch_id = 1").collect()) == ["4", "5"]
+
+
+def test_weather_marks_table_new_location_and_retry(spark, tmp_out):
+    d = local_path(ensure_dir(tmp_out + "/in"))
+    schema = "latitude double, longitude double, body string"
+    with open(os.path.join(d, "1.json"), "w") as f:
+        f.write(json.dumps({"latitude": 1.0, "longitude": 2.0, "body": _tl("2024-01-02T00:00:00Z")}))
+
+    def run():
+        rows = weather.normalise(json_lines(spark, tmp_out + "/in", schema), "hourly")
+        wstream.marks_by_batch(rows, tmp_out + "/out", tmp_out + "/marks", tmp_out + "/ckpt",
+                               "2024-01-01T00:00:00Z").awaitTermination()
+
+    run()
+    with open(os.path.join(d, "2.json"), "w") as f:  # a new location, and a re-send
+        f.write(json.dumps({"latitude": 5.0, "longitude": 6.0, "body": _tl("2024-01-03T00:00:00Z")}) + "\n")
+        f.write(json.dumps({"latitude": 1.0, "longitude": 2.0, "body": _tl("2024-01-02T00:00:00Z")}) + "\n")
+    run()
+    got = sorted((r.latitude, r.timestamp) for r in spark.read.parquet(tmp_out + "/out").collect())
+    assert got == [(1.0, "2024-01-02T00:00:00Z"), (5.0, "2024-01-03T00:00:00Z")]
