@@ -84,6 +84,8 @@ def read(spark, feed: str, transport=None, captures: DataFrame | None = None,
 
 def _read_rest(spark, o, transport, captures, land_to):
     params = _opt(o, "input")
+    if isinstance(params, str):  # a temp view / table name, as the option was
+        params = spark.table(params)
     req = build_requests(
         params, _opt(o, "url"), method=_opt(o, "method", default="POST"),
         query_type=_opt(o, "queryType", default="querystring"),

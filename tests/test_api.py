@@ -28,6 +28,9 @@ def test_rest_with_inputs(spark):
     assert only.columns == ["output", "_corrupt_record"]
     with pytest.raises(ValueError):
         api.read(spark, "rest", transport=t, input=params, url="", method="GET")
+    params.createOrReplaceTempView("rest_params")
+    by_view = api.read(spark, "rest", transport=t, input="rest_params", url="http://h/api", method="GET")
+    assert by_view.count() == 3
 
 
 def test_blog_posts_limit_and_id(spark, tmp_out):
