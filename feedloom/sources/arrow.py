@@ -43,6 +43,11 @@ def _fs(path: str):
     return pafs.LocalFileSystem(), p
 
 
+def _hidden(rel: str) -> bool:
+    """Staging folders and marker files (``_x``, ``.x``) are never data."""
+    return any(part.startswith(("_", ".")) for part in rel.split("/") if part)
+
+
 def list_files(path: str) -> list[str]:
     """File, directory (``*.arrow`` sorted) or glob -> sorted file list."""
     import fnmatch
@@ -56,7 +61,8 @@ def list_files(path: str) -> list[str]:
         base = "/".join(parts[:cut]) or "/"
         sel = pafs.FileSelector(base, recursive=True, allow_not_found=True)
         files = [i.path for i in fs.get_file_info(sel)
-                 if i.type == pafs.FileType.File and fnmatch.fnmatch(i.path, p)]
+                 if i.type == pafs.FileType.File and fnmatch.fnmatch(i.path, p)
+                 and not _hidden(i.path[len(base):])]
     else:
         info = fs.get_file_info(p)
         if info.type == pafs.FileType.File:
@@ -64,7 +70,8 @@ def list_files(path: str) -> list[str]:
         elif info.type == pafs.FileType.Directory:
             sel = pafs.FileSelector(p, recursive=False)
             files = [i.path for i in fs.get_file_info(sel)
-                     if i.type == pafs.FileType.File and i.path.endswith(".arrow")]
+                     if i.type == pafs.FileType.File and i.path.endswith(".arrow")
+                     and not _hidden(i.path[len(p):])]
         else:
             files = []
     files = sorted(files)

@@ -177,3 +177,14 @@ def test_arrow_splits_follow_partition_bytes(spark, tmp_out):
     many = spark.read.format("arrowfiles").option("maxPartitionBytes", 20000).load(os.path.join(d, "big.arrow"))
     assert many.rdd.getNumPartitions() > 1 and many.count() == 1000
     assert sorted(r.id for r in many.select("id").collect()) == list(range(1000))
+
+
+def test_arrow_glob_skips_staging(spark, tmp_out):
+    d = local_path(ensure_dir(tmp_out))
+    os.makedirs(os.path.join(d, "_staging", "job"))
+    t = pa.table({"id": [1, 2]})
+    _ipc_file(os.path.join(d, "a.arrow"), t)
+    _ipc_file(os.path.join(d, "_staging", "job", "b.arrow"), t)
+    _ipc_file(os.path.join(d, ".hidden.arrow"), t)
+    assert arrow.list_files(os.path.join(d, "*.arrow")) == [os.path.join(d, "a.arrow")]
+    assert arrow.list_files(d) == [os.path.join(d, "a.arrow")]
