@@ -58,8 +58,28 @@ def _latest_marks(spark, marks_path: str, before: int):
     return hist.where(F.col("batch_id") == last).select("latitude", "longitude", "mark")
 
 
+def _drop_old_versions(marks_path: str, batch_id: int, keep: int) -> None:
+    """Delete marks versions older than the newest ``keep`` (driver-side
+    metadata operations on the shared folder)."""
+    import pyarrow.fs as pafs
+
+    from feedloom.sources.arrow import _fs
+
+    fs, base = _fs(marks_path)
+    for info in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
+        name = info.path.rsplit("/", 1)[-1]
+        if info.type == pafs.FileType.Directory and name.startswith("batch_id="):
+            try:
+                v = int(name.split("=", 1)[1])
+            except ValueError:
+                continue
+            if v <= batch_id - keep:
+                fs.delete_dir(info.path)
+
+
 def marks_by_batch(rows: DataFrame, out_path: str, marks_path: str, checkpoint: str,
-                   initial_mark: str = weather.INITIAL_MARK, trigger: dict | None = None):
+                   initial_mark: str = weather.INITIAL_MARK, trigger: dict | None = None,
+                   keep_versions: int = 2):
     """Per-location marks kept as a versioned table instead of keyed state.
 
     Each micro-batch (``foreachBatch``): rows are joined with the previous
@@ -69,7 +89,8 @@ def marks_by_batch(rows: DataFrame, out_path: str, marks_path: str, checkpoint:
     (partial ``max`` per location) as the batch's marks version.  Both are
     overwritten as a whole on retry, so a replayed batch gives the same
     result.  A location holding a third of all rows is no hotter than any
-    other: no step groups its rows into one task.
+    other: no step groups its rows into one task.  Only the newest
+    ``keep_versions`` marks versions are kept (enough for a retry).
     """
     from pyspark.sql import functions as F
 
@@ -83,6 +104,7 @@ def marks_by_batch(rows: DataFrame, out_path: str, marks_path: str, checkpoint:
             .parquet(f"{out_path}/batch_id={batch_id}")
         weather.advance_marks(batch_df, prev, initial_mark).write.mode("overwrite") \
             .parquet(f"{marks_path}/batch_id={batch_id}")
+        _drop_old_versions(marks_path, batch_id, keep_versions)
 
     w = rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -104,3 +104,18 @@ def test_weather_marks_table_new_location_and_retry(spark, tmp_out):
     run()
     got = sorted((r.latitude, r.timestamp) for r in spark.read.parquet(tmp_out + "/out").collect())
     assert got == [(1.0, "2024-01-02T00:00:00Z"), (5.0, "2024-01-03T00:00:00Z")]
+
+
+def test_marks_versions_are_pruned(spark, tmp_out):
+    d = local_path(ensure_dir(tmp_out + "/in"))
+    schema = "latitude double, longitude double, body string"
+    for i in range(4):
+        with open(os.path.join(d, f"{i}.json"), "w") as f:
+            f.write(json.dumps({"latitude": 1.0, "longitude": 2.0,
+                                "body": _tl(f"2024-01-0{i + 1}T00:00:00Z")}))
+        rows = weather.normalise(json_lines(spark, tmp_out + "/in", schema), "hourly")
+        wstream.marks_by_batch(rows, tmp_out + "/out", tmp_out + "/marks", tmp_out + "/ckpt",
+                               "2023-12-31T00:00:00Z").awaitTermination()
+    versions = sorted(n for n in os.listdir(local_path(tmp_out + "/marks")) if n.startswith("batch_id="))
+    assert versions == ["batch_id=2", "batch_id=3"]
+    assert spark.read.parquet(tmp_out + "/out").count() == 4
