@@ -37,6 +37,7 @@ REGIONS = {
 }
 DEFAULT_REGION = "NORTH_AMERICA"
 
+# The output columns, in state-vector order (time_ingest first).
 COLUMNS = ("time_ingest", "icao24", "callsign", "origin_country", "time_position",
            "last_contact", "longitude", "latitude", "geo_altitude", "on_ground", "velocity",
            "true_track", "vertical_rate", "sensors", "baro_altitude", "squawk", "spi",
