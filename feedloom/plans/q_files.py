@@ -47,7 +47,8 @@ def _supplier_lines(spark, d, header):
 def sheets_typed(spark, d):
     """User schema renames columns by position and casts; header skipped."""
     lines = _supplier_lines(spark, d, "s_suppkey,s_name,s_nationkey,s_acctbal")
-    return sheets.sheet_from_lines(lines, schema="id bigint, name string, nation int, balance double")
+    return sheets.sheet_from_lines(lines, schema="id bigint, name string, nation int, balance double",
+                                   header_n=0)
 
 
 @query("sheets_no_header", """

@@ -97,10 +97,20 @@ def _schema_for(first_line: str | None, has_header: bool, schema) -> StructType:
 
 
 def sheet_from_lines(lines: DataFrame, has_header: bool = True, schema=None,
-                     line_col: str = "line", n_col: str = "n") -> DataFrame:
-    """Landed lines (text + line number) -> typed rows."""
-    # one aggregate row to the driver: the first line and its number
-    head = lines.agg(F.min_by(line_col, n_col).alias("l"), F.min(n_col).alias("n")).first()
+                     line_col: str = "line", n_col: str = "n",
+                     header_n: int | None = None) -> DataFrame:
+    """Landed lines (text + line number) -> typed rows.
+
+    The first line is found with one aggregate (a pass over the line
+    numbers); give ``header_n`` when its number is known, and the lookup is
+    a filter that parquet statistics can skip row groups for.
+    """
+    if header_n is None:
+        # one aggregate row to the driver: the first line and its number
+        head = lines.agg(F.min_by(line_col, n_col).alias("l"), F.min(n_col).alias("n")).first()
+    else:
+        first = lines.where(F.col(n_col) == F.lit(header_n)).select(line_col).limit(1).collect()
+        head = {"l": first[0][0] if first else None, "n": header_n}
     st = _schema_for(head["l"] if head else None, has_header, schema)
     line = F.col(line_col)
     if has_header:
