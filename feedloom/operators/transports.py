@@ -49,3 +49,29 @@ def http_transport(timeout: float = 30.0, retries: int = 2, backoff: float = 0.5
         return last_error
 
     return call
+
+
+def rate_limited(transport, min_interval: float):
+    """Wrap a transport so calls in one task are at least ``min_interval``
+    seconds apart (thread-safe, so it also holds with ``concurrency``).
+
+    With ``fetch(..., partitions=n)`` the whole job makes at most
+    ``n / min_interval`` calls per second.
+    """
+    import threading
+
+    if min_interval < 0:
+        raise ValueError("min_interval must be >= 0")
+    state = {"next": 0.0}
+    lock = threading.Lock()
+
+    def call(method, url, body, headers):
+        with lock:
+            now = time.monotonic()
+            wait = state["next"] - now
+            state["next"] = max(now, state["next"]) + min_interval
+        if wait > 0:
+            time.sleep(wait)
+        return transport(method, url, body, headers)
+
+    return call

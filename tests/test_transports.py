@@ -73,3 +73,18 @@ def test_with_fetch(spark):
     req = build_requests(params, "http://h/items/{id}", method="GET", query_type="inline")
     got = sorted(r.response for r in fetch(req, http_transport(opener=opener)).collect())
     assert got == ["http://h/items/1", "http://h/items/2"]
+
+
+def test_rate_limited_spacing():
+    import time
+
+    from feedloom.operators.transports import rate_limited
+
+    stamps = []
+    t = rate_limited(lambda m, u, b, h: stamps.append(time.monotonic()) or (200, "", None), 0.05)
+    for _ in range(4):
+        t("GET", "http://h", None, None)
+    gaps = [b - a for a, b in zip(stamps, stamps[1:])]
+    assert all(g >= 0.045 for g in gaps)
+    with pytest.raises(ValueError):
+        rate_limited(t, -1)
