@@ -27,7 +27,20 @@ def shared_root(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set; point it at a shared folder")
         d = tempfile.mkdtemp(prefix="feedloom-")
         spark.sparkContext.setCheckpointDir(d)
-    return d.rstrip("/")
+    return _qualified(spark, d).rstrip("/")
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its filesystem scheme (``hdfs://``, ``s3a://``,
+    ``file:``), as Hadoop resolves it.  Python-side writers (pyarrow) then
+    open the same shared folder the JVM does, never a task-local disk."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return str(p.getFileSystem(conf).makeQualified(p).toString())
+    except Exception:  # noqa: BLE001 - no JVM access (e.g. Spark Connect)
+        return path
 
 
 def fresh_dir(spark: SparkSession, *parts: str) -> str:
