@@ -245,7 +245,7 @@ def _read_if_exists(spark, path: str):
 
 def deliver_batch(batch_df: DataFrame, batch_id: int, key: str, transport: Callable[[str, str], str],
                   ledger_path: str, schema: str | None = None, object_type: str = DEFAULT_OBJECT,
-                  batch_size: int = BATCH_SIZE) -> None:
+                  batch_size: int = BATCH_SIZE, skip_delivered: bool = True) -> None:
     """One micro-batch of streaming delivery (the ``foreachBatch`` body).
 
     Keys already in the ledger from other batches are skipped; replies are
@@ -256,7 +256,7 @@ def deliver_batch(batch_df: DataFrame, batch_id: int, key: str, transport: Calla
     spark = batch_df.sparkSession
     responses_path = ledger_path.rstrip("/") + "_responses"
     recs = records(batch_df, key=key, schema=schema)
-    done = _read_if_exists(spark, ledger_path)
+    done = _read_if_exists(spark, ledger_path) if skip_delivered else None
     if done is not None:
         recs = recs.join(done.select("key").where(F.col("batch_id") != batch_id), "key", "left_anti")
     log = f"{responses_path}/batch_id={batch_id}"
@@ -272,7 +272,7 @@ def deliver_batch(batch_df: DataFrame, batch_id: int, key: str, transport: Calla
 def deliver_stream(stream: DataFrame, key: str, transport: Callable[[str, str], str],
                    ledger_path: str, checkpoint: str, schema: str | None = None,
                    object_type: str = DEFAULT_OBJECT, batch_size: int = BATCH_SIZE,
-                   trigger: dict | None = None):
+                   trigger: dict | None = None, dedupe: str = "ledger"):
     """Streaming delivery with an idempotent ledger (see ``deliver_batch``).
 
     Each micro-batch skips records whose key is already in the ledger
@@ -280,11 +280,21 @@ def deliver_stream(stream: DataFrame, key: str, transport: Callable[[str, str],
     writes the delivered keys as the batch's ledger partition.  The ledger
     and replies live in the shared folder, so a retried micro-batch, a
     restarted query or a re-landed file never creates a record twice.
+
+    ``dedupe="state"`` moves the "already delivered?" test into the stream's
+    state store (``dropDuplicates(key)``: per-key lookups, checkpointed with
+    the query; use the RocksDB state store for very large key sets) instead
+    of an anti-join against the whole ledger each micro-batch.  The ledger
+    is still written as the delivery record.
     """
+    if dedupe not in ("ledger", "state"):
+        raise ValueError("dedupe must be 'ledger' or 'state'")
+    src = stream.dropDuplicates([key]) if dedupe == "state" else stream
+
     def each(batch_df: DataFrame, batch_id: int) -> None:
         deliver_batch(batch_df, batch_id, key, transport, ledger_path, schema, object_type,
-                      batch_size)
+                      batch_size, skip_delivered=(dedupe == "ledger"))
 
-    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    w = src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()

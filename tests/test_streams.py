@@ -119,3 +119,26 @@ def test_marks_versions_are_pruned(spark, tmp_out):
     versions = sorted(n for n in os.listdir(local_path(tmp_out + "/marks")) if n.startswith("batch_id="))
     assert versions == ["batch_id=2", "batch_id=3"]
     assert spark.read.parquet(tmp_out + "/out").count() == 4
+
+
+def test_crm_stream_state_dedupe(spark, tmp_out):
+    from feedloom.sinks import crm
+
+    def tree(_obj, payload):
+        n = len(json.loads(payload)["records"])
+        return json.dumps({"hasErrors": False, "results": [{"id": "x"}] * n})
+
+    schema = "id int, Name string"
+    spark.createDataFrame([(1, "A"), (2, "B")], schema).coalesce(1).write.mode("append").parquet(tmp_out + "/in")
+
+    def run():
+        src = spark.readStream.schema(schema).parquet(tmp_out + "/in")
+        crm.deliver_stream(src, "id", tree, tmp_out + "/ledger", tmp_out + "/ckpt",
+                           dedupe="state").awaitTermination()
+        return spark.read.parquet(tmp_out + "/ledger")
+
+    assert run().count() == 2
+    # a re-landed copy of id 2 plus a new id 3: only id 3 is delivered
+    spark.createDataFrame([(2, "B"), (3, "C")], schema).coalesce(1).write.mode("append").parquet(tmp_out + "/in")
+    ledger = run()
+    assert sorted(r.key for r in ledger.collect()) == ["1", "2", "3"]
