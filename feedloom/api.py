@@ -328,4 +328,4 @@ def write_stream(df: DataFrame, sink: str, **options):
         _opt(options, "checkpointLocation"), schema=_opt(options, "schema"),
         object_type=_opt(options, "salesforce_object", "object", default=crm.DEFAULT_OBJECT),
         batch_size=int(_opt(options, "batch_size", default=crm.BATCH_SIZE)),
-        trigger=_opt(options, "trigger"))
+        trigger=_opt(options, "trigger"), dedupe=_opt(options, "dedupe", default="ledger"))
