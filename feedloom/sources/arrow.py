@@ -127,20 +127,25 @@ class ArrowFilesReader(DataSourceReader):
 
         target = to_arrow_schema(self.schema)
         fs, _ = _fs(self.path)
+
+        def project(b):
+            cols = []
+            for field in target:
+                idx = b.schema.get_field_index(field.name)
+                col = b.column(idx) if idx >= 0 else pa.nulls(b.num_rows, field.type)
+                cols.append(col.cast(field.type))
+            return pa.RecordBatch.from_arrays(cols, schema=target)
+
         try:
             if partition.last < 0:
+                # stream format: read and hand on one batch at a time
                 with fs.open_input_stream(partition.file) as f:
-                    batches = list(ipc.open_stream(f))
+                    for b in ipc.open_stream(f):
+                        yield project(b)
             else:
                 r = _open(fs, partition.file)
-                batches = (r.get_batch(i) for i in range(partition.first, partition.last))
-            for b in batches:
-                cols = []
-                for field in target:
-                    idx = b.schema.get_field_index(field.name)
-                    col = b.column(idx) if idx >= 0 else pa.nulls(b.num_rows, field.type)
-                    cols.append(col.cast(field.type))
-                yield pa.RecordBatch.from_arrays(cols, schema=target)
+                for i in range(partition.first, partition.last):
+                    yield project(r.get_batch(i))
         except Exception as e:
             raise RuntimeError(f"Failed to read Arrow file {partition.file}: {e}") from e
 

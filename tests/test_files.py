@@ -188,3 +188,14 @@ def test_arrow_glob_skips_staging(spark, tmp_out):
     _ipc_file(os.path.join(d, ".hidden.arrow"), t)
     assert arrow.list_files(os.path.join(d, "*.arrow")) == [os.path.join(d, "a.arrow")]
     assert arrow.list_files(d) == [os.path.join(d, "a.arrow")]
+
+
+def test_arrow_stream_format_file(spark, tmp_out):
+    d = local_path(ensure_dir(tmp_out))
+    t = pa.table({"id": list(range(10)), "name": ["n"] * 10})
+    with pa.OSFile(os.path.join(d, "s.arrow"), "wb") as f:
+        with ipc.new_stream(f, t.schema) as w:
+            for b in t.to_batches(max_chunksize=3):
+                w.write_batch(b)
+    df = arrow.read_arrow(spark, os.path.join(d, "s.arrow"))
+    assert df.count() == 10 and df.columns == ["id", "name"]
