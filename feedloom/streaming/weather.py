@@ -19,21 +19,19 @@ OUTPUT = "latitude double, longitude double, weather string, timestamp string"
 
 def marked_entries(rows: DataFrame, initial_mark: str = weather.INITIAL_MARK) -> DataFrame:
     def step(key, batches, state):
-        import pandas as pd
-
         mark = state.get[0] if state.exists else initial_mark
         newest = mark
-        kept = []
         for pdf in batches:
+            # chunk by chunk: a hot location never has all its rows in memory
             if len(pdf) == 0:
                 continue
-            kept.append(pdf[pdf["timestamp"] > mark])
             top = pdf["timestamp"].max()
             if top is not None and top > newest:
                 newest = top
+            new = pdf[pdf["timestamp"] > mark]
+            if len(new):
+                yield new[["latitude", "longitude", "weather", "timestamp"]]
         state.update((newest,))
-        if kept:
-            yield pd.concat(kept)[["latitude", "longitude", "weather", "timestamp"]]
 
     return (rows.groupBy("latitude", "longitude")
             .applyInPandasWithState(step, OUTPUT, "mark string", "append",
