@@ -18,7 +18,7 @@ def _norm(v):
     if v is None:
         return "~"
     if isinstance(v, float):
-        return "~" if math.isnan(v) else f"{round(v, 6):.6f}"
+        return "~" if math.isnan(v) else repr(v)  # exact: both engines compute the same doubles
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     if isinstance(v, (list, tuple)):
