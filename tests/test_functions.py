@@ -45,3 +45,22 @@ def test_missing_key_vs_null(spark):
     df = spark.createDataFrame([('{"a": null}',), ('{}',), ('{"a": "x"}',)], "j string")
     got = [r.a for r in df.select(vget_default(F.parse_json("j"), "$.a", "string", "").alias("a")).collect()]
     assert got == [None, "", "x"]
+
+
+def test_encoding_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    texts = st.lists(st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=20),
+                     min_size=1, max_size=60)
+
+    @settings(max_examples=5, deadline=None)
+    @given(texts)
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, t string")
+        got = df.select("i", form_encode(F.col("t")).alias("f"), path_quote(F.col("t")).alias("p")).collect()
+        for r in got:
+            assert r.f == quote_plus(values[r.i])
+            assert r.p == quote(values[r.i])
+
+    check()
