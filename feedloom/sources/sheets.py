@@ -57,25 +57,30 @@ def export_url(spreadsheet_id: Column, sheet_id: Column, query: Column | None =
 
 
 def header_names(cells: list[str]) -> list[str]:
-    """Blank -> ``Unnamed: i``; repeats -> ``name.1``, ``name.2`` ..."""
-    names = [c if c is not None and c.strip() != "" else f"Unnamed: {i}" for i, c in enumerate(cells)]
-    seen: dict[str, int] = {}
-    taken = set(names)
-    out = []
-    for n in names:
-        if n in seen:
-            k = seen[n]
-            cand = f"{n}.{k}"
-            while cand in taken:
-                k += 1
-                cand = f"{n}.{k}"
-            seen[n] = k + 1
-            taken.add(cand)
-            out.append(cand)
-        else:
-            seen[n] = 1
-            out.append(n)
-    return out
+    """Column names of a header row, as a pandas CSV read names them.
+
+    An empty cell becomes ``Unnamed: <position>``.  Repeats get ``.1``,
+    ``.2`` ...; given names keep priority over generated ones: all given
+    names are settled first, left to right, then the generated ones, and a
+    suffix is skipped when that name already exists in the header.
+    """
+    from collections import defaultdict
+
+    names = [c if c else f"Unnamed: {i}" for i, c in enumerate(cells)]
+    generated = [i for i, c in enumerate(cells) if not c]
+    given = [i for i in range(len(names)) if cells[i]]
+    seen: dict[str, int] = defaultdict(int)
+    for i in given + generated:
+        base = name = names[i]
+        k = seen[base]
+        while k > 0:
+            seen[base] = k + 1
+            name = f"{base}.{k}"
+            # a suffixed name that is itself a header keeps looking
+            k = k + 1 if name in names else seen[name]
+        names[i] = name
+        seen[name] = k + 1
+    return names
 
 
 def _cells(line: str) -> list[str]:

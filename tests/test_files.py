@@ -19,7 +19,8 @@ def _lines(spark, *lines):
 
 def test_header_naming():
     assert sheets.header_names(["a", "a", "", "b", "a"]) == ["a", "a.1", "Unnamed: 2", "b", "a.2"]
-    assert sheets.header_names(["Unnamed: 1", "", " "]) == ["Unnamed: 1", "Unnamed: 1.1", "Unnamed: 2"]
+    assert sheets.header_names(["Unnamed: 1", "", " "]) == ["Unnamed: 1", "Unnamed: 1.1", " "]
+    assert sheets.header_names(["a", "", "Unnamed: 1"]) == ["a", "Unnamed: 1.1", "Unnamed: 1"]
     assert sheets.header_names(["num", "1", "", "x"])[2] == "Unnamed: 2"
 
 

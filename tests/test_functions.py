@@ -64,3 +64,30 @@ def test_encoding_property(spark):
             assert r.p == quote(values[r.i])
 
     check()
+
+
+def test_header_naming_matches_pandas():
+    import io
+
+    import pandas as pd
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from feedloom.sources.sheets import header_names
+
+    names = st.lists(st.sampled_from(["a", "b", "a.1", "a.2", "", " ", "x", "Unnamed: 1", "Unnamed: 0",
+                                      "Unnamed: 1.1", "b.1"]), min_size=1, max_size=8)
+
+    @settings(max_examples=200, deadline=None)
+    @given(names)
+    def check(cells):
+        from hypothesis import assume
+
+        # a header line with nothing but one empty / blank cell is skipped by
+        # pandas as a blank line, not named
+        assume(not (len(cells) == 1 and not cells[0].strip()))
+        csv_text = ",".join(cells) + "\n" + ",".join("1" for _ in cells) + "\n"
+        expected = list(pd.read_csv(io.StringIO(csv_text)).columns)
+        assert header_names(cells) == expected
+
+    check()
