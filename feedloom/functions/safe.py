@@ -10,18 +10,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 
+# Text accepted as a number: Python's float() grammar (ASCII digits), i.e.
+# optional sign, digits with single "_" between them, optional fraction and
+# exponent, or inf / infinity / nan; surrounding whitespace allowed.  Java
+# forms Spark's own cast would take ("1.5d", "0x1p3") are rejected.
+_DIGITS = r"[0-9](?:_?[0-9])*"
+FLOAT_TEXT = (r"(?i)^\s*[+-]?(?:(?:(?:" + _DIGITS + r")?\." + _DIGITS + r"|" + _DIGITS + r"\.?)"
+              r"(?:e[+-]?" + _DIGITS + r")?|inf|infinity|nan)\s*$")
+
+
 def safe_double(c: Column) -> Column:
-    """Number or numeric text -> double; anything else -> null."""
-    return c.try_cast("double")
+    """Number or numeric text -> double, like Python's ``float()``; anything
+    else -> null."""
+    t = c.cast("string")
+    low = F.lower(F.regexp_replace(t, r"^\s+|\s+$", ""))
+    special = (F.when(low.rlike(r"^[+-]?nan$"), F.lit(float("nan")))
+               .when(low.rlike(r"^\+?inf(inity)?$"), F.lit(float("inf")))
+               .when(low.rlike(r"^-inf(inity)?$"), F.lit(float("-inf"))))
+    number = F.regexp_replace(low, "_", "").try_cast("double")
+    return F.when(t.rlike(FLOAT_TEXT), F.coalesce(special, number))
 
 
 def safe_double_or_zero(c: Column) -> Column:
     """Missing, empty or unparsable -> 0.0 (quotes keep this rule)."""
-    return F.coalesce(c.try_cast("double"), F.lit(0.0))
+    return F.coalesce(safe_double(c), F.lit(0.0))
+
+
+INT_TEXT = r"^\s*[+-]?" + _DIGITS + r"\s*$"
 
 
 def safe_int(c: Column) -> Column:
-    return c.try_cast("int")
+    """Integer or integer text -> int, like Python's ``int()`` on text
+    ("1_000" yes, "1.5" no); anything else -> null."""
+    t = c.cast("string")
+    return F.when(t.rlike(INT_TEXT), F.regexp_replace(t, "_", "").try_cast("int"))
 
 
 def truthy(v: Column) -> Column:

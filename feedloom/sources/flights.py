@@ -55,14 +55,21 @@ def _el(arr: Column, i: int) -> Column:
     return F.get(arr, i)
 
 
-def _num(v: Column, dtype: str = "double") -> Column:
-    return F.try_variant_get(v, "$", dtype)
+def _num(v: Column) -> Column:
+    """A number, or numeric text read like Python's ``float()``."""
+    from feedloom.functions.safe import safe_double
+
+    return F.when(F.schema_of_variant(v) == "STRING",
+                  safe_double(F.try_variant_get(v, "$", "string"))) \
+        .otherwise(F.try_variant_get(v, "$", "double"))
 
 
 def _int(v: Column) -> Column:
     kind = F.schema_of_variant(v)
     text = F.try_variant_get(v, "$", "string")
-    return (F.when(kind == "STRING", text.try_cast("int"))
+    from feedloom.functions.safe import safe_int
+
+    return (F.when(kind == "STRING", safe_int(text))
             .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("int"))
             .otherwise(F.try_variant_get(v, "$", "int")))
 

@@ -91,3 +91,28 @@ def test_header_naming_matches_pandas():
         assert header_names(cells) == expected
 
     check()
+
+
+def test_numbers_follow_python_grammar(spark):
+    from feedloom.functions import safe_int
+
+    vals = ["1_000", "1.5d", "1.5f", "0x1p3", "inf", "-nan", "+.5e-1", "1__0", "_1", " 7 ", "3.0"]
+
+    def py_float(v):
+        try:
+            return float(v)
+        except ValueError:
+            return None
+
+    def py_int(v):
+        try:
+            return int(v)
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    rows = df.select("v", safe_double(F.col("v")).alias("d"), safe_int(F.col("v")).alias("i")).collect()
+    for r in rows:
+        want = py_float(r.v)
+        assert (r.d == want) or (want != want and r.d != r.d), r.v
+        assert r.i == py_int(r.v), r.v
