@@ -116,3 +116,26 @@ def test_numbers_follow_python_grammar(spark):
         want = py_float(r.v)
         assert (r.d == want) or (want != want and r.d != r.d), r.v
         assert r.i == py_int(r.v), r.v
+
+
+def test_truthiness_property(spark):
+    import json
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    scalars = st.one_of(st.none(), st.booleans(), st.integers(-3, 3), st.sampled_from([0.0, -0.0, 0.5, 1e-9]),
+                        st.text(alphabet="0af ", max_size=3))
+    values = st.recursive(scalars, lambda inner: st.lists(inner, max_size=2)
+                          | st.dictionaries(st.text("ab", max_size=1), inner, max_size=2), max_leaves=4)
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(values, min_size=1, max_size=40))
+    def check(items):
+        texts = [json.dumps(v) for v in items]
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, j string")
+        got = {r.i: r.b for r in df.select("i", truthy(F.parse_json("j")).alias("b")).collect()}
+        for i, v in enumerate(items):
+            assert got[i] == (None if v is None else bool(v)), texts[i]
+
+    check()
