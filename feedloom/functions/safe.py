@@ -15,15 +15,21 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 # exponent, or inf / infinity / nan; surrounding whitespace allowed.  Java
 # forms Spark's own cast would take ("1.5d", "0x1p3") are rejected.
 _DIGITS = r"[0-9](?:_?[0-9])*"
-FLOAT_TEXT = (r"(?i)^\s*[+-]?(?:(?:(?:" + _DIGITS + r")?\." + _DIGITS + r"|" + _DIGITS + r"\.?)"
+FLOAT_TEXT = (r"(?iU)^\s*[+-]?(?:(?:(?:" + _DIGITS + r")?\." + _DIGITS + r"|" + _DIGITS + r"\.?)"
               r"(?:e[+-]?" + _DIGITS + r")?|inf|infinity|nan)\s*$")
 
 
+def strip_ws(c: Column) -> Column:
+    """Python's ``str.strip()``: leading / trailing whitespace of any kind
+    (Spark's ``trim`` removes spaces only)."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def safe_double(c: Column) -> Column:
     """Number or numeric text -> double, like Python's ``float()``; anything
     else -> null."""
     t = c.cast("string")
-    low = F.lower(F.regexp_replace(t, r"^\s+|\s+$", ""))
+    low = F.lower(strip_ws(t))
     special = (F.when(low.rlike(r"^[+-]?nan$"), F.lit(float("nan")))
                .when(low.rlike(r"^\+?inf(inity)?$"), F.lit(float("inf")))
                .when(low.rlike(r"^-inf(inity)?$"), F.lit(float("-inf"))))
@@ -36,7 +42,7 @@ def safe_double_or_zero(c: Column) -> Column:
     return F.coalesce(safe_double(c), F.lit(0.0))
 
 
-INT_TEXT = r"^\s*[+-]?" + _DIGITS + r"\s*$"
+INT_TEXT = r"(?U)^\s*[+-]?" + _DIGITS + r"\s*$"
 
 
 def safe_int(c: Column) -> Column:

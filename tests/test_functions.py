@@ -139,3 +139,47 @@ def test_truthiness_property(spark):
             assert got[i] == (None if v is None else bool(v)), texts[i]
 
     check()
+
+
+def test_symbols_expression_matches_python(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from feedloom.sources import quotes
+
+    lists = st.lists(st.text(alphabet="abc- ,\t", max_size=12), min_size=1, max_size=30)
+
+    @settings(max_examples=5, deadline=None)
+    @given(lists)
+    def check(texts):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+        got = {r.i: r.x for r in df.select("i", quotes.symbols(F.col("s")).alias("x")).collect()}
+        for i, t in enumerate(texts):
+            try:
+                want = quotes.check_symbols(t)
+            except ValueError:
+                want = []
+            assert got[i] == want, repr(t)
+
+    check()
+
+
+def test_iso_text_matches_isoformat(spark):
+    import datetime
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    stamps = st.lists(st.datetimes(min_value=datetime.datetime(1970, 1, 1),
+                                   max_value=datetime.datetime(2100, 1, 1)), min_size=1, max_size=40)
+
+    @settings(max_examples=5, deadline=None)
+    @given(stamps)
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, t timestamp_ntz")
+        dt = df.schema["t"].dataType
+        got = {r.i: r.s for r in df.select("i", iso_text(F.col("t"), dt).alias("s")).collect()}
+        for i, v in enumerate(values):
+            assert got[i] == v.isoformat()
+
+    check()
