@@ -31,14 +31,35 @@ PREFIX = "/spreadsheets/d/"
 NOT_A_SHEET = "URL is not a Google Sheets URL"
 
 
+# RFC 3986 appendix B: scheme, authority, path, query, fragment; as lenient
+# as Python's urlsplit (no validation, raw text kept).
+_URL_PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+
+
+def _form_decode(c: Column) -> Column:
+    """``+`` -> space, ``%XX`` decoded; with a malformed escape the text is
+    kept (``+`` still read as space)."""
+    return F.coalesce(F.try_url_decode(c), F.replace(c, F.lit("+"), F.lit(" ")))
+
+
+def query_value(query: Column, key: str) -> Column:
+    """First non-blank value of ``key`` in a query string, decoded, like
+    ``parse_qs(query)[key][0]`` (pairs without ``=`` and blank values are
+    skipped)."""
+    pairs = F.filter(F.split(query, "&"), lambda p: F.instr(p, "=") > 0)
+    kv = F.transform(pairs, lambda p: F.split(p, "=", 2))
+    hits = F.filter(kv, lambda a: (_form_decode(F.get(a, 0)) == key) & (F.get(a, 1) != ""))
+    return _form_decode(F.get(F.get(hits, 0), 1))
+
+
 def locate(url: Column) -> Column:
     """struct<spreadsheet_id, sheet_id, error>."""
-    netloc = F.try_parse_url(url, F.lit("AUTHORITY"))
-    path = F.try_parse_url(url, F.lit("PATH"))
-    ok = (netloc == HOST) & path.startswith(PREFIX)
-    ok = F.coalesce(ok, F.lit(False))
+    netloc = F.regexp_extract(url, _URL_PARTS, 2)
+    path = F.regexp_extract(url, _URL_PARTS, 3)
+    query = F.regexp_extract(url, _URL_PARTS, 4)
+    ok = F.coalesce((netloc == HOST) & path.startswith(PREFIX), F.lit(False))
     sid = F.get(F.split(path, "/"), 3)
-    gid = F.try_parse_url(url, F.lit("QUERY"), F.lit("gid"))
+    gid = query_value(query, "gid")
     return F.struct(F.when(ok, sid).alias("spreadsheet_id"),
                     F.when(ok, gid).alias("sheet_id"),
                     F.when(~ok, F.lit(NOT_A_SHEET)).alias("error"))

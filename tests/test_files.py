@@ -200,3 +200,34 @@ def test_arrow_stream_format_file(spark, tmp_out):
                 w.write_batch(b)
     df = arrow.read_arrow(spark, os.path.join(d, "s.arrow"))
     assert df.count() == 10 and df.columns == ["id", "name"]
+
+
+URLS = ["https://docs.google.com/spreadsheets/d/ID/edit?gid=1",
+        "https://docs.google.com/spreadsheets/d/ID/edit?gid=1&gid=2",
+        "https://docs.google.com/spreadsheets/d/ID/edit?gid=%31",
+        "https://docs.google.com/spreadsheets/d/ID/edit#gid=3",
+        "https://docs.google.com:443/spreadsheets/d/ID/edit",
+        "https://u@docs.google.com/spreadsheets/d/ID/edit",
+        "https://docs.google.com/spreadsheets/d/",
+        "https://docs.google.com/spreadsheets/d/ID/edit?usp=sharing&gid=",
+        "https://docs.google.com/spreadsheets/d/ID/edit?gid",
+        "docs.google.com/spreadsheets/d/ID",
+        "https://docs.google.com/spreadsheets/d/a b/edit",
+        "https://docs.google.com/spreadsheets/d/ID/edit?gid=1+2",
+        "https://docs.google.com/spreadsheets/d/ID/edit?x=1;gid=5",
+        "https://example.com/spreadsheets/d/ID"]
+
+
+def test_locator_follows_urlparse(spark):
+    from urllib.parse import parse_qs, urlparse
+
+    def expected(url):
+        p = urlparse(url)
+        if p.netloc != "docs.google.com" or not p.path.startswith("/spreadsheets/d/"):
+            return (None, None, True)
+        qs = parse_qs(p.query)
+        return (p.path.split("/")[3], qs["gid"][0] if "gid" in qs else None, False)
+
+    df = spark.createDataFrame([(u,) for u in URLS], "u string").select("u", sheets.locate(F.col("u")).alias("l"))
+    for r in df.collect():
+        assert (r.l.spreadsheet_id, r.l.sheet_id, r.l.error is not None) == expected(r.u), r.u
