@@ -150,3 +150,57 @@ def test_flight_snapshot_files(spark, tmp_out):
     with open(os.path.join(d2, "many.txt"), "w") as f:
         f.write('{"time": 1, "states": [%s]}\n{"time": 2, "states": [%s]}\n' % (st, st))
     assert flights.read_snapshots(spark, d2).count() == 2
+
+
+def test_placeholder_matches_dict_get_model(spark):
+    import json
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    missing = object()
+    ints = st.one_of(st.just(missing), st.none(), st.integers(-5, 99))
+    strs = st.one_of(st.just(missing), st.none(), st.text(alphabet="ab é", max_size=4))
+    bools = st.one_of(st.just(missing), st.none(), st.booleans())
+
+    def obj(**fields):
+        return st.fixed_dictionaries({k: v for k, v in fields.items()})
+
+    todo = obj(userId=ints, id=ints, title=strs, completed=bools)
+    geo = st.one_of(st.just(missing), obj(lat=strs, lng=strs))
+    user = obj(id=ints, name=strs, address=st.one_of(st.just(missing), obj(city=strs, geo=geo)))
+
+    def clean(v):
+        if isinstance(v, dict):
+            return {k: clean(x) for k, x in v.items() if x is not missing}
+        return v
+
+    def model_todo(d):
+        return (d.get("userId"), d.get("id"), d.get("title", ""), d.get("completed", False))
+
+    def model_user(d):
+        a = d.get("address", {})
+        g = a.get("geo", {})
+        return (d.get("id"), d.get("name", ""), a.get("city", ""), g.get("lat", ""))
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(todo, min_size=1, max_size=15), st.lists(user, min_size=1, max_size=15))
+    def check(todos, users):
+        todos = [clean(t) for t in todos]
+        users = [clean(u) for u in users]
+        tdf = spark.createDataFrame([(json.dumps(todos),)], "body string")
+        got = [tuple(r) for r in placeholder.normalise(tdf, "todos").collect()]
+        assert got == [model_todo(t) for t in todos]
+        udf = spark.createDataFrame([(json.dumps(users),)], "body string")
+        got = [(r.id, r.name, r.address_city, r.address_geo_lat)
+               for r in placeholder.normalise(udf, "users").collect()]
+        assert got == [model_user(u) for u in users]
+
+    check()
+
+
+def test_stock_first_series_key_wins(spark):
+    v = '{"1. open": "1", "2. high": "1", "3. low": "1", "4. close": "1", "5. volume": "1"}'
+    body = ('{"Series B": {"2024-01-05": %s}, "Meta Data": {}, "Series A": {"2024-01-06": %s}}' % (v, v))
+    df = spark.createDataFrame([(body, "S")], "body string, symbol string")
+    assert [r.date for r in stock.normalise(df).collect()] == ["2024-01-05"]
