@@ -204,3 +204,83 @@ def test_stock_first_series_key_wins(spark):
     body = ('{"Series B": {"2024-01-05": %s}, "Meta Data": {}, "Series A": {"2024-01-06": %s}}' % (v, v))
     df = spark.createDataFrame([(body, "S")], "body string, symbol string")
     assert [r.date for r in stock.normalise(df).collect()] == ["2024-01-05"]
+
+
+def test_quotes_match_python_model(spark):
+    import json
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    missing = object()
+    price = st.one_of(st.just(missing), st.none(), st.just(""), st.floats(-1e6, 1e6, allow_nan=False),
+                      st.integers(-10, 10), st.sampled_from(["1.5", " 2 ", "abc", "1_0", "nan", "1e3", "-0"]))
+    quote = st.fixed_dictionaries({"price": price, "bid_inclusive_of_sell_spread": price,
+                                   "timestamp": st.one_of(st.just(missing), st.none(), st.just("t"))})
+
+    def lenient(v):
+        if v is None or v == "":
+            return 0.0
+        try:
+            return float(v)
+        except (TypeError, ValueError):
+            return 0.0
+
+    def model(q):
+        return (lenient(q.get("price")), lenient(q.get("bid_inclusive_of_sell_spread")),
+                q.get("timestamp", ""))
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(quote, min_size=1, max_size=20))
+    def check(results):
+        results = [{k: v for k, v in q.items() if v is not missing} for q in results]
+        df = spark.createDataFrame([(json.dumps({"results": results}), "X-USD")], "body string, symbol string")
+        got = [(r.price, r.bid_price, r.updated_at) for r in quotes.normalise(df).collect()]
+        want = [model(q) for q in results]
+        assert len(got) == len(want)
+        for g, w in zip(got, want):
+            assert (g[0] == w[0] or (g[0] != g[0] and w[0] != w[0])) and \
+                   (g[1] == w[1] or (g[1] != g[1] and w[1] != w[1])) and g[2] == w[2], (g, w)
+
+    check()
+
+
+def test_flight_states_match_python_model(spark):
+    import json
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    anyv = st.one_of(st.none(), st.booleans(), st.integers(-1000, 1000),
+                     st.floats(-1e4, 1e4, allow_nan=False).map(lambda x: round(x, 3)),
+                     st.sampled_from(["1.5", " 7 ", "x", "", "1_0", "false", "3"]),
+                     st.lists(st.integers(0, 3), max_size=2))
+    vec = st.lists(anyv, min_size=15, max_size=18).map(
+        lambda v: [("ab" if i == 0 and v[0] is not None else x) for i, x in enumerate(v)])
+
+    def f(v):
+        try:
+            return float(v) if v is not None else None
+        except (TypeError, ValueError):
+            return None
+
+    def n(v):
+        try:
+            return int(v) if v is not None else None
+        except (TypeError, ValueError):
+            return None
+
+    def model(s):
+        if len(s) < 17 or s[0] is None or s[5] is None or s[6] is None:
+            return None
+        return (f(s[5]), f(s[9]), None if s[8] is None else bool(s[8]), n(s[16]))
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(vec, min_size=1, max_size=25))
+    def check(states):
+        df = spark.createDataFrame([(json.dumps({"time": 1700000000, "states": states}),)], "body string")
+        got = [(r.longitude, r.velocity, r.on_ground, r.category) for r in flights.normalise(df).collect()]
+        want = [m for m in (model(s) for s in states) if m is not None]
+        assert got == want
+
+    check()
