@@ -138,3 +138,51 @@ def test_replay_with_colliding_column_names(spark):
                                  "fetched_at timestamp")
     r = replay(req, caps).first()
     assert (r.key, r.body, r.error, r.status, r.response) == ("k1", "b", "e", 201, "ok")
+
+
+def test_cut_pages_matches_sequential_pager(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    page = st.tuples(st.booleans(), st.integers(0, 3))  # (has_more, n_items)
+    keys = st.lists(st.lists(page, min_size=1, max_size=6), min_size=1, max_size=6)
+
+    def pager(pages):
+        kept = []
+        for i, (more, n) in enumerate(pages, start=1):
+            kept.append(i)  # the page is read; an empty one contributes no items
+            if n == 0 or not more:
+                break
+        return kept
+
+    @settings(max_examples=10, deadline=None)
+    @given(keys)
+    def check(per_key):
+        rows = [(k, i, more, n) for k, pages in enumerate(per_key)
+                for i, (more, n) in enumerate(pages, start=1)]
+        df = spark.createDataFrame(rows, "k int, page int, has_more boolean, n_items int")
+        got = {}
+        for r in cut_pages(df, ["k"]).collect():
+            got.setdefault(r.k, []).append(r.page)
+        for k, pages in enumerate(per_key):
+            assert sorted(got.get(k, [])) == pager(pages)
+
+    check()
+
+
+def test_range_index_matches_split(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.integers(-50, 50), st.integers(1, 200), st.integers(1, 9), st.lists(st.integers(-80, 300), max_size=40))
+    def check(lo, width, n, keys):
+        hi = lo + width
+        ranges = split_range(lo, hi, n)
+        df = spark.createDataFrame([(k,) for k in keys] or [(lo,)], "k long")
+        got = {r.k: r.i for r in df.select("k", range_index(F.col("k"), lo, hi, n).alias("i")).collect()}
+        for k in keys:
+            want = next((i for i, s, e in ranges if s <= k < e), None)
+            assert got[k] == want, (lo, hi, n, k)
+
+    check()
