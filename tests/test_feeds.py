@@ -284,3 +284,38 @@ def test_flight_states_match_python_model(spark):
         assert got == want
 
     check()
+
+
+def test_resample_matches_python_model(spark):
+    import datetime
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    day = st.dates(datetime.date(2023, 12, 20), datetime.date(2024, 3, 10))
+    bar = st.tuples(st.sampled_from(["A", "B"]), day, st.integers(1, 50), st.integers(1, 50),
+                    st.integers(1, 50), st.integers(1, 50), st.integers(0, 1000))
+
+    def model(rows, unit):
+        groups = {}
+        for sym, d, o, h, lo, c, v in rows:
+            key = (sym, d - datetime.timedelta(days=d.weekday())) if unit == "week" else (sym, d.replace(day=1))
+            groups.setdefault(key, []).append((d, float(o), float(h), float(lo), float(c), v))
+        out = []
+        for (sym, _), items in groups.items():
+            items.sort()
+            out.append((items[-1][0].isoformat(), items[0][1], max(i[2] for i in items),
+                        min(i[3] for i in items), items[-1][4], sum(i[5] for i in items), sym))
+        return sorted(out)
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(bar, min_size=1, max_size=40, unique_by=lambda b: (b[0], b[1])))
+    def check(rows):
+        df = spark.createDataFrame(
+            [(d.isoformat(), float(o), float(h), float(lo), float(c), v, s) for s, d, o, h, lo, c, v in rows],
+            "date string, open double, high double, low double, close double, volume long, symbol string")
+        for unit in ("week", "month"):
+            got = sorted(tuple(r) for r in stock.resample(df, unit).collect())
+            assert got == model(rows, unit)
+
+    check()
