@@ -319,3 +319,34 @@ def test_resample_matches_python_model(spark):
             assert got == model(rows, unit)
 
     check()
+
+
+def test_weather_increment_matches_model(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    stamp = st.integers(1, 28).map(lambda d: f"2024-01-{d:02d}T00:00:00Z")
+    entry = st.tuples(st.sampled_from([1.0, 2.0, 3.0]), stamp)
+    marks = st.dictionaries(st.sampled_from([1.0, 2.0, 3.0]), stamp, max_size=3)
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(entry, max_size=30), marks)
+    def check(entries, mk):
+        rows = spark.createDataFrame([(lat, 0.0, "{}", t) for lat, t in entries] or [(9.0, 0.0, "{}", "x")],
+                                     "latitude double, longitude double, weather string, timestamp string")
+        if not entries:
+            rows = rows.limit(0)
+        mdf = spark.createDataFrame([(lat, 0.0, t) for lat, t in mk.items()] or [(9.0, 0.0, "x")],
+                                    "latitude double, longitude double, mark string")
+        if not mk:
+            mdf = mdf.limit(0)
+        start = "2023-12-31T00:00:00Z"
+        got = sorted((r.latitude, r.timestamp) for r in weather.increment(rows, mdf, start).collect())
+        want = sorted((lat, t) for lat, t in entries if t > mk.get(lat, start))
+        assert got == want
+        new = {r.latitude: r.mark for r in weather.advance_marks(rows, mdf, start).collect()}
+        for lat in {lat for lat, _ in entries} | set(mk):
+            seen = [t for la, t in entries if la == lat]
+            assert new[lat] == max([mk.get(lat, start)] + seen)
+
+    check()

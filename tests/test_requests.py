@@ -186,3 +186,22 @@ def test_range_index_matches_split(spark):
             assert got[k] == want, (lo, hi, n, k)
 
     check()
+
+
+def test_json_body_round_trips(spark):
+    import json
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.one_of(st.none(), st.text(max_size=8)), st.one_of(st.none(), st.integers(-10**9, 10**9)),
+                    st.one_of(st.none(), st.booleans()))
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=30))
+    def check(rows):
+        df = spark.createDataFrame(rows, "s string, n long, b boolean")
+        bodies = [json.loads(r.req_body) for r in build_requests(df, "http://h", method="POST").collect()]
+        assert bodies == [{"s": s, "n": n, "b": b} for s, n, b in rows]
+
+    check()
