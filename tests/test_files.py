@@ -231,3 +231,35 @@ def test_locator_follows_urlparse(spark):
     df = spark.createDataFrame([(u,) for u in URLS], "u string").select("u", sheets.locate(F.col("u")).alias("l"))
     for r in df.collect():
         assert (r.l.spreadsheet_id, r.l.sheet_id, r.l.error is not None) == expected(r.u), r.u
+
+
+def test_sinks_round_trip(spark):
+    import datetime
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from feedloom.session import fresh_dir
+
+    row = st.tuples(st.integers(0, 10**6), st.one_of(st.none(), st.text(max_size=10)),
+                    st.one_of(st.none(), st.floats(-1e9, 1e9, allow_nan=False)),
+                    st.one_of(st.none(), st.booleans()),
+                    st.one_of(st.none(), st.dates(datetime.date(1970, 1, 1), datetime.date(2100, 1, 1))))
+    schema = "id long, s string, f double, b boolean, d date"
+
+    @settings(max_examples=4, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=30))
+    def check(rows):
+        df = spark.createDataFrame(rows, schema).repartition(3)
+        want = sorted(rows, key=repr)
+        a = fresh_dir(spark, "tests", "rt-arrow")
+        arrow.append_arrow(df, a)
+        assert sorted((tuple(r) for r in arrow.read_arrow(spark, a).collect()), key=repr) == want
+        j = fresh_dir(spark, "tests", "rt-json")
+        json_array.write_json_array(df, j)
+        back = json_array.read_json_array(spark, j, "id long, s string, f double, b boolean, d string")
+        got = sorted(((r.id, r.s, r.f, r.b, datetime.date.fromisoformat(r.d) if r.d else None)
+                      for r in back.collect()), key=repr)
+        assert got == want
+
+    check()
