@@ -64,7 +64,7 @@ def sheets_no_header(spark, d):
 def sheets_csv_files(spark, d):
     """Landed CSV exports (several files, each with a header), distributed scan."""
     path = fresh_dir(spark, "sheets")
-    load(spark, d, "supplier").write.option("header", True).csv(path)
+    load(spark, d, "supplier").write.option("header", True).option("escape", "\"").csv(path)
     return sheets.read_sheet(spark, path, schema="id bigint, name string, nation int, balance double")
 
 
@@ -131,7 +131,7 @@ SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal
 def kaggle_csv(spark, d):
     """Handle + file -> typed table (CSV types inferred, widened to long/double)."""
     root = fresh_dir(spark, "datasets")
-    load(spark, d, "supplier").write.option("header", True).csv(
+    load(spark, d, "supplier").write.option("header", True).option("escape", "\"").csv(
         datasets.resolve(root, "acme/suppliers/versions/2") + "/suppliers.csv")
     return datasets.read_file(spark, root, "acme/suppliers/versions/2", "suppliers.csv")
 
@@ -142,8 +142,9 @@ def kaggle_glob(spark, d):
     root = fresh_dir(spark, "datasets")
     folder = datasets.resolve(root, "acme/suppliers")
     s = load(spark, d, "supplier")
-    s.where(F.col("s_nationkey") < 12).write.option("header", True).csv(folder + "/suppliers_low.csv")
-    s.where(F.col("s_nationkey") >= 12).write.option("header", True).csv(folder + "/suppliers_high.csv")
+    for name, part in (("low", s.where(F.col("s_nationkey") < 12)),
+                       ("high", s.where(F.col("s_nationkey") >= 12))):
+        part.write.option("header", True).option("escape", "\"").csv(f"{folder}/suppliers_{name}.csv")
     return datasets.read_file(spark, root, "acme/suppliers", "suppliers_*.csv")
 
 

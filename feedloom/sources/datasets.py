@@ -42,7 +42,10 @@ def read_file(spark, root: str, handle: str, file: str, username: str | None = N
     if schema is not None:
         r = r.schema(schema)
     if ext == "csv":
+        # RFC 4180 quoting (doubled quotes), as pandas reads it, unless overridden
         r = r.option("header", "true")
+        if "escape" not in options:
+            r = r.option("escape", '"')
         df = r.csv(path) if schema is not None else r.option("inferSchema", "true").csv(path)
     elif ext in ("json", "jsonl"):
         df = r.json(path)

@@ -25,6 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+# CSV as exported (RFC 4180): a quote inside a quoted field is doubled; a
+# backslash is an ordinary character (Spark's default escape is "\\").
+CSV_OPTIONS = {"mode": "PERMISSIVE", "escape": '"'}
+
 # The sheet host and path prefix, and the rejection message.
 HOST = "docs.google.com"
 PREFIX = "/spreadsheets/d/"
@@ -144,7 +148,7 @@ def sheet_from_lines(lines: DataFrame, has_header: bool = True, schema=None,
         line = F.when(F.col(n_col) != F.lit(head["n"]), line)
     ddl = ", ".join(f"`c{i}` string" for i in range(len(st.fields)))
     parsed = lines.where(line.isNotNull()).select(
-        F.from_csv(line, ddl, {"mode": "PERMISSIVE"}).alias("_r"))
+        F.from_csv(line, ddl, CSV_OPTIONS).alias("_r"))
     return parsed.select(*[F.col(f"_r.c{i}").cast(f.dataType).alias(f.name)
                            for i, f in enumerate(st.fields)])
 
@@ -154,4 +158,4 @@ def read_sheet(spark, path: str, has_header: bool = True, schema=None) -> DataFr
     first = spark.read.text(path).limit(1).collect()
     st = _schema_for(first[0][0] if first else None, has_header, schema)
     return (spark.read.schema(st).option("header", has_header).option("enforceSchema", True)
-            .option("mode", "FAILFAST").csv(path))
+            .options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path))

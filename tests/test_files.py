@@ -263,3 +263,9 @@ def test_sinks_round_trip(spark):
         assert got == want
 
     check()
+
+
+def test_sheet_lines_rfc4180_quotes(spark):
+    lines = _lines(spark, "a,b,c", '"he said ""hi"", ok",2,"x\\\\y"')
+    r = sheets.sheet_from_lines(lines).first()
+    assert tuple(r) == ('he said "hi", ok', "2", "x\\\\y")
