@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.functions.safe import safe_double
+
 # The output schema.
 SCHEMA = ("date string, open double, high double, low double, close double, volume long, "
           "symbol string")
@@ -53,12 +55,12 @@ def normalise(captures: DataFrame, symbol_col: str = "symbol", body_col: str = "
     series, _ = _series(F.col("_r"))
     rows = top.select("symbol", series.alias("_m")).select("symbol", F.explode("_m").alias("date", "_v"))
     v = F.col("_v")
-    num = lambda k: F.try_element_at(v, F.lit(k)).try_cast("double")
+    num = lambda k: safe_double(F.try_element_at(v, F.lit(k)))
     return rows.select(
         "date",
         num("1. open").alias("open"), num("2. high").alias("high"),
         num("3. low").alias("low"), num("4. close").alias("close"),
-        num("5. volume").try_cast("bigint").alias("volume"),
+        num("5. volume").try_cast("bigint").alias("volume"),  # float text, truncated
         "symbol",
     )
 
