@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import warc
+from feedloom.llm import shard, tokens, warc
 from feedloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from feedloom.session import fresh_dir
 
 
+def byte_bpe() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 @query("op1_warc", """
     WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
     d AS (SELECT page_id, octet_length(encode(html)) AS n, sha256(html) AS digest FROM p),
@@ -29,3 +34,18 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = lambda c: F.expr(f"try_cast(substring_index({c}, ':', -1) as bigint)")
     return back.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                        page("refers_to").alias("refers_to"), "digest_ok")
+
+
+@query("op5_shard")
+def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (shard.shard_rows(table(spark, sf_dir, "documents"), "doc_id", "text", shards=8)
+            .select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard")))
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A cache of its own, so that every run encodes all distinct texts.
+    return (tokens.count_tokens(table(spark, sf_dir, "documents"), "doc_id", "text", byte_bpe(),
+                                fresh_dir(spark, "token-cache"), limit=1024)
+            .withColumnRenamed("id", "doc_id"))
