@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import shard, tokens, warc
+from feedloom.llm import licence, shard, tokens, warc
 from feedloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from feedloom.session import fresh_dir
 
@@ -43,6 +43,12 @@ def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
+@query("op6_licence_scan")
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (licence.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
+            .withColumnRenamed("id", "doc_id").drop("places"))
+
+
 @query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A cache of its own, so that every run encodes all distinct texts.
