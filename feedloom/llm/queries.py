@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import licence, shard, tokens, warc
+from feedloom.llm import licence, quality, shard, tokens, warc
 from feedloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from feedloom.session import fresh_dir
 
@@ -55,3 +55,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (tokens.count_tokens(table(spark, sf_dir, "documents"), "doc_id", "text", byte_bpe(),
                                 fresh_dir(spark, "token-cache"), limit=1024)
             .withColumnRenamed("id", "doc_id"))
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", ("n_chars",))
+    return quality.score(docs, model, "doc_id", "text", ("n_chars",)).withColumnRenamed("id", "doc_id")
