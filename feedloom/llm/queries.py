@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import licence, quality, shard, tokens, warc
+from feedloom.llm import licence, quality, shard, tokens, topk, warc
 from feedloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from feedloom.session import fresh_dir
 
@@ -36,6 +36,24 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                        page("refers_to").alias("refers_to"), "digest_ok")
 
 
+@query("op3_topk", """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x)
+                              OR abs(1024 * CAST(x AS DOUBLE)) > 67108864)) = 0),
+    s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+    r AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+""")
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0, k=10)
+
+
 @query("op5_shard")
 def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (shard.shard_rows(table(spark, sf_dir, "documents"), "doc_id", "text", shards=8)
