@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import licence, quality, shard, tokens, topk, warc
+from feedloom.llm import html, licence, quality, shard, tokens, topk, warc
 from feedloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from feedloom.session import fresh_dir
 
@@ -80,3 +80,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", ("n_chars",))
     return quality.score(docs, model, "doc_id", "text", ("n_chars",)).withColumnRenamed("id", "doc_id")
+
+
+@query("op10_html_text")
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (html.extract_text(table(spark, sf_dir, "pages"), "page_id", "html")
+            .withColumnRenamed("id", "page_id"))
