@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import html, licence, quality, shard, tokens, topk, warc
+from feedloom.llm import decontam, html, licence, quality, shard, tokens, topk, warc
 from feedloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from feedloom.session import fresh_dir
 
@@ -36,6 +36,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                        page("refers_to").alias("refers_to"), "digest_ok")
 
 
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "text")
+            .withColumnsRenamed({"id": "doc_id", "item": "item_id"}))
+
+
 @query("op3_topk", """
     WITH v AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
