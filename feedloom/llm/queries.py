@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontam, html, licence, quality, shard, tokens, topk, warc
+from feedloom.llm import decontam, html, jaccard, licence, quality, shard, tokens, topk, warc
 from feedloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from feedloom.session import fresh_dir
 
@@ -60,6 +60,12 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0, k=10)
 
 
+@query("op4_jaccard_join")
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (jaccard.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", k=5, threshold=0.8)
+            .withColumnRenamed("id", "doc_id"))
+
+
 @query("op5_shard")
 def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (shard.shard_rows(table(spark, sf_dir, "documents"), "doc_id", "text", shards=8)
