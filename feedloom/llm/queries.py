@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontam, html, jaccard, licence, quality, shard, tokens, topk, warc
+from feedloom.llm import decontam, html, jaccard, licence, packing, quality, shard, tokens, topk, warc
 from feedloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from feedloom.session import fresh_dir
 
@@ -87,6 +87,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("id", "doc_id"))
 
 
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (packing.pack(table(spark, sf_dir, "documents"), "doc_id", "text", byte_bpe(), window=1024)
+            .withColumnRenamed("id", "doc_id"))
+
+
 @query("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
