@@ -524,3 +524,15 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, k: int = 5, thr
              .select("key", "class_id", (F.col("n_docs") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"),
                      F.coalesce("sets", F.lit(0)).alias("n_set_links")))
     return rows.select("id", "key").join(facts, "key").select("id", "class_id", "n_links", "n_set_links")
+
+
+def keep_one(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
+    """One row of each class of near-duplicates, with all its columns: of the
+    text with the least digest, the row with the smallest id (nulls last)."""
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256))
+    texts = docs.select(digest.alias("digest"), F.col(text_col).alias("text"))
+    chosen = near_duplicates(texts, "digest", "text", **options).select(F.col("class_id").alias("__digest")).distinct()
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    order = F.struct(F.col(id_col).isNull(), F.col(id_col))
+    each = docs.groupBy(digest.alias("__digest")).agg(F.min_by(row, order).alias("__row"))
+    return each.join(chosen, "__digest", "left_semi").select("__row.*")

@@ -253,3 +253,22 @@ def score(docs: DataFrame, model: Model, id_col: str, text_col: str, metadata: t
     return (rows.mapInArrow(run, f"id {kind}, score double")
             .select("id", held_out(F.col("id")).alias("held_out"), "score",
                     (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+def keep_good(docs: DataFrame, model: Model, text_col: str, metadata: tuple[str, ...] = (),
+              least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score at least ``least``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    width = len(docs.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            names = [f"c{i}" for i in range(whole.num_columns)]  # by place: names may repeat
+            named = pa.RecordBatch.from_arrays(whole.columns, names=names)
+            for batch in slices(named, f"c{width}"):
+                good = shared.value.score(*features(batch.column(width), _numbers(batch, width + 1))) >= least
+                kept = batch.filter(pa.array(good))
+                yield pa.RecordBatch.from_arrays(kept.columns[:width], names=whole.schema.names[:width])
+
+    return (docs.select("*", F.col(text_col).cast("string").alias("__text"), *_metadata(docs, metadata))
+            .mapInArrow(run, docs.schema))
