@@ -4,10 +4,11 @@ A seed reads six words of a span of eight; what stands at the positions its
 mask ignores may differ.  Hashes of all seeds of the benchmark are joined with
 the seeds of the texts; around each hit the item and the text are aligned and
 compared word by word.  A leak is a window of ``window`` item words of which
-at least ``share`` agree with the text (a shorter item is one window).  The two masks
-together hit every window of 13 words with up to two substitutions, wherever
-they stand (tested exhaustively).  Items of fewer than eight words are looked
-up whole; items of fewer than ``least_words`` words are not searched.
+at least ``share`` agree with the text; an item shorter than the window must
+stand whole.  The two masks together hit every window of 13 words with up to
+two substitutions, wherever they stand (tested exhaustively).  Items of fewer
+than eight words are looked up by all their words; items of fewer than
+``least_words`` words are not searched.
 
 Scale: texts are read once.  A bitmap of the benchmark's seed hashes, of a
 size fixed by a parameter, drops the seeds that no item has before anything
@@ -171,8 +172,9 @@ def _compare(window: int, share: float):
                 same = np.zeros(len(item), dtype=np.int64)
                 same[lo:hi] = item[lo:hi] == text[lo + shift:hi + shift]
                 width = min(window, len(item))
+                least = math.ceil(share * width - 1e-9) if width == window else width
                 total = np.concatenate(([0], np.cumsum(same)))
-                good = np.flatnonzero(total[width:] - total[:-width] >= math.ceil(share * width - 1e-9))
+                good = np.flatnonzero(total[width:] - total[:-width] >= least)
                 if not len(good):
                     continue
                 covered = np.zeros(len(item) + 1, dtype=np.int64)

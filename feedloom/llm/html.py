@@ -16,7 +16,8 @@ can backtrack over it twice), memory is that of one batch of pages.
 Defined results: a null or empty page has an empty text and title; markup
 that never closes ends with the page; a column is padded to its widest cell
 up to ``COLUMN`` characters, longer cells keep their whole text unpadded;
-tables nested deeper than ``NESTED`` are shown as plain lines; repeated rows
+tables nested deeper than ``NESTED`` are shown as plain lines, lists and
+quotes are indented by at most ``INDENT`` characters; repeated rows
 and null ids are kept; an empty table gives no rows; extra columns, whatever
 their names, are not read.
 """
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.text import slices
 
 COLUMN = 60
+INDENT = 80
 NESTED = 6
 
 # Element kinds of the HTML standard.
@@ -237,6 +239,10 @@ class _Page:
         self.indents = [""]
         self.marker = ""
 
+    def indent(self, by: int) -> None:
+        last = self.indents[-1]
+        self.indents.append(last + " " * by if len(last) + by <= INDENT else last)
+
     def text(self, s: str) -> None:
         parts = _SPACE.sub(" ", s)
         lead, core, tail = parts[:1] == " ", parts.strip(" "), parts[-1:] == " "
@@ -418,7 +424,7 @@ def _walk(page: _Page, top: Node, depth: int, shown: bool = True) -> None:
             except ValueError:
                 first = items if back else 1
             number = [kind, first, -1 if back else 1]
-            page.indents.append(page.indents[-1])
+            page.indent(0)
         elif kind == "li":
             marker = "- "
             if counter is not None and counter[0] == "ol":
@@ -430,10 +436,10 @@ def _walk(page: _Page, top: Node, depth: int, shown: bool = True) -> None:
                 counter[1] += counter[2]
             if page.marker:
                 page.flush(keep=True)
-            page.indents.append(page.indents[-1] + " " * len(marker))
+            page.indent(len(marker))
             page.marker = marker if seen else ""
         elif kind in ("blockquote", "dd"):
-            page.indents.append(page.indents[-1] + "  ")
+            page.indent(2)
         elif kind == "details" and "open" not in child.attrs:
             inner = next((c for c in child.children if isinstance(c, Node) and c.tag == "summary"), None)
             stack.append((iter([inner] if inner else []), kind, pre, seen, None))
