@@ -43,7 +43,7 @@ MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7))
 WINDOW = 13
 SHARE = 0.8
 LEAST_WORDS = 5
-FILTER_BITS = (20, 27)  # log2 of the bitmap's least and largest number of bits (16 MB at most)
+FILTER_BITS = (24, 27)  # log2 of the bitmap's least and largest number of bits (16 MB at most)
 
 
 def _masks(short: list[int]) -> list[tuple[int, ...]]:
@@ -104,7 +104,7 @@ def _probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 def _bitmap(seeds: DataFrame, count: int) -> tuple[np.ndarray, int]:
     """Bit array with two bits set per seed hash, and log2 of its length."""
     low, high = FILTER_BITS
-    bits = min(high, max(low, math.ceil(math.log2(16 * max(1, count)))))
+    bits = min(high, max(low, math.ceil(math.log2(64 * max(1, count)))))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
