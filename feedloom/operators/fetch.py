@@ -12,9 +12,12 @@ Two ways produce responses for a request DataFrame:
   lands its result (``land``) before anything else reads it, so a lost
   executor never re-calls an API for rows already landed.
 * ``replay`` – an equi-join of requests with a capture table on the request
-  key.  The capture is first reduced to the latest response per key with a
-  partial aggregate (``max_by``), so repeated fetches never multiply rows and
-  a hot key is combined map-side before the shuffle.
+  key (``request_key``: the url of a GET, else method, url and a digest of
+  the body, so requests that differ in any of them never share a reply).
+  The capture is first reduced to the latest response per key (``max_by``),
+  so repeated fetches never multiply rows; that aggregate sorts and shuffles
+  the bodies, and the join then shuffles both sides again on the key and its
+  hash, which lets the adaptive skew rule split a hot key.
 
 Everything after that (parsing, error split, accounting, joining back) is
 plain Catalyst.
@@ -22,11 +25,12 @@ plain Catalyst.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, NullType, StringType, StructField, StructType
 
 CAPTURE_SCHEMA = ("feed string, key string, status int, body string, error string, "
                   "fetched_at timestamp")
@@ -37,12 +41,41 @@ INVALID = "invalid request: a url parameter is null"
 Transport = Callable[[str, str, "str | None", "dict | None"], "tuple[int | None, str | None, str | None]"]
 
 
-def _key_col(on) -> Column:
-    if on is None:
+def request_key(df: DataFrame) -> Column:
+    """What identifies a request: the url of a GET without body, else method,
+    url and the SHA-256 of the body.  Null where the url is null."""
+    if "req_method" not in df.columns:
         return F.col("req_url")
+    body = F.col("req_body") if "req_body" in df.columns else F.lit(None).cast("string")
+    plain = (F.col("req_method") == "GET") & body.isNull()
+    return F.when(plain, F.col("req_url")).otherwise(
+        F.concat(F.col("req_method"), F.lit(" "), F.col("req_url"), F.lit(" "),
+                 F.sha2(F.coalesce(body, F.lit("")), 256)))
+
+
+def _key_col(df: DataFrame, on) -> Column:
+    if on is None:
+        return request_key(df)
     return F.col(on) if isinstance(on, str) else on
 
 
+def join_on_key(left: DataFrame, right: DataFrame, left_key: list[str], right_key: list[str],
+                how: str) -> DataFrame:
+    """Equi-join whose hot keys Spark may split.
+
+    A side that is already partitioned by the key (an aggregate) reaches a
+    plain join without an exchange of its own, and the adaptive skew rule
+    then leaves that join alone.  The key's hash as a further join column
+    asks for an exchange on both sides.
+    """
+    a = left.withColumn("_left_hash", F.xxhash64(*left_key))
+    b = right.withColumn("_right_hash", F.xxhash64(*right_key))
+    cond = a["_left_hash"] == b["_right_hash"]
+    for x, y in zip(left_key, right_key):
+        cond = cond & (a[x] == b[y])
+    return a.join(b, cond, how).drop("_left_hash", "_right_hash")
+
+
 def latest_capture(captures: DataFrame) -> DataFrame:
     """Latest response per key (ties broken by the larger body)."""
     ts = F.coalesce(F.col("fetched_at").cast("timestamp"), F.lit("1970-01-01").cast("timestamp"))
@@ -62,18 +95,15 @@ def replay(requests: DataFrame, captures: DataFrame, on=None, feed: str | None =
     capture gets the error ``not captured``.
 
     With ``latest`` (default) the capture is first reduced to the newest
-    response per key.  That aggregate is partial (a re-fetched hot key is
-    combined map-side) and its exchange and sort on ``key`` are the ones the
-    sort-merge join needs anyway, so at scale it costs no extra shuffle.
-    Pass ``latest=False`` for a capture that is unique per key by
-    construction (landed once) to skip it.
+    response per key.  Pass ``latest=False`` for a capture that is unique per
+    key by construction (``land_once``) to save that aggregate, which sorts
+    and shuffles whole bodies.
     """
     caps = captures if feed is None else captures.where(F.col("feed") == feed)
-    req = requests.withColumn("_req_key", _key_col(on).cast("string"))
+    req = requests.withColumn("_req_key", _key_col(requests, on).cast("string"))
     if latest:
         # only captures of requested keys are deduplicated: a small request
-        # set is broadcast and filters the capture scan map-side; a large one
-        # shares the key partitioning with the aggregate and the join
+        # set is broadcast and filters the capture scan map-side
         wanted = req.select(F.col("_req_key").alias("key")).where(F.col("key").isNotNull()).distinct()
         caps = latest_capture(caps.join(wanted, "key", "left_semi"))
     else:
@@ -81,7 +111,7 @@ def replay(requests: DataFrame, captures: DataFrame, on=None, feed: str | None =
     # capture columns get private names, so request columns called key,
     # status, body or error never collide with them
     caps = caps.select(*[F.col(c).alias(f"_cap_{c}") for c in ("key", "status", "body", "error")])
-    joined = req.join(caps, F.col("_req_key") == F.col("_cap_key"), "left")
+    joined = join_on_key(req, caps, ["_req_key"], ["_cap_key"], "left")
     err = (F.when(F.col("_req_key").isNull(), F.lit(INVALID))
            .when(F.col("_cap_key").isNull(), F.lit("not captured")).otherwise(F.col("_cap_error")))
     out_cols = [c for c in requests.columns if c not in RESPONSE_COLUMNS]
@@ -154,7 +184,7 @@ def as_capture(responses: DataFrame, feed: str, key=None) -> DataFrame:
     """Fetched rows -> capture rows (for landing)."""
     return responses.select(
         F.lit(feed).alias("feed"),
-        _key_col(key).cast("string").alias("key"),
+        _key_col(responses, key).cast("string").alias("key"),
         F.col("status").cast("int").alias("status"),
         F.col("response").alias("body"),
         F.col("_corrupt_record").alias("error"),
@@ -173,19 +203,37 @@ def land(df: DataFrame, path: str, mode: str = "append", partition_by=("feed",))
     return df.sparkSession.read.parquet(path)
 
 
+def land_once(responses: DataFrame, feed: str, path: str, key=None) -> DataFrame:
+    """Land fetched rows with one row per request key, for ``replay(latest=False)``.
+
+    Requests that repeat a key were each called; one of their replies stays,
+    a successful one if there is any.
+    """
+    got = as_capture(responses, feed, key)
+    best = F.max_by(F.struct(*[c for c in got.columns if c != "key"]),
+                    F.struct(F.col("error").isNull(), F.col("body")))
+    once = got.groupBy("key").agg(best.alias("_r")).select("_r.feed", "key", "_r.status", "_r.body", "_r.error",
+                                                           "_r.fetched_at")
+    return land(once, path)
+
+
 def parse_output(df: DataFrame, schema: str | None = None, col: str = "response",
                  out: str = "output") -> DataFrame:
     """JSON bodies -> ``output``.
 
-    With a schema the body is parsed to that type (``from_json``); without
-    one, ``output`` is the body text as received, JSON or not (a body that is
-    not JSON is kept as text rather than dropped).
+    With a schema the body is parsed to that type (``from_json``); a body that
+    is not JSON is then an error: its text goes to ``_corrupt_record`` (unless
+    the row has an error already), so it is counted as failed and never lost.
+    Without a schema ``output`` is the body text as received, JSON or not.
     """
-    if schema is not None:
-        parsed = F.from_json(F.col(col), schema)
-    else:
-        parsed = F.col(col)
-    return df.withColumn(out, parsed)
+    if schema is None:
+        return df.withColumn(out, F.col(col))
+    body = F.col(col)
+    broken = body.isNotNull() & F.try_parse_json(body).isNull()
+    error = F.when(broken, F.concat(F.lit("response is not JSON: "), body))
+    if "_corrupt_record" in df.columns:
+        error = F.coalesce(F.col("_corrupt_record"), error)
+    return df.withColumn(out, F.when(~broken, F.from_json(body, schema))).withColumn("_corrupt_record", error)
 
 
 def explode_output(df: DataFrame, element_schema: str, col: str = "response",
@@ -221,32 +269,45 @@ def select_output(df: DataFrame, include_inputs: bool = True,
     return df.select(out, "_corrupt_record")
 
 
+def _without_void(t):
+    """The type with STRING where only nulls were seen."""
+    if isinstance(t, StructType):
+        return StructType([StructField(f.name, _without_void(f.dataType)) for f in t.fields])
+    if isinstance(t, ArrayType):
+        return ArrayType(_without_void(t.elementType))
+    return StringType() if isinstance(t, NullType) else t
+
+
 def _variant_schema_to_ddl(s: str) -> str:
-    """``schema_of_variant`` text -> a type ``from_json`` accepts."""
-    import re
-    s = s.replace("OBJECT<", "STRUCT<")
-    s = re.sub(r"DECIMAL\(\d+,\s*[1-9]\d*\)", "DOUBLE", s)
-    s = re.sub(r"DECIMAL\(\d+,\s*0\)", "BIGINT", s)
-    s = s.replace("VOID", "STRING")
-    return s
+    """``schema_of_variant`` text -> a type ``from_json`` accepts (names in
+    back quotes are left alone)."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    named = re.sub(r"`(?:[^`]|``)*`|\bOBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], s)
+    t = _without_void(_parse_datatype_string(f"v {named}")[0].dataType)
+    ddl = StructType([StructField("v", t)]).toDDL()
+    return ddl[ddl.index(" ") + 1:]
 
 
-def infer_schema(df: DataFrame, fraction: float = 0.1, min_rows: int = 3, seed: int = 7,
+def infer_schema(df: DataFrame, fraction: float = 1.0, min_rows: int = 3, seed: int = 7,
                  col: str = "response") -> str:
-    """response schema from a sample of bodies (at least ``min_rows``).
+    """response schema of the bodies, from all of them by default.
 
     One distributed aggregate (``schema_of_variant_agg``); only the schema
-    text returns to the driver.
+    text returns to the driver.  ``fraction`` < 1 samples (the option of the
+    same meaning); fields that only other bodies have are then absent from
+    the parsed output.  A sample of fewer than ``min_rows`` bodies is given
+    up for all bodies.
     """
     parsed = df.select(F.try_parse_json(F.col(col)).alias("_v")).where(F.col("_v").isNotNull())
-    row = (parsed.sample(fraction=fraction, seed=seed)
-           .agg(F.count("*").alias("n"), F.schema_of_variant_agg("_v").alias("s")).first())
-    if row is None or row["n"] < min_rows:
-        row = (parsed.limit(max(min_rows, 1))
-               .agg(F.count("*").alias("n"), F.schema_of_variant_agg("_v").alias("s")).first())
-    if row is None or row["s"] is None:
-        return "STRING"
-    return _variant_schema_to_ddl(row["s"])
+
+    def schema_of(rows):
+        return rows.agg(F.count("*").alias("n"), F.schema_of_variant_agg("_v").alias("s")).first()
+
+    row = schema_of(parsed if fraction >= 1 else parsed.sample(fraction=fraction, seed=seed))
+    if fraction < 1 and row["n"] < min_rows:
+        row = schema_of(parsed)
+    return "STRING" if row["s"] in (None, "VOID") else _variant_schema_to_ddl(row["s"])
 
 
 def call_stats(df: DataFrame, col: str = "_corrupt_record") -> DataFrame:
@@ -292,8 +353,8 @@ def enrich(facts: DataFrame, key: str, lookup: Callable[[DataFrame], DataFrame],
 
     The lookup side has one row per distinct key; Spark / AQE picks a
     broadcast join only when its measured size is under the threshold, and
-    skew-join splitting otherwise.
+    splits hot keys otherwise (see ``join_on_key``).
     """
     keys = facts.select(key).where(F.col(key).isNotNull()).distinct()
-    looked = lookup(keys).select(key, *result_cols)
-    return facts.join(looked, key, how)
+    looked = lookup(keys).select(F.col(key).alias("_looked_key"), *result_cols)
+    return join_on_key(facts, looked, [key], ["_looked_key"], how).drop("_looked_key")

@@ -16,8 +16,6 @@ filters on the parameters still reach the source.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -196,16 +194,21 @@ def cut_pages(pages: DataFrame, key_cols: list[str], page_col: str = "page",
               has_more_col: str = "has_more", n_items_col: str = "n_items") -> DataFrame:
     """Q11 cut: keep pages up to the first empty page or ``has_more = false``.
 
-    One partial aggregate per key (map-side combined, so a hot key is cheap)
-    finds the stop page; the join back is on the key only.
+    One partial aggregate per key finds the stop page; the join back is on the
+    key, and Spark may split a hot key (see ``join_on_key``).  ``pages`` is
+    read twice: land it first if it is not a table.
     """
+    from feedloom.operators.fetch import join_on_key
+
     stop = F.col(n_items_col).isNull() | (F.col(n_items_col) == 0) | ~F.coalesce(
         F.col(has_more_col), F.lit(False))
     stops = (pages.groupBy(*key_cols)
              .agg(F.min(F.when(stop, F.col(page_col))).alias("_stop_page")))
-    return (pages.join(stops, key_cols, "left")
+    private = [f"_stop_{i}" for i in range(len(key_cols))]
+    stops = stops.select(*[F.col(k).alias(p) for k, p in zip(key_cols, private)], "_stop_page")
+    return (join_on_key(pages, stops, key_cols, private, "left")
             .where(F.col("_stop_page").isNull() | (F.col(page_col) <= F.col("_stop_page")))
-            .drop("_stop_page"))
+            .drop(*private, "_stop_page"))
 
 
 def split_range(lower: int, upper: int, num_partitions: int) -> list[tuple[int, int, int]]:
@@ -245,15 +248,8 @@ def read_ranges(spark, lower: int, upper: int, num_partitions: int) -> DataFrame
     return spark.range(lower, upper, 1, num_partitions)
 
 
-_PLACEHOLDER = re.compile(r"\{([^{}]+)\}")
-
-
-def placeholders(url: str) -> list[str]:
-    return _PLACEHOLDER.findall(url)
-
-
 __all__ = [
     "build_requests", "spread", "plan_pages", "cut_pages", "split_range", "range_index",
     "range_bounds", "read_ranges", "headers_map", "cookie_header", "querystring_url",
-    "inline_url", "json_body", "form_body", "validate_options", "placeholders",
+    "inline_url", "json_body", "form_body", "validate_options",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.operators.fetch import (
-    as_capture, call_once, call_stats, enrich, explode_output, fetch, infer_schema, land,
+    as_capture, call_once, call_stats, enrich, explode_output, fetch, infer_schema, land, land_once,
     parse_output, replay, select_output, split_outcome,
 )
 from feedloom.operators.requests import build_requests, spread
@@ -99,7 +99,10 @@ SELECT CASE WHEN _corrupt_record IS NULL THEN 'ok' ELSE 'failed' END AS outcome,
 FROM (""" + _PAGES_ORACLE + ") GROUP BY 1")
 def split_outcome_query(spark, d):
     """successful rows and failed rows as two branches of one result."""
-    ok, failed = split_outcome(parse_output(_page_responses(spark, d)))
+    responses = parse_output(_page_responses(spark, d)).select("output", "_corrupt_record")
+    # both branches read the landed rows, the replay runs once
+    ok, failed = split_outcome(land(responses, fresh_dir(spark, "outcome"), partition_by=None))
+
     def summary(df, name):
         return df.agg(F.lit(name).alias("outcome"), F.count(F.lit(1)).alias("n_rows"),
                       F.sum(F.length(F.coalesce("output", F.lit("")))).alias("n_chars"))
@@ -124,22 +127,55 @@ def rest_once(spark, d):
     return call_once(events, ["user_id"], call, ["name", "segment"])
 
 
+def _captured(spark, d, table, key, path, body):
+    """(requests' responses) of GET ``path/{key}`` over a table's rows."""
+    rows = load(spark, d, table)
+    caps = rows.select(F.lit(table).alias("feed"), F.concat(F.lit(f"{captures.API}/{path}/"), key).alias("key"),
+                       F.lit(200).alias("status"), body.alias("body"),
+                       F.lit(None).cast("string").alias("error"),
+                       F.lit(None).cast("timestamp").alias("fetched_at"))
+    req = build_requests(rows.select(key), f"{captures.API}/{path}/{{{key}}}", method="GET", query_type="inline")
+    return replay(req, caps)
+
+
 @query("rest_infer", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
 """)
 def rest_infer(spark, d):
-    """response schema inferred from a sample of bodies, then applied."""
-    events = load(spark, d, "events").select("event_id", "props")
-    caps = events.select(F.lit("events").alias("feed"),
-                         F.concat(F.lit(captures.API + "/events/"), "event_id").alias("key"),
-                         F.lit(200).alias("status"), F.col("props").alias("body"),
-                         F.lit(None).cast("string").alias("error"),
-                         F.lit(None).cast("timestamp").alias("fetched_at"))
-    req = build_requests(events.select("event_id"), captures.API + "/events/{event_id}",
-                         method="GET", query_type="inline")
-    got = replay(req, caps)
-    schema = infer_schema(got, fraction=0.05)
-    return parse_output(got, schema).select("event_id", "output.*")
+    """response schema inferred from all bodies, then applied."""
+    got = _captured(spark, d, "events", "event_id", "events", F.col("props"))
+    return parse_output(got, infer_schema(got)).select("event_id", "output.*")
+
+
+@query("rest_infer_rare", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 997 = 0 THEN o_orderpriority END AS rare,
+       CAST('12345678901234567890' AS DECIMAL(20, 0)) AS large,
+       CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS customer
+FROM orders
+""")
+def rest_infer_rare(spark, d):
+    """a field few bodies have, a nested field and a 20-digit integer all survive."""
+    body = F.concat(
+        F.lit('{"large": 12345678901234567890'),
+        F.when(F.col("o_orderkey") % 997 == 0, F.concat(F.lit(', "rare": "'), "o_orderpriority", F.lit('"'))).otherwise(""),
+        F.when(F.col("o_orderkey") % 2 == 0,
+               F.concat(F.lit(', "who": {"customer": '), F.col("o_custkey"), F.lit("}"))).otherwise(""), F.lit("}"))
+    got = _captured(spark, d, "orders", "o_orderkey", "orders", body)
+    return parse_output(got, infer_schema(got)).select(
+        "o_orderkey", "output.rare", "output.large", F.col("output.who.customer").alias("customer"))
+
+
+@query("rest_parse_errors", """
+SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS name,
+       CASE WHEN c_custkey % 3 = 0 THEN 'response is not JSON: <p>' || c_name END AS _corrupt_record
+FROM customer
+""")
+def rest_parse_errors(spark, d):
+    """a body that is not JSON is an error that keeps its text."""
+    body = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("<p>"), "c_name")).otherwise(
+        F.to_json(F.struct(F.col("c_name").alias("name"))))
+    got = parse_output(_captured(spark, d, "customer", "c_custkey", "customers", body), "name string")
+    return got.select("c_custkey", F.col("output.name").alias("name"), "_corrupt_record")
 
 
 @query("rest_array_body", "SELECT o_custkey, o_orderkey, o_totalprice FROM orders")
@@ -225,3 +261,38 @@ def rest_spread(spark, d):
     params = load(spark, d, "orders").select("o_orderkey", "o_orderpriority")
     req = spread(build_requests(params, captures.API + "/orders", method="GET"), 16)
     return req.select("o_orderkey", F.length("req_url").alias("chars"))
+
+
+def body_transport(method, url, body, headers):
+    """Fixture service: answers with the method and the body it was sent."""
+    import json
+
+    return 200, json.dumps({"method": method, "sent": body}), None
+
+
+def _landed_writes(spark, d, method, post_format):
+    params = load(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    req = build_requests(params, captures.API + "/orders", method=method, post_input_format=post_format)
+    landed = land_once(fetch(req, body_transport), "orders", fresh_dir(spark, "captures"))
+    return parse_output(replay(req, landed, feed="orders", latest=False), "method string, sent string")
+
+
+@query("rest_post_land", """
+SELECT o_orderkey, 'POST' AS method, o_orderkey AS sent_key, o_orderpriority AS sent_priority FROM orders
+""")
+def rest_post_land(spark, d):
+    """POST replies are matched by method, url and body, each row its own."""
+    out = _landed_writes(spark, d, "POST", "json")
+    sent = F.from_json("output.sent", "o_orderkey bigint, o_orderpriority string")
+    return out.select("o_orderkey", "output.method", sent["o_orderkey"].alias("sent_key"),
+                      sent["o_orderpriority"].alias("sent_priority"))
+
+
+@query("rest_put_land", """
+SELECT o_orderkey, 'PUT' AS method,
+       'o_orderkey=' || o_orderkey || '&o_orderpriority=' || replace(url_encode(o_orderpriority), '%20', '+') AS sent
+FROM orders
+""")
+def rest_put_land(spark, d):
+    """the same for PUT with a form body."""
+    return _landed_writes(spark, d, "PUT", "form").select("o_orderkey", "output.method", "output.sent")

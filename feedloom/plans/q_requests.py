@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedloom.operators.fetch import replay
+from feedloom.operators.fetch import land, replay
 from feedloom.operators.requests import (
     build_requests, cut_pages, plan_pages, range_bounds, range_index, split_range,
 )
 from feedloom.plans import captures
 from feedloom.plans.registry import query
 from feedloom.plans.tables import load
+from feedloom.session import fresh_dir
 
 API = captures.API
 
@@ -203,7 +204,8 @@ def rest_pages(spark, d):
     pages = got.select("o_custkey", "page", parsed["items"].alias("items"),
                        parsed["hasMore"].alias("has_more"),
                        F.size(parsed["items"]).alias("n_items"))
-    kept = cut_pages(pages, ["o_custkey"])
+    # the cut reads the pages twice, the replay runs once
+    kept = cut_pages(land(pages, fresh_dir(spark, "pages"), partition_by=None), ["o_custkey"])
     return kept.select("o_custkey", "page", F.explode("items").alias("it")) \
         .select("o_custkey", "page", "it.o_orderkey", "it.o_totalprice")
 
