@@ -50,7 +50,7 @@ BINS = 128
 RECALL = 0.9999
 DEPTH = 3
 RECURSE_AT = 4096
-BLOCK = 512
+BLOCK = 256
 FILTER_BITS = (20, 27)  # log2 of the text bitmap's least and largest number of bits
 
 
