@@ -1,8 +1,8 @@
 """Packing documents into training sequences by lexical retrieval.
 
 Documents become token ids and are dealt into shards of about
-``shard_tokens`` tokens, lexically close documents together.  Each shard has
-a BM25 inverted index over its token ids.  A seed document opens a window of
+``shard_tokens`` tokens, lexically close documents together.  Each shard has a
+BM25 inverted index over its token ids.  A seed document opens a window of
 ``window`` tokens; the index returns its unused neighbours by score, which
 fill the window greedily; the one that doesn't fit is cut, and its rest seeds
 the next window.  Only a shard's last window can be short; it is cut into
@@ -14,9 +14,10 @@ tokens have large ones): a weighted min-hash that copies share and that
 documents with common rare tokens often share.
 
 Scale: each text is encoded once and its ids are written compactly before the
-one range exchange, whose sampling then reads narrow columns only.  The
-exchange deals by (place, hash of the id, digest), so a group of copies with
-different ids of any size is split at shard borders; a task holds one shard.
+one exchange.  Shards are laid out by the exact number of tokens at each
+place (at most one row per vocabulary entry); a place with more tokens than a
+shard, such as that of a large group of copies, is dealt into several shards
+by the hash of the id.  A task holds one shard at a time.
 
 Defined results: a null or empty text has the end token only; repeated rows
 and rows with null ids are documents of their own; ties in score go to the
@@ -31,8 +32,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,6 +195,22 @@ def _powers(pieces, sequence: int, used: int):
     return out
 
 
+def _layout(rows: DataFrame, shard_tokens: int) -> tuple[DataFrame, int]:
+    """(place, first, parts): the shards of each place, and their number."""
+    found = rows.groupBy("place").agg(F.sum("n").alias("n")).orderBy("place").collect()  # at most the vocabulary
+    out, shard, used = [], 0, 0
+    for r in found:
+        if used and used + r["n"] > shard_tokens:
+            shard, used = shard + 1, 0
+        parts = max(1, -(-r["n"] // shard_tokens))
+        out.append((r["place"], shard, parts))
+        if parts > 1:
+            shard, used = shard + parts, 0
+        else:
+            used += r["n"]
+    return rows.sparkSession.createDataFrame(out, "place long, first long, parts long"), max(1, shard + bool(used))
+
+
 def pack(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window: int = WINDOW,
          shard_tokens: int = SHARD_TOKENS, end_id: int = 0) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, sequence_id, offset) per piece."""
@@ -204,27 +219,40 @@ def pack(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window: in
     path = fresh_dir(spark, "packing")
     encode(docs, id_col, text_col, tokenizer, end_id).write.parquet(path)
     rows = spark.read.parquet(path)
-    tokens = rows.agg(F.sum("n")).first()[0] or 0
-    shards = max(1, -(-tokens // shard_tokens))
-    dealt = rows.withColumn("turn", F.xxhash64("id", "digest")).repartitionByRange(shards, "place", "turn", "digest")
+    layout, shards = _layout(rows, shard_tokens)
+    turn = F.xxhash64("id", "digest")
+    dealt = (rows.join(F.broadcast(layout), "place").withColumn("turn", turn)
+             .withColumn("shard", F.col("first") + F.pmod("turn", F.col("parts")))
+             .select("shard", "place", "turn", "digest", "id", "n", "wide", "ids")
+             .repartition(shards, "shard").sortWithinPartitions("shard", "place", "turn", "digest"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        t = pa.Table.from_batches(got)
-        t = t.take(pc.sort_indices(t, [("place", "ascending"), ("turn", "ascending"), ("digest", "ascending")]))
+    def packed(t: pa.Table) -> pa.RecordBatch:
         ids = [np.frombuffer(raw, dtype="<u4" if wide else "<u2")
                for raw, wide in zip(t.column("ids").to_pylist(), t.column("wide").to_pylist())]
         pieces = pack_shard(ids, window)
         doc, start, length, sequence, offset = (np.array(c, dtype=np.int64) for c in zip(*pieces))
         crc = [zlib.crc32(ids[d][s:s + n].astype("<u4").tobytes()) for d, s, n, _, _ in pieces]
-        first = np.int64(TaskContext.get().partitionId()) << np.int64(32)
-        yield pa.RecordBatch.from_arrays(
+        first = np.int64(t.column("shard")[0].as_py()) << np.int64(32)
+        return pa.RecordBatch.from_arrays(
             [t.column("id").combine_chunks().take(pa.array(doc)), pa.array(start), pa.array(length),
              pa.array(crc, pa.int64()), t.column("n").combine_chunks().take(pa.array(doc)),
              pa.array(first + sequence), pa.array(offset)],
             names=["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            shard = np.asarray(batch.column(0))
+            cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if hi == lo:
+                    continue
+                if held and held[0].column(0)[0].as_py() != shard[lo]:
+                    yield packed(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield packed(pa.Table.from_batches(held))
+
     return dealt.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                  "sequence_id long, offset long")
