@@ -27,14 +27,22 @@ def strip_ws(c: Column) -> Column:
 
 def safe_double(c: Column) -> Column:
     """Number or numeric text -> double, like Python's ``float()``; anything
-    else -> null."""
+    else -> null.
+
+    Text that begins and ends like a plain ASCII number and has no ``x`` is
+    read by the engine's own cast, which agrees with the grammar there; only
+    what that cast refuses goes through the full grammar.
+    """
     t = c.cast("string")
+    plain = (F.substring(t, 1, 1).isin(*"0123456789+-.") & F.substring(t, -1, 1).isin(*"0123456789.")
+             & (F.instr(t, "x") == 0) & (F.instr(t, "X") == 0))
     low = F.lower(strip_ws(t))
     special = (F.when(low.rlike(r"^[+-]?nan$"), F.lit(float("nan")))
                .when(low.rlike(r"^\+?inf(inity)?$"), F.lit(float("inf")))
                .when(low.rlike(r"^-inf(inity)?$"), F.lit(float("-inf"))))
     number = F.regexp_replace(low, "_", "").try_cast("double")
-    return F.when(t.rlike(FLOAT_TEXT), F.coalesce(special, number))
+    return F.coalesce(F.when(plain, t.try_cast("double")),
+                      F.when(t.rlike(FLOAT_TEXT), F.coalesce(special, number)))
 
 
 def safe_double_or_zero(c: Column) -> Column:
@@ -68,11 +76,6 @@ def truthy(v: Column) -> Column:
             .otherwise(F.try_variant_get(v, "$", "double") != 0))
 
 
-def epoch_seconds_ts(c: Column) -> Column:
-    """Epoch seconds (number) -> timestamp; null stays null."""
-    return F.timestamp_seconds(c)
-
-
 def iso_text(c: Column, dtype) -> Column:
     """ISO-8601 text of a date or timestamp, as ``isoformat()`` writes it."""
     if isinstance(dtype, DateType):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from feedloom.plans import captures as C
 from feedloom.plans.q_feeds import _STATES_SQL, _WEATHER_SQL
-from feedloom.plans.q_sinks import ACCOUNT, _accounts, tree_endpoint
+from feedloom.plans.q_sinks import ACCOUNT, NEGATIVE, _accounts, tree_endpoint
 from feedloom.plans.registry import query
 from feedloom.plans.tables import load
 from feedloom.session import fresh_dir
@@ -25,13 +25,22 @@ from feedloom.streaming.sources import file_monitor, json_lines, run_available
 SELECT DISTINCT icao24, time_ingest, callsign, longitude, latitude, category FROM ({_STATES_SQL})
 """)
 def stream_flights(spark, d):
-    """Landed snapshots -> typed states, repeated vectors dropped in the stream."""
+    """Landed snapshots -> typed states, repeated vectors dropped.
+
+    One file per micro-batch, the newest snapshots first, and a second run
+    over re-landed snapshots: the result must not depend on any of it.
+    """
     root = fresh_dir(spark, "stream-flights")
-    C.flight_snapshots(load(spark, d, "events")).select("body").write.text(f"{root}/in")
-    states = flight_stream.flight_stream(spark, f"{root}/in")
-    run_available(states.select("icao24", "time_ingest", "callsign", "longitude", "latitude",
-                                "category"), f"{root}/out", f"{root}/ckpt")
-    return spark.read.parquet(f"{root}/out")
+    snaps = C.flight_snapshots(load(spark, d, "events")).select("body")
+    time = F.get_json_object("body", "$.time").cast("long")
+    late = F.pmod(F.xxhash64("body"), F.lit(3)) == 0
+    cols = ["icao24", "time_ingest", "callsign", "longitude", "latitude", "category"]
+    first = snaps.where(~late).repartitionByRange(4, time.desc())
+    for run, part in (("run1", first), ("run2", snaps.where(late).unionByName(snaps.where(time % 2 == 0)).coalesce(2))):
+        part.write.text(f"{root}/in/{run}")
+        states = flight_stream.state_rows(spark, f"{root}/in/*", max_files_per_trigger=1).select(*cols)
+        flight_stream.write_states(states, f"{root}/out", f"{root}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{root}/out").select(*cols)
 
 
 _WEATHER_START = "2023-12-31T00:00:00Z"
@@ -72,26 +81,62 @@ def stream_files(spark, d):
     return out.agg(F.sum(F.length("content")).cast("bigint").alias("total_chars"))
 
 
-@query("stream_crm_resume", """
-SELECT CAST(c_custkey AS VARCHAR) AS key, 1 AS deliveries FROM customer
-""")
-def stream_crm_resume(spark, d):
-    """Delivery resumes from the checkpoint; the ledger stops re-sent rows."""
+def _crm_runs(spark, d, endpoints):
+    """Accounts delivered in two runs; the second re-sends part of the first,
+    and each landing holds some rows twice."""
     root = fresh_dir(spark, "stream-crm")
     acc = _accounts(spark, d)
     seg = F.col("Industry")
-    acc.where(seg.isin("AUTOMOBILE", "FURNITURE")).write.parquet(f"{root}/in/run1")
-    schema = acc.schema
-    src = spark.readStream.schema(schema).parquet(f"{root}/in/*")
-    crm.deliver_stream(src, "c_custkey", tree_endpoint, f"{root}/ledger", f"{root}/ckpt",
-                       schema=ACCOUNT).awaitTermination()
-    rest = acc.where(~seg.isin("AUTOMOBILE", "FURNITURE") | seg.isNull())
-    # the second landing re-sends the AUTOMOBILE rows of the first one
-    rest.unionByName(acc.where(seg == "AUTOMOBILE")).write.parquet(f"{root}/in/run2")
-    src = spark.readStream.schema(schema).parquet(f"{root}/in/*")
-    crm.deliver_stream(src, "c_custkey", tree_endpoint, f"{root}/ledger", f"{root}/ckpt",
-                       schema=ACCOUNT).awaitTermination()
-    ledger = spark.read.parquet(f"{root}/ledger")
+    first = seg.isin("AUTOMOBILE", "FURNITURE")
+    twice = F.pmod(F.col("c_custkey"), F.lit(7)) == 0
+    for run, part, endpoint in (
+            ("run1", acc.where(first), endpoints[0]),
+            ("run2", acc.where(~first | seg.isNull()).unionByName(acc.where(seg == "AUTOMOBILE")), endpoints[1])):
+        part.unionByName(part.where(twice)).write.parquet(f"{root}/in/{run}")
+        src = spark.readStream.schema(acc.schema).parquet(f"{root}/in/*")
+        crm.deliver_stream(src, "c_custkey", endpoint, f"{root}/ledger", f"{root}/ckpt",
+                           schema=ACCOUNT).awaitTermination()
+    return f"{root}/ledger"
+
+
+@query("stream_crm_resume", """
+SELECT CAST(c_custkey AS VARCHAR) AS key, 1 AS deliveries FROM customer WHERE c_acctbal >= 0
+""")
+def stream_crm_resume(spark, d):
+    """Delivery resumes from the checkpoint; each accepted record once."""
+    ledger = crm.accepted(spark, _crm_runs(spark, d, [tree_endpoint] * 2))
+    return ledger.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("deliveries"))
+
+
+@query("stream_crm_failures", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS key, '{NEGATIVE}' AS message,
+       CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 2 ELSE 1 END AS refusals
+FROM customer WHERE c_acctbal < 0
+""")
+def stream_crm_failures(spark, d):
+    """Refused records are no deliveries: they are listed with their message."""
+    refused = spark.read.parquet(_crm_runs(spark, d, [tree_endpoint] * 2) + "_rejected")
+    return refused.groupBy("key", "message").agg(F.count(F.lit(1)).cast("int").alias("refusals"))
+
+
+def _one_by_one(object_type, payload):
+    """Refuses payloads of several records, as a call that failed."""
+    if payload.count('"referenceId"') > 1:
+        raise ConnectionError("batch call failed")
+    return tree_endpoint(object_type, payload)
+
+
+def _down(object_type, payload):
+    raise ConnectionError("service is down")
+
+
+@query("stream_crm_fallback", """
+SELECT CAST(c_custkey AS VARCHAR) AS key, 1 AS deliveries FROM customer WHERE c_acctbal >= 0
+""")
+def stream_crm_fallback(spark, d):
+    """Every call of the first run fails, in the second only those of several
+    records: the second run sends the first one's records again, one by one."""
+    ledger = crm.accepted(spark, _crm_runs(spark, d, [_down, _one_by_one]))
     return ledger.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("deliveries"))
 
 

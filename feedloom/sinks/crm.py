@@ -15,15 +15,18 @@
   otherwise results carrying an ``id``; failed results are exploded with
   their messages.
 * ``fallback``: records of batches whose call failed are sent one by one.
-* ``deliver_stream``: Structured Streaming ``foreachBatch`` with a ledger
-  table keyed by record key, so a replayed micro-batch or a re-landed file
-  never creates a record twice.
+* ``deliver_stream``: Structured Streaming ``foreachBatch`` with a ledger of
+  accepted keys, a table of rejected records and one of undelivered records
+  that the next run sends again.  Delivery is at least once: a crash between
+  a call and the landing of its reply repeats that call, nothing else does.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -233,8 +236,6 @@ def fallback(delivered: DataFrame, create: Callable[[str, str], str],
 
 def _read_if_exists(spark, path: str):
     """The parquet table at ``path``, or None when nothing was written there."""
-    from pyspark.errors import AnalysisException
-
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
@@ -243,53 +244,160 @@ def _read_if_exists(spark, path: str):
         raise
 
 
+LEDGER_SCHEMA = "key string, id string, batch_id string, bucket int"
+LEDGER_BUCKETS = 256
+
+
+def outcomes(sent: DataFrame) -> DataFrame:
+    """One row per delivered record: (key, record, status, id, message).
+
+    ``accepted``: the reply names an id for the record's ``referenceId``, or
+    says ``hasErrors = false``.  ``rejected``: the service answered without an
+    id for it.  ``failed``: the call failed, or its reply cannot be read.
+    """
+    r = F.from_json("response", RESULT_SCHEMA)
+    recs = F.from_json("payload", "records array<string>")["records"]
+    rows = sent.select("error", r.alias("r"), F.posexplode(F.arrays_zip(
+        F.col("keys").alias("key"), recs.alias("rec"))).alias("pos", "x"))
+    ref = F.concat(F.lit("ref"), F.col("pos").cast("string"))
+    one = F.get(F.filter(F.col("r.results"), lambda x: x["referenceId"] == ref), 0)
+    unreadable = F.col("error").isNotNull() | (F.col("r.hasErrors").isNull() & F.col("r.results").isNull())
+    status = (F.when(unreadable, "failed")
+              .when(one["id"].isNotNull() | (F.col("r.hasErrors") == F.lit(False)), "accepted")
+              .otherwise("rejected"))
+    message = F.when(unreadable, F.coalesce("error", F.lit("reply cannot be read"))).otherwise(
+        F.array_join(F.transform(one["errors"], lambda e: e["message"]), "; "))
+    return rows.select(F.col("x.key").alias("key"),
+                       F.regexp_replace("x.rec", r'^\{"attributes":\{[^{}]*\},?', "{").alias("record"),
+                       status.alias("status"), one["id"].alias("id"), message.alias("message"))
+
+
+def _land(df: DataFrame, path: str) -> DataFrame:
+    """Write once (a retried batch reuses what is there) and read back."""
+    spark = df.sparkSession
+    have = _read_if_exists(spark, path)
+    if have is None:
+        df.write.mode("overwrite").parquet(path)
+        have = spark.read.parquet(path)
+    return have
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(LEDGER_BUCKETS)).cast("int")
+
+
+def accepted(spark, ledger_path: str) -> DataFrame | None:
+    """The ledger: (key, id, batch_id, bucket) of every accepted record."""
+    try:
+        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
+def deliver_records(recs: DataFrame, batch_id: str, transport: Callable[[str, str], str], ledger_path: str,
+                    object_type: str = DEFAULT_OBJECT, batch_size: int = BATCH_SIZE,
+                    skip_delivered: bool = True) -> None:
+    """Deliver (key, record) rows once and account for each of them.
+
+    Records repeat keys at most once (the largest record of a key is sent;
+    rows without a key are all sent).  Keys accepted in other batches are
+    skipped: only the ledger's buckets that the records touch are read.
+    Payloads whose call failed are sent again record by record.  Replies are
+    landed before anything is derived from them, so a retried batch calls
+    only for what has no landed reply.
+    """
+    spark, root = recs.sparkSession, ledger_path.rstrip("/")
+    keyed = recs.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("record").alias("record"))
+    recs = keyed.unionByName(recs.where(F.col("key").isNull()).select("key", "record"))
+    log = f"{root}_responses/batch_id={batch_id}"
+    if _read_if_exists(spark, log) is None:
+        recs = _land(recs, f"{root}_records/batch_id={batch_id}")
+        done = accepted(spark, ledger_path) if skip_delivered else None
+        if done is not None:
+            touched = [r[0] for r in recs.where(F.col("key").isNotNull()).select(_bucket(F.col("key"))).distinct()
+                       .collect()]  # at most LEDGER_BUCKETS numbers
+            done = done.where(F.col("bucket").isin(touched) & (F.col("batch_id") != batch_id))
+            recs = recs.join(done.select(F.col("key").alias("_done")), F.col("key") == F.col("_done"), "left_anti")
+        payloads = batches(recs, batch_size, object_type)
+        deliver(payloads, transport, object_type).write.mode("overwrite").parquet(log)
+    sent = spark.read.parquet(log)
+    first = outcomes(sent)
+    singles = batches(first.where("status = 'failed'").select("key", "record"), 1, object_type)
+    again = _land(deliver(singles, transport, object_type), f"{root}_singles/batch_id={batch_id}")
+    every = _land(first.where("status <> 'failed'").unionByName(outcomes(again)), f"{root}_outcomes/batch_id={batch_id}")
+    (every.where("status = 'accepted'").select("key", "id", _bucket(F.col("key")).alias("bucket"))
+     .write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/batch_id={batch_id}"))
+    for status in ("rejected", "failed"):
+        (every.where(F.col("status") == status).select("key", "record", "message")
+         .write.mode("overwrite").parquet(f"{root}_{status}/batch_id={batch_id}"))
+
+
 def deliver_batch(batch_df: DataFrame, batch_id: int, key: str, transport: Callable[[str, str], str],
                   ledger_path: str, schema: str | None = None, object_type: str = DEFAULT_OBJECT,
                   batch_size: int = BATCH_SIZE, skip_delivered: bool = True) -> None:
-    """One micro-batch of streaming delivery (the ``foreachBatch`` body).
-
-    Keys already in the ledger from other batches are skipped; replies are
-    landed under ``<ledger>_responses/batch_id=N`` before the ledger
-    partition ``batch_id=N`` is (re)written, so a retried batch reuses the
-    landed replies instead of calling the service again.
-    """
-    spark = batch_df.sparkSession
-    responses_path = ledger_path.rstrip("/") + "_responses"
-    recs = records(batch_df, key=key, schema=schema)
-    done = _read_if_exists(spark, ledger_path) if skip_delivered else None
+    """One micro-batch of streaming delivery (the ``foreachBatch`` body)."""
+    deliver_records(records(batch_df, key=key, schema=schema), str(batch_id), transport, ledger_path,
+                    object_type, batch_size, skip_delivered)
+
+
+def undelivered(spark, ledger_path: str) -> DataFrame | None:
+    """(key, record, message, batch_id) of records that no call has delivered."""
+    root = ledger_path.rstrip("/")
+    failed = _read_if_exists(spark, f"{root}_failed")
+    if failed is None:
+        return None
+    done = accepted(spark, ledger_path)
+    resent = _read_if_exists(spark, f"{root}_resent")
+    failed = failed.withColumn("batch_id", F.col("batch_id").cast("string"))
+    if resent is not None:
+        failed = failed.join(resent.select(F.col("source").cast("string").alias("_resent")),
+                             F.col("batch_id") == F.col("_resent"), "left_anti")
     if done is not None:
-        recs = recs.join(done.select("key").where(F.col("batch_id") != batch_id), "key", "left_anti")
-    log = f"{responses_path}/batch_id={batch_id}"
-    sent = _read_if_exists(spark, log)
-    if sent is None:
-        sent = deliver(batches(recs, batch_size, object_type), transport, object_type)
-        sent.write.mode("overwrite").parquet(log)
-        sent = spark.read.parquet(log)
-    ledger = sent.where(F.col("error").isNull()).select("batch_key", F.explode("keys").alias("key"))
-    ledger.write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}")
+        keys = done.where(F.col("key").isNotNull()).select(F.col("key").alias("_done"))
+        failed = failed.join(keys, F.col("key") == F.col("_done"), "left_anti")
+    return failed
+
+
+def resend(spark, ledger_path: str, transport: Callable[[str, str], str], object_type: str = DEFAULT_OBJECT,
+           batch_size: int = BATCH_SIZE) -> int:
+    """Send undelivered records again; what fails again stays undelivered."""
+    root = ledger_path.rstrip("/")
+    rest = undelivered(spark, ledger_path)
+    if rest is None or rest.isEmpty():
+        return 0
+    run = f"r{uuid.uuid4().hex}"
+    sources = rest.select("batch_id").distinct().withColumnRenamed("batch_id", "source")
+    waiting = _land(rest.select("key", "record"), f"{root}_waiting/run={run}")
+    _land(sources, f"{root}_sources/run={run}")
+    deliver_records(waiting, run, transport, ledger_path, object_type, batch_size)
+    # From here on the run's own failures stand for those of its sources.
+    spark.read.parquet(f"{root}_sources/run={run}").write.mode("append").parquet(f"{root}_resent")
+    return waiting.count()
 
 
 def deliver_stream(stream: DataFrame, key: str, transport: Callable[[str, str], str],
                    ledger_path: str, checkpoint: str, schema: str | None = None,
                    object_type: str = DEFAULT_OBJECT, batch_size: int = BATCH_SIZE,
                    trigger: dict | None = None, dedupe: str = "ledger"):
-    """Streaming delivery with an idempotent ledger (see ``deliver_batch``).
+    """Streaming delivery (see ``deliver_records``).
 
-    Each micro-batch skips records whose key is already in the ledger
-    (anti-join), delivers the rest in payloads, lands the replies and
-    writes the delivered keys as the batch's ledger partition.  The ledger
-    and replies live in the shared folder, so a retried micro-batch, a
-    restarted query or a re-landed file never creates a record twice.
+    Each micro-batch skips records whose key is already in the ledger,
+    delivers the rest in payloads, sends the records of failed payloads one
+    by one, and writes accepted, rejected and undelivered records to the
+    ledger, ``<ledger>_rejected`` and ``<ledger>_failed``.  Undelivered records
+    of earlier runs are sent again before the stream starts.
 
     ``dedupe="state"`` moves the "already delivered?" test into the stream's
     state store (``dropDuplicates(key)``: per-key lookups, checkpointed with
-    the query; use the RocksDB state store for very large key sets) instead
-    of an anti-join against the whole ledger each micro-batch.  The ledger
-    is still written as the delivery record.
+    the query; use the RocksDB state store for very large key sets).  The
+    ledger is still written as the delivery record.
     """
     if dedupe not in ("ledger", "state"):
         raise ValueError("dedupe must be 'ledger' or 'state'")
     src = stream.dropDuplicates([key]) if dedupe == "state" else stream
+    resend(stream.sparkSession, ledger_path, transport, object_type, batch_size)
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
         deliver_batch(batch_df, batch_id, key, transport, ledger_path, schema, object_type,

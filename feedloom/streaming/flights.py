@@ -2,26 +2,69 @@
 
 Snapshots are landed files (one JSON snapshot per line), read with the file
 source; the stream offset is the set of files, so a replay re-reads the
-same snapshots.  Repeats of a vector (same ``icao24`` at the same snapshot
-time) are dropped with ``dropDuplicatesWithinWatermark``; state is kept
-only for the watermark delay, so it stays bounded however long the stream
-runs.
+same snapshots.  A repeated vector (same ``icao24`` at the same snapshot
+time) is dropped, whatever order the files arrive in:
+
+* ``flight_stream`` keeps the keys seen in the state store
+  (``dropDuplicates``).  ``delay`` bounds that state by a watermark, at the
+  price of dropping snapshots that arrive later than it.
+* ``write_states`` keeps no state: each micro-batch is compared with what
+  earlier batches wrote, in the days of snapshot time it touches only.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from feedloom.sources import flights
 from feedloom.streaming.sources import text_lines
 
+KEY = ["icao24", "time_ingest"]
+
+
+def dedupe_states(states: DataFrame, delay: str | None = None) -> DataFrame:
+    if delay is None:
+        return states.dropDuplicates(KEY)
+    return states.withWatermark("time_ingest", delay).dropDuplicatesWithinWatermark(KEY)
+
 
-def dedupe_states(states: DataFrame, delay: str = "1 hour") -> DataFrame:
-    return (states.withWatermark("time_ingest", delay)
-            .dropDuplicatesWithinWatermark(["icao24", "time_ingest"]))
+def state_rows(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Every vector of the landed snapshots, repeats included."""
+    return flights.normalise(text_lines(spark, path, max_files_per_trigger))
 
 
-def flight_stream(spark, path: str, delay: str = "1 hour",
+def flight_stream(spark, path: str, delay: str | None = None,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    snaps = text_lines(spark, path, max_files_per_trigger)
-    return dedupe_states(flights.normalise(snaps), delay)
+    return dedupe_states(state_rows(spark, path, max_files_per_trigger), delay)
+
+
+def write_states(states: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
+    """Append each vector once to ``out`` (partitioned by batch and day).
+
+    A retried micro-batch rewrites its own folder, so nothing is written
+    twice.  The collected days are those of one micro-batch's snapshots.
+    """
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        day = F.date_format("time_ingest", "yyyyMMdd").cast("int")
+        new = batch.dropDuplicates(KEY).withColumn("day", day).persist()
+        try:
+            days = [r[0] for r in new.select("day").distinct().collect()]
+            try:
+                old = (spark.read.schema(f"{new.drop("day").schema.toDDL()}, batch_id long, day int").parquet(out)
+                       .where(F.col("day").isin([x for x in days if x is not None]) & (F.col("batch_id") != batch_id))
+                       .select(*[F.col(k).alias(f"_{k}") for k in KEY]))
+                seen = (F.col("icao24") == F.col("_icao24")) & (F.col("time_ingest") == F.col("_time_ingest"))
+                fresh = new.join(old, seen, "left_anti")
+            except AnalysisException as e:  # the first batch
+                if "PATH_NOT_FOUND" not in str(e):
+                    raise
+                fresh = new
+            fresh.write.mode("overwrite").partitionBy("day").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            new.unpersist()
+
+    return (states.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
