@@ -193,7 +193,7 @@ def _metadata(df: DataFrame, metadata: tuple[str, ...]) -> list[Column]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-        metadata: tuple[str, ...] = (), max_rows: int = 20_000, max_nonzeros: int = 8_000_000) -> Model:
+        metadata: tuple[str, ...] = (), max_rows: int = 10_000, max_nonzeros: int = 4_000_000) -> Model:
     """Fit on labelled rows outside the held-out third."""
     spark = docs.sparkSession
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
