@@ -18,13 +18,15 @@ a DataFrame.
 
 from __future__ import annotations
 
-import ast
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators import fetch as fx
 from feedloom.operators.requests import build_requests
+from feedloom.operators.transports import http_transport
+from feedloom.session import fresh_dir
 from feedloom.sources import (
     arrow, datasets, fake, flights, github, hub, placeholder, quotes, sheets, stock, weather,
 )
@@ -51,6 +53,13 @@ def _bool(v, default: bool) -> bool:
     return str(v).strip().lower() in ("true", "1", "y", "yes")
 
 
+def _known(options: dict, *names: str) -> None:
+    """An option nobody reads is an error, not silence."""
+    unknown = sorted(set(options) - set(names))
+    if unknown:
+        raise ValueError(f"unknown options: {', '.join(unknown)}; known: {', '.join(sorted(names))}")
+
+
 def _responses(req: DataFrame, feed: str, transport=None, captures: DataFrame | None = None,
                land_to: str | None = None, on=None, partitions: int | None = None,
                concurrency: int = 1) -> DataFrame:
@@ -61,8 +70,8 @@ def _responses(req: DataFrame, feed: str, transport=None, captures: DataFrame |
     got = fx.fetch(req, transport, partitions=partitions, concurrency=concurrency)
     if land_to is None:
         return got
-    landed = fx.land(fx.as_capture(got, feed, key=on), land_to)
-    return fx.replay(req, landed, on=on, feed=feed)
+    folder = f"{land_to.rstrip('/')}/{uuid.uuid4().hex}"  # this read's replies only
+    return fx.replay(req, fx.land_once(got, feed, folder, key=on), on=on, feed=feed, latest=False)
 
 
 def _list_df(spark, name: str, values: list) -> DataFrame:
@@ -83,31 +92,52 @@ def read(spark, feed: str, transport=None, captures: DataFrame | None = None,
 
 
 def _read_rest(spark, o, transport, captures, land_to):
+    _known(o, "input", "url", "method", "queryType", "postInputFormat", "headers", "authType", "oauthToken",
+           "userId", "userPassword", "cookie", "partitions", "concurrency", "failOnError", "schema",
+           "schemaSamplePcnt", "includeInputsInOutput", "callStrictlyOnce", "connectionTimeout", "readTimeout")
     params = _opt(o, "input")
     if isinstance(params, str):  # a temp view / table name, as the option was
         params = spark.table(params)
-    req = build_requests(
-        params, _opt(o, "url"), method=_opt(o, "method", default="POST"),
-        query_type=_opt(o, "queryType", default="querystring"),
-        post_input_format=_opt(o, "postInputFormat", default="json"),
-        headers=_opt(o, "headers"), auth_type=_opt(o, "authType"),
-        token=_opt(o, "oauthToken"), user=_opt(o, "userId"), password=_opt(o, "userPassword"),
-        cookie=_opt(o, "cookie"))
+    if transport is None and captures is None:
+        # the standard library has one time-out for connecting and reading
+        limits = [float(_opt(o, n)) for n in ("connectionTimeout", "readTimeout") if _opt(o, n) is not None]
+        transport = http_transport(timeout=max(limits)) if limits else http_transport()
     parts = _opt(o, "partitions")
-    got = _responses(req, "rest", transport, captures, land_to,
-                     partitions=int(parts) if parts is not None else None,
-                     concurrency=int(_opt(o, "concurrency", default=1)))
+
+    def call(rows: DataFrame) -> DataFrame:
+        req = build_requests(
+            rows, _opt(o, "url"), method=_opt(o, "method", default="POST"),
+            query_type=_opt(o, "queryType", default="querystring"),
+            post_input_format=_opt(o, "postInputFormat", default="json"),
+            headers=_opt(o, "headers"), auth_type=_opt(o, "authType"),
+            token=_opt(o, "oauthToken"), user=_opt(o, "userId"), password=_opt(o, "userPassword"),
+            cookie=_opt(o, "cookie"))
+        return _responses(req, "rest", transport, captures, land_to,
+                          partitions=int(parts) if parts is not None else None,
+                          concurrency=int(_opt(o, "concurrency", default=1)))
+
+    if params is not None and _bool(_opt(o, "callStrictlyOnce"), False):
+        got = fx.call_once(params, list(params.columns), call, ["status", "response", "_corrupt_record"])
+    else:
+        got = call(params)
     got = fx.fail_on_error(got, _bool(_opt(o, "failOnError"), False))
-    out = fx.parse_output(got, _opt(o, "schema"))
-    include = str(_opt(o, "includeInputsInOutput", default="Y")).upper() in ("Y", "TRUE")
+    schema, sample = _opt(o, "schema"), _opt(o, "schemaSamplePcnt")
+    if schema is None and sample is not None:
+        if land_to is None and captures is None:
+            raise ValueError("schemaSamplePcnt reads the responses twice: give land_to or captures")
+        schema = fx.infer_schema(got, fraction=float(sample) / 100.0)
+    out = fx.parse_output(got, schema)
+    include = _bool(_opt(o, "includeInputsInOutput"), True)
     return fx.select_output(out, include_inputs=include, inputs=list(params.columns))
 
 
 def _read_arrow(spark, o, *_):
-    return arrow.read_arrow(spark, _opt(o, "path"))
+    _known(o, "path", "columns")
+    return arrow.read_arrow(spark, _opt(o, "path"), _opt(o, "columns"))
 
 
 def _read_fake(spark, o, *_):
+    _known(o, "numRows", "numPartitions", "schema")
     n = int(_opt(o, "numRows", default=3))
     parts = _opt(o, "numPartitions")
     return fake.fake(spark, n, _opt(o, "schema", default=fake.DEFAULT_SCHEMA),
@@ -115,37 +145,47 @@ def _read_fake(spark, o, *_):
 
 
 def _read_pulls(spark, o, transport, captures, land_to):
+    """Every page of a repository's pull requests, up to the first empty one."""
+    _known(o, "path", "repo", "token")
     repo = _opt(o, "path", "repo")
-    url = github.pulls_url(repo)
     token = _opt(o, "token")
-    req = build_requests(_list_df(spark, "repo", [repo]), url, method="GET", param_columns=[],
-                         headers='{"Accept": "application/vnd.github+json"}',
-                         auth_type="Bearer" if token else None, token=token)
-    return github.normalise(_as_capture_cols(_responses(req, "pull_requests", transport, captures, land_to)))
+
+    def call(pages: DataFrame) -> DataFrame:
+        url = F.concat(F.lit(github.pulls_url(repo)), F.when(F.col("page") > 1, F.concat(F.lit("?page="), F.col("page")))
+                       .otherwise(F.lit("")))
+        req = build_requests(pages, url, method="GET", param_columns=[],
+                             headers='{"Accept": "application/vnd.github+json"}',
+                             auth_type="Bearer" if token else None, token=token)
+        return _responses(req, "pull_requests", transport, captures)
+
+    items = F.size(F.try_variant_get(F.try_parse_json("response"), "$", "array<variant>"))
+    got = fx.pages_until_empty(_list_df(spark, "repo", [repo]), call, items, land_to or fresh_dir(spark, "pulls"))
+    return github.normalise(_as_capture_cols(got))
+
+
+def _sheet_of(spark, o) -> tuple[str, str | None]:
+    """(spreadsheet id, sheet id) that the options name."""
+    if _opt(o, "url") is None:
+        if _opt(o, "path") is None:
+            raise ValueError("name the sheet: its url, or its spreadsheet id as path")
+        return _opt(o, "path"), _opt(o, "sheet_id")
+    found = spark.range(1).select(sheets.locate(F.lit(_opt(o, "url"))).alias("l")).first()["l"]
+    if found["error"] is not None:
+        raise ValueError(found["error"])
+    return found["spreadsheet_id"], found["sheet_id"]
 
 
 def _read_sheets(spark, o, transport, captures, land_to):
-    url = _opt(o, "url")
-    if url is not None:
-        loc = spark.createDataFrame([(url,)], "u string").select(sheets.locate(F.col("u")).alias("l"))
-        row = loc.first()["l"]
-        if row["error"]:
-            raise ValueError(row["error"])
-        sid, gid = row["spreadsheet_id"], row["sheet_id"]
-    elif _opt(o, "path") is not None:
-        sid, gid = _opt(o, "path"), _opt(o, "sheet_id")
-    else:
-        raise ValueError("You must specify either `url` or `path` (spreadsheet ID).")
+    _known(o, "url", "path", "sheet_id", "has_header", "schema")
     has_header = _bool(_opt(o, "has_header"), True)
     schema = _opt(o, "schema")
-    if not has_header and schema is None:
-        raise ValueError("Custom schema is required when `has_header` is false")
-    req = spark.createDataFrame([(sid, gid)], "sid string, gid string").select(
-        sheets.export_url(F.col("sid"), F.col("gid")).alias("url"))
-    req = build_requests(req, F.col("url"), method="GET", param_columns=[])
-    body = _responses(req, "sheets", transport, captures, land_to).select("response")
-    lines = body.select(F.posexplode(F.split(F.regexp_replace("response", "\r\n", "\n"), "\n"))
-                        .alias("n", "line")).where(F.col("line") != "")
+    if schema is None and not has_header:
+        raise ValueError("a sheet without a header row needs a schema")
+    where = spark.createDataFrame([_sheet_of(spark, o)], "sid string, gid string")
+    req = build_requests(where.select(sheets.export_url(F.col("sid"), F.col("gid")).alias("url")), F.col("url"),
+                         method="GET", param_columns=[])
+    got = _responses(req, "sheets", transport, captures, land_to)
+    lines = got.select(F.posexplode(sheets.record_lines(F.col("response"))).alias("n", "line")).where(F.col("line") != "")
     return sheets.sheet_from_lines(lines, has_header=has_header, schema=schema)
 
 
@@ -163,6 +203,7 @@ def _read_datasets(spark, o, *_):
 
 
 def _read_blog(spark, o, transport, captures, land_to):
+    _known(o, "endpoint", "id", "limit")
     endpoint = _opt(o, "endpoint", default="posts")
     if endpoint not in placeholder.ENDPOINTS:
         endpoint = "posts"
@@ -178,7 +219,8 @@ def _read_blog(spark, o, transport, captures, land_to):
 
 
 def _read_quotes(spark, o, transport, captures, land_to):
-    syms = quotes.check_symbols(_opt(o, "path", "symbols"))
+    _known(o, "path", "symbols")
+    syms = quotes.option_symbols(spark, _opt(o, "path", "symbols"))
     req = _list_df(spark, "symbol", syms)
     req = build_requests(req, F.concat(F.lit(QUOTES_BASE), quotes.quote_path(F.col("symbol"))),
                          method="GET", param_columns=[])
@@ -187,9 +229,10 @@ def _read_quotes(spark, o, transport, captures, land_to):
 
 
 def _read_prices(spark, o, transport, captures, land_to):
+    _known(o, "api_key", "function", "path", "symbols")
     key = _opt(o, "api_key")
     if not key:
-        raise ValueError("API Key is required to load the data.")
+        raise ValueError("api_key is required")
     function = stock.check_function(_opt(o, "function", default="TIME_SERIES_DAILY"))
     names = [s.strip() for s in str(_opt(o, "path", "symbols", default="")).split(",") if s.strip()]
     if not names:
@@ -204,6 +247,7 @@ def _read_prices(spark, o, transport, captures, land_to):
 
 
 def _read_flights(spark, o, transport, captures, land_to):
+    _known(o, "client_id", "client_secret", "region")
     if _opt(o, "client_id") and not _opt(o, "client_secret"):
         raise ValueError("client_secret must be provided when client_id is set")
     region = flights.check_region(_opt(o, "region"))
@@ -213,16 +257,10 @@ def _read_flights(spark, o, transport, captures, land_to):
     return flights.normalise(_as_capture_cols(_responses(req, "flights", transport, captures, land_to)))
 
 
-def parse_location_option(text: str) -> list[tuple[float, float]]:
-    """``"[(lat, lon), ...]"`` (an option value) -> list of pairs."""
-    return [tuple(map(float, x)) for x in ast.literal_eval(text or "[]")]
-
-
 def _read_weather(spark, o, transport, captures, land_to):
+    _known(o, "frequency", "locations", "apikey", "marks")
     freq = weather.check_frequency(_opt(o, "frequency", default="minutely"))
-    locs = parse_location_option(_opt(o, "locations", default="[]"))
-    if not locs:
-        raise ValueError("Give at least one location")
+    locs = weather.option_locations(spark, _opt(o, "locations"))
     key = _opt(o, "apikey", default="")
     df = spark.createDataFrame(locs, "latitude double, longitude double")
     url = F.concat(F.lit(WEATHER_URL + "?location="), F.col("latitude").cast("string"), F.lit(","),
@@ -250,7 +288,7 @@ def write(df: DataFrame, sink: str, **options):
 
         path = _opt(options, "path")
         if not path:
-            raise ValueError("You must specify an output path")
+            raise ValueError("path (the output folder) is required")
         return json_array.write_json_array(df, path, _opt(options, "mode", default="append"))
     if sink == "arrow_dataset":
         path = _opt(options, "path")
@@ -282,7 +320,8 @@ def read_stream(spark, feed: str, **options) -> DataFrame:
 
     ``fake``: ``numRows`` generated rows per micro-batch (rate source).
     ``flights``: landed snapshot files at ``path`` (one snapshot per line),
-    repeats dropped within ``watermark`` (default 1 hour), optional region.
+    repeats dropped (``watermark``: forget keys older than that, and drop
+    snapshots that arrive later), optional region.
     ``weather``: landed ``{latitude, longitude, body}`` JSON lines at ``path``;
     entries after each location's mark (keyed state, ``initial_mark``).
     ``files``: new files at ``path`` as (name, path, content).
@@ -301,8 +340,7 @@ def read_stream(spark, feed: str, **options) -> DataFrame:
     if not path:
         raise ValueError("path (landed files) is required")
     if feed == "flights":
-        states = flight_stream.flight_stream(spark, path, _opt(options, "watermark", default="1 hour"),
-                                             max_files)
+        states = flight_stream.flight_stream(spark, path, _opt(options, "watermark"), max_files)
         region = _opt(options, "region")
         return states if region is None else states.where(flights.in_region(region))
     if feed == "weather":

@@ -26,6 +26,7 @@ plain Catalyst.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -347,6 +348,51 @@ def call_once(params: DataFrame, key_cols: list[str], call: Callable[[DataFrame]
     return params.join(res, cond, "left").drop(*[f"_k_{k}" for k in key_cols])
 
 
+def pages_until_empty(keys: DataFrame, call: Callable[[DataFrame], DataFrame], n_items: Column, path: str,
+                      first: int = 1, step: int = 4, page_col: str = "page") -> DataFrame:
+    """Q11 without a known total: pages of every key up to its first empty one.
+
+    ``call`` answers (key columns, page) rows; ``n_items`` counts a response's
+    items (null, zero or less: no more pages; a failed page ends its key and
+    is kept).  Pages are asked in rounds, each twice as many as the one
+    before, only for keys that are still open, and landed below ``path``; so
+    the rounds grow with the logarithm of the longest key and at most twice
+    the pages needed are asked for.  A service that answers every page of the
+    first round with the same text doesn't page: its first page is all.
+    """
+    if step < 2:
+        raise ValueError("step must be >= 2")
+    spark, folder = keys.sparkSession, f"{path.rstrip('/')}/pages-{uuid.uuid4().hex}"
+    names, open_, rounds, start = list(keys.columns), keys.distinct(), [], first
+    while True:
+        pages = open_.withColumn(page_col, F.explode(F.sequence(F.lit(first), F.lit(first + step - 1))))
+        got = call(pages).withColumn("_items", F.coalesce(n_items, F.lit(0)))
+        rounds.append(land(got, f"{folder}/{first}", partition_by=None))
+        end = F.min(F.when(F.col("_items") <= 0, F.col(page_col)))
+        if first == start:
+            text = F.xxhash64("response")
+            end = F.coalesce(end, F.when(F.min(text) == F.max(text), F.lit(start)))
+        ended = rounds[-1].groupBy(*names).agg(end.alias("_end"))
+        ended.write.parquet(f"{folder}/end-{first}")
+        open_ = spark.read.parquet(f"{folder}/end-{first}").where(F.col("_end").isNull()).select(*names)
+        first, step = first + step, 2 * step
+        if open_.isEmpty():
+            break
+    from feedloom.operators.requests import cut_pages
+
+    # The first round's end is known for every key; later rounds only have open keys.
+    private = [f"_key_{i}" for i in range(len(names))]
+    ends = spark.read.parquet(f"{folder}/end-{start}").where(F.col("_end") == start).select(
+        *[F.col(n).alias(p) for n, p in zip(names, private)], "_end")
+    every = join_on_key(rounds[0], ends, names, private, "left").drop(*private)
+    every = every.where(F.col("_end").isNull() | (F.col(page_col) <= F.col("_end"))).drop("_end")
+    for r in rounds[1:]:
+        every = every.unionByName(r)
+    kept = cut_pages(every.withColumn("_more", F.lit(True)), names, page_col, "_more", "_items").drop("_more")
+    failed = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in kept.columns else F.lit(False)
+    return kept.where((F.col("_items") > 0) | failed).drop("_items")
+
+
 def enrich(facts: DataFrame, key: str, lookup: Callable[[DataFrame], DataFrame],
            result_cols: list[str], how: str = "inner") -> DataFrame:
     """distinct keys of a fact table -> lookup -> join back on the key.

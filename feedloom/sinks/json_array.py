@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from feedloom.sources.arrow import _fs
+from feedloom.sources.arrow import _fs, on_threads
 
 
 JSON_COLUMN = "__json__"
@@ -100,15 +100,13 @@ class JsonArrayWriter(DataSourceArrowWriter):
         import pyarrow.fs as pafs
 
         fs, base = _fs(self.path)
-        finals = set()
-        for m in messages:
-            if m is not None and m.staged:
-                fs.move(m.staged, m.final)
-                finals.add(m.final)
+        staged = [m for m in messages if m is not None and m.staged]
+        on_threads(lambda m: fs.move(m.staged, m.final), staged)
         if self.overwrite:
-            for info in fs.get_file_info(pafs.FileSelector(base, recursive=False)):
-                if info.type == pafs.FileType.File and info.path not in finals:
-                    fs.delete_file(info.path)
+            finals = {m.final for m in staged}
+            old = [i.path for i in fs.get_file_info(pafs.FileSelector(base, recursive=False))
+                   if i.type == pafs.FileType.File and i.path not in finals]
+            on_threads(fs.delete_file, old)
         try:
             fs.delete_dir(f"{base}/_staging/{self.job}")
         except OSError:
@@ -135,7 +133,7 @@ class JsonArraySink(DataSource):
     def writer(self, schema: StructType, overwrite: bool):
         path = self.options.get("path")
         if not path:
-            raise ValueError("You must specify an output path")
+            raise ValueError("path (the output folder) is required")
         fs, base = _fs(path)
         fs.create_dir(base, recursive=True)
         return JsonArrayWriter(path, overwrite, uuid.uuid4().hex[:12])
@@ -147,18 +145,39 @@ def register(spark) -> None:
 
 def json_rows(df):
     """One JSON object text per row, built on the JVM: dates / timestamps as
-    ISO text, null fields written as ``null`` (like ``json.dumps``)."""
+    ISO text at every depth, null fields written as ``null`` (like ``json.dumps``)."""
     from pyspark.sql import functions as F
 
+    cols = [_iso(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields]
+    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias(JSON_COLUMN))
+
+
+def _iso(c, t):
+    """The value with dates and timestamps as ISO text, at every depth."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import ArrayType, MapType
+
     from feedloom.functions.safe import iso_text
 
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if f.dataType.typeName() in ("date", "timestamp", "timestamp_ntz"):
-            c = iso_text(c, f.dataType)
-        cols.append(c.alias(f.name))
-    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias(JSON_COLUMN))
+    if not _has_time(t):
+        return c
+    if isinstance(t, StructType):
+        return F.when(c.isNotNull(), F.struct(*[_iso(c.getField(f.name), f.dataType).alias(f.name) for f in t.fields]))
+    if isinstance(t, ArrayType):
+        return F.transform(c, lambda x: _iso(x, t.elementType))
+    if isinstance(t, MapType):
+        return F.transform_values(c, lambda _, v: _iso(v, t.valueType))
+    return iso_text(c, t)
+
+
+def _has_time(t) -> bool:
+    from pyspark.sql.types import ArrayType, MapType
+
+    if isinstance(t, StructType):
+        return any(_has_time(f.dataType) for f in t.fields)
+    if isinstance(t, (ArrayType, MapType)):
+        return _has_time(t.elementType if isinstance(t, ArrayType) else t.valueType)
+    return t.typeName() in ("date", "timestamp", "timestamp_ntz")
 
 
 def write_json_array(df, path: str, mode: str = "append") -> None:
@@ -167,7 +186,8 @@ def write_json_array(df, path: str, mode: str = "append") -> None:
 
 
 def read_json_array(spark, path: str, schema=None):
-    """Read the files back (``multiLine``: each file is one array)."""
+    """Read the files back.  Each file is one array (``multiLine``), which
+    Spark cannot split: a file is read by one task."""
     r = spark.read.option("multiLine", "true").option("pathGlobFilter", "*.json")
     if schema is not None:
         r = r.schema(schema)

@@ -30,6 +30,25 @@ from pyspark.sql.types import StructType
 SPLIT_BYTES = 128 * 1024 * 1024  # like spark.sql.files.maxPartitionBytes
 
 
+# Hadoop's names of stores that pyarrow knows by another name.
+HADOOP_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+DRIVER_THREADS = 32  # file calls the driver makes at once
+
+
+def on_threads(call, items) -> list:
+    """``call`` of every item, in order, many at a time (file system calls)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(DRIVER_THREADS) as pool:
+        return list(pool.map(call, items))
+
+
+def store_uri(uri: str) -> str:
+    """A Hadoop URI as pyarrow names the same store."""
+    scheme, _, rest = uri.partition("://")
+    return f"{HADOOP_SCHEMES.get(scheme, scheme)}://{rest}"
+
+
 def _fs(path: str):
     import pyarrow.fs as pafs
 
@@ -39,7 +58,7 @@ def _fs(path: str):
         if p.startswith("//"):
             p = p[2:]
     if "://" in p:
-        return pafs.FileSystem.from_uri(p)
+        return pafs.FileSystem.from_uri(store_uri(p))
     return pafs.LocalFileSystem(), p
 
 
@@ -48,6 +67,12 @@ def _hidden(rel: str) -> bool:
     return any(part.startswith(("_", ".")) for part in rel.split("/") if part)
 
 
+def _children(fs, folder: str):
+    import pyarrow.fs as pafs
+
+    return fs.get_file_info(pafs.FileSelector(folder, recursive=False, allow_not_found=True))
+
+
 def list_files(path: str) -> list[str]:
     """File, directory (``*.arrow`` sorted) or glob -> sorted file list."""
     import fnmatch
@@ -56,13 +81,21 @@ def list_files(path: str) -> list[str]:
 
     fs, p = _fs(path)
     if any(ch in p for ch in "*?["):
-        parts = p.split("/")
-        cut = next(i for i, s in enumerate(parts) if any(ch in s for ch in "*?["))
-        base = "/".join(parts[:cut]) or "/"
-        sel = pafs.FileSelector(base, recursive=True, allow_not_found=True)
-        files = [i.path for i in fs.get_file_info(sel)
-                 if i.type == pafs.FileType.File and fnmatch.fnmatch(i.path, p)
-                 and not _hidden(i.path[len(base):])]
+        # segment by segment: a pattern never crosses a folder, and only
+        # folders that match are listed
+        *folders, last = p.split("/")
+        found = [""]
+        for part in folders:
+            if any(ch in part for ch in "*?["):
+                listed = on_threads(lambda d: _children(fs, d), found)
+                found = [i.path for many in listed for i in many if i.type == pafs.FileType.Directory
+                         and fnmatch.fnmatchcase(i.base_name, part) and not _hidden(i.base_name)]
+            else:
+                found = [f"{d}{part}" if d in ("", "/") else f"{d}/{part}" for d in found]
+                found = [d or "/" for d in found]
+        listed = on_threads(lambda d: _children(fs, d), found)
+        files = [i.path for many in listed for i in many if i.type == pafs.FileType.File
+                 and fnmatch.fnmatchcase(i.base_name, last) and not _hidden(i.base_name)]
     else:
         info = fs.get_file_info(p)
         if info.type == pafs.FileType.File:
@@ -80,12 +113,31 @@ def list_files(path: str) -> list[str]:
     return files
 
 
-def _open(fs, file: str):
+def file_schema(path: str) -> StructType:
+    """Schema of the first file at ``path``."""
+    import pyarrow.ipc as ipc
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    first = list_files(path)[0]
+    fs, _ = _fs(path)
+    r = _open(fs, first)
+    if r is not None:
+        return from_arrow_schema(r.schema)
+    with fs.open_input_stream(first) as f:
+        return from_arrow_schema(ipc.open_stream(f).schema)
+
+
+def _open(fs, file: str, columns: list[str] | None = None):
+    """The file's reader (of some columns only), or None for the stream format."""
     import pyarrow.ipc as ipc
 
     f = fs.open_input_file(file)
     try:
-        return ipc.open_file(f)
+        r = ipc.open_file(f)
+        if columns is None or set(r.schema.names) <= set(columns):
+            return r
+        wanted = [i for i, n in enumerate(r.schema.names) if n in set(columns)]
+        return ipc.open_file(f, options=ipc.IpcReadOptions(included_fields=wanted))
     except Exception:  # noqa: BLE001 - stream format
         f.close()
         return None
@@ -99,26 +151,25 @@ class ArrowSplit(InputPartition):
 
 
 class ArrowFilesReader(DataSourceReader):
-    def __init__(self, path: str, schema: StructType, split_bytes: int = SPLIT_BYTES):
+    def __init__(self, path: str, schema: StructType, split_bytes: int = SPLIT_BYTES, some: bool = False):
         self.path = path
         self.schema = schema
+        self.some = some  # the schema is a selection of the files' columns
         self.split_bytes = max(1, int(split_bytes))
 
     def partitions(self):
         fs, _ = _fs(self.path)
-        out = []
-        for file in list_files(self.path):
+
+        def splits(file):
             r = _open(fs, file)
             if r is None:
-                out.append(ArrowSplit(file, 0, -1))
-                continue
+                return [ArrowSplit(file, 0, -1)]
             n = r.num_record_batches
-            size = fs.get_file_info(file).size or 0
-            per_batch = size / max(n, 1)
+            per_batch = (fs.get_file_info(file).size or 0) / max(n, 1)
             step = max(1, int(self.split_bytes // max(per_batch, 1)))
-            for s in range(0, max(n, 1), step):
-                out.append(ArrowSplit(file, s, min(s + step, n)))
-        return out
+            return [ArrowSplit(file, s, min(s + step, n)) for s in range(0, max(n, 1), step)]
+
+        return [s for many in on_threads(splits, list_files(self.path)) for s in many]
 
     def read(self, partition: ArrowSplit):
         import pyarrow as pa
@@ -129,6 +180,9 @@ class ArrowFilesReader(DataSourceReader):
         fs, _ = _fs(self.path)
 
         def project(b):
+            more = [n for n in b.schema.names if n not in target.names]
+            if more and not self.some:
+                raise ValueError(f"columns {more} are not in the schema read from the first file; give the columns to read")
             cols = []
             for field in target:
                 idx = b.schema.get_field_index(field.name)
@@ -143,7 +197,7 @@ class ArrowFilesReader(DataSourceReader):
                     for b in ipc.open_stream(f):
                         yield project(b)
             else:
-                r = _open(fs, partition.file)
+                r = _open(fs, partition.file, target.names if self.some else None)
                 for i in range(partition.first, partition.last):
                     yield project(r.get_batch(i))
         except Exception as e:
@@ -197,9 +251,7 @@ class ArrowDatasetWriter(DataSourceArrowWriter):
 
     def commit(self, messages):
         fs, base = _fs(self.path)
-        for m in messages:
-            if m is not None and m.staged:
-                fs.move(m.staged, m.final)
+        on_threads(lambda m: fs.move(m.staged, m.final), [m for m in messages if m is not None and m.staged])
         try:
             fs.delete_dir(f"{base}/_staging/{self.job}")
         except OSError:
@@ -227,22 +279,25 @@ class ArrowFilesSource(DataSource):
             raise ValueError("path is required")
         return p
 
-    def schema(self):
-        import pyarrow.ipc as ipc
-        from pyspark.sql.pandas.types import from_arrow_schema
+    def _columns(self) -> list[str] | None:
+        import json
+
+        given = self.options.get("columns")
+        return json.loads(given) if given else None
 
-        path = self._path()
-        first = list_files(path)[0]
-        fs, _ = _fs(path)
-        r = _open(fs, first)
-        if r is not None:
-            return from_arrow_schema(r.schema)
-        with fs.open_input_stream(first) as f:
-            return from_arrow_schema(ipc.open_stream(f).schema)
+    def schema(self):
+        st = file_schema(self._path())
+        columns = self._columns()
+        if columns is None:
+            return st
+        missing = [c for c in columns if c not in st.names]
+        if missing:
+            raise ValueError(f"no columns {missing} in the first file; it has {st.names}")
+        return StructType([st[c] for c in columns])
 
     def reader(self, schema: StructType):
-        return ArrowFilesReader(self._path(), schema,
-                                int(self.options.get("maxPartitionBytes", SPLIT_BYTES)))
+        return ArrowFilesReader(self._path(), schema, int(self.options.get("maxPartitionBytes", SPLIT_BYTES)),
+                                self._columns() is not None)
 
 
 class ArrowDatasetSink(DataSource):
@@ -268,11 +323,26 @@ def register(spark) -> None:
     spark.dataSource.register(ArrowDatasetSink)
 
 
-def read_arrow(spark, path: str):
+def read_arrow(spark, path: str, columns: list[str] | None = None):
+    """Rows of Arrow files; with ``columns`` no other column leaves the files."""
+    import json
+
     register(spark)
-    return spark.read.format("arrowfiles").load(path)
+    r = spark.read.format("arrowfiles")
+    if columns is not None:
+        r = r.option("columns", json.dumps(list(columns)))
+    return r.load(path)
 
 
 def append_arrow(df, path: str) -> None:
+    """Append fragments; a dataset keeps the schema of its first fragment."""
     register(df.sparkSession)
+    try:
+        have = file_schema(path)
+    except FileNotFoundError:
+        have = None
+    if have is not None:
+        types = lambda st: [(f.name, f.dataType.simpleString()) for f in st.fields]
+        if types(have) != types(df.schema):
+            raise ValueError(f"the dataset at {path} has columns {types(have)}, the rows have {types(df.schema)}")
     df.write.format("arrowdataset").mode("append").save(path)

@@ -32,7 +32,10 @@ def read_file(spark, root: str, handle: str, file: str, username: str | None = N
     """Read one file (or a glob) of a dataset.
 
     CSV types are inferred, which costs one extra pass over the files; for
-    large files give ``schema`` (DDL) or a ``samplingRatio`` option.
+    large files give ``schema`` (DDL) or a ``samplingRatio`` option.  A CSV
+    row with more or fewer cells than the header is an error (``mode`` to
+    change that).  Files are split by lines; give ``multiLine="true"`` where
+    quoted cells hold line breaks.
     """
     check_credentials(username, key)
     folder = resolve(root, handle)
@@ -46,6 +49,8 @@ def read_file(spark, root: str, handle: str, file: str, username: str | None = N
         r = r.option("header", "true")
         if "escape" not in options:
             r = r.option("escape", '"')
+        if "mode" not in options:
+            r = r.option("mode", "FAILFAST")
         df = r.csv(path) if schema is not None else r.option("inferSchema", "true").csv(path)
     elif ext in ("json", "jsonl"):
         df = r.json(path)

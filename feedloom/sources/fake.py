@@ -53,7 +53,8 @@ def _pick(words: list[str], idx: Column) -> Column:
 
 
 def _h(id_col: Column, a: int, b: int, n: int, seed: int) -> Column:
-    return F.pmod(id_col * F.lit(a) + F.lit(b + 7919 * seed), F.lit(n))
+    # reduced first, so no id can overflow the product
+    return F.pmod(F.pmod(id_col, F.lit(n)) * F.lit(a) + F.lit((b + 7919 * seed) % n), F.lit(n))
 
 
 def _generators(i: Column, seed: int) -> dict[str, Column]:

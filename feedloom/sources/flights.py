@@ -126,13 +126,6 @@ def in_region(region: str) -> Column:
     return (F.col("latitude").between(lamin, lamax) & F.col("longitude").between(lomin, lomax))
 
 
-def region_table(spark) -> DataFrame:
-    """The seven named boxes as a DataFrame (fixed size: 7 rows)."""
-    return spark.createDataFrame(
-        [(k, *v) for k, v in REGIONS.items()],
-        "region string, lamin double, lamax double, lomin double, lomax double")
-
-
 def tag_regions(states: DataFrame) -> DataFrame:
     """Every (state, region) pair whose box holds the position.
 

@@ -21,7 +21,8 @@ def split_path(root: str, dataset: str, split: str = "train", config: str = "def
 
 def read_split(spark, root: str, dataset: str, split: str = "train", config: str = "default",
                columns=None) -> DataFrame:
-    df = spark.read.parquet(split_path(root, dataset, split, config))
+    # files of one split may differ in their columns: all of them count
+    df = spark.read.option("mergeSchema", "true").parquet(split_path(root, dataset, split, config))
     have = set(df.columns)
     if columns is None:
         return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])

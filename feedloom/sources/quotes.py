@@ -5,7 +5,7 @@
 ``{results: [{price, bid_inclusive_of_sell_spread,
 ask_inclusive_of_buy_spread, timestamp}]}``; a missing, empty or unparsable
 number becomes 0.0.  A failed symbol (error, no ``results``) yields no rows
-and does not affect the others.
+and does not affect the others; ``errors`` lists it with a message.
 """
 
 from __future__ import annotations
@@ -32,20 +32,12 @@ def explode_symbols(df: DataFrame, text_col: str, out: str = "symbol") -> DataFr
     return df.withColumn(out, F.explode(symbols(F.col(text_col))))
 
 
-def check_symbols(text: str | None) -> list[str]:
-    """Driver-side check of an option value (errors before any job)."""
-    if not text:
-        raise ValueError("Must specify crypto pairs to load, e.g. 'BTC-USD,ETH-USD'")
-    out = []
-    for s in text.split(","):
-        s = s.strip().upper()
-        if s and "-" not in s:
-            s = f"{s}-USD"
-        if s:
-            out.append(s)
-    if not out:
-        raise ValueError("No crypto pairs given")
-    return out
+def option_symbols(spark, text: str | None) -> list[str]:
+    """The pairs of an option value (errors before any request)."""
+    found = spark.range(1).select(symbols(F.lit(text or "")).alias("s")).first()["s"]
+    if not found:
+        raise ValueError("symbols is required: a comma list of crypto pairs, e.g. 'BTC-USD,ETH-USD'")
+    return found
 
 
 def quote_path(symbol: Column) -> Column:
@@ -65,3 +57,17 @@ def normalise(captures: DataFrame, symbol_col: str = "symbol", body_col: str = "
         safe_double_or_zero(vget(q, "$.ask_inclusive_of_buy_spread")).alias("ask_price"),
         vget_default(q, "$.timestamp", "string", "").alias("updated_at"),
     )
+
+
+def errors(captures: DataFrame, symbol_col: str = "symbol", body_col: str = "body",
+           error_col: str | None = "_corrupt_record") -> DataFrame:
+    """(symbol, error) of the captures that give no quote."""
+    v = F.try_parse_json(body_col)
+    results = F.try_variant_get(v, "$.results", "array<variant>")
+    known = F.col(error_col) if error_col in captures.columns else F.lit(None).cast("string")
+    error = (F.when(known.isNotNull(), known)
+             .when(F.col(body_col).isNull(), F.lit("no response"))
+             .when(v.isNull(), F.lit("response is not JSON"))
+             .when(results.isNull(), F.coalesce(F.try_variant_get(v, "$.detail", "string"), F.lit("no results in the response")))
+             .when(F.size(results) == 0, F.lit("results are empty")))
+    return captures.select(F.col(symbol_col).alias("symbol"), error.alias("error")).where(F.col("error").isNotNull())

@@ -8,7 +8,9 @@
   ...  An empty sheet is an error; a sheet without a header row needs a
   user schema.
 * A user schema renames columns **by position** and casts them; a width
-  that differs from the sheet's is an error.
+  that differs from the sheet's is an error, and so is any row with more or
+  fewer cells than the first line.
+* A line break inside a quoted cell belongs to the cell (``record_lines``).
 
 Two inputs are supported: landed CSV files (``read_sheet``, a distributed
 CSV scan) and landed lines (``sheet_from_lines``: one row per line with its
@@ -112,13 +114,24 @@ def _cells(line: str) -> list[str]:
     return next(csv.reader(io.StringIO(line)), [])
 
 
+_BREAK = "\u0000\u001e"  # stands for a record's end while the text is cut
+
+
+def record_lines(body: Column) -> Column:
+    """The records of a CSV text as an array: cut at line breaks that stand
+    outside quotes (an even number of quotes before them)."""
+    parts = F.split(F.regexp_replace(body, "\r\n", "\n"), '"')
+    cut = F.transform(parts, lambda p, i: F.when(i % 2 == 0, F.replace(p, F.lit("\n"), F.lit(_BREAK))).otherwise(p))
+    return F.split(F.array_join(cut, '"'), _BREAK)
+
+
 def _schema_for(first_line: str | None, has_header: bool, schema) -> StructType:
     if first_line is None:
         raise ValueError("The sheet is empty")
     width = len(_cells(first_line))
     if schema is None:
         if not has_header:
-            raise ValueError("Custom schema is required when `has_header` is false")
+            raise ValueError("has_header is false: give a schema that names the columns")
         return StructType([StructField(n, StringType()) for n in header_names(_cells(first_line))])
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     if len(st.fields) != width:
@@ -146,16 +159,21 @@ def sheet_from_lines(lines: DataFrame, has_header: bool = True, schema=None,
     if has_header:
         # the header line becomes null *before* parsing, so no cast ever sees it
         line = F.when(F.col(n_col) != F.lit(head["n"]), line)
-    ddl = ", ".join(f"`c{i}` string" for i in range(len(st.fields)))
+    width = len(st.fields)
+    ddl = ", ".join([*(f"`c{i}` string" for i in range(width)), "`_bad` string"])
     parsed = lines.where(line.isNotNull()).select(
-        F.from_csv(line, ddl, CSV_OPTIONS).alias("_r"))
-    return parsed.select(*[F.col(f"_r.c{i}").cast(f.dataType).alias(f.name)
-                           for i, f in enumerate(st.fields)])
+        F.from_csv(line, ddl, CSV_OPTIONS | {"columnNameOfCorruptRecord": "_bad"}).alias("_r"))
+    # a row of another width is reported, never cut or filled up
+    ragged = F.when(F.col("_r._bad").isNotNull(), F.raise_error(
+        F.concat(F.lit(f"CSV parse error: expected {width} cells in "), F.col("_r._bad"))))
+    return parsed.where(ragged.isNull()).select(
+        *[F.col(f"_r.c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(st.fields)])
 
 
 def read_sheet(spark, path: str, has_header: bool = True, schema=None) -> DataFrame:
-    """Landed CSV export(s) -> typed rows (distributed CSV scan)."""
+    """Landed CSV export(s) -> typed rows.  Quoted cells may hold line breaks,
+    so a file is one task (a sheet's size is bounded by its service)."""
     first = spark.read.text(path).limit(1).collect()
     st = _schema_for(first[0][0] if first else None, has_header, schema)
     return (spark.read.schema(st).option("header", has_header).option("enforceSchema", True)
-            .options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path))
+            .options(**CSV_OPTIONS).option("mode", "FAILFAST").option("multiLine", True).csv(path))

@@ -36,8 +36,12 @@ def parse_locations(text: Column) -> Column:
     return F.from_json(t, "array<array<double>>")
 
 
-def location_key(lat: Column, lon: Column) -> Column:
-    return F.concat(F.lit("offset_"), lat.cast("string"), F.lit("_"), lon.cast("string"))
+def option_locations(spark, text: str | None) -> list[tuple[float, float]]:
+    """The (latitude, longitude) pairs of an option value."""
+    found = spark.range(1).select(parse_locations(F.lit(text or "[]")).alias("l")).first()["l"]
+    if not found or any(x is None or len(x) != 2 or None in x for x in found):
+        raise ValueError("locations is required: a list of pairs, e.g. '[(52.5, 13.4)]'")
+    return [(a, b) for a, b in found]
 
 
 def normalise(captures: DataFrame, frequency: str = "minutely", body_col: str = "body",
@@ -56,13 +60,18 @@ def initial_marks(locations: DataFrame, mark: str = INITIAL_MARK) -> DataFrame:
     return locations.select("latitude", "longitude", F.lit(mark).alias("mark"))
 
 
+def _same_place():
+    return F.col("latitude").eqNullSafe(F.col("_lat")) & F.col("longitude").eqNullSafe(F.col("_lon"))
+
+
 def increment(rows: DataFrame, marks: DataFrame, initial_mark: str = INITIAL_MARK) -> DataFrame:
     """New rows: ``timestamp > mark`` of their location (exclusive start).
 
     Locations without a mark use ``initial_mark``.  The marks table has one
-    row per location, so the join is an equi-join on the location key.
+    row per location; a null coordinate is a location of its own.
     """
-    j = rows.join(marks, ["latitude", "longitude"], "left")
+    m = marks.select(F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), "mark")
+    j = rows.join(m, _same_place(), "left").drop("_lat", "_lon")
     start = F.coalesce(F.col("mark"), F.lit(initial_mark))
     return j.where(F.col("timestamp") > start).drop("mark")
 
@@ -74,7 +83,11 @@ def advance_marks(rows: DataFrame, marks: DataFrame, initial_mark: str = INITIAL
     one row per task before the shuffle.
     """
     newest = rows.groupBy("latitude", "longitude").agg(F.max("timestamp").alias("_newest"))
-    j = marks.join(newest, ["latitude", "longitude"], "full")
-    return j.select("latitude", "longitude",
+    newest = newest.select(F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), "_newest",
+                           F.lit(True).alias("_new"))
+    j = marks.join(newest, _same_place(), "full")
+    new = F.col("_new") & F.col("mark").isNull()
+    return j.select(F.when(new, F.col("_lat")).otherwise(F.col("latitude")).alias("latitude"),
+                    F.when(new, F.col("_lon")).otherwise(F.col("longitude")).alias("longitude"),
                     F.greatest(F.coalesce("mark", F.lit(initial_mark)),
                                F.coalesce("_newest", F.lit(""))).alias("mark"))

@@ -57,10 +57,10 @@ def test_symbol_lists(spark):
     df = spark.createDataFrame([(" btc , ETH-usd ,,",)], "s string")
     assert quotes.explode_symbols(df, "s").select("symbol").rdd.flatMap(lambda r: r).collect() == \
         ["BTC-USD", "ETH-USD"]
-    assert quotes.check_symbols(" btc , ETH-usd ,,") == ["BTC-USD", "ETH-USD"]
+    assert quotes.option_symbols(spark, " btc , ETH-usd ,,") == ["BTC-USD", "ETH-USD"]
     for bad in ("", " , ,"):
         with pytest.raises(ValueError):
-            quotes.check_symbols(bad)
+            quotes.option_symbols(spark, bad)
 
 
 def test_stock_series_note_and_meta_only(spark):

@@ -38,7 +38,7 @@ def test_fetch_errors_become_rows(spark):
 def test_infer_schema_and_parse(spark):
     df = spark.createDataFrame([('{"a": 1, "b": "x"}',), ('{"a": 2.5}',), ("junk",)], "response string")
     schema = infer_schema(df, fraction=1.0)
-    assert schema == "STRUCT<a: DOUBLE, b: STRING>"
+    assert schema == "STRUCT<a: DECIMAL(21,1), b: STRING>"
     got = parse_output(df, schema).select("output.a").collect()
     assert [r.a for r in got] == [1.0, 2.5, None]
 

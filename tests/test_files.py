@@ -39,7 +39,7 @@ def test_sheet_errors(spark):
         sheets.sheet_from_lines(_lines(spark, "x,y", "1,2"), schema="a double")
     with pytest.raises(ValueError, match="empty"):
         sheets.sheet_from_lines(spark.createDataFrame([], "line string, n long"))
-    with pytest.raises(ValueError, match="schema is required"):
+    with pytest.raises(ValueError, match="give a schema"):
         sheets.sheet_from_lines(_lines(spark, "1,2"), has_header=False)
 
 
