@@ -175,6 +175,14 @@ def quotes_query(spark, d):
     return quotes.normalise(C.quote_payloads(load(spark, d, "events")))
 
 
+@query("quote_errors", """
+SELECT DISTINCT 'U' || user_id || '-USD' AS symbol, 'Not found' AS error FROM events WHERE user_id % 10 = 0
+""")
+def quote_errors(spark, d):
+    """Symbols whose call gave no quote, with the service's message."""
+    return quotes.errors(C.quote_payloads(load(spark, d, "events"))).distinct()
+
+
 @query("quote_symbols", """
 SELECT event_id, 'U' || user_id || '-USD' AS symbol FROM events
 UNION ALL

@@ -51,6 +51,22 @@ def sheets_typed(spark, d):
                                    header_n=0)
 
 
+@query("sheets_quoted", """
+SELECT c_custkey AS id, c_name || chr(10) || '"' || c_mktsegment || '", ' || c_nationkey AS note FROM customer
+""")
+def sheets_quoted(spark, d):
+    """Cells with quotes, commas and line breaks stay one cell."""
+    cust = load(spark, d, "customer")
+    note = F.concat("c_name", F.lit('\n""'), "c_mktsegment", F.lit('"", '), "c_nationkey")
+    # one CSV text per nation, as a sheet's export
+    body = cust.groupBy("c_nationkey").agg(F.concat(F.lit("id,note\r\n"), F.array_join(F.collect_list(
+        F.concat("c_custkey", F.lit(',"'), note, F.lit('"'))), "\r\n")).alias("body"))
+    lines = body.select(F.posexplode(sheets.record_lines(F.col("body"))).alias("n", "line"))
+    # every body has the header as its first record
+    rows = lines.where("n > 0").select("line", "n").unionByName(lines.where("n = 0").limit(1))
+    return sheets.sheet_from_lines(rows, schema="id bigint, note string", header_n=0)
+
+
 @query("sheets_no_header", """
 SELECT s_suppkey AS a, s_name AS b, s_nationkey AS c, s_acctbal AS d FROM supplier
 """)
@@ -121,6 +137,23 @@ def hub_missing_column(spark, d):
     return hub.read_split(spark, root, "docs-set", "test", columns=["doc_id", "lang", "quality"])
 
 
+@query("hub_mixed_schema", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+       CASE WHEN c_nationkey < 12 THEN c_name END AS c_name,
+       CASE WHEN c_nationkey >= 12 THEN CAST(c_acctbal AS VARCHAR) END AS c_acctbal
+FROM customer
+""")
+def hub_mixed_schema(spark, d):
+    """Files of one split that differ in their columns: all columns count."""
+    root = fresh_dir(spark, "hub")
+    cust = load(spark, d, "customer")
+    path = hub.split_path(root, "customers", "train")
+    cust.where("c_nationkey < 12").select("c_custkey", "c_name").write.parquet(path)
+    cust.where("c_nationkey >= 12").select("c_custkey", F.col("c_acctbal").cast("string").alias("c_acctbal")) \
+        .write.mode("append").parquet(path)
+    return hub.read_split(spark, root, "customers", columns=["c_custkey", "c_name", "c_acctbal"])
+
+
 # ------------------------------------------------------------ dataset files
 _SUPPLIER_WIDE = """
 SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier
@@ -167,10 +200,20 @@ def arrow_filter_group(spark, d):
     """Filter before a group-count over an Arrow scan."""
     path = fresh_dir(spark, "arrow")
     arrow.append_arrow(load(spark, d, "part"), path)
-    parts = arrow.read_arrow(spark, path)
+    parts = arrow.read_arrow(spark, path, ["p_brand", "p_size"])
     return parts.where(F.col("p_size") > 25).groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_parts"))
 
 
+@query("arrow_glob", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O')")
+def arrow_glob(spark, d):
+    """A glob reads the folders it names, none below them, and two columns only."""
+    root = fresh_dir(spark, "arrow")
+    orders = load(spark, d, "orders")
+    for folder, part in (("set_f", "F"), ("set_o", "O"), ("set_o/below", "P"), ("other", "P")):
+        arrow.append_arrow(orders.where(F.col("o_orderstatus") == part), f"{root}/{folder}")
+    return arrow.read_arrow(spark, f"{root}/set_?/*.arrow", ["o_orderkey", "o_totalprice"])
+
+
 @query("arrow_append", "SELECT * FROM customer UNION ALL SELECT * FROM customer")
 def arrow_append(spark, d):
     """Two appends to one dataset: both sets of fragments are read back."""

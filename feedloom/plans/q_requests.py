@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from feedloom.operators.fetch import land, replay
+from feedloom.operators.fetch import land, pages_until_empty, replay
 from feedloom.operators.requests import (
     build_requests, cut_pages, plan_pages, range_bounds, range_index, split_range,
 )
@@ -210,6 +211,31 @@ def rest_pages(spark, d):
         .select("o_custkey", "page", "it.o_orderkey", "it.o_totalprice")
 
 
+@query("rest_pages_open", """
+WITH r AS (SELECT *, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 3 AS p FROM orders)
+SELECT o_custkey, CAST(p + 1 AS INTEGER) AS page, o_orderkey, o_totalprice FROM r
+""")
+def rest_pages_open(spark, d):
+    """Q11 without a known total: pages are asked until one is empty."""
+    orders = load(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    rank = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
+    items = (orders.withColumn("page", (F.floor(rank / 3) + 1).cast("int")).groupBy("o_custkey", "page")
+             .agg(F.to_json(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_totalprice")))).alias("body")))
+    caps = land(items.select(F.lit("pages").alias("feed"),
+                             F.format_string(API + "/customers/%d/orders?page=%d", "o_custkey", "page").alias("key"),
+                             F.lit(200).alias("status"), "body", F.lit(None).cast("string").alias("error"),
+                             F.lit("2024-02-01").cast("timestamp").alias("fetched_at")), fresh_dir(spark, "captures"))
+
+    def call(pages):
+        req = build_requests(pages, API + "/customers/{o_custkey}/orders?page={page}", method="GET", query_type="inline")
+        return replay(req, caps)
+
+    parsed = F.from_json("response", "array<struct<o_orderkey bigint, o_totalprice double>>")
+    got = pages_until_empty(orders.select("o_custkey"), call, F.size(parsed), fresh_dir(spark, "pages"))
+    return (got.where("response is not null").select("o_custkey", "page", F.explode(parsed).alias("it"))
+            .select("o_custkey", "page", "it.o_orderkey", "it.o_totalprice"))
+
+
 @query("range_split", """
 WITH b AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) + 1 AS hi FROM lineitem),
      s AS (SELECT lo, hi, (hi - lo) // 8 AS step FROM b),
