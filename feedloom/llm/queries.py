@@ -36,7 +36,38 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                        page("refers_to").alias("refers_to"), "digest_ok")
 
 
-@query("op2_decontamination")
+# Words of a text, as ``feedloom.llm.text`` cuts them.
+_WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+')"
+
+
+@query("op2_decontamination", f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    i AS (SELECT min(item_id) AS item_id, w, len(w) AS n, least(13, len(w)) AS width,
+                 CASE WHEN len(w) >= 13 THEN 11 ELSE len(w) END AS least
+          FROM (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL)
+          WHERE len(w) >= 5 GROUP BY w),
+    -- 11 equal words of 13 hold four in a row, as does any whole item
+    dg AS (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS at FROM d),
+    ig AS (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS at FROM i),
+    c AS (SELECT DISTINCT dg.doc_id, ig.item_id, dg.at - ig.at AS shift
+          FROM dg JOIN ig ON dg.w[dg.at:dg.at + 3] = ig.w[ig.at:ig.at + 3]),
+    a AS (SELECT c.doc_id, c.item_id, shift, i.n, i.width, i.least,
+                 list_transform(range(1, i.n + 1), lambda j:
+                     CASE WHEN j + shift >= 1 AND d.w[j + shift] = i.w[j] THEN 1 ELSE 0 END) AS same
+          FROM c JOIN i USING (item_id) JOIN d ON c.doc_id IS NOT DISTINCT FROM d.doc_id),
+    g AS (SELECT *, list_filter(range(1, n - width + 2), lambda x: list_sum(same[x:x + width - 1]) >= least) AS good FROM a),
+    m AS (SELECT *, list_filter(range(1, n + 1), lambda j:
+                     same[j] = 1 AND len(list_filter(good, lambda x: x <= j AND j < x + width)) > 0) AS agreed
+          FROM g WHERE len(good) > 0),
+    r AS (SELECT doc_id, item_id, CAST(len(agreed) AS BIGINT) AS matched, CAST(n AS BIGINT) AS item_words,
+                 CAST(shift + agreed[1] - 1 AS BIGINT) AS text_start, CAST(agreed[1] - 1 AS BIGINT) AS item_start,
+                 CAST(agreed[-1] AS BIGINT) AS item_end FROM m)
+    SELECT doc_id, item_id, matched, item_words, matched / item_words AS overlap, text_start,
+           text_start + item_end - item_start AS text_end, item_start, item_end
+    FROM r
+    QUALIFY row_number() OVER (PARTITION BY doc_id, item_id
+                               ORDER BY matched DESC, text_start, item_start, item_end DESC) = 1
+""")
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "text")
             .withColumnsRenamed({"id": "doc_id", "item": "item_id"}))
@@ -60,7 +91,23 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0, k=10)
 
 
-@query("op4_jaccard_join")
+@query("op4_jaccard_join", f"""
+    WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+          FROM w),
+    k AS (SELECT doc_id, s, md5(array_to_string(list_sort(s), '|')) AS k FROM s),
+    c AS (SELECT k, any_value(s) AS s, count(*) AS n, min(doc_id) AS least FROM k GROUP BY k),
+    t AS (SELECT k, len(s) AS m, unnest(s) AS t FROM c),
+    p AS (SELECT a.k AS a, b.k AS b FROM t a JOIN t b ON a.t = b.t AND a.k <> b.k
+          GROUP BY a.k, b.k HAVING 5 * count(*) >= 4 * (any_value(a.m) + any_value(b.m) - count(*))),
+    r(k, l) AS (SELECT k, k FROM c UNION SELECT r.k, p.b FROM r JOIN p ON r.l = p.a),
+    o AS (SELECT r.k, min(c.least) AS class_id FROM r JOIN c ON r.l = c.k GROUP BY r.k),
+    l AS (SELECT p.a AS k, sum(c.n) AS docs, count(*) AS sets FROM p JOIN c ON p.b = c.k GROUP BY p.a)
+    SELECT k.doc_id, o.class_id, CAST(c.n - 1 + coalesce(l.docs, 0) AS BIGINT) AS n_links,
+           CAST(coalesce(l.sets, 0) AS BIGINT) AS n_set_links
+    FROM k JOIN c USING (k) JOIN o USING (k) LEFT JOIN l USING (k)
+""")
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (jaccard.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", k=5, threshold=0.8)
             .withColumnRenamed("id", "doc_id"))
