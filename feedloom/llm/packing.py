@@ -224,7 +224,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window: in
     dealt = (rows.join(F.broadcast(layout), "place").withColumn("turn", turn)
              .withColumn("shard", F.col("first") + F.pmod("turn", F.col("parts")))
              .select("shard", "place", "turn", "digest", "id", "n", "wide", "ids")
-             .repartition(shards, "shard").sortWithinPartitions("shard", "place", "turn", "digest"))
+             .repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "place", "turn", "digest"))
 
     def packed(t: pa.Table) -> pa.RecordBatch:
         ids = [np.frombuffer(raw, dtype="<u4" if wide else "<u2")
