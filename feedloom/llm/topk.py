@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 32_768
+BLOCK_ROWS = 16_384
 LEVEL_BITS = 8  # a block's impacts are quantised to so many bits
 ROUND = 3  # each round goes down to this part of the last round's impact
 LARGEST = 1 << 26
@@ -132,7 +132,7 @@ def search(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int
     asked = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
                            F.lit(1).alias("kind"), "id", "v")
     # A block's vectors come first, its queries after them, in batches.
-    grid = dealt.unionByName(asked).repartition(blocks, "block").sortWithinPartitions("block", "kind", "id")
+    grid = dealt.unionByName(asked).repartitionById(blocks, F.col("block").cast("int")).sortWithinPartitions("block", "kind", "id")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, index, ids, lists = None, None, [], []
