@@ -55,13 +55,14 @@ def _el(arr: Column, i: int) -> Column:
     return F.get(arr, i)
 
 
-def _num(v: Column) -> Column:
-    """A number, or numeric text read like Python's ``float()``."""
+def _num(v: Column, t: Column) -> Column:
+    """A number, or numeric text read like Python's ``float()``; true and
+    false are 1 and 0.  ``t`` is the value as text: only what is no number
+    is asked for its kind."""
     from feedloom.functions.safe import safe_double
 
-    return F.when(F.schema_of_variant(v) == "STRING",
-                  safe_double(F.try_variant_get(v, "$", "string"))) \
-        .otherwise(F.try_variant_get(v, "$", "double"))
+    flag = t.isin("true", "false") & (F.schema_of_variant(v) == "BOOLEAN")
+    return F.coalesce(safe_double(t), F.when(flag, (t == "true").cast("double")))
 
 
 def _int(v: Column) -> Column:
@@ -78,24 +79,30 @@ def _text(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 
 
-def state_columns(state: Column, time_ingest: Column) -> list[Column]:
-    e = lambda i: _el(state, i)
+# Places of the numbers in a state vector.
+NUMBERS = (3, 4, 5, 6, 7, 9, 10, 11, 13)
+
+
+def state_columns(time_ingest: Column) -> list[Column]:
+    """Columns of a vector ``_s`` whose numbers stand as text in ``_n<i>``."""
+    e = lambda i: _el(F.col("_s"), i)
+    num = lambda i: _num(e(i), F.col(f"_n{i}"))
     return [
         time_ingest.alias("time_ingest"),
         _text(e(0)).alias("icao24"),
         _text(e(1)).alias("callsign"),
         _text(e(2)).alias("origin_country"),
-        F.timestamp_seconds(_num(e(3))).alias("time_position"),
-        F.timestamp_seconds(_num(e(4))).alias("last_contact"),
-        _num(e(5)).alias("longitude"),
-        _num(e(6)).alias("latitude"),
-        _num(e(7)).alias("geo_altitude"),
+        F.timestamp_seconds(num(3)).alias("time_position"),
+        F.timestamp_seconds(num(4)).alias("last_contact"),
+        num(5).alias("longitude"),
+        num(6).alias("latitude"),
+        num(7).alias("geo_altitude"),
         truthy(e(8)).alias("on_ground"),
-        _num(e(9)).alias("velocity"),
-        _num(e(10)).alias("true_track"),
-        _num(e(11)).alias("vertical_rate"),
+        num(9).alias("velocity"),
+        num(10).alias("true_track"),
+        num(11).alias("vertical_rate"),
         F.try_variant_get(e(12), "$", "array<int>").alias("sensors"),
-        _num(e(13)).alias("baro_altitude"),
+        num(13).alias("baro_altitude"),
         _text(e(14)).alias("squawk"),
         truthy(e(15)).alias("spi"),
         _int(e(16)).alias("category"),
@@ -117,7 +124,9 @@ def normalise(snapshots: DataFrame, body_col: str = "body", keep: list[str] | No
     valid = ((F.size(s) >= 17)
              & _text(_el(s, 0)).isNotNull()
              & ~F.is_variant_null(_el(s, 5)) & ~F.is_variant_null(_el(s, 6)))
-    return rows.where(valid).select(*keep, *state_columns(s, F.col("_t")))
+    # each number is taken out as text once, then read
+    texts = [_text(_el(s, i)).alias(f"_n{i}") for i in NUMBERS]
+    return rows.where(valid).select(*keep, "_t", "_s", *texts).select(*keep, *state_columns(F.col("_t")))
 
 
 def in_region(region: str) -> Column:

@@ -49,14 +49,21 @@ def normalise(captures: DataFrame, symbol_col: str = "symbol", body_col: str = "
     results = F.try_variant_get(v, "$.results", "array<variant>")
     rows = captures.select(F.col(symbol_col).alias("symbol"), F.explode(results).alias("_q"))
     q = F.col("_q")
-    price = vget(q, "$.price")
-    return rows.select(
+    # each field is taken out of the payload once, then read
+    texts = rows.select(
         "symbol",
-        safe_double_or_zero(price).alias("price"),
-        safe_double_or_zero(vget(q, "$.bid_inclusive_of_sell_spread")).alias("bid_price"),
-        safe_double_or_zero(vget(q, "$.ask_inclusive_of_buy_spread")).alias("ask_price"),
+        vget(q, "$.price").alias("_price"),
+        vget(q, "$.bid_inclusive_of_sell_spread").alias("_bid"),
+        vget(q, "$.ask_inclusive_of_buy_spread").alias("_ask"),
         vget_default(q, "$.timestamp", "string", "").alias("updated_at"),
     )
+    return texts.select(
+        "symbol",
+        safe_double_or_zero(F.col("_price")).alias("price"),
+        safe_double_or_zero(F.col("_bid")).alias("bid_price"),
+        safe_double_or_zero(F.col("_ask")).alias("ask_price"),
+        "updated_at",
+    )
 
 
 def errors(captures: DataFrame, symbol_col: str = "symbol", body_col: str = "body",
