@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.tokenizer import encoder, version
+from feedloom.operators.fetch import join_on_key
 
 CACHE = "digest binary, n_tokens long"
 
@@ -79,5 +80,6 @@ def count_tokens(df: DataFrame, id_col: str, text_col: str, tokenizer: str, cach
              .repartition("digest"))
     misses = texts.join(read_cache(spark, folder), "digest", "left_anti").select("digest", "text")
     misses.mapInArrow(_counts(tokenizer), CACHE).write.mode("append").parquet(folder)
-    return (rows.join(read_cache(spark, folder), "digest", "left")
+    counts = read_cache(spark, folder).withColumnRenamed("digest", "cached")
+    return (join_on_key(rows, counts, ["digest"], ["cached"], "left")
             .select("id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
