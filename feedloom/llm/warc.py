@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.files import filesystem
+from feedloom.operators.fetch import join_on_key
 
 ARCHIVE_BYTES = 64 << 20  # an archive is closed once it holds this much
 BATCH_BYTES = 8 << 20     # payload bytes per Arrow batch handed back
@@ -55,8 +56,8 @@ def plan_records(df: DataFrame, id_col: str, payload: Column, uri: Column,
     rows = rows.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256))
     first = (rows.where(F.octet_length("payload") >= min_revisit_bytes)
              .groupBy("digest").agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
-             .where("n > 1 and first_id is not null").select("digest", "first_id"))
-    return (rows.join(first, "digest", "left")
+             .where("n > 1 and first_id is not null").select(F.col("digest").alias("first_digest"), "first_id"))
+    return (join_on_key(rows, first, ["digest"], ["first_digest"], "left")
             .select("id", "uri", "payload", "digest",
                     F.when(~F.col("id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("refers_to")))
 
