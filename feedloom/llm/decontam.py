@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.text import U, mix, rolled, row_of, seed, slices, starts_inside, words
+from feedloom.operators.fetch import join_on_key
 from feedloom.session import fresh_dir
 
 SPAN = 8
@@ -248,4 +249,4 @@ def without_leaks(docs: DataFrame, bench: DataFrame, text_col: str, item_col: st
     texts = docs.select(key.alias("key"), F.col(text_col).alias("text"))
     leaked = (find_leaks(texts, bench, "key", "text", item_col, item_text_col, **options)
               .select(F.col("id").alias("__leaked")).distinct())
-    return docs.join(leaked, key.eqNullSafe(F.col("__leaked")), "left_anti")
+    return join_on_key(docs.withColumn("__key", key), leaked, ["__key"], ["__leaked"], "left_anti").drop("__key")

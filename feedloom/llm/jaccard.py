@@ -44,6 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.text import SHINGLE_BITS, U, mix, row_of, seed, shingle_sets, slices
+from feedloom.operators.fetch import join_on_key
 from feedloom.session import fresh_dir
 
 BINS = 128
@@ -228,8 +229,9 @@ def _buckets(spark: SparkSession, folder: str, classes: DataFrame, fetch, thresh
     nodes = classes.select(F.explode(F.array_distinct("buckets")).alias("bucket"), "key")
     done = []
     for level in range(1, depth + 1):
-        sizes = nodes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        nodes.join(sizes, "bucket").write.parquet(f"{folder}/level{level}")
+        sizes = (nodes.groupBy(F.col("bucket").alias("counted")).agg(F.count("*").alias("n")).where("n > 1"))
+        (join_on_key(nodes, sizes, ["bucket"], ["counted"], "inner").select("bucket", "n", "key")
+         .write.parquet(f"{folder}/level{level}"))
         shared = spark.read.parquet(f"{folder}/level{level}")
         if level == depth:
             done.append(shared)
