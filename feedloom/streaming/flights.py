@@ -62,7 +62,8 @@ def write_states(states: DataFrame, out: str, checkpoint: str, trigger: dict | N
                 if "PATH_NOT_FOUND" not in str(e):
                     raise
                 fresh = new
-            fresh.write.mode("overwrite").partitionBy("day").parquet(f"{out}/batch_id={batch_id}")
+            # a few files a day, and a hot day split
+            fresh.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(f"{out}/batch_id={batch_id}")
         finally:
             new.unpersist()
 
