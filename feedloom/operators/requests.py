@@ -42,11 +42,11 @@ def validate_options(url, params, method: str, query_type: str, post_input_forma
         raise ValueError("input (a parameter DataFrame) is required")
     m = (method or "POST").upper()
     if m not in METHODS:
-        raise ValueError(f"Unsupported method {method!r}; use one of {', '.join(METHODS)}")
+        raise ValueError(f"unknown method {method!r}; known: {', '.join(METHODS)}")
     if query_type not in QUERY_TYPES:
-        raise ValueError(f"Unsupported queryType {query_type!r}")
+        raise ValueError(f"unknown queryType {query_type!r}; known: {', '.join(QUERY_TYPES)}")
     if post_input_format not in POST_FORMATS:
-        raise ValueError(f"Unsupported postInputFormat {post_input_format!r}")
+        raise ValueError(f"unknown postInputFormat {post_input_format!r}; known: {', '.join(POST_FORMATS)}")
     return m
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+# HTTP statuses worth another try.
 RETRY_STATUSES = (429, 500, 502, 503, 504)
 
 

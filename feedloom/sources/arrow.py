@@ -201,7 +201,7 @@ class ArrowFilesReader(DataSourceReader):
                 for i in range(partition.first, partition.last):
                     yield project(r.get_batch(i))
         except Exception as e:
-            raise RuntimeError(f"Failed to read Arrow file {partition.file}: {e}") from e
+            raise RuntimeError(f"{partition.file} cannot be read as Arrow: {e}") from e
 
 
 @dataclass

@@ -91,10 +91,9 @@ def check_schema(schema) -> StructType:
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema or DEFAULT_SCHEMA)
     for f in st.fields:
         if f.name not in GENERATORS:
-            raise ValueError(f"Unable to find a generator called `{f.name}`; "
-                             f"known: {', '.join(GENERATORS)}")
+            raise ValueError(f"no generator is named {f.name!r}; known: {', '.join(GENERATORS)}")
         if not isinstance(f.dataType, StringType):
-            raise ValueError(f"Field `{f.name}` is not a StringType; only strings are generated")
+            raise ValueError(f"column {f.name!r} must be a string: generators make strings")
     return st
 
 

@@ -47,7 +47,7 @@ COLUMNS = ("time_ingest", "icao24", "callsign", "origin_country", "time_position
 def check_region(region: str | None) -> str:
     r = (region or DEFAULT_REGION).upper()
     if r not in REGIONS:
-        raise ValueError(f"Invalid region. Must be one of: {', '.join(REGIONS)}")
+        raise ValueError(f"unknown region {region!r}; known: {', '.join(REGIONS)}")
     return r
 
 

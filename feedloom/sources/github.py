@@ -17,7 +17,7 @@ SCHEMA = "id int, title string, author string, created_at string, updated_at str
 
 def pulls_url(repo: str | None, page: int | None = None) -> str:
     if not repo:
-        raise ValueError("Must specify a repo (owner/name)")
+        raise ValueError("repo (owner/name) is required")
     url = f"https://api.github.com/repos/{repo}/pulls"
     return url if page is None else f"{url}?page={page}"
 

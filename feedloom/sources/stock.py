@@ -28,7 +28,7 @@ FUNCTIONS = {"TIME_SERIES_DAILY": None, "TIME_SERIES_WEEKLY": "week", "TIME_SERI
 
 def check_function(function: str) -> str:
     if function not in FUNCTIONS:
-        raise ValueError(f"Function `{function}` is not supported.")
+        raise ValueError(f"unknown series function {function!r}; known: {', '.join(FUNCTIONS)}")
     return function
 
 

@@ -26,7 +26,7 @@ _ENTRIES = "struct<timelines: map<string, array<struct<time: string, values: str
 
 def check_frequency(frequency: str) -> str:
     if frequency not in FREQUENCIES:
-        raise ValueError(f"Unsupported frequency: {frequency}")
+        raise ValueError(f"unknown frequency {frequency!r}; known: {', '.join(FREQUENCIES)}")
     return frequency
 
 

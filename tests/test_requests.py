@@ -58,7 +58,7 @@ def test_option_validation():
 
 def test_bad_method_rejected(spark):
     df = spark.createDataFrame([(1,)], "id long")
-    with pytest.raises(ValueError, match="Unsupported method"):
+    with pytest.raises(ValueError, match="unknown method"):
         build_requests(df, "http://h", method="PATCH")
 
 
