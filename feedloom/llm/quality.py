@@ -33,7 +33,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.text import row_of, slices, text_buffers, words
-from feedloom.session import fresh_dir
 
 WORD_BITS = 16
 BINS = 12
@@ -195,7 +194,6 @@ def _metadata(df: DataFrame, metadata: tuple[str, ...]) -> list[Column]:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
         metadata: tuple[str, ...] = (), max_rows: int = 10_000, max_nonzeros: int = 4_000_000) -> Model:
     """Fit on labelled rows outside the held-out third."""
-    spark = docs.sparkSession
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
              .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
              .groupBy("id").agg(F.min("label").alias("label"))
@@ -217,11 +215,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
                          pa.list_(pa.float64()))],
                     names=["turn", "id", "label", "n", "bucket", "value", "stats"])
 
-    path = fresh_dir(spark, "quality")
     kind = dict(rows.dtypes)["id"]
-    (chosen.mapInArrow(extract, f"turn long, id {kind}, label int, n long, bucket array<int>, value array<float>, "
-                                "stats array<double>").write.parquet(path))
-    found = spark.read.parquet(path)
+    found = chosen.mapInArrow(extract, f"turn long, id {kind}, label int, n long, bucket array<int>, "
+                                       "value array<float>, stats array<double>")
     # Copies of a row share its turn; the running sums keep the collected part within both bounds.
     order = Window.orderBy("turn", "id", "n", F.xxhash64("bucket", "value")).rowsBetween(Window.unboundedPreceding, 0)
     sample = (found.withColumns({"held": F.sum("n").over(order), "nth": F.count("*").over(order)})
