@@ -82,7 +82,11 @@ def _segments(word: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
     lo = 0
     while lo < n:
         hi = min(lo + _SEGMENT, n)
-        while hi < n and word[hi - 1] and word[hi]:
+        if hi < n and word[hi - 1] and word[hi]:
+            gap = np.flatnonzero(~word[lo:hi])
+            if len(gap):
+                hi = lo + int(gap[-1]) + 1
+        while hi < n and word[hi - 1] and word[hi]:  # a word longer than a segment
             gap = np.flatnonzero(~word[hi:hi + _SEGMENT])
             hi = hi + int(gap[0]) if len(gap) else min(hi + _SEGMENT, n)
         yield lo, hi
