@@ -3,8 +3,9 @@
 Documents become token ids and are dealt into shards of about
 ``shard_tokens`` tokens, lexically close documents together.  Each shard has a
 BM25 inverted index over its token ids.  A seed document opens a window of
-``window`` tokens; the index returns its unused neighbours by score, which
-fill the window greedily; the one that doesn't fit is cut, and its rest seeds
+``window`` tokens; the index returns its unused neighbours by score over all
+the seed's distinct tokens, which fill the window greedily; the one that
+doesn't fit is cut, and its rest seeds
 the next window.  Only a shard's last window can be short; it is cut into
 sequences whose lengths are powers of two, so there is no padding at all.
 
@@ -41,7 +42,6 @@ from feedloom.session import fresh_dir
 
 WINDOW = 1024
 SHARD_TOKENS = 4_000_000
-QUERY_TERMS = 24  # a seed asks with its heaviest terms
 K1, B = 1.2, 0.75
 
 
@@ -96,30 +96,32 @@ class Bm25:
         key = row.astype(np.int64) << 32 | flat
         key.sort()
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        tf = np.diff(np.append(first, len(key))).astype(np.float32)
-        doc, term = (key[first] >> 32).astype(np.int32), (key[first] & 0xFFFFFFFF).astype(np.int64)
+        tf = np.diff(np.append(first, len(key))).astype(np.float64)
+        doc, term = key[first] >> 32, key[first] & 0xFFFFFFFF
         df = np.bincount(term)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        norm = (K1 * (1 - B + B * length / length.mean())).astype(np.float32)
+        idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * length / length.mean())
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        self.n, self.terms, self.weights = n, term, weight
+        self.n, self.terms = n, term.astype(np.int32)
         self.begin = np.searchsorted(doc, np.arange(n + 1))
         order = np.argsort(term, kind="stable")
         self.doc, self.impact = doc[order], weight[order]
         self.posting = np.concatenate(([0], np.cumsum(df)))
 
+    def forget(self, free: np.ndarray) -> None:
+        """Leave documents that aren't free out of the postings; they can still be seeds."""
+        keep = free[self.doc] > 0
+        self.posting = np.concatenate(([0], np.cumsum(keep)))[self.posting]
+        self.doc, self.impact = self.doc[keep], self.impact[keep]
+
     def neighbours(self, seed: int, free: np.ndarray, most: int = 32) -> list[int]:
-        """Free documents with a positive score, best first."""
-        at = slice(self.begin[seed], self.begin[seed + 1])
-        terms, weights = self.terms[at], self.weights[at]
-        if len(terms) > QUERY_TERMS:
-            top = np.argpartition(-weights, QUERY_TERMS)[:QUERY_TERMS]
-            terms = terms[top]
-        score = np.zeros(self.n, dtype=np.float32)
-        for t in np.sort(terms).tolist():
-            a, b = self.posting[t], self.posting[t + 1]
-            score[self.doc[a:b]] += self.impact[a:b]
-        score *= free
+        """Free documents with a positive score over all the seed's terms, best first."""
+        terms = self.terms[self.begin[seed]:self.begin[seed + 1]]
+        spans = [slice(a, b) for a, b in zip(self.posting[terms].tolist(), self.posting[terms + 1].tolist())]
+        # Terms rise, so copies get the same sum to the last bit.
+        score = np.bincount(np.concatenate([self.doc[s] for s in spans]),
+                            np.concatenate([self.impact[s] for s in spans]), self.n)
+        score = score * free  # without postings, bincount counts in integers
         found = np.flatnonzero(score)
         if len(found) > most:
             kth = np.partition(score[found], len(found) - most)[len(found) - most]
@@ -132,14 +134,14 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int,
     index, free = Bm25(docs), np.ones(len(docs), dtype=np.float32)
     size = [len(d) for d in docs]
     pieces: list[tuple[int, int, int, int, int]] = []
-    sequence, used, following, rest = 0, 0, 0, None
+    sequence, used, following, rest, left, listed = 0, 0, 0, None, len(docs), len(docs)
     while True:
         if rest is None:  # a new seed: the first document not yet used
             while following < len(docs) and not free[following]:
                 following += 1
             if following == len(docs):
                 break
-            rest, free[following] = (following, 0), 0
+            rest, free[following], left = (following, 0), 0, left - 1
         seed, start = rest
         rest = None
         while size[seed] - start >= window:
@@ -149,6 +151,9 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int,
             continue
         pieces.append((seed, start, size[seed] - start, sequence, 0))
         used = size[seed] - start
+        if 4 * left < 3 * listed:
+            index.forget(free)
+            listed = left
         # Neighbours by score; when they are used up, the next documents in order.
         asked = index.neighbours(seed, free)
         turn = 0
@@ -168,7 +173,7 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int,
                 continue
             take = min(size[doc], window - used)
             pieces.append((doc, 0, take, sequence, used))
-            free[doc] = 0
+            free[doc], left = 0, left - 1
             used += take
             if take < size[doc]:
                 rest = (doc, take)

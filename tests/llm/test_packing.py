@@ -59,6 +59,32 @@ def test_neighbours_follow_bm25():
     assert [p[0] for p in pieces if p[3] == 0] == [0, 2]
 
 
+def test_seeds_ask_with_all_their_tokens():
+    """Seeds of 400 distinct tokens against brute force, before and after used documents are forgotten."""
+    rng = np.random.default_rng(7)
+    ids = [rng.permutation(np.concatenate([rng.choice(3000, 400, replace=False), rng.integers(0, 20, 100)])).astype("<u2")
+           for _ in range(60)]
+    index, free = packing.Bm25(ids), np.ones(60, dtype=np.float32)
+    free[0] = 0
+    counts = [dict(zip(*(x.tolist() for x in np.unique(d, return_counts=True)))) for d in ids]
+    assert all(len(c) >= 400 for c in counts)
+    df = {t: sum(t in c for c in counts) for c in counts for t in c}
+    mean = sum(map(len, ids)) / 60
+
+    def score(seed, d):
+        norm = packing.K1 * (1 - packing.B + packing.B * len(ids[d]) / mean)
+        return sum(np.log1p((60 - df[t] + 0.5) / (df[t] + 0.5)) * (c := counts[d][t]) * (packing.K1 + 1) / (c + norm)
+                   for t in counts[seed] if t in counts[d])
+
+    def want(seed):
+        return sorted(np.flatnonzero(free).tolist(), key=lambda d: -score(seed, d))
+
+    assert index.neighbours(0, free, most=60) == want(0)
+    free[::3] = 0
+    index.forget(free)
+    assert index.neighbours(0, free, most=60) == want(0) and index.neighbours(5, free, most=7) == want(5)[:7]
+
+
 def test_pieces_rebuild_the_documents(spark):
     from tokenizers import Tokenizer
     rows = EDGE_TEXTS + [(100 + i, f"common words and number {i} " * (i % 40 + 1)) for i in range(150)]
