@@ -2,7 +2,8 @@
 
 Documents become token ids and are dealt into shards of about
 ``shard_tokens`` tokens, lexically close documents together.  Each shard has a
-BM25 inverted index over its token ids.  A seed document opens a window of
+BM25 inverted index over its token ids, weighted by the document frequencies,
+document number and mean length of the whole corpus.  A seed document opens a window of
 ``window`` tokens; the index returns its unused neighbours by score over all
 the seed's distinct tokens, which fill the window greedily; the one that
 doesn't fit is cut, and its rest seeds
@@ -18,7 +19,10 @@ Scale: each text is encoded once and its ids are written compactly before the
 one exchange.  Shards are laid out by the exact number of tokens at each
 place (at most one row per vocabulary entry); a place with more tokens than a
 shard, such as that of a large group of copies, is dealt into several shards
-by the hash of the id.  A task holds one shard at a time.
+by the hash of the id.  A task holds one shard at a time, and the frequencies
+(one number per vocabulary entry).  Neighbours are looked up among the
+documents of the seed's own shard; close documents in other shards never meet
+(the README has their measured share).
 
 Defined results: a null or empty text has the end token only; repeated rows
 and rows with null ids are documents of their own; ties in score go to the
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -85,28 +90,36 @@ def encode(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
             .mapInArrow(run, f"id {kind}, place long, digest long, n long, wide boolean, ids binary"))
 
 
+class Statistics(NamedTuple):
+    """What BM25 weights need to know of a corpus."""
+
+    documents: int
+    mean: float  # tokens a document
+    df: np.ndarray  # documents with each token id
+
+
 class Bm25:
-    """Inverted index of one shard."""
+    """Inverted index of one shard; without ``corpus``, the shard is the whole corpus."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], corpus: Statistics | None = None):
         n = len(docs)
         length = np.array([len(d) for d in docs], dtype=np.float64)
         row = np.repeat(np.arange(n), [len(d) for d in docs])
-        flat = np.concatenate(docs)
+        flat = np.concatenate([np.sort(d) for d in docs])
         key = row.astype(np.int64) << 32 | flat
-        key.sort()
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         tf = np.diff(np.append(first, len(key))).astype(np.float64)
         doc, term = key[first] >> 32, key[first] & 0xFFFFFFFF
-        df = np.bincount(term)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * length / length.mean())
+        held = np.bincount(term)
+        total, mean, df = corpus or Statistics(n, length.mean(), held)
+        idf = np.log1p((total - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * length / mean)
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
         self.n, self.terms = n, term.astype(np.int32)
         self.begin = np.searchsorted(doc, np.arange(n + 1))
         order = np.argsort(term, kind="stable")
         self.doc, self.impact = doc[order], weight[order]
-        self.posting = np.concatenate(([0], np.cumsum(df)))
+        self.posting = np.concatenate(([0], np.cumsum(held)))
 
     def forget(self, free: np.ndarray) -> None:
         """Leave documents that aren't free out of the postings; they can still be seeds."""
@@ -129,9 +142,10 @@ class Bm25:
         return found[np.argsort(-score[found], kind="stable")].tolist()
 
 
-def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
+def pack_shard(docs: list[np.ndarray], window: int = WINDOW,
+               corpus: Statistics | None = None) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of every piece."""
-    index, free = Bm25(docs), np.ones(len(docs), dtype=np.float32)
+    index, free = Bm25(docs, corpus), np.ones(len(docs), dtype=np.float32)
     size = [len(d) for d in docs]
     pieces: list[tuple[int, int, int, int, int]] = []
     sequence, used, following, rest, left, listed = 0, 0, 0, None, len(docs), len(docs)
@@ -200,6 +214,28 @@ def _powers(pieces, sequence: int, used: int):
     return out
 
 
+def _statistics(rows: DataFrame) -> Statistics:
+    """Statistics of all rows of ``encode``."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(1 << 16, dtype=np.int64)
+        for batch in batches:
+            for wide, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x = np.sort(np.frombuffer(raw, dtype="<u4" if wide else "<u2"))
+                if x[-1] >= len(df):
+                    df = np.append(df, np.zeros((1 << int(x[-1]).bit_length()) - len(df), dtype=np.int64))
+                df[x[np.concatenate(([True], x[1:] != x[:-1]))]] += 1
+        token = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(token, pa.int64()), pa.array(df[token])], names=["token", "df"])
+
+    found = (rows.select("wide", "ids").mapInArrow(count, "token long, df long")
+             .groupBy("token").agg(F.sum("df").alias("df")).toArrow())  # at most the vocabulary
+    size = rows.agg(F.count("*").alias("documents"), F.sum("n").alias("tokens")).first()
+    token = np.asarray(found.column("token"))
+    df = np.zeros(int(token.max(initial=0)) + 1, dtype=np.int64)
+    df[token] = np.asarray(found.column("df"))
+    return Statistics(size["documents"], (size["tokens"] or 0) / max(1, size["documents"]), df)
+
+
 def _layout(rows: DataFrame, shard_tokens: int) -> tuple[DataFrame, int]:
     """(place, first, parts): the shards of each place, and their number."""
     found = rows.groupBy("place").agg(F.sum("n").alias("n")).orderBy("place").collect()  # at most the vocabulary
@@ -225,6 +261,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window: in
     encode(docs, id_col, text_col, tokenizer, end_id).write.parquet(path)
     rows = spark.read.parquet(path)
     layout, shards = _layout(rows, shard_tokens)
+    corpus = spark.sparkContext.broadcast(_statistics(rows))  # one number per vocabulary entry
     turn = F.xxhash64("id", "digest")
     dealt = (rows.join(F.broadcast(layout), "place").withColumn("turn", turn)
              .withColumn("shard", F.col("first") + F.pmod("turn", F.col("parts")))
@@ -234,7 +271,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window: in
     def packed(t: pa.Table) -> pa.RecordBatch:
         ids = [np.frombuffer(raw, dtype="<u4" if wide else "<u2")
                for raw, wide in zip(t.column("ids").to_pylist(), t.column("wide").to_pylist())]
-        pieces = pack_shard(ids, window)
+        pieces = pack_shard(ids, window, corpus.value)
         doc, start, length, sequence, offset = (np.array(c, dtype=np.int64) for c in zip(*pieces))
         crc = [zlib.crc32(ids[d][s:s + n].astype("<u4").tobytes()) for d, s, n, _, _ in pieces]
         first = np.int64(t.column("shard")[0].as_py()) << np.int64(32)

@@ -85,6 +85,24 @@ def test_seeds_ask_with_all_their_tokens():
     assert index.neighbours(0, free, most=60) == want(0) and index.neighbours(5, free, most=7) == want(5)[:7]
 
 
+def test_statistics_are_those_of_the_whole_corpus(spark):
+    """Many small shards, one corpus: frequencies, document number and mean length don't follow the shards."""
+    rows = EDGE_TEXTS + [(100 + i, f"common words and number {i} " * (i % 40 + 1)) for i in range(150)]
+    encoded = packing.encode(docs(spark, rows), "doc_id", "text", BYTE_BPE)
+    ids = [np.frombuffer(r["ids"], dtype="<u4" if r["wide"] else "<u2") for r in encoded.collect()]
+    got = packing._statistics(encoded)
+    want = np.bincount(np.concatenate([np.unique(x) for x in ids]))
+    assert got.documents == len(rows) and got.mean == sum(map(len, ids)) / len(rows)
+    assert got.df.tolist() == want.tolist()
+    # Token 1 fills this shard but is rare in the corpus: it must outweigh 2, which is common there.
+    shard = [np.array(x, dtype="<u2") for x in ([1, 2, 0], [1, 3, 0], [2, 4, 0], [1, 5, 0], [1, 6, 0])]
+    corpus = packing.Statistics(10_000, 3.0, np.array([10_000, 4, 5_000, 1, 1, 1, 1]))
+    free = np.ones(5, dtype=np.float32)
+    free[0] = 0
+    assert packing.Bm25(shard).neighbours(0, free)[0] == 2
+    assert packing.Bm25(shard, corpus).neighbours(0, free) == [1, 3, 4, 2]
+
+
 def test_pieces_rebuild_the_documents(spark):
     from tokenizers import Tokenizer
     rows = EDGE_TEXTS + [(100 + i, f"common words and number {i} " * (i % 40 + 1)) for i in range(150)]
