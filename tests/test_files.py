@@ -269,3 +269,14 @@ def test_sheet_lines_rfc4180_quotes(spark):
     lines = _lines(spark, "a,b,c", '"he said ""hi"", ok",2,"x\\\\y"')
     r = sheets.sheet_from_lines(lines).first()
     assert tuple(r) == ('he said "hi", ok', "2", "x\\\\y")
+
+
+def test_quoted_exports_are_bounded(spark, tmp_out, monkeypatch):
+    """All customers in one nation: no exported body has more than a header and 64 records."""
+    from feedloom.plans import q_files
+    (spark.range(1, 1001).selectExpr("id AS c_custkey", "concat('C', id) AS c_name", "'M' AS c_mktsegment",
+                                     "7 AS c_nationkey").write.parquet(f"{tmp_out}/customer.parquet"))
+    got = q_files.sheets_quoted(spark, tmp_out).collect()
+    assert sorted((r["id"], r["note"]) for r in got) == [(i, f'C{i}\n"M", 7') for i in range(1, 1001)]
+    monkeypatch.setattr(q_files.sheets, "sheet_from_lines", lambda rows, **options: rows)
+    assert q_files.sheets_quoted(spark, tmp_out).agg({"n": "max"}).first()[0] <= 64
