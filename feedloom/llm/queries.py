@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontam, html, jaccard, licence, packing, quality, shard, tokens, topk, warc
+from feedloom.llm import decontam, html, jaccard, licence, packing, quality, runs, shard, tokens, topk, warc
 from feedloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from feedloom.session import fresh_dir
 
@@ -151,3 +151,56 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (html.extract_text(table(spark, sf_dir, "pages"), "page_id", "html")
             .withColumnRenamed("id", "page_id"))
+
+
+# CRC-32 of a number's decimal digits, unsigned.
+_CRC32 = """xor(list_reduce(list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+        lambda c, b: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END,
+                                 xor(c, b)), CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) as op13's contract has them: in one document of ten the
+    words from a on repeat with period p."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    parts = (docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+             .withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("w"))
+             .withColumn("a", F.expr("CASE WHEN n > 0 THEN (h div 10) % n END"))
+             .withColumn("p", F.expr("1 + (n - a) div (3 + (h div 10) % 8)")))
+    again = "array_join(transform(w, (x, i) -> CASE WHEN i < a THEN x ELSE w[cast(a + (i - a) % p as int)] END), ' ')"
+    return parts.select("doc_id", F.expr(f"CASE WHEN a IS NULL THEN text ELSE {again} END").alias("text"))
+
+
+@query("op13_periodic_runs", f"""
+    WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_CRC32.format('doc_id')} AS h
+               FROM documents),
+    f AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM t),
+    d AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i:
+              w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS w FROM f),
+    x AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS x FROM d),
+    -- words with a like word q further on, in stretches
+    e AS (SELECT a.doc_id, b.i - a.i AS q, a.i - row_number() OVER (PARTITION BY a.doc_id, b.i - a.i ORDER BY a.i) AS g, a.i
+          FROM x a JOIN x b ON a.doc_id = b.doc_id AND a.x = b.x AND a.i < b.i AND 4 * (b.i - a.i) <= a.n),
+    s AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM e GROUP BY doc_id, q, g
+          HAVING count(*) + q >= greatest(6, 4 * q)),
+    r AS (SELECT doc_id, start, length, min(q) AS period FROM s GROUP BY doc_id, start, length),
+    o AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+          FROM r GROUP BY doc_id),
+    b AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+    k AS (SELECT x.doc_id, string_agg(x.x, ' ' ORDER BY x.i) AS kept FROM x ANTI JOIN gone USING (doc_id, i) GROUP BY x.doc_id)
+    SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+           sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM d LEFT JOIN o USING (doc_id) LEFT JOIN b USING (doc_id) LEFT JOIN k USING (doc_id)
+""")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(_with_repeats(table(spark, sf_dir, "documents")), "doc_id", "text")
+    best = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start as start, -r.period as period)))")
+    lines = F.expr(r"concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))")
+    return (found.withColumn("best", best)
+            .select(F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"),
+                    (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+                    (-F.col("best.period")).alias("period"),
+                    F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
+                    F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))

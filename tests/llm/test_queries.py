@@ -19,7 +19,7 @@ def rows(spark, name):
 
 def test_one_query_for_each_operator_and_the_pipeline():
     names = E.queries()
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in Q.QUERIES) == list(range(1, 14))
     assert set(Q.QUERIES) <= set(names) and names["pipeline"] is C.run and "pipeline" not in E.oracle_sql()
     assert [n for n, _ in C.STAGES] == ["quality", "near_duplicates", "decontamination", "packing"]
 
