@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontam, html, jaccard, licence, packing, quality, runs, shard, tokens, topk, warc
+from feedloom.llm import decontam, html, jaccard, licence, packing, quality, runs, shard, tokens, topk, trie, warc
 from feedloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
+from feedloom.operators.fetch import join_on_key
 from feedloom.session import fresh_dir
 
 
@@ -159,6 +160,54 @@ _CRC32 = """xor(list_reduce(list_transform(string_split(CAST({0} AS VARCHAR), ''
                                  xor(c, b)), CAST(4294967295 AS BIGINT)), 4294967295)"""
 
 
+def _rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, ids) of op11's conversations: the first h turns of conversation
+    c - c % 5, then c's own after its first h, where h is a hash of c."""
+    fresh = fresh_dir(turns.sparkSession, "conversations")
+    (turns.groupBy("id").agg(F.max("at").alias("n"), F.sort_array(F.collect_list(
+        F.when(F.col("at") <= 8, F.struct("at", "digest", "bytes")))).alias("head"))
+     .withColumn("h", F.when(F.col("id") % 5 != 0, F.crc32(F.col("id").cast("string")) % 9).otherwise(0))
+     .write.parquet(f"{fresh}/each"))
+    each = turns.sparkSession.read.parquet(f"{fresh}/each")
+    base = each.select(F.col("id").alias("base"), F.col("head").alias("base_head"))
+    (each.select("id", "h").join(base, F.expr("id - id % 5 = base"), "left")
+     .select("id", "h", F.coalesce(F.slice("base_head", F.lit(1), F.col("h").cast("int")), F.array()).alias("taken"))
+     .write.parquet(f"{fresh}/plan"))
+    plan = turns.sparkSession.read.parquet(f"{fresh}/plan")
+    cut = plan.select(F.col("id").alias("plan_id"), "h", F.size("taken").alias("kept"))
+    own = (join_on_key(turns, cut, ["id"], ["plan_id"], "inner").where("at > h")
+           .select("id", F.expr("at - h + kept").alias("at"), "digest", "bytes"))
+    return plan.select("id", F.inline("taken")).unionByName(own), plan.select("id")
+
+
+@query("op11_prefix_trie", f"""
+    WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS r
+               FROM conversations WHERE conv_id IS NOT NULL),
+    l AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY r) AS w FROM t GROUP BY conv_id),
+    c AS (SELECT conv_id, w, {_CRC32.format('conv_id')} % 9 AS h FROM l),
+    b AS (SELECT c.conv_id, list_concat(coalesce(l.w[1:h], []), c.w[h + 1:]) AS w
+          FROM c LEFT JOIN l ON l.conv_id = c.conv_id - c.conv_id % 5),
+    p AS (SELECT conv_id, w, len(w) AS n, unnest(range(len(w) + 1)) AS depth FROM b),
+    k AS (SELECT conv_id, depth, n, w[1:depth] AS k, w[1:depth - 1] AS up, coalesce(octet_length(encode(w[depth].text)), 0) AS bytes
+          FROM p),
+    nodes AS (SELECT k, any_value(up) AS up, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+                     coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (depth = n), '') AS ends
+              FROM k GROUP BY k, depth),
+    kids AS (SELECT up AS k, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+    x AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (k, depth)),
+    -- every node with each of its ancestors and itself
+    s AS (SELECT k.k, k.depth, sum((x.n_convs - 1) * x.bytes) AS saved, count(*) FILTER (x.n_children = 0) AS n_leaves
+          FROM x JOIN k ON k.conv_id = x.conv_id AND k.depth <= x.depth GROUP BY k.k, k.depth)
+    SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, x.n_convs, x.n_children, s.n_leaves,
+           CAST(s.saved AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
+    FROM x JOIN s USING (k, depth) LEFT JOIN nodes u ON x.depth > 0 AND u.depth = x.depth - 1 AND u.k = x.up
+""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.turns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return trie.prefix_trie(*_rebuilt(turns))
+
+
 def _with_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, text) as op13's contract has them: in one document of ten the
     words from a on repeat with period p."""

@@ -27,7 +27,7 @@ def test_one_query_for_each_operator_and_the_pipeline():
 @pytest.mark.parametrize("name", sorted(Q.ORACLES))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "embeddings", "documents", "benchmark"):
+    for t in ("pages", "embeddings", "documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = Q.QUERIES[name](spark, SF_SMALL)
     cur = con.execute(Q.ORACLES[name])
