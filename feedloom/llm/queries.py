@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import decontam, html, jaccard, licence, packing, quality, runs, shard, tokens, topk, trie, warc
+from feedloom.llm import decontam, html, jaccard, licence, packing, pii, quality, runs, shard, tokens, topk, trie, warc
 from feedloom.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 from feedloom.operators.fetch import join_on_key
 from feedloom.session import fresh_dir
@@ -253,3 +253,14 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
                     F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
                     F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
+@query("op12_personal_data")
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_pii(docs, pii.fit(docs, "text"), "doc_id", "text")
+    joined = "array_join(transform({0}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts,
+                        F.sha2(F.expr(joined.format("base")).cast("binary"), 256).alias("base_sha256"),
+                        F.expr(joined.format("spans")).alias("spans"))

@@ -55,6 +55,7 @@ def test_joins_and_scans_equal_models(spark):
     ("op8_packing", ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]),
     ("op9_quality", ["doc_id", "held_out", "score", "predicted"]),
     ("op10_html_text", ["page_id", "title", "text", "n_lines"]),
+    ("op12_personal_data", ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]),
 ])
 def test_columns_and_rows(spark, name, columns):
     df = Q.QUERIES[name](spark, SF_SMALL)
