@@ -18,6 +18,7 @@ from feedloom.sinks import crm
 from feedloom.sources import weather
 from feedloom.streaming import flights as flight_stream
 from feedloom.streaming import weather as weather_stream
+from feedloom.streaming.log import BatchLog, read_table
 from feedloom.streaming.sources import file_monitor, json_lines, run_available
 
 
@@ -40,7 +41,7 @@ def stream_flights(spark, d):
         part.write.text(f"{root}/in/{run}")
         states = flight_stream.state_rows(spark, f"{root}/in/*", max_files_per_trigger=1).select(*cols)
         flight_stream.write_states(states, f"{root}/out", f"{root}/ckpt").awaitTermination()
-    return spark.read.parquet(f"{root}/out").select(*cols)
+    return read_table(spark, f"{root}/out").select(*cols)
 
 
 _WEATHER_START = "2023-12-31T00:00:00Z"
@@ -152,4 +153,65 @@ def stream_weather_marks_table(spark, d):
         rows = weather.normalise(json_lines(spark, f"{root}/in/*", schema), "hourly")
         weather_stream.marks_by_batch(rows, f"{root}/out", f"{root}/marks", f"{root}/ckpt",
                                       _WEATHER_START).awaitTermination()
-    return spark.read.parquet(f"{root}/out").drop("batch_id")
+    return read_table(spark, f"{root}/out").drop("batch_id")
+
+
+@query("stream_flights_moved", f"""
+SELECT DISTINCT icao24, time_ingest, callsign, longitude, latitude, category FROM ({_STATES_SQL})
+""")
+def stream_flights_moved(spark, d):
+    """A second stream with a checkpoint of its own goes on with the same
+    output: nothing is lost, nothing twice, though both number their
+    micro-batches from 0; days of many micro-batches are merged."""
+    root = fresh_dir(spark, "stream-flights-moved")
+    snaps = C.flight_snapshots(load(spark, d, "events")).select("body")
+    time = F.get_json_object("body", "$.time").cast("long")
+    cols = ["icao24", "time_ingest", "callsign", "longitude", "latitude", "category"]
+    snaps.where(time % 3 < 2).repartition(18).write.text(f"{root}/in/a")
+    snaps.where(time % 3 > 0).repartition(3).write.text(f"{root}/in/b")
+    for run in ("a", "b"):
+        states = flight_stream.state_rows(spark, f"{root}/in/{run}", max_files_per_trigger=1).select(*cols)
+        flight_stream.write_states(states, f"{root}/out", f"{root}/ckpt-{run}").awaitTermination()
+    return read_table(spark, f"{root}/out").select(*cols)
+
+
+@query("stream_weather_moved", f"""
+SELECT 'entry' AS kind, latitude, longitude, timestamp, weather FROM ({_WEATHER_SQL}) WHERE timestamp > '{_WEATHER_START}'
+UNION ALL
+SELECT 'mark', latitude, longitude, greatest(max(timestamp), '{_WEATHER_START}'), NULL FROM ({_WEATHER_SQL})
+GROUP BY latitude, longitude
+""")
+def stream_weather_moved(spark, d):
+    """Entries and marks when the second run has a checkpoint of its own."""
+    root = fresh_dir(spark, "stream-weather-moved")
+    bodies = C.weather_timelines(load(spark, d, "events"))
+    day = F.get_json_object("body", "$.timelines.hourly[0].time").substr(9, 2).cast("int")
+    schema = "latitude double, longitude double, body string"
+    for run, part in (("run1", bodies.where(day <= 15)), ("run2", bodies.where(day >= 10))):
+        part.select("latitude", "longitude", "body").write.json(f"{root}/in/{run}")
+        rows = weather.normalise(json_lines(spark, f"{root}/in/{run}", schema), "hourly")
+        weather_stream.marks_by_batch(rows, f"{root}/out", f"{root}/marks", f"{root}/ckpt-{run}",
+                                      _WEATHER_START).awaitTermination()
+    cols = ["kind", "latitude", "longitude", "timestamp", "weather"]
+    newest = spark.read.parquet(BatchLog(spark, f"{root}/marks").fragments()[-1])
+    marks = newest.select(F.lit("mark").alias("kind"), "latitude", "longitude", F.col("mark").alias("timestamp"),
+                          F.lit(None).cast("string").alias("weather"))
+    return read_table(spark, f"{root}/out").withColumn("kind", F.lit("entry")).select(*cols).unionByName(marks.select(*cols))
+
+
+@query("stream_crm_moved", """
+SELECT CAST(c_custkey AS VARCHAR) AS key, 1 AS deliveries FROM customer WHERE c_acctbal >= 0
+""")
+def stream_crm_moved(spark, d):
+    """Delivery that goes on with a checkpoint of its own: the first run's
+    records are re-sent to it, and no key is lost or delivered twice."""
+    root = fresh_dir(spark, "stream-crm-moved")
+    acc = _accounts(spark, d)
+    part = F.pmod(F.col("c_custkey"), F.lit(3))
+    for run, rows in (("run1", acc.where(part < 2)), ("run2", acc.where(part > 0))):
+        rows.repartition(2).write.parquet(f"{root}/in/{run}")
+        src = spark.readStream.schema(acc.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/{run}")
+        crm.deliver_stream(src, "c_custkey", tree_endpoint, f"{root}/ledger", f"{root}/ckpt-{run}",
+                           schema=ACCOUNT).awaitTermination()
+    ledger = crm.accepted(spark, f"{root}/ledger")
+    return ledger.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("deliveries"))

@@ -35,6 +35,8 @@ from pyspark.sql.types import (
 )
 
 from feedloom.functions.safe import iso_text
+from feedloom.operators.fetch import join_on_key
+from feedloom.streaming.log import BatchLog, run_id, written_parts
 
 # Default target object, records per payload, and the default
 # account schema (used when no ``schema`` DDL is given).
@@ -88,17 +90,20 @@ def record_json(df: DataFrame, fields: list[str] | None = None) -> Column:
     return F.to_json(F.struct(*[_field(F.col(f"`{n}`"), types[n]).alias(n) for n in names]))
 
 
-def records(df: DataFrame, key: str | None = None, schema: str | None = None) -> DataFrame:
-    """(key, record) rows; records with no field set are dropped.
+def records(df: DataFrame, key: str | None = None, schema: str | None = None, order: str | None = None) -> DataFrame:
+    """(key, record) rows, with the column ``order`` as ``ord`` if one is named;
+    records with no field set are dropped.
 
     With ``schema`` (DDL) the row is conformed to it first (W10); ``key``
     names a column that identifies the row for the delivery ledger.
     """
     cols = _conformed(df, schema) if schema is not None else [F.col(f"`{c}`") for c in df.columns]
     k = F.col(f"`{key}`").cast("string") if key is not None else F.lit(None).cast("string")
-    src = df.select(k.alias("__key"), *cols)
-    fields = [c for c in src.columns if c != "__key"]
-    return (src.select(F.col("__key").alias("key"), record_json(src, fields).alias("record"))
+    by = [F.col(f"`{order}`").alias("__ord")] if order is not None else []
+    src = df.select(k.alias("__key"), *by, *cols)
+    fields = src.columns[1 + len(by):]
+    return (src.select(F.col("__key").alias("key"), record_json(src, fields).alias("record"),
+                       *[F.col("__ord").alias("ord") for _ in by])
             .where(F.col("record") != "{}"))
 
 
@@ -288,6 +293,10 @@ def _bucket(key: Column) -> Column:
 
 def accepted(spark, ledger_path: str) -> DataFrame | None:
     """The ledger: (key, id, batch_id, bucket) of every accepted record."""
+    found = BatchLog(spark, ledger_path)
+    if found.step >= 0:
+        paths = found.fragments()
+        return spark.read.schema(LEDGER_SCHEMA).option("basePath", found.root).parquet(*paths) if paths else None
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
     except AnalysisException as e:
@@ -296,33 +305,47 @@ def accepted(spark, ledger_path: str) -> DataFrame | None:
         raise
 
 
+SUPERSEDED = "another record of the key was sent"
+
+
 def deliver_records(recs: DataFrame, batch_id: str, transport: Callable[[str, str], str], ledger_path: str,
                     object_type: str = DEFAULT_OBJECT, batch_size: int = BATCH_SIZE,
-                    skip_delivered: bool = True) -> None:
+                    skip_delivered: bool = True, log: BatchLog | None = None) -> list[str]:
     """Deliver (key, record) rows once and account for each of them.
 
-    Records repeat keys at most once (the largest record of a key is sent;
-    rows without a key are all sent).  Keys accepted in other batches are
-    skipped: only the ledger's buckets that the records touch are read.
+    Of different records of a key the one of the greatest ``ord`` is sent (if
+    there is such a column; then the largest text), the others are listed as
+    rejected; rows without a key are all sent.  Keys accepted in other batches are
+    skipped: only the ledger's buckets that the records touch are read, in the
+    fragments that ``log`` lists for them.
     Payloads whose call failed are sent again record by record.  Replies are
     landed before anything is derived from them, so a retried batch calls
-    only for what has no landed reply.
+    only for what has no landed reply.  Returns the ledger folders written.
     """
     spark, root = recs.sparkSession, ledger_path.rstrip("/")
-    keyed = recs.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("record").alias("record"))
-    recs = keyed.unionByName(recs.where(F.col("key").isNull()).select("key", "record"))
-    log = f"{root}_responses/batch_id={batch_id}"
-    if _read_if_exists(spark, log) is None:
-        recs = _land(recs, f"{root}_records/batch_id={batch_id}")
-        done = accepted(spark, ledger_path) if skip_delivered else None
+    if "ord" not in recs.columns:
+        recs = recs.withColumn("ord", F.lit(None).cast("string"))
+    keyed = recs.where(F.col("key").isNotNull()).select("key", "record", "ord").distinct()
+    recs = keyed.unionByName(recs.where(F.col("key").isNull()).select("key", "record", "ord"))
+    log_path = f"{root}_responses/batch_id={batch_id}"
+    if _read_if_exists(spark, log_path) is None:
+        every = _land(recs, f"{root}_records/batch_id={batch_id}")
+        best = (every.where(F.col("key").isNotNull()).groupBy("key")
+                .agg(F.max_by("record", F.struct("ord", "record")).alias("record")))
+        recs = best.unionByName(every.where(F.col("key").isNull()).select("key", "record"))
+        touched = [r[0] for r in every.where(F.col("key").isNotNull()).select(_bucket(F.col("key"))).distinct()
+                   .collect()] if skip_delivered else []  # at most LEDGER_BUCKETS numbers
+        if log is not None:
+            done = log.read("key string, id string", [str(b) for b in touched])
+        else:
+            done = accepted(spark, ledger_path) if skip_delivered else None
+            if done is not None:
+                done = done.where(F.col("bucket").isin(touched) & (F.col("batch_id") != batch_id))
         if done is not None:
-            touched = [r[0] for r in recs.where(F.col("key").isNotNull()).select(_bucket(F.col("key"))).distinct()
-                       .collect()]  # at most LEDGER_BUCKETS numbers
-            done = done.where(F.col("bucket").isin(touched) & (F.col("batch_id") != batch_id))
             recs = recs.join(done.select(F.col("key").alias("_done")), F.col("key") == F.col("_done"), "left_anti")
         payloads = batches(recs, batch_size, object_type)
-        deliver(payloads, transport, object_type).write.mode("overwrite").parquet(log)
-    sent = spark.read.parquet(log)
+        deliver(payloads, transport, object_type).write.mode("overwrite").parquet(log_path)
+    sent = spark.read.parquet(log_path)
     first = outcomes(sent)
     singles = batches(first.where("status = 'failed'").select("key", "record"), 1, object_type)
     again = _land(deliver(singles, transport, object_type), f"{root}_singles/batch_id={batch_id}")
@@ -330,16 +353,29 @@ def deliver_records(recs: DataFrame, batch_id: str, transport: Callable[[str, st
     (every.where("status = 'accepted'").select("key", "id", _bucket(F.col("key")).alias("bucket"))
      .write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/batch_id={batch_id}"))
     for status in ("rejected", "failed"):
-        (every.where(F.col("status") == status).select("key", "record", "message")
-         .write.mode("overwrite").parquet(f"{root}_{status}/batch_id={batch_id}"))
+        rows = every.where(F.col("status") == status).select("key", "record", "message")
+        if status == "rejected":
+            rows = rows.unionByName(_superseded(spark, f"{root}_records/batch_id={batch_id}"))
+        rows.write.mode("overwrite").parquet(f"{root}_{status}/batch_id={batch_id}")
+    return list(written_parts(spark, f"{root}/batch_id={batch_id}").items())
+
+
+def _superseded(spark, path: str) -> DataFrame:
+    """Records of a batch that gave way to another record of their key."""
+    keyed = spark.read.parquet(path).where(F.col("key").isNotNull())
+    best = keyed.groupBy("key").agg(F.max_by("record", F.struct("ord", "record")).alias("best"))
+    lost = join_on_key(keyed, best.withColumnRenamed("key", "best_key"), ["key"], ["best_key"], "inner")
+    return (lost.where(F.col("record") != F.col("best")).select("key", "record").distinct()
+            .withColumn("message", F.lit(SUPERSEDED)))
 
 
 def deliver_batch(batch_df: DataFrame, batch_id: int, key: str, transport: Callable[[str, str], str],
                   ledger_path: str, schema: str | None = None, object_type: str = DEFAULT_OBJECT,
-                  batch_size: int = BATCH_SIZE, skip_delivered: bool = True) -> None:
+                  batch_size: int = BATCH_SIZE, skip_delivered: bool = True, order: str | None = None,
+                  log: BatchLog | None = None) -> list[str]:
     """One micro-batch of streaming delivery (the ``foreachBatch`` body)."""
-    deliver_records(records(batch_df, key=key, schema=schema), str(batch_id), transport, ledger_path,
-                    object_type, batch_size, skip_delivered)
+    recs = records(batch_df, key=key, schema=schema, order=order)
+    return deliver_records(recs, str(batch_id), transport, ledger_path, object_type, batch_size, skip_delivered, log)
 
 
 def undelivered(spark, ledger_path: str) -> DataFrame | None:
@@ -371,7 +407,10 @@ def resend(spark, ledger_path: str, transport: Callable[[str, str], str], object
     sources = rest.select("batch_id").distinct().withColumnRenamed("batch_id", "source")
     waiting = _land(rest.select("key", "record"), f"{root}_waiting/run={run}")
     _land(sources, f"{root}_sources/run={run}")
-    deliver_records(waiting, run, transport, ledger_path, object_type, batch_size)
+    log = BatchLog(spark, ledger_path)
+    seq = log.begin(run, 0)
+    written = deliver_records(waiting, str(seq), transport, ledger_path, object_type, batch_size, log=log)
+    log.commit(run, 0, {b: f"batch_id={seq}/{n}" for b, n in written})
     # From here on the run's own failures stand for those of its sources.
     spark.read.parquet(f"{root}_sources/run={run}").write.mode("append").parquet(f"{root}_resent")
     return waiting.count()
@@ -380,9 +419,14 @@ def resend(spark, ledger_path: str, transport: Callable[[str, str], str], object
 def deliver_stream(stream: DataFrame, key: str, transport: Callable[[str, str], str],
                    ledger_path: str, checkpoint: str, schema: str | None = None,
                    object_type: str = DEFAULT_OBJECT, batch_size: int = BATCH_SIZE,
-                   trigger: dict | None = None, dedupe: str = "ledger"):
+                   trigger: dict | None = None, dedupe: str = "ledger", order: str | None = None):
     """Streaming delivery (see ``deliver_records``).
 
+    Micro-batches are named by stream and number (``streaming.log``), so a
+    stream with a new checkpoint goes on behind what the ledger holds.  Of
+    different records of a key in one micro-batch the one greatest in the
+    column ``order`` is sent; the others are listed as rejected.
+
     Each micro-batch skips records whose key is already in the ledger,
     delivers the rest in payloads, sends the records of failed payloads one
     by one, and writes accepted, rejected and undelivered records to the
@@ -400,8 +444,15 @@ def deliver_stream(stream: DataFrame, key: str, transport: Callable[[str, str],
     resend(stream.sparkSession, ledger_path, transport, object_type, batch_size)
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
-        deliver_batch(batch_df, batch_id, key, transport, ledger_path, schema, object_type,
-                      batch_size, skip_delivered=(dedupe == "ledger"))
+        spark = batch_df.sparkSession
+        run, log = run_id(spark, checkpoint), BatchLog(spark, ledger_path)
+        seq = log.begin(run, batch_id)
+        if seq is None:
+            return
+        written = deliver_batch(batch_df, seq, key, transport, ledger_path, schema, object_type, batch_size,
+                                skip_delivered=(dedupe == "ledger"), order=order, log=log)
+        log.commit(run, batch_id, {b: f"batch_id={seq}/{n}" for b, n in written})
+        log.merge([b for b, _ in written], "key string, id string", "bucket")
 
     w = src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))

@@ -14,11 +14,11 @@ time) is dropped, whatever order the files arrive in:
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.sources import flights
+from feedloom.streaming.log import BatchLog, run_id, written_parts
 from feedloom.streaming.sources import text_lines
 
 KEY = ["icao24", "time_ingest"]
@@ -43,29 +43,39 @@ def flight_stream(spark, path: str, delay: str | None = None,
 def write_states(states: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
     """Append each vector once to ``out`` (partitioned by batch and day).
 
-    A retried micro-batch rewrites its own folder, so nothing is written
-    twice.  The collected days are those of one micro-batch's snapshots.
+    A micro-batch is named by its stream and number (``BatchLog``): a retried
+    one is written once, and another checkpoint over the same output goes on
+    behind what is there.  It is compared with the fragments of the days it
+    touches, which the log lists.  The collected days are those of one
+    micro-batch's snapshots.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        run, log = run_id(spark, checkpoint), BatchLog(spark, out)
+        seq = log.begin(run, batch_id)
+        if seq is None:
+            return
         day = F.date_format("time_ingest", "yyyyMMdd").cast("int")
+        schema = batch.schema.toDDL()
         new = batch.dropDuplicates(KEY).withColumn("day", day).persist()
         try:
-            days = [r[0] for r in new.select("day").distinct().collect()]
-            try:
-                old = (spark.read.schema(f"{new.drop("day").schema.toDDL()}, batch_id long, day int").parquet(out)
-                       .where(F.col("day").isin([x for x in days if x is not None]) & (F.col("batch_id") != batch_id))
-                       .select(*[F.col(k).alias(f"_{k}") for k in KEY]))
+            days = [_folder(r[0]) for r in new.select("day").distinct().collect()]
+            old, fresh = log.read(schema, days), new
+            if old is not None:
                 seen = (F.col("icao24") == F.col("_icao24")) & (F.col("time_ingest") == F.col("_time_ingest"))
-                fresh = new.join(old, seen, "left_anti")
-            except AnalysisException as e:  # the first batch
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-                fresh = new
+                fresh = new.join(old.select(*[F.col(k).alias(f"_{k}") for k in KEY]), seen, "left_anti")
             # a few files a day, and a hot day split
-            fresh.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(f"{out}/batch_id={batch_id}")
+            folder = f"batch_id={seq}"
+            fresh.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(f"{log.root}/{folder}")
+            log.commit(run, batch_id, {p: f"{folder}/{n}" for p, n in written_parts(spark, f"{log.root}/{folder}").items()})
+            log.merge(days, schema, "day")
         finally:
             new.unpersist()
 
     return (states.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def _folder(day: int | None) -> str:
+    """The value of a day's partition folder."""
+    return "__HIVE_DEFAULT_PARTITION__" if day is None else str(day)

@@ -10,10 +10,13 @@ location; rows of a location are processed by the task that owns its key.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from feedloom.sources import weather
+from feedloom.streaming.log import BatchLog, run_id
 
+MARKS = "latitude double, longitude double, mark string"
 OUTPUT = "latitude double, longitude double, weather string, timestamp string"
 
 
@@ -38,43 +41,6 @@ def marked_entries(rows: DataFrame, initial_mark: str = weather.INITIAL_MARK) ->
                                     GroupStateTimeout.NoTimeout))
 
 
-def _latest_marks(spark, marks_path: str, before: int):
-    """The marks version written by the newest batch before ``before``."""
-    from pyspark.errors import AnalysisException
-    from pyspark.sql import functions as F
-
-    try:
-        hist = spark.read.parquet(marks_path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-    hist = hist.where(F.col("batch_id") < before)
-    last = hist.agg(F.max("batch_id")).first()[0]  # one number to the driver
-    if last is None:
-        return None
-    return hist.where(F.col("batch_id") == last).select("latitude", "longitude", "mark")
-
-
-def _drop_old_versions(marks_path: str, batch_id: int, keep: int) -> None:
-    """Delete marks versions older than the newest ``keep`` (driver-side
-    metadata operations on the shared folder)."""
-    import pyarrow.fs as pafs
-
-    from feedloom.sources.arrow import _fs
-
-    fs, base = _fs(marks_path)
-    for info in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
-        name = info.path.rsplit("/", 1)[-1]
-        if info.type == pafs.FileType.Directory and name.startswith("batch_id="):
-            try:
-                v = int(name.split("=", 1)[1])
-            except ValueError:
-                continue
-            if v <= batch_id - keep:
-                fs.delete_dir(info.path)
-
-
 def marks_by_batch(rows: DataFrame, out_path: str, marks_path: str, checkpoint: str,
                    initial_mark: str = weather.INITIAL_MARK, trigger: dict | None = None,
                    keep_versions: int = 2):
@@ -84,25 +50,33 @@ def marks_by_batch(rows: DataFrame, out_path: str, marks_path: str, checkpoint:
     marks version (one row per location: broadcast when Spark measures it
     small, never a shuffle of the rows by location), entries after the mark
     are written as the batch's output partition, and the advanced marks
-    (partial ``max`` per location) as the batch's marks version.  Both are
-    overwritten as a whole on retry, so a replayed batch gives the same
-    result.  A location holding a third of all rows is no hotter than any
+    (partial ``max`` per location) as the batch's marks version.  Each of
+    the two tables has a log that names micro-batches by stream and number,
+    so a replayed batch gives the same result and a new checkpoint over the
+    same tables goes on with the marks that are there.  A location holding a third of all rows is no hotter than any
     other: no step groups its rows into one task.  Only the newest
     ``keep_versions`` marks versions are kept (enough for a retry).
     """
-    from pyspark.sql import functions as F
-
     def each(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        prev = _latest_marks(spark, marks_path, batch_id)
-        if prev is None:
-            prev = batch_df.select("latitude", "longitude").distinct() \
-                .select("latitude", "longitude", F.lit(initial_mark).alias("mark"))
-        weather.increment(batch_df, prev, initial_mark).write.mode("overwrite") \
-            .parquet(f"{out_path}/batch_id={batch_id}")
-        weather.advance_marks(batch_df, prev, initial_mark).write.mode("overwrite") \
-            .parquet(f"{marks_path}/batch_id={batch_id}")
-        _drop_old_versions(marks_path, batch_id, keep_versions)
+        run, entries, marks = run_id(spark, checkpoint), BatchLog(spark, out_path), BatchLog(spark, marks_path)
+        mark_seq = marks.begin(run, batch_id)
+        if mark_seq is None:
+            return
+        versions = marks.fragments()
+        if versions:
+            prev = spark.read.schema(MARKS).parquet(versions[-1])
+        else:
+            prev = (batch_df.select("latitude", "longitude").distinct()
+                    .select("latitude", "longitude", F.lit(initial_mark).alias("mark")))
+        # The marks are committed last: until then a retry finds the version this batch began with.
+        seq = entries.begin(run, batch_id)
+        if seq is not None:
+            weather.increment(batch_df, prev, initial_mark).write.mode("overwrite").parquet(f"{entries.root}/batch_id={seq}")
+            entries.commit(run, batch_id, {"": f"batch_id={seq}"})
+            entries.merge([""], batch_df.schema.toDDL())
+        weather.advance_marks(batch_df, prev, initial_mark).write.mode("overwrite").parquet(f"{marks.root}/batch_id={mark_seq}")
+        marks.commit(run, batch_id, {"": f"batch_id={mark_seq}"}, drop=versions[:len(versions) + 1 - keep_versions])
 
     w = rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
