@@ -70,8 +70,10 @@ def _responses(req: DataFrame, feed: str, transport=None, captures: DataFrame |
     got = fx.fetch(req, transport, partitions=partitions, concurrency=concurrency)
     if land_to is None:
         return got
-    folder = f"{land_to.rstrip('/')}/{uuid.uuid4().hex}"  # this read's replies only
-    return fx.replay(req, fx.land_once(got, feed, folder, key=on), on=on, feed=feed, latest=False)
+    # This read's replies, each with the row it answers: nothing is joined back,
+    # so neither equal requests nor requests that differ in headers share any.
+    # ``as_capture`` makes captures of them.
+    return fx.land(got, f"{land_to.rstrip('/')}/{feed}/{uuid.uuid4().hex}", partition_by=None)
 
 
 def _list_df(spark, name: str, values: list) -> DataFrame:
@@ -99,9 +101,9 @@ def _read_rest(spark, o, transport, captures, land_to):
     if isinstance(params, str):  # a temp view / table name, as the option was
         params = spark.table(params)
     if transport is None and captures is None:
-        # the standard library has one time-out for connecting and reading
-        limits = [float(_opt(o, n)) for n in ("connectionTimeout", "readTimeout") if _opt(o, n) is not None]
-        transport = http_transport(timeout=max(limits)) if limits else http_transport()
+        # milliseconds; the standard library has one time-out for connecting and reading
+        limits = [float(_opt(o, n, default=ms)) for n, ms in (("connectionTimeout", 1000), ("readTimeout", 5000))]
+        transport = http_transport(timeout=max(limits) / 1000)
     parts = _opt(o, "partitions")
 
     def call(rows: DataFrame) -> DataFrame:

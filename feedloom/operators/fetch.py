@@ -13,11 +13,10 @@ Two ways produce responses for a request DataFrame:
   executor never re-calls an API for rows already landed.
 * ``replay`` – an equi-join of requests with a capture table on the request
   key (``request_key``: the url of a GET, else method, url and a digest of
-  the body, so requests that differ in any of them never share a reply).
-  The capture is first reduced to the latest response per key (``max_by``),
-  so repeated fetches never multiply rows; that aggregate sorts and shuffles
-  the bodies, and the join then shuffles both sides again on the key and its
-  hash, which lets the adaptive skew rule split a hot key.
+  the body; captures landed here also hold a digest of the headers and, if
+  wanted, the number of equal requests).  Only the latest response per key
+  answers, so repeated fetches never multiply rows.  Joins are on the key
+  and its hash, which lets the adaptive skew rule split a hot key.
 
 Everything after that (parsing, error split, accounting, joining back) is
 plain Catalyst.
@@ -33,11 +32,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, NullType, StringType, StructField, StructType
 
+from feedloom.operators.numbering import running
+from feedloom.session import fresh_dir
+
 CAPTURE_SCHEMA = ("feed string, key string, status int, body string, error string, "
                   "fetched_at timestamp")
 
 RESPONSE_COLUMNS = ("status", "response", "_corrupt_record")
 INVALID = "invalid request: a url parameter is null"
+PROBE = 2**31 - 1  # a page that no service has
 
 Transport = Callable[[str, str, "str | None", "dict | None"], "tuple[int | None, str | None, str | None]"]
 
@@ -54,6 +57,14 @@ def request_key(df: DataFrame) -> Column:
                  F.sha2(F.coalesce(body, F.lit("")), 256)))
 
 
+def headers_digest(df: DataFrame) -> Column:
+    """SHA-256 of a request's headers in order of name; empty without any."""
+    if "req_headers" not in df.columns:
+        return F.lit("")
+    sent = F.array_sort(F.map_entries("req_headers"))
+    return F.when(F.size(sent) > 0, F.sha2(F.to_json(sent), 256)).otherwise(F.lit(""))
+
+
 def _key_col(df: DataFrame, on) -> Column:
     if on is None:
         return request_key(df)
@@ -77,15 +88,54 @@ def join_on_key(left: DataFrame, right: DataFrame, left_key: list[str], right_ke
     return a.join(b, cond, how).drop("_left_hash", "_right_hash")
 
 
+def _time() -> Column:
+    return F.coalesce(F.col("fetched_at").cast("timestamp"), F.lit("1970-01-01").cast("timestamp"))
+
+
 def latest_capture(captures: DataFrame) -> DataFrame:
     """Latest response per key (ties broken by the larger body)."""
-    ts = F.coalesce(F.col("fetched_at").cast("timestamp"), F.lit("1970-01-01").cast("timestamp"))
-    return (captures.groupBy("key")
+    keys = _capture_keys(captures)
+    return (captures.groupBy(*keys)
             .agg(F.max_by(F.struct(F.col("status").cast("int").alias("status"),
                                    F.col("body").alias("body"),
                                    F.col("error").alias("error")),
-                          F.struct(ts, F.col("body"))).alias("_r"))
-            .select("key", "_r.status", "_r.body", "_r.error"))
+                          F.struct(_time(), F.col("body"))).alias("_r"))
+            .select(*keys, "_r.status", "_r.body", "_r.error"))
+
+
+def _capture_keys(captures: DataFrame) -> list[str]:
+    """Columns that tell the captures of different requests apart."""
+    return ["key", *[c for c in ("headers", "nth") if c in captures.columns]]
+
+
+_PLACE = ["_file", "_file_row"]
+
+
+def _placed(captures: DataFrame) -> DataFrame | None:
+    """Captures with the file and row each lies in; None unless they are read
+    straight from Parquet files."""
+    try:
+        node = plan = captures._jdf.queryExecution().analyzed()
+    except AttributeError:  # no JVM at hand (Spark Connect)
+        return None
+    while node.children().size() == 1 and node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().apply(0)
+    hidden = plan.metadataOutput()
+    kinds = [hidden.apply(i).dataType().simpleString() for i in range(hidden.size())]
+    if node.children().size() or not any("row_index" in kind for kind in kinds):
+        return None
+    return captures.withColumns({"_file": F.col("_metadata.file_path"), "_file_row": F.col("_metadata.row_index")})
+
+
+def latest_places(placed: DataFrame) -> DataFrame:
+    """Per key, the place of its latest response: (key columns, file, row).
+
+    Only keys, times and places are read, sorted and moved; of two responses of
+    one time the one in the later file, then the later row, is taken.
+    """
+    keys = _capture_keys(placed)
+    newest = F.max(F.struct(_time().alias("time"), *_PLACE))
+    return placed.groupBy(*keys).agg(newest.alias("_n")).select(*keys, *[F.col(f"_n.{c}").alias(c) for c in _PLACE])
 
 
 def replay(requests: DataFrame, captures: DataFrame, on=None, feed: str | None = None,
@@ -93,28 +143,48 @@ def replay(requests: DataFrame, captures: DataFrame, on=None, feed: str | None =
     """F1 (replay transport): requests left-joined with landed responses.
 
     Adds ``status``, ``response`` and ``_corrupt_record``; a request with no
-    capture gets the error ``not captured``.
-
-    With ``latest`` (default) the capture is first reduced to the newest
-    response per key.  Pass ``latest=False`` for a capture that is unique per
-    key by construction (``land_once``) to save that aggregate, which sorts
-    and shuffles whole bodies.
+    capture gets the error ``not captured``.  Captures with the columns
+    ``headers`` and ``nth`` (``land_once``, ``land_each``) also tell requests
+    apart that differ in headers only, and the 1st, 2nd, ... of equal ones.
+
+    With ``latest`` (default) the newest response per key answers.  Captures
+    read straight from Parquet files are not moved to find it: the winner's
+    file and row are found without the bodies, joined to the requests, and
+    only then are the bodies fetched from those places.  Other captures are
+    reduced by an aggregate that sorts and shuffles whole bodies.  Pass
+    ``latest=False`` for a capture that is unique per key by construction
+    (``land_once``) to save either.
     """
     caps = captures if feed is None else captures.where(F.col("feed") == feed)
     req = requests.withColumn("_req_key", _key_col(requests, on).cast("string"))
+    mine = ["_req_key"]
+    if "headers" in captures.columns and on is None:
+        req, mine = req.withColumn("_req_headers", headers_digest(requests)), [*mine, "_req_headers"]
+    else:
+        caps = caps.drop("headers")
+    if "nth" in captures.columns:
+        req = running(req, mine, [], fresh_dir(requests.sparkSession, "replay"), "_req_nth")
+        mine = [*mine, "_req_nth"]
+    theirs = _capture_keys(caps)
+    placed = _placed(caps) if latest else None
     if latest:
-        # only captures of requested keys are deduplicated: a small request
+        # only captures of requested keys are looked at: a small request
         # set is broadcast and filters the capture scan map-side
         wanted = req.select(F.col("_req_key").alias("key")).where(F.col("key").isNotNull()).distinct()
-        caps = latest_capture(caps.join(wanted, "key", "left_semi"))
-    else:
-        caps = caps.select("key", F.col("status").cast("int").alias("status"), "body", "error")
+        if placed is not None:
+            found = latest_places(placed.select(*theirs, "fetched_at", *_PLACE).join(wanted, "key", "left_semi"))
+            found = found.select(*[F.col(c).alias(f"_win_{c}") for c in (*theirs, *_PLACE)])
+            req = join_on_key(req, found, mine, [f"_win_{c}" for c in theirs], "left").drop(*[f"_win_{c}" for c in theirs])
+            mine, theirs, caps = [f"_win_{c}" for c in _PLACE], _PLACE, placed
+        else:
+            caps = latest_capture(caps.join(wanted, "key", "left_semi"))
     # capture columns get private names, so request columns called key,
     # status, body or error never collide with them
-    caps = caps.select(*[F.col(c).alias(f"_cap_{c}") for c in ("key", "status", "body", "error")])
-    joined = join_on_key(req, caps, ["_req_key"], ["_cap_key"], "left")
+    caps = caps.select(*[F.col(c).alias(f"_cap_{c}") for c in theirs], F.col("status").cast("int").alias("_cap_status"),
+                       F.col("body").alias("_cap_body"), F.col("error").alias("_cap_error"))
+    joined = join_on_key(req, caps, mine, [f"_cap_{c}" for c in theirs], "left")
     err = (F.when(F.col("_req_key").isNull(), F.lit(INVALID))
-           .when(F.col("_cap_key").isNull(), F.lit("not captured")).otherwise(F.col("_cap_error")))
+           .when(F.col(f"_cap_{theirs[0]}").isNull(), F.lit("not captured")).otherwise(F.col("_cap_error")))
     out_cols = [c for c in requests.columns if c not in RESPONSE_COLUMNS]
     return joined.select(
         *out_cols,
@@ -181,11 +251,14 @@ def fetch(requests: DataFrame, transport: Transport, partitions: int | None = No
     return df.mapInPandas(call, out_schema)
 
 
-def as_capture(responses: DataFrame, feed: str, key=None) -> DataFrame:
-    """Fetched rows -> capture rows (for landing)."""
+def as_capture(responses: DataFrame, feed: str, key=None, headers: bool = False) -> DataFrame:
+    """Fetched rows -> capture rows (for landing), with the digest of their
+    headers if wanted."""
+    more = [headers_digest(responses).alias("headers")] if headers else []
     return responses.select(
         F.lit(feed).alias("feed"),
         _key_col(responses, key).cast("string").alias("key"),
+        *more,
         F.col("status").cast("int").alias("status"),
         F.col("response").alias("body"),
         F.col("_corrupt_record").alias("error"),
@@ -205,36 +278,61 @@ def land(df: DataFrame, path: str, mode: str = "append", partition_by=("feed",))
 
 
 def land_once(responses: DataFrame, feed: str, path: str, key=None) -> DataFrame:
-    """Land fetched rows with one row per request key, for ``replay(latest=False)``.
+    """Land fetched rows with one row per request, for ``replay(latest=False)``.
 
-    Requests that repeat a key were each called; one of their replies stays,
-    a successful one if there is any.
+    Without ``key`` requests that differ in their headers are different ones
+    (column ``headers``).  Equal requests were each called; one of their
+    replies stays, a successful one if there is any: ``land_each`` keeps all.
     """
-    got = as_capture(responses, feed, key)
-    best = F.max_by(F.struct(*[c for c in got.columns if c != "key"]),
+    got = as_capture(responses, feed, key, headers=key is None)
+    keys = _capture_keys(got)
+    best = F.max_by(F.struct(*[c for c in got.columns if c not in keys]),
                     F.struct(F.col("error").isNull(), F.col("body")))
-    once = got.groupBy("key").agg(best.alias("_r")).select("_r.feed", "key", "_r.status", "_r.body", "_r.error",
+    once = got.groupBy(*keys).agg(best.alias("_r")).select("_r.feed", *keys, "_r.status", "_r.body", "_r.error",
                                                            "_r.fetched_at")
     return land(once, path)
 
 
+def land_each(responses: DataFrame, feed: str, path: str) -> DataFrame:
+    """Land the reply of every call: equal requests keep theirs apart by their
+    number (column ``nth``), which ``replay`` deals out again."""
+    return running(as_capture(responses, feed, headers=True), ["key", "headers"], [], path, "nth")
+
+
 def parse_output(df: DataFrame, schema: str | None = None, col: str = "response",
                  out: str = "output") -> DataFrame:
     """JSON bodies -> ``output``.
 
     With a schema the body is parsed to that type (``from_json``); a body that
-    is not JSON is then an error: its text goes to ``_corrupt_record`` (unless
+    is not JSON, or in which some value is of another type than the schema has
+    there, is then an error: its text goes to ``_corrupt_record`` (unless
     the row has an error already), so it is counted as failed and never lost.
+    Absent and extra fields and nulls are no errors; one object where an array
+    of them is wanted is an array of one.
     Without a schema ``output`` is the body text as received, JSON or not.
     """
     if schema is None:
         return df.withColumn(out, F.col(col))
-    body = F.col(col)
+    body, wanted = F.col(col), _type_of(schema)
     broken = body.isNotNull() & F.try_parse_json(body).isNull()
-    error = F.when(broken, F.concat(F.lit("response is not JSON: "), body))
+    text = body
+    if isinstance(wanted, ArrayType) and isinstance(wanted.elementType, StructType):
+        text = F.when(F.ltrim(body).startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
+    # Below a field of its own a body of any type is checked, in all its depth.
+    read = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), StructType([
+        StructField("v", wanted), StructField("_misfit", StringType())]), {"columnNameOfCorruptRecord": "_misfit"})
+    misfit = ~broken & read["_misfit"].isNotNull()
+    error = (F.when(broken, F.concat(F.lit("response is not JSON: "), body))
+             .when(misfit, F.concat(F.lit("response does not fit the schema: "), body)))
     if "_corrupt_record" in df.columns:
         error = F.coalesce(F.col("_corrupt_record"), error)
-    return df.withColumn(out, F.when(~broken, F.from_json(body, schema))).withColumn("_corrupt_record", error)
+    return df.withColumn(out, F.when(~broken & ~misfit, read["v"])).withColumn("_corrupt_record", error)
+
+
+def _type_of(schema: str):
+    from pyspark.sql.types import _parse_datatype_string
+
+    return _parse_datatype_string(schema)
 
 
 def explode_output(df: DataFrame, element_schema: str, col: str = "response",
@@ -349,7 +447,8 @@ def call_once(params: DataFrame, key_cols: list[str], call: Callable[[DataFrame]
 
 
 def pages_until_empty(keys: DataFrame, call: Callable[[DataFrame], DataFrame], n_items: Column, path: str,
-                      first: int = 1, step: int = 4, page_col: str = "page") -> DataFrame:
+                      first: int = 1, step: int = 4, page_col: str = "page",
+                      probe: int | None = PROBE) -> DataFrame:
     """Q11 without a known total: pages of every key up to its first empty one.
 
     ``call`` answers (key columns, page) rows; ``n_items`` counts a response's
@@ -357,22 +456,30 @@ def pages_until_empty(keys: DataFrame, call: Callable[[DataFrame], DataFrame], n
     is kept).  Pages are asked in rounds, each twice as many as the one
     before, only for keys that are still open, and landed below ``path``; so
     the rounds grow with the logarithm of the longest key and at most twice
-    the pages needed are asked for.  A service that answers every page of the
-    first round with the same text doesn't page: its first page is all.
+    the pages needed are asked for.  The first round also asks each key for
+    the page ``probe``, far behind any real one: a service that answers it with
+    items doesn't page, and its first page is all.  ``probe=None`` saves that
+    call for services known to page.
     """
     if step < 2:
         raise ValueError("step must be >= 2")
     spark, folder = keys.sparkSession, f"{path.rstrip('/')}/pages-{uuid.uuid4().hex}"
     names, open_, rounds, start = list(keys.columns), keys.distinct(), [], first
     while True:
-        pages = open_.withColumn(page_col, F.explode(F.sequence(F.lit(first), F.lit(first + step - 1))))
-        got = call(pages).withColumn("_items", F.coalesce(n_items, F.lit(0)))
-        rounds.append(land(got, f"{folder}/{first}", partition_by=None))
+        asked = F.sequence(F.lit(first), F.lit(first + step - 1))
+        if first == start and probe is not None:
+            asked = F.concat(asked, F.array(F.lit(probe)))
+        got = call(open_.withColumn(page_col, F.explode(asked))).withColumn("_items", F.coalesce(n_items, F.lit(0)))
+        landed = land(got, f"{folder}/{first}", partition_by=None)
         end = F.min(F.when(F.col("_items") <= 0, F.col(page_col)))
-        if first == start:
-            text = F.xxhash64("response")
-            end = F.coalesce(end, F.when(F.min(text) == F.max(text), F.lit(start)))
-        ended = rounds[-1].groupBy(*names).agg(end.alias("_end"))
+        if first == start and probe is not None:
+            far = F.col(page_col) == probe
+            end = F.when(F.max(far & (F.col("_items") > 0)), F.lit(start)).otherwise(
+                F.min(F.when((F.col("_items") <= 0) & ~far, F.col(page_col))))
+            landed, ended = landed.where(~far), landed.groupBy(*names).agg(end.alias("_end"))
+        else:
+            ended = landed.groupBy(*names).agg(end.alias("_end"))
+        rounds.append(landed)
         ended.write.parquet(f"{folder}/end-{first}")
         open_ = spark.read.parquet(f"{folder}/end-{first}").where(F.col("_end").isNull()).select(*names)
         first, step = first + step, 2 * step

@@ -176,6 +176,18 @@ def spread(requests: DataFrame, partitions: int = 2) -> DataFrame:
     return requests.repartition(partitions)
 
 
+def spread_by_index(requests: DataFrame, partitions: int, order: list[str], path: str) -> DataFrame:
+    """Q9: the request of index i (from 0, by ``order``) goes to task i mod
+    ``partitions``, whatever the partitioning was.  Rows are numbered by
+    ranges landed below ``path``; no task sees them all."""
+    from feedloom.operators.numbering import running
+
+    if partitions < 1:
+        raise ValueError("partitions must be >= 1")
+    numbered = running(requests, [], order, path, "_index")
+    return numbered.repartitionById(partitions, ((F.col("_index") - 1) % partitions).cast("int")).drop("_index")
+
+
 def plan_pages(keys: DataFrame, total_col: str, page_size: int, page_col: str = "page",
                probe_extra: bool = True) -> DataFrame:
     """Q11 planning: one request row per page ``1..ceil(total/size)``.

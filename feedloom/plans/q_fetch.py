@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.operators.fetch import (
-    as_capture, call_once, call_stats, enrich, explode_output, fetch, infer_schema, land, land_once,
+    as_capture, call_once, call_stats, enrich, explode_output, fetch, infer_schema, land, land_each, land_once,
     parse_output, replay, select_output, split_outcome,
 )
 from feedloom.operators.requests import build_requests, spread
@@ -296,3 +296,75 @@ FROM orders
 def rest_put_land(spark, d):
     """the same for PUT with a form body."""
     return _landed_writes(spark, d, "PUT", "form").select("o_orderkey", "output.method", "output.sent")
+
+
+def accept_transport(method, url, body, headers):
+    """Fixture service: answers in the form that the request's headers ask for."""
+    import json
+
+    return 200, json.dumps({"form": (headers or {}).get("Accept"), "url": url}), None
+
+
+@query("rest_headers_land", """
+SELECT c_custkey, f.form, 'text/' || f.form AS got FROM customer, (VALUES ('csv'), ('xml')) f(form)
+""")
+def rest_headers_land(spark, d):
+    """requests that differ in headers only keep their own replies."""
+    params = load(spark, d, "customer").select("c_custkey")
+    parts = []
+    for form in ("csv", "xml"):
+        req = build_requests(params, captures.API + "/customers/{c_custkey}", method="GET", query_type="inline",
+                             headers='{"Accept": "text/%s"}' % form)
+        parts.append(req.withColumn("form", F.lit(form)))
+    req = parts[0].unionByName(parts[1])
+    landed = land_once(fetch(req, accept_transport), "customers", fresh_dir(spark, "captures"))
+    out = parse_output(replay(req, landed, latest=False), "form string")
+    return out.select("c_custkey", "form", F.col("output.form").alias("got"))
+
+
+def creating_transport(method, url, body, headers):
+    """Fixture service: every call creates something with an id of its own."""
+    import json
+    import uuid
+
+    return 201, json.dumps({"id": uuid.uuid4().hex}), None
+
+
+@query("rest_repeat_land", """
+SELECT o_orderpriority, 'whole rows' AS landed, count(*) AS calls, count(*) AS created FROM orders GROUP BY o_orderpriority
+UNION ALL
+SELECT o_orderpriority, 'captures', count(*), count(*) FROM orders GROUP BY o_orderpriority
+""")
+def rest_repeat_land(spark, d):
+    """of n equal calls each keeps its own reply, landed with its row or
+    as a capture that is replayed."""
+    from feedloom import api
+
+    params = load(spark, d, "orders").select("o_orderpriority")
+    whole = api.read(spark, "rest", input=params, url=captures.API + "/orders", method="POST",
+                     transport=creating_transport, land_to=fresh_dir(spark, "calls"), schema="id string")
+    req = build_requests(params, captures.API + "/orders", method="POST")
+    landed = land_each(fetch(req, creating_transport), "orders", fresh_dir(spark, "captures"))
+    again = parse_output(replay(req, landed, latest=False), "id string")
+
+    def summary(out, name):
+        return out.groupBy("o_orderpriority").agg(F.lit(name).alias("landed"), F.count(F.lit(1)).alias("calls"),
+                                                  F.countDistinct("output.id").alias("created"))
+    return summary(whole, "whole rows").unionByName(summary(again, "captures"))
+
+
+@query("rest_misfits", """
+SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN c_acctbal END AS balance,
+       CASE c_custkey % 4 WHEN 1 THEN 'response does not fit the schema: [' || c_custkey || ']'
+            WHEN 2 THEN 'response does not fit the schema: {"balance":"none"}'
+            WHEN 3 THEN 'response does not fit the schema: {"tags":[1,{"x":' || c_custkey || '}]}' END AS _corrupt_record
+FROM customer
+""")
+def rest_misfits(spark, d):
+    """a body whose values are of another type than the schema's is an error."""
+    kind = F.col("c_custkey") % 4
+    body = (F.when(kind == 1, F.format_string("[%d]", "c_custkey")).when(kind == 2, F.lit('{"balance":"none"}'))
+            .when(kind == 3, F.format_string('{"tags":[1,{"x":%d}]}', "c_custkey"))
+            .otherwise(F.to_json(F.struct(F.col("c_acctbal").alias("balance")))))
+    got = parse_output(_captured(spark, d, "customer", "c_custkey", "customers", body), "balance double, tags array<int>")
+    return got.select("c_custkey", F.col("output.balance").alias("balance"), "_corrupt_record")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from feedloom.operators.fetch import land, pages_until_empty, replay
+from feedloom.operators.fetch import fetch, land, pages_until_empty, replay
 from feedloom.operators.requests import (
-    build_requests, cut_pages, plan_pages, range_bounds, range_index, split_range,
+    build_requests, cut_pages, plan_pages, range_bounds, range_index, split_range, spread_by_index,
 )
 from feedloom.plans import captures
 from feedloom.plans.registry import query
@@ -236,6 +236,42 @@ def rest_pages_open(spark, d):
             .select("o_custkey", "page", "it.o_orderkey", "it.o_totalprice"))
 
 
+@query("rest_pages_equal", """
+SELECT s_suppkey, CAST(p AS INTEGER) AS page, 'same' AS item FROM supplier, range(1, 7) r(p) WHERE s_suppkey % 2 = 0
+UNION ALL
+SELECT s_suppkey, 1, 'whole' FROM supplier WHERE s_suppkey % 2 = 1
+""")
+def rest_pages_equal(spark, d):
+    """Q11: six pages of equal text are six pages; a service that knows no
+    pages answers any page with all it has."""
+    keys = load(spark, d, "supplier").select("s_suppkey")
+    got = pages_until_empty(keys, lambda pages: fetch(build_requests(
+        pages, API + "/suppliers/{s_suppkey}?page={page}", method="GET", query_type="inline"), paged_transport),
+        F.size(F.from_json("response", "array<string>")), fresh_dir(spark, "pages"))
+    items = F.explode(F.from_json("response", "array<string>"))
+    return got.select("s_suppkey", "page", items.alias("item"))
+
+
+def paged_transport(method, url, body, headers):
+    """Fixture service: even suppliers have six equal pages, odd ones no pages."""
+    import json
+
+    key, page = (int(x) for x in url.rsplit("/", 1)[1].split("?page="))
+    if key % 2:
+        return 200, '["whole"]', None
+    return 200, json.dumps(["same"] if page <= 6 else []), None
+
+
+@query("rest_spread_exact", """
+SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) % 16 AS INTEGER) AS task FROM orders
+""")
+def rest_spread_exact(spark, d):
+    """Q9: the request of index i goes to task i mod n."""
+    req = build_requests(load(spark, d, "orders").select("o_orderkey"), API + "/orders", method="GET")
+    dealt = spread_by_index(req, 16, ["o_orderkey"], fresh_dir(spark, "spread"))
+    return dealt.select("o_orderkey", F.spark_partition_id().alias("task"))
+
+
 @query("range_split", """
 WITH b AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) + 1 AS hi FROM lineitem),
      s AS (SELECT lo, hi, (hi - lo) // 8 AS step FROM b),

@@ -373,9 +373,20 @@ def deliver_batch(batch_df: DataFrame, batch_id: int, key: str, transport: Calla
                   ledger_path: str, schema: str | None = None, object_type: str = DEFAULT_OBJECT,
                   batch_size: int = BATCH_SIZE, skip_delivered: bool = True, order: str | None = None,
                   log: BatchLog | None = None) -> list[str]:
-    """One micro-batch of streaming delivery (the ``foreachBatch`` body)."""
+    """One micro-batch of streaming delivery (the ``foreachBatch`` body).
+
+    Without ``log`` the batch is named by its number alone, and done once.
+    """
     recs = records(batch_df, key=key, schema=schema, order=order)
-    return deliver_records(recs, str(batch_id), transport, ledger_path, object_type, batch_size, skip_delivered, log)
+    if log is not None:
+        return deliver_records(recs, str(batch_id), transport, ledger_path, object_type, batch_size, skip_delivered, log)
+    run, log = f"batch-{batch_id}", BatchLog(batch_df.sparkSession, ledger_path)
+    seq = log.begin(run, 0)
+    if seq is None:
+        return []
+    written = deliver_records(recs, str(seq), transport, ledger_path, object_type, batch_size, skip_delivered, log)
+    log.commit(run, 0, {b: f"batch_id={seq}/{n}" for b, n in written})
+    return written
 
 
 def undelivered(spark, ledger_path: str) -> DataFrame | None:
