@@ -67,6 +67,48 @@ def sheets_quoted(spark, d):
     return sheets.sheet_from_lines(rows, schema="id bigint, note string", header_n=0)
 
 
+@query("sheets_bare_quotes", """
+SELECT p_partkey AS id, (p_partkey % 9) || '" ' || p_name AS label, '"' || p_brand || '" of' || chr(13) || chr(10) || p_type AS note
+FROM part
+""")
+def sheets_bare_quotes(spark, d):
+    """A quote inside an unquoted cell is an ordinary character; a quoted cell
+    keeps its quotes and line breaks as they are."""
+    part = load(spark, d, "part")
+    line = F.concat("p_partkey", F.lit(","), F.col("p_partkey") % 9, F.lit('" '), "p_name", F.lit(',"""'), "p_brand",
+                    F.lit('"" of\r\n'), "p_type", F.lit('"\r'))
+    path = fresh_dir(spark, "sheets")
+    part.select(line).write.text(path)  # each row's records as they stand, ended by \r\n
+    return sheets.read_sheet(spark, path, has_header=False, schema="id bigint, label string, note string")
+
+
+@query("sheets_header_break", """
+SELECT s_suppkey AS "sup
+key", s_name AS name FROM supplier
+""")
+def sheets_header_break(spark, d):
+    """A header cell may hold a line break, in every file."""
+    path = fresh_dir(spark, "sheets")
+    rows = load(spark, d, "supplier").select(F.concat("s_suppkey", F.lit(","), "s_name").alias("l"), F.col("s_suppkey") % 3)
+    for i in range(3):
+        head = spark.createDataFrame([('"sup',), ('key",name',)], "l string").coalesce(1)
+        head.unionByName(rows.where(rows[1] == i).select("l")).coalesce(1).write.text(f"{path}/{i}")
+    return sheets.read_sheet(spark, f"{path}/*").selectExpr("cast(`sup\nkey` as bigint) AS `sup\nkey`", "name")
+
+
+@query("sheets_csv_split", """
+SELECT l_orderkey AS id, l_linenumber AS line, 'says "' || l_linestatus || '",' || chr(10) || chr(10) || l_returnflag AS note FROM lineitem
+""")
+def sheets_csv_split(spark, d):
+    """One CSV file of all line items, with line breaks in quoted cells: as many
+    tasks read it as Spark cuts splits."""
+    path = fresh_dir(spark, "sheets")
+    rows = load(spark, d, "lineitem").select(F.concat(
+        "l_orderkey", F.lit(","), "l_linenumber", F.lit(',"says ""'), "l_linestatus", F.lit('"",\n\n'), "l_returnflag", F.lit('"')).alias("l"))
+    rows.coalesce(1).write.text(path)
+    return sheets.read_sheet(spark, path, has_header=False, schema="id bigint, line int, note string")
+
+
 @query("sheets_no_header", """
 SELECT s_suppkey AS a, s_name AS b, s_nationkey AS c, s_acctbal AS d FROM supplier
 """)

@@ -10,7 +10,8 @@
 * A user schema renames columns **by position** and casts them; a width
   that differs from the sheet's is an error, and so is any row with more or
   fewer cells than the first line.
-* A line break inside a quoted cell belongs to the cell (``record_lines``).
+* A line break inside a quoted cell belongs to the cell, as it stands; a quote
+  opens a cell at the cell's start only (``csv_records``).
 
 Two inputs are supported: landed CSV files (``read_sheet``, a distributed
 CSV scan) and landed lines (``sheet_from_lines``: one row per line with its
@@ -27,9 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from feedloom.sources.csv_records import csv_records, record_lines  # noqa: F401
+
 # CSV as exported (RFC 4180): a quote inside a quoted field is doubled; a
 # backslash is an ordinary character (Spark's default escape is "\\").
-CSV_OPTIONS = {"mode": "PERMISSIVE", "escape": '"'}
+CSV_OPTIONS = {"mode": "PERMISSIVE", "escape": '"', "multiLine": "true"}
 
 # The sheet host and path prefix, and the rejection message.
 HOST = "docs.google.com"
@@ -111,18 +114,7 @@ def header_names(cells: list[str]) -> list[str]:
 
 
 def _cells(line: str) -> list[str]:
-    return next(csv.reader(io.StringIO(line)), [])
-
-
-_BREAK = "\u0000\u001e"  # stands for a record's end while the text is cut
-
-
-def record_lines(body: Column) -> Column:
-    """The records of a CSV text as an array: cut at line breaks that stand
-    outside quotes (an even number of quotes before them)."""
-    parts = F.split(F.regexp_replace(body, "\r\n", "\n"), '"')
-    cut = F.transform(parts, lambda p, i: F.when(i % 2 == 0, F.replace(p, F.lit("\n"), F.lit(_BREAK))).otherwise(p))
-    return F.split(F.array_join(cut, '"'), _BREAK)
+    return next(csv.reader(io.StringIO(line, newline="")), [])
 
 
 def _schema_for(first_line: str | None, has_header: bool, schema) -> StructType:
@@ -159,10 +151,14 @@ def sheet_from_lines(lines: DataFrame, has_header: bool = True, schema=None,
     if has_header:
         # the header line becomes null *before* parsing, so no cast ever sees it
         line = F.when(F.col(n_col) != F.lit(head["n"]), line)
+    return _typed(lines.where(line.isNotNull()).select(line.alias("line")), st)
+
+
+def _typed(lines: DataFrame, st: StructType) -> DataFrame:
+    """Records (column ``line``) as rows of the schema, by position."""
     width = len(st.fields)
     ddl = ", ".join([*(f"`c{i}` string" for i in range(width)), "`_bad` string"])
-    parsed = lines.where(line.isNotNull()).select(
-        F.from_csv(line, ddl, CSV_OPTIONS | {"columnNameOfCorruptRecord": "_bad"}).alias("_r"))
+    parsed = lines.select(F.from_csv("line", ddl, CSV_OPTIONS | {"columnNameOfCorruptRecord": "_bad"}).alias("_r"))
     # a row of another width is reported, never cut or filled up
     ragged = F.when(F.col("_r._bad").isNotNull(), F.raise_error(
         F.concat(F.lit(f"CSV parse error: expected {width} cells in "), F.col("_r._bad"))))
@@ -171,9 +167,18 @@ def sheet_from_lines(lines: DataFrame, has_header: bool = True, schema=None,
 
 
 def read_sheet(spark, path: str, has_header: bool = True, schema=None) -> DataFrame:
-    """Landed CSV export(s) -> typed rows.  Quoted cells may hold line breaks,
-    so a file is one task (a sheet's size is bounded by its service)."""
-    first = spark.read.text(path).limit(1).collect()
-    st = _schema_for(first[0][0] if first else None, has_header, schema)
-    return (spark.read.schema(st).option("header", has_header).option("enforceSchema", True)
-            .options(**CSV_OPTIONS).option("mode", "FAILFAST").option("multiLine", True).csv(path))
+    """Landed CSV export(s) -> typed rows, each file read by as many tasks as
+    Spark splits it into (see ``csv_records``).  Every file's header counts: all
+    must name the same columns, or be as wide as a given schema."""
+    records, heads = csv_records(spark, path)
+    heads = [h.removeprefix("\ufeff") for h in heads]
+    st = _schema_for(heads[0] if heads else None, has_header, schema)
+    for head in heads[1:]:
+        if _schema_for(head, has_header, schema) != st:
+            raise ValueError(f"CSV parse error: files have different headers: {heads[0]!r} and {head!r}")
+    first = (F.col("block") == 0) & (F.col("n") == 0)
+    if has_header:
+        records = records.where(~first)
+    else:
+        records = records.withColumn("line", F.when(first, F.regexp_replace("line", "^\ufeff", "")).otherwise(F.col("line")))
+    return _typed(records.select("line"), st)
