@@ -256,6 +256,32 @@ def arrow_glob(spark, d):
     return arrow.read_arrow(spark, f"{root}/set_?/*.arrow", ["o_orderkey", "o_totalprice"])
 
 
+@query("arrow_pruned", """
+SELECT o_orderkey, o_totalprice FROM orders
+WHERE o_orderkey BETWEEN 300 AND 700 AND o_orderstatus IN ('F', 'O') AND o_totalprice > 1000
+""")
+def arrow_pruned(spark, d):
+    """Conditions skip record batches by their zone maps."""
+    path = fresh_dir(spark, "arrow")
+    arrow.append_arrow(load(spark, d, "orders").repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey"), path)
+    return arrow.read_arrow(spark, path, ["o_orderkey", "o_totalprice", "o_orderstatus"], where=[
+        ("o_orderkey", ">=", 300), ("o_orderkey", "<=", 700), ("o_orderstatus", "in", ["F", "O"]),
+        ("o_totalprice", ">", 1000.0)]).select("o_orderkey", "o_totalprice")
+
+
+@query("arrow_mixed", """
+SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer
+UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier
+""")
+def arrow_mixed(spark, d):
+    """A file without one of the columns: read as null because it is asked for."""
+    path = fresh_dir(spark, "arrow")
+    cust = load(spark, d, "customer").selectExpr("c_custkey AS id", "c_name AS name", "c_acctbal AS balance")
+    arrow.append_arrow(cust, f"{path}/a")
+    arrow.append_arrow(load(spark, d, "supplier").selectExpr("s_suppkey AS id", "s_name AS name"), f"{path}/b")
+    return arrow.read_arrow(spark, f"{path}/*/*.arrow", missing="null")
+
+
 @query("arrow_append", "SELECT * FROM customer UNION ALL SELECT * FROM customer")
 def arrow_append(spark, d):
     """Two appends to one dataset: both sets of fragments are read back."""

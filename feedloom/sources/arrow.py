@@ -6,7 +6,8 @@ from the first file's IPC footer (no batch is read on the driver).  Input
 partitions are (file, range of record batches) of about ``maxPartitionBytes``
 (default 128 MB, estimated from file size / batch count), so a large file is
 read by several tasks; every batch is cast to the schema handed to the
-reader.  A failing file is named in the error.
+reader.  A failing file is named in the error.  Conditions skip batches by
+their zone maps (``sources.zones``).
 
 ``arrowdataset`` (writer): append-only dataset of IPC fragments.  Tasks
 write fragments to a staging folder; the driver's ``commit`` publishes
@@ -27,6 +28,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
+from feedloom.sources.zones import OPERATORS, marked, possible, read_zones, write_zones, zone
+
 SPLIT_BYTES = 128 * 1024 * 1024  # like spark.sql.files.maxPartitionBytes
 
 
@@ -148,11 +151,15 @@ class ArrowSplit(InputPartition):
     file: str
     first: int
     last: int  # exclusive; -1 = stream file, read all
+    kept: list[int] | None = None  # the batches to read, where some are skipped
 
 
 class ArrowFilesReader(DataSourceReader):
-    def __init__(self, path: str, schema: StructType, split_bytes: int = SPLIT_BYTES, some: bool = False):
+    def __init__(self, path: str, schema: StructType, split_bytes: int = SPLIT_BYTES, some: bool = False,
+                 conditions: list[tuple] = (), fill: bool = False):
         self.path = path
+        self.conditions = list(conditions)  # (column, operator, value), all true of every row that is wanted
+        self.fill = fill  # a column that a file lacks is null there
         self.schema = schema
         self.some = some  # the schema is a selection of the files' columns
         self.split_bytes = max(1, int(split_bytes))
@@ -167,7 +174,11 @@ class ArrowFilesReader(DataSourceReader):
             n = r.num_record_batches
             per_batch = (fs.get_file_info(file).size or 0) / max(n, 1)
             step = max(1, int(self.split_bytes // max(per_batch, 1)))
-            return [ArrowSplit(file, s, min(s + step, n)) for s in range(0, max(n, 1), step)]
+            zones = read_zones(r) if self.conditions else None
+            if zones is None:
+                return [ArrowSplit(file, s, min(s + step, n)) for s in range(0, max(n, 1), step)]
+            some = possible(zones, r.schema.names, self.conditions)
+            return [ArrowSplit(file, k[0], k[-1] + 1, k) for k in (some[s:s + step] for s in range(0, len(some), step))]
 
         return [s for many in on_threads(splits, list_files(self.path)) for s in many]
 
@@ -183,6 +194,9 @@ class ArrowFilesReader(DataSourceReader):
             more = [n for n in b.schema.names if n not in target.names]
             if more and not self.some:
                 raise ValueError(f"columns {more} are not in the schema read from the first file; give the columns to read")
+            absent = [n for n in target.names if n not in b.schema.names]
+            if absent and not self.fill:
+                raise ValueError(f"it lacks the columns {absent} of the first file; missing='null' reads them as null")
             cols = []
             for field in target:
                 idx = b.schema.get_field_index(field.name)
@@ -198,12 +212,30 @@ class ArrowFilesReader(DataSourceReader):
                         yield project(b)
             else:
                 r = _open(fs, partition.file, target.names if self.some else None)
-                for i in range(partition.first, partition.last):
+                for i in partition.kept or range(partition.first, partition.last):
                     yield project(r.get_batch(i))
         except Exception as e:
             raise RuntimeError(f"{partition.file} cannot be read as Arrow: {e}") from e
 
 
+class PushingReader(ArrowFilesReader):
+    """A reader that also takes the conditions Spark pushes down (Spark asks it
+    only where ``spark.sql.python.filterPushdown.enabled`` is set)."""
+
+    def pushFilters(self, filters):
+        from pyspark.sql import datasource as D
+
+        compared = {D.EqualTo: "=", D.EqualNullSafe: "=", D.GreaterThan: ">", D.GreaterThanOrEqual: ">=", D.LessThan: "<",
+                    D.LessThanOrEqual: "<=", D.In: "in", D.StringStartsWith: "starts", D.IsNull: "is null",
+                    D.IsNotNull: "is not null"}
+        for f in filters:
+            op = compared.get(type(f))
+            value = getattr(f, "value", None)
+            if op is not None and len(f.attribute) == 1 and not (isinstance(f, D.EqualNullSafe) and value is None):
+                self.conditions.append((f.attribute[0], op, value))
+            yield f  # a batch is skipped or read whole: Spark still looks at every row
+
+
 @dataclass
 class StagedFragment(WriterCommitMessage):
     staged: str
@@ -228,15 +260,19 @@ class ArrowDatasetWriter(DataSourceArrowWriter):
         staged = f"{base}/_staging/{self.job}/{attempt}-{name}"
         fs.create_dir(f"{base}/_staging/{self.job}", recursive=True)
         rows = 0
-        writer = None
+        writer, zones, sizes = None, [], []
         try:
             with fs.open_output_stream(staged) as out:
                 for batch in iterator:
                     if writer is None:
-                        writer = ipc.new_file(out, batch.schema)
-                    writer.write_batch(batch)
+                        schema = marked(batch.schema)
+                        writer = ipc.new_file(out, schema)
+                    writer.write_batch(batch.cast(schema))
+                    zones.append(zone(batch))
+                    sizes.append(batch.num_rows)
                     rows += batch.num_rows
                 if writer is not None:
+                    write_zones(writer, schema, zones, sizes)
                     writer.close()
         except BaseException:
             try:
@@ -296,8 +332,15 @@ class ArrowFilesSource(DataSource):
         return StructType([st[c] for c in columns])
 
     def reader(self, schema: StructType):
-        return ArrowFilesReader(self._path(), schema, int(self.options.get("maxPartitionBytes", SPLIT_BYTES)),
-                                self._columns() is not None)
+        import json
+
+        missing = self.options.get("missing", "error")
+        if missing not in ("error", "null"):
+            raise ValueError("missing must be 'error' or 'null'")
+        where = self.options.get("where")
+        kind = PushingReader if self.options.get("pushdown", "false").lower() == "true" else ArrowFilesReader
+        return kind(self._path(), schema, int(self.options.get("maxPartitionBytes", SPLIT_BYTES)),
+                    self._columns() is not None, [(c, op, _decoded(v)) for c, op, v in json.loads(where or "[]")], missing == "null")
 
 
 class ArrowDatasetSink(DataSource):
@@ -323,15 +366,69 @@ def register(spark) -> None:
     spark.dataSource.register(ArrowDatasetSink)
 
 
-def read_arrow(spark, path: str, columns: list[str] | None = None):
-    """Rows of Arrow files; with ``columns`` no other column leaves the files."""
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
+def read_arrow(spark, path: str, columns: list[str] | None = None, where: list[tuple] = (), missing: str = "error"):
+    """Rows of Arrow files; with ``columns`` no other column leaves the files.
+
+    ``where`` is a list of (column, operator, value), with an operator of
+    ``zones.OPERATORS``: only rows for which all are true are returned, and of
+    files that ``append_arrow`` wrote only the batches are read whose zones can
+    hold such rows.  Where Spark's filter push-down for Python sources is on,
+    plain ``where`` conditions on the result skip batches too.  A file that
+    lacks a column of the first one is an error, or null there with
+    ``missing="null"``.
+    """
     import json
+    from functools import reduce
+
+    from pyspark.sql import functions as F
 
     register(spark)
-    r = spark.read.format("arrowfiles")
+    r = spark.read.format("arrowfiles").option("missing", missing)
     if columns is not None:
         r = r.option("columns", json.dumps(list(columns)))
-    return r.load(path)
+    if str(spark.conf.get(PUSHDOWN, "false")).lower() == "true":
+        r = r.option("pushdown", "true")
+    bad = [op for _, op, _ in where if op not in OPERATORS]
+    if bad:
+        raise ValueError(f"unknown operators {bad}; known: {list(OPERATORS)}")
+    if not where:
+        return r.load(path)
+    df = r.option("where", json.dumps([[c, op, _encoded(v)] for c, op, v in where])).load(path)
+    tests = {"=": lambda c, v: c == v, ">": lambda c, v: c > v, ">=": lambda c, v: c >= v, "<": lambda c, v: c < v,
+             "<=": lambda c, v: c <= v, "in": lambda c, v: c.isin(*v), "starts": lambda c, v: c.startswith(v),
+             "is null": lambda c, _: c.isNull(), "is not null": lambda c, _: c.isNotNull()}
+    return df.where(reduce(lambda a, b: a & b, [tests[op](F.col(f"`{c}`"), v) for c, op, v in where]))
+
+
+def _encoded(value):
+    """A condition's value as JSON: a number, text, list, or {type: text}."""
+    import datetime
+    import decimal
+
+    if isinstance(value, (list, tuple)):
+        return [_encoded(v) for v in value]
+    if isinstance(value, decimal.Decimal):
+        return {"decimal": str(value)}
+    if isinstance(value, datetime.datetime):
+        return {"datetime": value.isoformat()}
+    if isinstance(value, datetime.date):
+        return {"date": value.isoformat()}
+    return value
+
+
+def _decoded(value):
+    import datetime
+    import decimal
+
+    if isinstance(value, list):
+        return [_decoded(v) for v in value]
+    if isinstance(value, dict):
+        (kind, text), = value.items()
+        return {"decimal": decimal.Decimal, "datetime": datetime.datetime.fromisoformat, "date": datetime.date.fromisoformat}[kind](text)
+    return value
 
 
 def append_arrow(df, path: str) -> None:
