@@ -48,6 +48,8 @@ from feedloom.session import fresh_dir
 WINDOW = 1024
 SHARD_TOKENS = 4_000_000
 K1, B = 1.2, 0.75
+SQUARE, OFTEN = 4096, 16  # documents of a shard with a score matrix; a share of them that is many
+GRAIN = 1 << 20
 
 
 def _draws(n: int) -> np.ndarray:
@@ -99,7 +101,13 @@ class Statistics(NamedTuple):
 
 
 class Bm25:
-    """Inverted index of one shard; without ``corpus``, the shard is the whole corpus."""
+    """Inverted index of one shard; without ``corpus``, the shard is the whole corpus.
+
+    Tokens that stand in many documents have their impacts in a matrix instead
+    of postings, and their part of all scores is one matrix product, in shards
+    of up to ``SQUARE`` documents (shorter documents have few such tokens).
+    Impacts are multiples of ``1 / GRAIN``, so both ways give the same sums.
+    """
 
     def __init__(self, docs: list[np.ndarray], corpus: Statistics | None = None):
         n = len(docs)
@@ -115,7 +123,21 @@ class Bm25:
         idf = np.log1p((total - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * length / mean)
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        self.n, self.terms = n, term.astype(np.int32)
+        # Multiples of a power of two: sums are exact, in whatever order they are taken.
+        weight = np.rint(weight * GRAIN) / GRAIN
+        self.n, self.common = n, None
+        if n <= SQUARE:
+            often = np.flatnonzero(held >= max(2, n // OFTEN))
+            place = np.full(len(held), -1)
+            place[often] = np.arange(len(often))
+            dense = place[term] >= 0
+            seeds, impacts = np.zeros((n, len(often))), np.zeros((n, len(often)))
+            seeds[doc[dense], place[term[dense]]] = 1
+            impacts[doc[dense], place[term[dense]]] = weight[dense]
+            self.common = seeds @ impacts.T
+            doc, term, weight = doc[~dense], term[~dense], weight[~dense]
+            held = np.bincount(term, minlength=len(held))
+        self.terms = term.astype(np.int32)
         self.begin = np.searchsorted(doc, np.arange(n + 1))
         order = np.argsort(term, kind="stable")
         self.doc, self.impact = doc[order], weight[order]
@@ -131,10 +153,11 @@ class Bm25:
         """Free documents with a positive score over all the seed's terms, best first."""
         terms = self.terms[self.begin[seed]:self.begin[seed + 1]]
         spans = [slice(a, b) for a, b in zip(self.posting[terms].tolist(), self.posting[terms + 1].tolist())]
-        # Terms rise, so copies get the same sum to the last bit.
-        score = np.bincount(np.concatenate([self.doc[s] for s in spans]),
-                            np.concatenate([self.impact[s] for s in spans]), self.n)
-        score = score * free  # without postings, bincount counts in integers
+        score = np.zeros(self.n) if self.common is None else self.common[seed]
+        if spans:
+            score = score + np.bincount(np.concatenate([self.doc[s] for s in spans]),
+                                        np.concatenate([self.impact[s] for s in spans]), self.n)
+        score = score * free
         found = np.flatnonzero(score)
         if len(found) > most:
             kth = np.partition(score[found], len(found) - most)[len(found) - most]
