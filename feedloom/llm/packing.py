@@ -18,8 +18,9 @@ documents with common rare tokens often share.
 Scale: each text is encoded once and its ids are written compactly before the
 one exchange.  Shards are laid out by the exact number of tokens at each
 place (at most one row per vocabulary entry); a place with more tokens than a
-shard, such as that of a large group of copies, is dealt into several shards
-by the hash of the id.  A task holds one shard at a time, and the frequencies
+shard, such as that of a large group of copies or of equal rows, is dealt into
+several shards by the hash of the id and of a row number taken when the ids
+are landed.  A task holds one shard at a time, and the frequencies
 (one number per vocabulary entry).  Neighbours are looked up among the
 documents of the seed's own shard; close documents in other shards never meet
 (the README has their measured share).
@@ -281,15 +282,17 @@ def pack(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, window: in
     spark = docs.sparkSession
     kind = dict(docs.select(id_col).dtypes)[id_col]
     path = fresh_dir(spark, "packing")
-    encode(docs, id_col, text_col, tokenizer, end_id).write.parquet(path)
+    # Rows get a number as they are landed: it tells equal rows apart.
+    encode(docs, id_col, text_col, tokenizer, end_id).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path)
     layout, shards = _layout(rows, shard_tokens)
     corpus = spark.sparkContext.broadcast(_statistics(rows))  # one number per vocabulary entry
     turn = F.xxhash64("id", "digest")
     dealt = (rows.join(F.broadcast(layout), "place").withColumn("turn", turn)
-             .withColumn("shard", F.col("first") + F.pmod("turn", F.col("parts")))
-             .select("shard", "place", "turn", "digest", "id", "n", "wide", "ids")
-             .repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "place", "turn", "digest"))
+             .withColumn("shard", F.col("first") + F.pmod(F.xxhash64("turn", "row"), F.col("parts")))
+             .select("shard", "place", "turn", "digest", "row", "id", "n", "wide", "ids")
+             .repartitionById(shards, F.col("shard").cast("int"))
+             .sortWithinPartitions("shard", "place", "turn", "digest", "row"))
 
     def packed(t: pa.Table) -> pa.RecordBatch:
         ids = [np.frombuffer(raw, dtype="<u4" if wide else "<u2")

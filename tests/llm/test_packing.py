@@ -143,3 +143,26 @@ def test_empty(spark):
 
 def test_draws_are_an_order_of_the_ids():
     assert sorted(packing._draws(1000).tolist()) == list(range(1000))
+
+
+def test_equal_rows_are_dealt_over_their_shards(spark):
+    rows = [(None, "the same words in every row of a large group")] * 400 + [(7, "the same row again")] * 300
+    got = packing.pack(docs(spark, rows), "doc_id", "text", BYTE_BPE, 64, shard_tokens=500).collect()
+    tokens = {}
+    for r in got:
+        tokens[r["sequence_id"] >> 32] = tokens.get(r["sequence_id"] >> 32, 0) + r["length"]
+    total = sum(tokens.values())
+    assert total == sum(r["doc_tokens"] for r in got if r["start"] == 0) and total > 5000
+    assert max(tokens.values()) <= 2 * 500
+
+
+def test_matrix_and_postings_give_the_same_scores(monkeypatch):
+    rng = np.random.default_rng(3)
+    ids = [np.minimum(rng.zipf(1.3, rng.integers(1, 200)), 900).astype("<u2") for _ in range(150)]
+    ids += [ids[3]] * 5
+    packed = []
+    for square, often in ((4096, 16), (4096, 2), (0, 16)):
+        monkeypatch.setattr(packing, "SQUARE", square)
+        monkeypatch.setattr(packing, "OFTEN", often)
+        packed.append(packing.pack_shard(ids, 64))
+    assert packed[0] == packed[1] == packed[2]
