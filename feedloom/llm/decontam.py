@@ -4,11 +4,11 @@ A seed reads six words of a span of eight; what stands at the positions its
 mask ignores may differ.  Hashes of all seeds of the benchmark are joined with
 the seeds of the texts; around each hit the item and the text are aligned and
 compared word by word.  A leak is a window of ``window`` item words of which
-at least ``share`` agree with the text; an item shorter than the window must
-stand whole.  The two masks together hit every window of 13 words with up to
-two substitutions, wherever they stand (tested exhaustively).  Items of fewer
-than eight words are looked up by all their words; items of fewer than
-``least_words`` words are not searched.
+at least ``share`` agree with the text; a shorter item is one window, and one
+of fewer than ``WHOLE`` words must stand whole.  The two masks together hit every
+window of 13 words with up to two substitutions, wherever they stand (tested
+exhaustively).  For each length below that which the benchmark has, masks are
+chosen until every allowed set of substitutions is hit (``masks_for``).
 
 Scale: texts are read once.  A bitmap of the benchmark's seed hashes, of a
 size fixed by a parameter, drops the seeds that no item has before anything
@@ -20,15 +20,18 @@ distinct before the words are fetched for comparison.
 Defined results: one row per (id, item) with the best alignment, the earliest
 of equally good ones; rows with one id are one document; a null id is a
 document of its own name; items with equal words are reported as the smallest
-id; items or texts that are null, empty or without words match nothing; empty
+id, items that have no id together as null; items or texts that are null, empty
+or without words match nothing; empty
 tables give no rows; extra columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +46,46 @@ SPAN = 8
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7))
 WINDOW = 13
 SHARE = 0.8
-LEAST_WORDS = 5
+WHOLE = 5  # items of fewer words must stand whole
 FILTER_BITS = (24, 27)  # log2 of the bitmap's least and largest number of bits (16 MB at most)
 
 
-def _masks(short: list[int]) -> list[tuple[int, ...]]:
-    """Seed masks, then one that reads every word for each short item length."""
-    return [*MASKS, *(tuple(range(n)) for n in short)]
+def _least(width: int, share: float) -> int:
+    """Words of a window that must agree."""
+    return math.ceil(share * width - 1e-9) if width >= WHOLE else width
+
+
+@lru_cache(maxsize=64)
+def masks_for(n: int, wrong: int, most: int = 4) -> tuple[tuple[int, ...], ...]:
+    """Masks of which one, somewhere in ``n`` words, meets none of any ``wrong``
+    substituted ones: the heaviest that take at most ``most`` masks."""
+    if wrong == 0:
+        return (tuple(range(n)),)
+    sets = list(itertools.combinations(range(n), wrong))
+    for weight in range(n - wrong, 0, -1):
+        shapes = [(0, *rest) for rest in itertools.combinations(range(1, min(n, SPAN)), weight - 1)]
+        hits = {m: {w for w in sets for o in range(n - m[-1]) if not {p + o for p in m} & set(w)} for m in shapes}
+        chosen, left = [], set(sets)
+        while left and len(chosen) < most:
+            best = max(shapes, key=lambda m: (len(hits[m] & left), [-p for p in m]), default=None)
+            if best is None or not hits[best] & left:
+                break
+            chosen.append(best)
+            left -= hits[best]
+        if not left:
+            return tuple(chosen)
+    raise ValueError(f"no masks for {n} words with {wrong} substitutions")
+
+
+def _masks(lengths: list[int], window: int, share: float) -> dict[tuple[int, ...], set[int] | None]:
+    """Seed masks with the item lengths they are for; the general ones are for all."""
+    out: dict[tuple[int, ...], set[int] | None] = {m: None for m in MASKS}
+    for n in lengths:
+        if n < window:
+            for m in masks_for(n, n - _least(n, share)):
+                if m not in MASKS:
+                    out.setdefault(m, set()).add(n)
+    return out
 
 
 def _seeds(h: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
@@ -57,8 +93,9 @@ def _seeds(h: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
         return mix(rolled(h, mask) ^ seed(1000 + sum(1 << p for p in mask)))
 
 
-def _items(bench: DataFrame, item_col: str, text_col: str, least_words: int) -> DataFrame:
-    """(item, n, words) of each distinct sequence of words."""
+def _items(bench: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """(key, item, n, words) of each distinct sequence of words; the key is
+    fixed by landing the rows."""
     kind = dict(bench.select(item_col).dtypes)[item_col]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,32 +107,30 @@ def _items(bench: DataFrame, item_col: str, text_col: str, least_words: int) ->
                      pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), pa.array(h.view(np.int64)))],
                     names=["item", "n", "words"])
 
-    rows = (bench.where(F.col(item_col).isNotNull())
-            .select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(read, f"item {kind}, n int, words array<long>").where(F.col("n") >= least_words))
-    return rows.groupBy("words").agg(F.min("item").alias("item"), F.first("n").alias("n")).select("item", "n", "words")
+    rows = (bench.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text"))
+            .mapInArrow(read, f"item {kind}, n int, words array<long>").where(F.col("n") > 0))
+    return (rows.groupBy("words").agg(F.min("item").alias("item"), F.first("n").alias("n"))
+            .select(F.monotonically_increasing_id().alias("key"), "item", "n", "words"))
 
 
 def _item_seeds(items: DataFrame, masks) -> DataFrame:
-    """(hash, item, at) of every seed of the benchmark."""
-    kind = dict(items.dtypes)["item"]
-
+    """(hash, key, at) of every seed of the benchmark."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
+            lists = batch.column(1)
             h = np.asarray(lists.flatten()).view(U)
             ptr = np.concatenate(([0], np.cumsum(np.asarray(lists.value_lengths())))).astype(np.int64)
             owner, size = row_of(ptr), np.diff(ptr)
-            for k, mask in enumerate(masks):
+            for mask, lengths in masks.items():
                 at = np.flatnonzero(starts_inside(ptr, mask[-1] + 1))
-                if k >= len(MASKS):  # only items of just this length
-                    at = at[size[owner[at]] == mask[-1] + 1]
+                if lengths is not None:
+                    at = at[np.isin(size[owner[at]], list(lengths))]
                 if len(at):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(_seeds(h, mask)[at].view(np.int64)), batch.column(0).take(pa.array(owner[at])),
-                         pa.array((at - ptr[owner[at]]).astype(np.int32))], names=["hash", "item", "at"])
+                         pa.array((at - ptr[owner[at]]).astype(np.int32))], names=["hash", "key", "at"])
 
-    return items.mapInArrow(read, f"hash long, item {kind}, at int")
+    return items.select("key", "words").mapInArrow(read, "hash long, key long, at int")
 
 
 def _probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,8 +159,10 @@ def _bitmap(seeds: DataFrame, count: int) -> tuple[np.ndarray, int]:
 
 def _passages(ids: pa.Array, h: np.ndarray, ptr: np.ndarray, masks, bitmap: np.ndarray, bits: int, around: int):
     """Record batch of the passages that hold possible hits."""
-    at, hashes = [], []
+    at, hashes = [np.zeros(0, np.int64)], [np.zeros(0, U)]
     for mask in masks:
+        if len(h) <= mask[-1]:
+            continue
         s = _seeds(h, mask)
         ok = starts_inside(ptr, mask[-1] + 1)
         with np.errstate(over="ignore"):
@@ -173,7 +210,7 @@ def _compare(window: int, share: float):
                 same = np.zeros(len(item), dtype=np.int64)
                 same[lo:hi] = item[lo:hi] == text[lo + shift:hi + shift]
                 width = min(window, len(item))
-                least = math.ceil(share * width - 1e-9) if width == window else width
+                least = _least(width, share)
                 total = np.concatenate(([0], np.cumsum(same)))
                 good = np.flatnonzero(total[width:] - total[:-width] >= least)
                 if not len(good):
@@ -195,18 +232,17 @@ def _compare(window: int, share: float):
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str, text_col: str, item_col: str = "item_id",
-               item_text_col: str = "text", window: int = WINDOW, share: float = SHARE,
-               least_words: int = LEAST_WORDS) -> DataFrame:
+               item_text_col: str = "text", window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """(id, item, matched, item_words, overlap, text_start, text_end,
     item_start, item_end): positions in words, ends exclusive."""
     spark = docs.sparkSession
     folder = fresh_dir(spark, "decontam")
     id_kind, item_kind = dict(docs.select(id_col).dtypes)[id_col], dict(bench.select(item_col).dtypes)[item_col]
-    _items(bench, item_col, item_text_col, least_words).write.parquet(f"{folder}/items")
+    _items(bench, item_col, item_text_col).write.parquet(f"{folder}/items")
     items = spark.read.parquet(f"{folder}/items")
-    short = sorted(r["n"] for r in items.where(F.col("n") < SPAN).select("n").distinct().collect())
+    short = sorted(r["n"] for r in items.where(F.col("n") < window).select("n").distinct().collect())
     around = items.agg(F.max("n")).first()[0] or 0
-    masks = _masks(short)
+    masks = _masks(short, window, share)
     _item_seeds(items, masks).write.parquet(f"{folder}/seeds")
     seeds = spark.read.parquet(f"{folder}/seeds")
     bitmap, bits = _bitmap(seeds, seeds.count())
@@ -226,9 +262,9 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str, text_col: str, it
     passages = spark.read.parquet(f"{folder}/passages")
     hits = (passages.select("uid", F.explode(F.arrays_zip(F.col("at").alias("hit"), F.col("hash").alias("hash"))).alias("s"))
             .select("uid", F.col("s.hit").alias("hit"), F.col("s.hash").alias("hash")))
-    candidates = (hits.join(seeds, "hash").select("uid", "item", (F.col("hit") - F.col("at")).alias("shift")).distinct())
+    candidates = (hits.join(seeds, "hash").select("uid", "key", (F.col("hit") - F.col("at")).alias("shift")).distinct())
     pairs = (candidates.join(passages.select("uid", "id", "start", "words"), "uid")
-             .join(items.select("item", F.col("words").alias("item_words")), "item")
+             .join(items.select("key", "item", F.col("words").alias("item_words")), "key")
              .select("id", "item", "start", "shift", "words", "item_words"))
     found = pairs.mapInArrow(_compare(window, share), f"id {id_kind}, item {item_kind}, item_start long, item_end long, "
                                                       "text_start long, matched long, item_words long")
@@ -246,7 +282,10 @@ def without_leaks(docs: DataFrame, bench: DataFrame, text_col: str, item_col: st
                   item_text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose text holds no leak, with all their columns."""
     key = F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256))
+    own = "key"
+    while own in docs.columns:  # a name of no column
+        own += "_"
     texts = docs.select(key.alias("key"), F.col(text_col).alias("text"))
     leaked = (find_leaks(texts, bench, "key", "text", item_col, item_text_col, **options)
-              .select(F.col("id").alias("__leaked")).distinct())
-    return join_on_key(docs.withColumn("__key", key), leaked, ["__key"], ["__leaked"], "left_anti").drop("__key")
+              .select(F.col("id").alias(f"{own}_leaked")).distinct())
+    return join_on_key(docs.withColumn(own, key), leaked, [own], [f"{own}_leaked"], "left_anti").drop(own)

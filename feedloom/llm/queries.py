@@ -43,19 +43,19 @@ _WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '[^\x{00}-\x{2F}\x{3A}-
 
 @query("op2_decontamination", f"""
     WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-    i AS (SELECT min(item_id) AS item_id, w, len(w) AS n, least(13, len(w)) AS width,
-                 CASE WHEN len(w) >= 13 THEN 11 ELSE len(w) END AS least
-          FROM (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL)
-          WHERE len(w) >= 5 GROUP BY w),
-    -- 11 equal words of 13 hold four in a row, as does any whole item
-    dg AS (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS at FROM d),
-    ig AS (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS at FROM i),
-    c AS (SELECT DISTINCT dg.doc_id, ig.item_id, dg.at - ig.at AS shift
-          FROM dg JOIN ig ON dg.w[dg.at:dg.at + 3] = ig.w[ig.at:ig.at + 3]),
-    a AS (SELECT c.doc_id, c.item_id, shift, i.n, i.width, i.least,
+    i AS (SELECT min(item_id) AS item_id, w, len(w) AS n, least(13, len(w)) AS width, row_number() OVER () AS item,
+                 CASE WHEN len(w) >= 5 THEN (4 * least(13, len(w)) + 4) // 5 ELSE len(w) END AS least,
+                 -- words in a row that agree in any leak: 11 of 13 hold four, 4 of 5 two, shorter items all
+                 CASE WHEN len(w) >= 13 THEN 4 WHEN len(w) >= 5 THEN 2 ELSE len(w) END AS g
+          FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0 GROUP BY w),
+    dg AS (SELECT doc_id, w, g, unnest(range(1, len(w) - g + 2)) AS at FROM d, (SELECT DISTINCT g FROM i) WHERE len(w) >= g),
+    ig AS (SELECT item, w, g, unnest(range(1, len(w) - g + 2)) AS at FROM i),
+    c AS (SELECT DISTINCT dg.doc_id, ig.item, dg.at - ig.at AS shift
+          FROM dg JOIN ig ON dg.g = ig.g AND dg.w[dg.at:dg.at + dg.g - 1] = ig.w[ig.at:ig.at + ig.g - 1]),
+    a AS (SELECT c.doc_id, i.item_id, shift, i.n, i.width, i.least,
                  list_transform(range(1, i.n + 1), lambda j:
                      CASE WHEN j + shift >= 1 AND d.w[j + shift] = i.w[j] THEN 1 ELSE 0 END) AS same
-          FROM c JOIN i USING (item_id) JOIN d ON c.doc_id IS NOT DISTINCT FROM d.doc_id),
+          FROM c JOIN i USING (item) JOIN d ON c.doc_id IS NOT DISTINCT FROM d.doc_id),
     g AS (SELECT *, list_filter(range(1, n - width + 2), lambda x: list_sum(same[x:x + width - 1]) >= least) AS good FROM a),
     m AS (SELECT *, list_filter(range(1, n + 1), lambda j:
                      same[j] = 1 AND len(list_filter(good, lambda x: x <= j AND j < x + width)) > 0) AS agreed
