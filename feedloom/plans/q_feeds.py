@@ -313,6 +313,64 @@ def flight_all_regions(spark, d):
     return flights.tag_regions(_states(spark, d)).select("icao24", "region", "longitude", "latitude")
 
 
+_BOXES_SQL = """
+SELECT 'box ' || s_suppkey AS region, ((s_suppkey * 7) % 170 - 88)::DOUBLE AS lamin,
+       ((s_suppkey * 7) % 170 - 88 + s_suppkey % 9)::DOUBLE AS lamax, ((s_suppkey * 11) % 350 - 180)::DOUBLE AS lomin,
+       ((s_suppkey * 11) % 350 - 180 + s_suppkey % 13)::DOUBLE AS lomax FROM supplier
+UNION ALL SELECT 'nation ' || n_nationkey, -90, 90, n_nationkey * 10 - 180, n_nationkey * 10 - 179.5 FROM nation
+UNION ALL SELECT r_name, -1000, 1000, -1000, r_regionkey * 100 FROM region
+"""
+
+
+@query("flight_custom_regions", f"""
+SELECT s.icao24, r.region, s.longitude, s.latitude FROM ({_STATES_SQL}) s JOIN ({_BOXES_SQL}) r
+  ON s.latitude BETWEEN r.lamin AND r.lamax AND s.longitude BETWEEN r.lomin AND r.lomax
+""")
+def flight_custom_regions(spark, d):
+    """States tagged with boxes from a table, small ones and some as large as the world."""
+    key = F.col("s_suppkey")
+    box = ["region", "lamin", "lamax", "lomin", "lomax"]
+    supplier = load(spark, d, "supplier").select(
+        F.concat(F.lit("box "), key), key * 7 % 170 - 88, key * 7 % 170 - 88 + key % 9,
+        key * 11 % 350 - 180, key * 11 % 350 - 180 + key % 13).toDF(*box)
+    nation = load(spark, d, "nation").selectExpr("concat('nation ', n_nationkey)", "-90", "90", "n_nationkey * 10 - 180",
+                                                 "n_nationkey * 10 - 179.5").toDF(*box)
+    region = load(spark, d, "region").selectExpr("r_name", "-1000", "1000", "-1000", "r_regionkey * 100").toDF(*box)
+    boxes = None
+    for part in (supplier, nation, region):
+        part = part.select("region", *[F.col(c).cast("double").alias(c) for c in box[1:]])
+        boxes = part if boxes is None else boxes.unionByName(part)
+    return flights.tag_boxes(_states(spark, d), boxes).select("icao24", "region", "longitude", "latitude")
+
+
+@query("flight_snapshot_files", f"SELECT icao24, time_ingest, longitude, latitude, geo_altitude FROM ({_STATES_SQL})")
+def flight_snapshot_files(spark, d):
+    """Landed snapshots read as a batch, a snapshot a line and a snapshot a file."""
+    from feedloom.session import fresh_dir
+
+    root = fresh_dir(spark, "snapshots")
+    bodies = C.flight_snapshots(load(spark, d, "events")).select("body")
+    one = F.pmod(F.xxhash64("body"), F.lit(50)) == 0
+    bodies.where(~one).write.text(f"{root}/lines")
+    files = bodies.where(one)
+    files.repartition(max(1, files.count()), "body").write.option("maxRecordsPerFile", 1).text(f"{root}/files")
+    cols = ["icao24", "time_ingest", "longitude", "latitude", "geo_altitude"]
+    return (flights.read_snapshots(spark, f"{root}/lines").select(*cols)
+            .unionByName(flights.read_snapshots(spark, f"{root}/files", whole_files=True).select(*cols)))
+
+
+@query("weather_locations", """
+SELECT n_nationkey, CAST(n_nationkey AS DOUBLE) / 4 AS latitude, CAST(n_regionkey AS DOUBLE) - 2.5 AS longitude FROM nation
+""")
+def weather_locations(spark, d):
+    """The location list of the options, from one text a nation and from one of all."""
+    nation = load(spark, d, "nation")
+    text = F.concat(F.lit("[("), F.col("n_nationkey").cast("double") / 4, F.lit(", "), F.col("n_regionkey").cast("double") - 2.5, F.lit(")]"))
+    found = nation.select("n_nationkey", weather.parse_locations(text).alias("l"))
+    return found.select("n_nationkey", F.explode("l").alias("p")).select(
+        "n_nationkey", F.col("p")[0].alias("latitude"), F.col("p")[1].alias("longitude"))
+
+
 @query("flight_high", f"""
 SELECT icao24, callsign, geo_altitude FROM ({_STATES_SQL})
 WHERE callsign IS NOT NULL AND geo_altitude > 10000

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.operators.fetch import (
-    as_capture, call_once, call_stats, enrich, explode_output, fetch, infer_schema, land, land_each, land_once,
+    as_capture, call_once, call_stats, enrich, explode_output, fail_on_error, fetch, infer_schema, land, land_each, land_once,
     parse_output, replay, select_output, split_outcome,
 )
 from feedloom.operators.requests import build_requests, spread
@@ -368,3 +368,23 @@ def rest_misfits(spark, d):
             .otherwise(F.to_json(F.struct(F.col("c_acctbal").alias("balance")))))
     got = parse_output(_captured(spark, d, "customer", "c_custkey", "customers", body), "balance double, tags array<int>")
     return got.select("c_custkey", F.col("output.balance").alias("balance"), "_corrupt_record")
+
+
+@query("rest_fail_fast", f"""
+SELECT 'off' AS fail_on_error, count(*) AS n_rows, NULL AS error FROM ({_PAGES_ORACLE})
+UNION ALL SELECT 'on, no failure', count(*), NULL FROM ({_PAGES_ORACLE}) WHERE _corrupt_record IS NULL
+UNION ALL SELECT 'on', NULL, 'request failed: not captured'
+""")
+def rest_fail_fast(spark, d):
+    """with failOnError the first failed request stops the job."""
+    got = _page_responses(spark, d)
+    counted = lambda df, name: df.agg(F.lit(name).alias("fail_on_error"), F.count(F.lit(1)).alias("n_rows"),
+                                      F.lit(None).cast("string").alias("error"))
+    try:
+        fail_on_error(got).write.format("noop").mode("overwrite").save()
+        text = None
+    except Exception as e:
+        text = "request failed: not captured" if "request failed: not captured" in str(e) else str(e)
+    stopped = spark.createDataFrame([("on", None, text)], "fail_on_error string, n_rows long, error string")
+    return (counted(fail_on_error(got, False), "off")
+            .unionByName(counted(fail_on_error(got.where("_corrupt_record is null")), "on, no failure")).unionByName(stopped))

@@ -350,3 +350,31 @@ def fake_stream(spark, d):
     stream = spark.readStream.schema(keys.schema).parquet(f"{root}/in")
     run_available(fake.with_fake(stream, "o_orderkey"), f"{root}/out", f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out")
+
+
+@query("fake_stream_rows", "SELECT * EXCLUDE (o_orderkey) FROM (" + ORACLES["fake_batch"].replace(
+    "FROM orders", "FROM (SELECT row_number() OVER () - 1 AS o_orderkey FROM orders)") + ")")
+def fake_stream_rows(spark, d):
+    """A stream of as many generated rows as there are orders, counted from 0."""
+    from feedloom.streaming.sources import fake_stream as generated
+    from feedloom.streaming.sources import run_available
+
+    root = fresh_dir(spark, "fake-rows")
+    run_available(generated(spark, load(spark, d, "orders").count()), f"{root}/out", f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out")
+
+
+@query("json_sink_abort", "SELECT c_custkey, c_name FROM customer")
+def json_sink_abort(spark, d):
+    """A write that fails leaves what was there, and none of its own files."""
+    path = fresh_dir(spark, "json-abort")
+    cust = load(spark, d, "customer").select("c_custkey", "c_name")
+    json_array.write_json_array(cust, path)
+    broken = cust.withColumn("c_name", F.when(F.col("c_custkey") == 7, F.raise_error(F.lit("broken row"))).otherwise("x"))
+    for mode in ("append", "overwrite"):
+        try:
+            json_array.write_json_array(broken, path, mode)
+        except Exception as e:  # the row's own error, whatever wraps it
+            if "broken row" not in str(e):
+                raise
+    return json_array.read_json_array(spark, path, "c_custkey bigint, c_name string")

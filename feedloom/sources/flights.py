@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.operators.fetch import join_on_key
+
 from feedloom.functions.safe import truthy
 
 # Named bounding boxes as (lat min, lat max, lon min, lon max).
@@ -149,6 +151,45 @@ def tag_regions(states: DataFrame) -> DataFrame:
             .where(F.col("region").isNotNull()))
 
 
+# Sides of the grids' cells: 180 degrees, halved this many times.
+LEVELS = 13
+
+
+def _cell(degrees: Column, level: Column) -> Column:
+    """Number of the cell that holds a coordinate; it never falls as the
+    coordinate rises, whatever the coordinate."""
+    held = F.least(F.greatest(degrees, F.lit(-720.0)), F.lit(720.0))
+    return F.floor(held * F.pow(F.lit(2.0), level) / 180).cast("long")
+
+
+def tag_boxes(states: DataFrame, boxes: DataFrame, name: str = "region") -> DataFrame:
+    """Every (state, box) pair whose box holds the position, for any number of
+    boxes (``name``, lamin, lamax, lomin, lomax; bounds inclusive).
+
+    Each box is covered by cells of the grid whose cells are just larger than
+    it, at most four; a position has one cell in each grid that some box uses
+    (13 at most).  Position and box meet by an equi-join on the cell, whose hot
+    cells Spark may split, and the exact test follows.  Boxes without a bound
+    or with bounds in the wrong order hold nothing.
+    """
+    lamin, lamax, lomin, lomax = (F.col(c).cast("double") for c in ("lamin", "lamax", "lomin", "lomax"))
+    whole = boxes.where((lamin <= lamax) & (lomin <= lomax)).select(
+        F.col(name).alias("_name"), lamin.alias("_a"), lamax.alias("_b"), lomin.alias("_c"), lomax.alias("_d"))
+    extent = F.greatest(F.col("_b") - F.col("_a"), F.col("_d") - F.col("_c"), F.lit(1e-9))
+    level = F.least(F.greatest(F.floor(F.log2(F.lit(180.0) / extent)), F.lit(0)), F.lit(LEVELS - 1)).cast("int")
+    cells = whole.withColumn("_level", level)
+    for lo, hi, cell in (("_a", "_b", "_y"), ("_c", "_d", "_x")):
+        cells = cells.withColumn(cell, F.explode(F.sequence(_cell(F.col(lo), F.col("_level")), _cell(F.col(hi), F.col("_level")))))
+    used = sorted(r[0] for r in cells.select("_level").distinct().collect())  # at most LEVELS numbers
+    grids = F.array(*[F.lit(n) for n in used]) if used else F.array().cast("array<int>")
+    lat, lon = F.col("latitude"), F.col("longitude")
+    placed = states.where(lat.isNotNull() & lon.isNotNull()).withColumn("_at_level", F.explode(grids))
+    placed = placed.withColumns({"_at_y": _cell(lat, F.col("_at_level")), "_at_x": _cell(lon, F.col("_at_level"))})
+    met = join_on_key(placed, cells, ["_at_level", "_at_y", "_at_x"], ["_level", "_y", "_x"], "inner")
+    inside = lat.between(F.col("_a"), F.col("_b")) & lon.between(F.col("_c"), F.col("_d"))
+    return met.where(inside).select(*states.columns, F.col("_name").alias(name))
+
+
 def high_flights(states: DataFrame, altitude: float = 10000.0) -> DataFrame:
     """Airborne filter of the feed's example: callsign set, above ``altitude``."""
     return states.where(F.col("callsign").isNotNull() & (F.col("geo_altitude") > altitude))
