@@ -79,8 +79,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
         FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x)
-                              OR abs(1024 * CAST(x AS DOUBLE)) > 67108864)) = 0),
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     s AS (
         SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
         FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),

@@ -1,22 +1,21 @@
 """Balanced shards by histogram sort.
 
-Rows are ordered by (hash of the text, hash of the id), so equal texts are
-neighbours.  The splitters between shards are found as a histogram sort finds
+Rows are ordered by (hash of the text, hash of the id and of a row number taken
+when they are landed), so equal texts are neighbours and no two rows are one.  The splitters between shards are found as a histogram sort finds
 them: count the exact bytes below candidate boundaries across all partitions,
 keep the interval that holds each splitter's target, probe that interval more
 finely, and stop when a boundary is within the tolerance.  Then the rows are
 exchanged once.  Law: ``bytes`` (sizes near equal).  A group of equal texts is
 only cut where it is larger than the tolerance, at a boundary of id hashes.
 
-Scale: only (size, two hashes) is written and reread by the probing rounds;
+Scale: the rows are written once; probing rounds reread (size, two hashes);
 each round is one partially aggregated group-by that returns at most
 ``shards * 2**PROBE_BITS`` rows.  Row numbers inside a shard come from cells of
 a bounded number of rows, hot texts being cut into more cells by id hash, so
 no task holds a shard or a group of copies.  DataFrame functions only.
 
 Defined results: a null or empty text has size 1; null ids and repeated rows
-are kept and numbered; rows equal in text and id cannot be told apart, so a
-splitter never falls between them; with fewer rows than shards some shards are
+are kept, cut and numbered like any others; with fewer rows than shards some shards are
 empty; an empty table gives no rows.  Kept columns come back in the struct
 ``row``, so their names can't clash.
 """
@@ -134,16 +133,12 @@ def shard_rows(df: DataFrame, id_col: str, text_col: str, shards: int = 8, toler
     rows = df.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("k1"), F.xxhash64(F.col(id_col)).alias("k2"),
+        F.xxhash64(text).alias("k1"), F.xxhash64(F.col(id_col), F.monotonically_increasing_id()).alias("k2"),
         *([F.struct(*keep).alias("row")] if keep else []))
-    if keep:
-        wide, path = rows, fresh_dir(spark, "shard")
-        rows.select("size", "k1", "k2").write.parquet(path)
-        keys = spark.read.parquet(path)
-    else:  # the narrow rows are all there is to exchange
-        path = fresh_dir(spark, "shard")
-        rows.write.parquet(path)
-        wide = keys = spark.read.parquet(path)
+    path = fresh_dir(spark, "shard")
+    rows.write.parquet(path)  # fixes the row numbers
+    wide = spark.read.parquet(path)
+    keys = wide.select("size", "k1", "k2")
     edges = find_splitters(keys, shards, tolerance)
 
     shard = F.lit(0)
@@ -157,7 +152,7 @@ def shard_rows(df: DataFrame, id_col: str, text_col: str, shards: int = 8, toler
     sizes = (placed.groupBy("shard", "c1").agg(F.count("*").alias("n"))
              .select("shard", "c1", F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / CELL_ROWS)))
                      .cast("int").alias("cut")))
-    hot = F.broadcast(sizes.where("cut > 0"))  # at most rows / CELL_ROWS rows
+    hot = F.broadcast(sizes.where("cut > 0"))  # at most 2**20 cells and one more a shard
     c2 = F.coalesce(F.expr("shiftright(k2, 64 - cut)"), F.lit(0).cast("long")).alias("c2")
     counts = placed.join(hot, ["shard", "c1"], "left").groupBy("shard", "c1", c2).agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("c1", "c2").rowsBetween(Window.unboundedPreceding, -1)
@@ -165,6 +160,6 @@ def shard_rows(df: DataFrame, id_col: str, text_col: str, shards: int = 8, toler
     within = Window.partitionBy("shard", "c1", "c2").orderBy("k1", "k2", "id")
     numbered = (wide.select("*", shard.alias("shard"), c1).join(hot, ["shard", "c1"], "left")
                 .withColumn("c2", c2).withColumn("place", F.row_number().over(within) - 1))
-    return (numbered.join(F.broadcast(begins), ["shard", "c1", "c2"])  # about rows / CELL_ROWS + shards rows
+    return (numbered.join(begins, ["shard", "c1", "c2"])  # both sides lie by these columns already
             .select("id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"),
                     (F.col("base") + F.col("place")).cast("long").alias("slot"), *(["row"] if keep else [])))

@@ -16,8 +16,9 @@ most k rows for a query; Spark ranks these with a partial top-k before its
 shuffle.  Blocks are filled by a hash, so a common vector spreads over all.
 
 Defined results: vectors that are null or hold a null or non-finite component
-take no part, nor do those with an integer component beyond 2**26 (sums could
-overflow) or rows without id; vectors of unequal length are compared as if
+take no part, nor do rows without id; vectors with an integer component beyond
+2**26 are scored in integers of any length beside the index, and a score
+beyond the ends of a long is that end; vectors of unequal length are compared as if
 padded with zeros; equal scores rank the smaller id first; repeated ids are
 each a candidate (never for the query of that id), and of query rows with one
 id the one with the smallest vector asks; an empty table gives no rows.
@@ -35,31 +36,49 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 16_384
 LEVEL_BITS = 8  # a block's impacts are quantised to so many bits
 ROUND = 3  # each round goes down to this part of the last round's impact
-LARGEST = 1 << 26
+LARGEST = 1 << 26  # vectors within it are summed in 64 bits, others in Python's integers
+FIRST, LAST = -(1 << 63), (1 << 63) - 1
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int = 1024) -> DataFrame:
-    """(id, v) of the rows that take part."""
-    v = F.transform(F.col(vector_col).cast("array<double>"), lambda x: F.floor(x * scale))
-    real = F.forall(F.col(vector_col).cast("array<double>"),
-                    lambda x: F.coalesce(F.abs(x * scale) <= LARGEST, F.lit(False)))  # NaN and null fail
+    """(id, v) of the rows that take part; v holds whole numbers as doubles,
+    which are exact at every size."""
+    v = F.transform(F.col(vector_col).cast("array<double>"), lambda x: x * scale)
+    real = F.forall(v, lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False)))  # NaN and null fail
+    # Beyond 2**53 a double is whole; floor would not fit a long.
+    whole = F.transform(v, lambda x: F.when(F.abs(x) >= float(1 << 53), x).otherwise(F.floor(x).cast("double")))
     return (df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & real)
-            .select(F.col(id_col).cast("long").alias("id"), v.cast("array<long>").alias("v")))
+            .select(F.col(id_col).cast("long").alias("id"), whole.alias("v")))
 
 
-def _matrix(lists: pa.Array, width: int | None = None) -> np.ndarray:
-    """Rows of a list column as int64, padded with zeros."""
+def _rows(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(components, row of each, place of each in its row) of a list column."""
     if isinstance(lists, pa.ChunkedArray):
         lists = lists.combine_chunks()
     size = np.asarray(lists.value_lengths()).astype(np.int64)
-    width = int(size.max(initial=0)) if width is None else width
-    flat = np.asarray(lists.flatten()).astype(np.int64)
-    out = np.zeros((len(lists), width), dtype=np.int64)
+    flat = np.asarray(lists.flatten()).astype(np.float64)
     row = np.repeat(np.arange(len(lists)), size)
-    col = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-    inside = col < width  # a longer query's further components meet zeros
-    out[row[inside], col[inside]] = flat[inside]
-    return out
+    return flat, row, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+
+
+def _matrix(lists: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a list column as int64, padded with zeros or cut at ``width``, and
+    which rows are wide: these are all zero."""
+    flat, row, col = _rows(lists)
+    wide = np.zeros(len(lists), dtype=bool)
+    wide[row[np.abs(flat) > LARGEST]] = True
+    out = np.zeros((len(lists), width), dtype=np.int64)
+    inside = (col < width) & ~wide[row]  # a longer vector's further components meet zeros
+    out[row[inside], col[inside]] = flat[inside].astype(np.int64)
+    return out, wide
+
+
+def _long(score: int) -> int:
+    return min(max(score, FIRST), LAST)
+
+
+def _product(a: list[int], b: list[int]) -> int:
+    return _long(sum(x * y for x, y in zip(a, b)))
 
 
 class Index:
@@ -109,6 +128,8 @@ class Index:
 
     def best(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best rows other than the query's own."""
+        if not len(self.ids):
+            return self.ids, np.zeros(0, dtype=np.int64)
         own = int(np.searchsorted(self.ids, query_id, "right") - np.searchsorted(self.ids, query_id, "left"))
         rows = self.possible(q, k + own, max(4 * (k + own), len(self.ids) // 64))
         rows = rows[self.ids[rows] != query_id]
@@ -121,6 +142,33 @@ class Index:
         return self.ids[rows[order]], score[order]
 
 
+class Block:
+    """A block's index, and beside it the rows whose sums may not fit 64 bits."""
+
+    def __init__(self, ids: np.ndarray, lists: pa.Array):
+        flat, row, col = _rows(lists)
+        v, wide = _matrix(lists, int(col.max(initial=-1)) + 1)
+        self.index = Index(ids[~wide], v[~wide])
+        self.wide = [(int(ids[r]), [int(x) for x in flat[row == r]]) for r in np.flatnonzero(wide).tolist()]
+
+    def best(self, query_ids: np.ndarray, lists: pa.Array, k: int):
+        """(ids, scores) of each query's k best rows."""
+        flat, row, _ = _rows(lists)
+        q, wide = _matrix(lists, self.index.vectors.shape[1])
+        for i, query_id in enumerate(query_ids.tolist()):
+            if not wide[i] and not self.wide:
+                yield self.index.best(query_id, q[i], k)
+                continue
+            asked = [int(x) for x in flat[row == i]]
+            if wide[i]:
+                found = [(_product(asked, v), c) for c, v in zip(self.index.ids.tolist(), self.index.vectors.tolist()) if c != query_id]
+            else:
+                found = [(s, c) for c, s in zip(*(a.tolist() for a in self.index.best(query_id, q[i], k)))]
+            found += [(_product(asked, v), c) for c, v in self.wide if c != query_id]
+            found = sorted(found, key=lambda f: (-f[0], f[1]))[:k]
+            yield np.array([c for _, c in found], dtype=np.int64), np.array([s for s, _ in found], dtype=np.int64)
+
+
 def search(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int = 10, scale: int = 1024,
            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows of every query row."""
@@ -128,7 +176,9 @@ def search(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int
     queries = (integer_vectors(df.where(is_query), id_col, vector_col, scale)
                .groupBy("id").agg(F.min("v").alias("v")))
     blocks = max(1, -(-rows.count() // block_rows))
-    dealt = rows.select(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).alias("block"), F.lit(0).alias("kind"), "id", "v")
+    # The row's number deals repeated rows over the blocks.
+    place = F.pmod(F.xxhash64("id", "v", F.monotonically_increasing_id()), F.lit(blocks))
+    dealt = rows.select(place.alias("block"), F.lit(0).alias("kind"), "id", "v")
     asked = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
                            F.lit(1).alias("kind"), "id", "v")
     # A block's vectors come first, its queries after them, in batches.
@@ -150,12 +200,11 @@ def search(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int
                     lists.append(part.column(3))
                     continue
                 if index is None and ids:
-                    index = Index(np.concatenate(ids), _matrix(pa.chunked_array(lists)))
+                    index = Block(np.concatenate(ids), pa.chunked_array(lists))
                     ids, lists = [], []
                 if index is None:
                     continue
-                q = _matrix(part.column(3), index.vectors.shape[1])
-                found = [index.best(i, v, k) for i, v in zip(np.asarray(part.column(2)).tolist(), q)]
+                found = list(index.best(np.asarray(part.column(2)), part.column(3), k))
                 size = [len(a) for a, _ in found]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(np.asarray(part.column(2)), size)),

@@ -68,3 +68,10 @@ def test_prefix_numbers_keep_the_key_order(spark):
         inside = keys.where(shard._inside(bits, p >> (128 - bits))).count()
         assert inside == sum(1 for a, b in rows
                              if (((a - shard.LOW) << 64) + (b - shard.LOW)) >> (128 - bits) == p >> (128 - bits))
+
+
+def test_a_third_of_equal_rows_is_cut_evenly(spark, monkeypatch):
+    monkeypatch.setattr(shard, "CELL_ROWS", 100)
+    rows = [(None, "the same row again and again")] * 800 + [(i, f"{i}") for i in range(800)] + [(7, "its copies")] * 400
+    per = check(rows, run(spark, rows, shards=8, tolerance=0.01), 8, 0.02)
+    assert min(per) > 0.9 * sum(per) / 8

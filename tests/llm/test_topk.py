@@ -16,8 +16,8 @@ def model(rows, is_query, k=10):
     out = []
     for q, v in kept:
         if is_query(q):
-            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in kept if i != q)[:k]
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+            best = sorted((-max(min(sum(a * b for a, b in zip(v, w)), 2**63 - 1), -2**63), i) for i, w in kept if i != q)[:k]
+            out += [(q, n + 1, i, max(min(-s, 2**63 - 1), -2**63)) for n, (s, i) in enumerate(best)]
     return sorted(out)
 
 
@@ -57,3 +57,15 @@ def test_index_proves_its_answer(seed, n, dims, k):
     order = order[ids[order] != 5][:k]
     got_ids, got = index.best(5, q, k)
     assert got_ids.tolist() == ids[order].tolist() and got.tolist() == (v @ q)[order].tolist()
+
+
+def test_large_vectors_and_repeated_rows(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4)]) for i in range(120)]
+    rows += [(200, [70000.0, 1.0]), (210, [1e30, -1e30, 0.0, 1e30]), (211, [-3e38, 1.0]), (220, [2.0**40, 0.5, -(2.0**41), 3.0]),
+             (221, [65536.0, -65536.0]), (222, [65536.5, 0.0, 0.0, 0.0, 7.0])]
+    rows += [(230, [1.0, 2.0, 3.0, 4.0])] * 40
+    want = model(rows, lambda q: q % 10 == 0)
+    want = sorted(set(want))  # a repeated query row asks once
+    for block in (30, 10_000):
+        assert run(spark, rows, block_rows=block) == want
