@@ -219,8 +219,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     found = chosen.mapInArrow(extract, f"turn long, id {kind}, label int, n long, bucket array<int>, "
                                        "value array<float>, stats array<double>")
     # Copies of a row share its turn; the running sums keep the collected part within both bounds.
-    order = Window.orderBy("turn", "id", "n", F.xxhash64("bucket", "value")).rowsBetween(Window.unboundedPreceding, 0)
-    sample = (found.withColumns({"held": F.sum("n").over(order), "nth": F.count("*").over(order)})
+    # Each task hands on at most max_rows of them, however often an id repeats.
+    by = ["turn", "id", "n", F.xxhash64("bucket", "value")]
+    order = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    sample = (found.orderBy(*by).limit(max_rows).withColumns({"held": F.sum("n").over(order), "nth": F.count("*").over(order)})
               .where((F.col("held") <= max_nonzeros) & (F.col("nth") <= max_rows))
               .orderBy("nth").select("label", "bucket", "value", "stats").toArrow().combine_chunks())
     n_stats = STATS + len(metadata)
