@@ -19,7 +19,7 @@ from feedloom.sources import weather
 from feedloom.streaming import flights as flight_stream
 from feedloom.streaming import weather as weather_stream
 from feedloom.streaming.log import BatchLog, read_table
-from feedloom.streaming.sources import file_monitor, json_lines, run_available
+from feedloom.streaming.sources import file_chunks, file_monitor, json_lines, run_available
 
 
 @query("stream_flights", f"""
@@ -82,6 +82,24 @@ def stream_files(spark, d):
     return out.agg(F.sum(F.length("content")).cast("bigint").alias("total_chars"))
 
 
+@query("stream_files_chunks", """
+SELECT lang, CAST(sum(length(text) + 1) AS BIGINT) AS total_chars, CAST(sum(length(encode(text)) + 1) AS BIGINT) AS total_bytes,
+       CAST(ceil(sum(length(encode(text)) + 1) / 5000.0) AS BIGINT) AS chunks
+FROM documents GROUP BY lang
+""".replace("length(encode(text))", "octet_length(encode(text))"))
+def stream_files_chunks(spark, d):
+    """File monitor in parts: one file a language, read by many tasks; two runs."""
+    root = fresh_dir(spark, "stream-chunks")
+    docs = load(spark, d, "documents").select("lang", "text")
+    for run, part in (("a", docs.where("lang < 'es'")), ("b", docs.where("lang >= 'es'"))):
+        part.repartition(1).write.partitionBy("lang").text(f"{root}/in/{run}")
+        run_available(file_chunks(spark, f"{root}/in/*/*", 5000), f"{root}/out", f"{root}/ckpt")
+    out = spark.read.parquet(f"{root}/out").withColumn("lang", F.regexp_extract("path", "lang=([^/]*)/", 1))
+    return out.groupBy("lang").agg(
+        F.sum(F.length("content")).alias("total_chars"), F.sum(F.octet_length("content")).cast("long").alias("total_bytes"),
+        F.count(F.lit(1)).alias("chunks"))
+
+
 def _crm_runs(spark, d, endpoints):
     """Accounts delivered in two runs; the second re-sends part of the first,
     and each landing holds some rows twice."""

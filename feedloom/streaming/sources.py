@@ -54,6 +54,50 @@ def file_monitor(spark, path: str, max_files_per_trigger: int | None = None) ->
                      F.col("value").alias("content"))
 
 
+CHUNK_BYTES = 64 << 20
+
+
+def file_chunks(spark, path: str, chunk_bytes: int = CHUNK_BYTES, max_files_per_trigger: int | None = None) -> DataFrame:
+    """New files of any size -> (name, path, chunk, content), in parts of about
+    ``chunk_bytes`` that several tasks read.
+
+    A part has the characters whose first byte lies in its range of bytes, so the
+    contents of a file's parts, in order, are the file; an empty file has none.  The stream itself holds names and sizes only; tasks open the files
+    (with a file system that pyarrow knows).  Bytes that are no UTF-8 are replaced.
+    """
+    if chunk_bytes < 4:
+        raise ValueError("chunk_bytes must be at least 4")
+    r = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    last = F.greatest(F.ceil(F.col("length") / chunk_bytes) - 1, F.lit(0))
+    parts = (r.load(path).select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("chunk"))
+             .repartition("path", "chunk"))
+
+    def read(batches):
+        import pyarrow as pa
+
+        from feedloom.sources.arrow import _fs
+
+        for batch in batches:
+            for file, length, chunk in zip(*[c.to_pylist() for c in batch.columns]):
+                fs, name = _fs(file)
+                begin, end = chunk * chunk_bytes, min((chunk + 1) * chunk_bytes, length)
+                with fs.open_input_file(name) as f:
+                    raw = f.read_at(min(end + 3, length) - begin, begin) if length else b""
+                follows = lambda i: i < len(raw) and raw[i] & 0xC0 == 0x80
+                skip, stop = 0, end - begin
+                while chunk and skip < 3 and follows(skip):
+                    skip += 1  # the rest of a character of the part before
+                while stop < end - begin + 3 and follows(stop):
+                    stop += 1
+                yield pa.RecordBatch.from_pydict({
+                    "name": [file.rsplit("/", 1)[-1]], "path": [file], "chunk": pa.array([chunk], pa.int64()),
+                    "content": [raw[skip:stop].decode("utf-8", errors="replace")]})
+
+    return parts.select("path", "length", "chunk").mapInArrow(read, "name string, path string, chunk long, content string")
+
+
 def run_available(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",
                   mode: str = "append") -> None:
     """Process everything landed so far (``availableNow``) into files."""

@@ -1,4 +1,4 @@
-"""Outputs of streams under new checkpoints, retries and crashes."""
+"""Outputs of streams under new checkpoints, retries and crashes; files in parts."""
 
 import json
 import os
@@ -11,7 +11,7 @@ from feedloom.sources import weather
 from feedloom.streaming import flights as fstream
 from feedloom.streaming import log as L
 from feedloom.streaming import weather as wstream
-from feedloom.streaming.sources import json_lines
+from feedloom.streaming.sources import file_chunks, json_lines, run_available
 
 
 def test_numbers_stay_over_retries_runs_and_snapshots(spark, tmp_out):
@@ -125,3 +125,18 @@ def test_delivery_goes_on_under_a_new_checkpoint(spark, tmp_out):
     assert got == [("1", "A"), ("2", "B"), ("3", "abe new"), ("4", "D")]
     lost = spark.read.parquet(tmp_out + "/ledger_rejected").where(f"message = '{crm.SUPERSEDED}'").collect()
     assert [(r.key, json.loads(r.record)["Name"]) for r in lost] == [("3", "zed old")]
+
+
+def test_parts_of_files_are_the_files(spark, tmp_out):
+    d = local_path(ensure_dir(tmp_out + "/in"))
+    texts = {"a.txt": "aé漢😀\n" * 40, "b.txt": "", "c.txt": "x", "d.txt": "😀" * 33}
+    for name, text in texts.items():
+        with open(os.path.join(d, name), "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+    run_available(file_chunks(spark, tmp_out + "/in", 7), tmp_out + "/out", tmp_out + "/ckpt")
+    rows = spark.read.parquet(tmp_out + "/out").collect()
+    for name, text in texts.items():
+        mine = sorted((r["chunk"], r["content"]) for r in rows if r["name"] == name)
+        assert "".join(c for _, c in mine) == text and len(mine) == -(-len(text.encode()) // 7)
+    with pytest.raises(ValueError):
+        file_chunks(spark, tmp_out + "/in", 3)
