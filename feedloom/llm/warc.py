@@ -19,12 +19,13 @@ Defined results: a null payload is an empty one; rows with a null id are
 written (without a target) as responses unless a row with an id has the same
 payload; rows that repeat the smallest id are all responses; a truncated or
 corrupt member ends its archive with an ``error`` row, a digest that doesn't
-match marks its record ``digest_ok = false``; an empty table gives no
-archives.  Extra columns, whatever their names, are not read.
+match marks its record ``digest_ok = false``, one of an unknown kind leaves it
+null; an empty table gives no archives.  Extra columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import uuid
 import zlib
@@ -179,7 +180,7 @@ def decode_record(raw: bytes) -> dict:
     if kind == "revisit":
         payload = None  # a revisit has no payload of its own; the digest is its target's
     else:
-        ok = ok and size == len(payload) and _same(head.get("warc-payload-digest"), payload)
+        ok = _both(ok, _both(size == len(payload), _same(head.get("warc-payload-digest"), payload)))
     return {"record_type": kind, "record_id": head.get("warc-record-id", "").strip("<>"),
             "target_uri": head.get("warc-target-uri"),
             "refers_to": head["warc-refers-to"].strip("<>") if "warc-refers-to" in head else None,
@@ -187,10 +188,26 @@ def decode_record(raw: bytes) -> dict:
             "payload_bytes": size, "payload": payload, "digest_ok": ok}
 
 
-def _same(stated: str | None, data: bytes) -> bool:
-    """A digest header agrees with the data (absent or unknown kinds: yes)."""
-    kind, sep, value = (stated or "").partition(":")
-    return not sep or kind.lower() != "sha256" or hashlib.sha256(data).hexdigest() == value.lower()
+# Kinds of digest that archives state (fixed values).
+DIGESTS = ("sha1", "md5", "sha256", "sha512")
+
+
+def _same(stated: str | None, data: bytes) -> bool | None:
+    """Whether a digest header agrees with the data, in hex or base 32; an
+    absent one does, one of an unknown kind is not judged (None)."""
+    kind, sep, value = (stated or "").strip().partition(":")
+    if not sep:
+        return True
+    kind = kind.lower().replace("-", "")
+    if kind not in DIGESTS:
+        return None
+    found = hashlib.new(kind, data).digest()
+    return value.lower() == found.hex() or value.upper().rstrip("=") == base64.b32encode(found).decode().rstrip("=")
+
+
+def _both(a: bool | None, b: bool | None) -> bool | None:
+    """Both agree; None where none fails but one is not judged."""
+    return False if a is False or b is False else None if a is None or b is None else True
 
 
 _COLUMNS = [("path", pa.string()), ("offset", pa.int64()), ("record_type", pa.string()), ("record_id", pa.string()),

@@ -81,3 +81,17 @@ def test_members_inflate_incrementally(chunk):
 
 def test_empty_table(spark):
     assert warc.read_archives(store(spark, [])).count() == 0
+
+
+def test_digests_of_every_kind():
+    import base64
+    import hashlib
+
+    data = b"payload"
+    for kind in ("sha1", "md5", "sha256", "SHA-512"):
+        found = hashlib.new(kind.lower().replace("-", ""), data).digest()
+        for text in (found.hex(), found.hex().upper(), base64.b32encode(found).decode(), base64.b32encode(found).decode().rstrip("=")):
+            assert warc._same(f"{kind}:{text}", data) is True and warc._same(f"{kind}:{text}", b"other") is False
+    assert warc._same("sha1:wrong", data) is False and warc._same("crc:12", data) is None
+    assert warc._same(None, data) is True and warc._same("", data) is True
+    assert [warc._both(a, b) for a, b in ((True, True), (True, None), (None, False), (False, True))] == [True, None, False, False]
