@@ -15,7 +15,7 @@ from feedloom.streaming.sources import file_chunks, json_lines, run_available
 
 
 def test_numbers_stay_over_retries_runs_and_snapshots(spark, tmp_out):
-    for run, batches in (("a", 60), ("b", 60)):
+    for run, batches in (("a", 40), ("b", 40)):
         for n in range(batches):
             log = L.BatchLog(spark, tmp_out)
             seq = log.begin(run, n)
@@ -23,8 +23,8 @@ def test_numbers_stay_over_retries_runs_and_snapshots(spark, tmp_out):
             log.commit(run, n, {"x": f"batch_id={seq}"})
             assert log.begin(run, n) is None  # and after it
     log = L.BatchLog(spark, tmp_out)
-    assert [f.rsplit("=", 1)[1] for f in log.fragments(["x"])] == [str(i) for i in range(120)]
-    assert log.state["runs"] == {"a": 59, "b": 59} and log.state["open"] == {} and log.fragments(["y"]) == []
+    assert [f.rsplit("=", 1)[1] for f in log.fragments(["x"])] == [str(i) for i in range(80)]
+    assert log.state["runs"] == {"a": 39, "b": 39} and log.state["open"] == {} and log.fragments(["y"]) == []
     files = [f for f in os.listdir(local_path(tmp_out + "/_batches")) if f.endswith(".json")]
     assert len(files) <= 3 * L.SNAPSHOT
 
