@@ -8,14 +8,19 @@ lines around paragraphs, headings, lists, tables, quotes and preformatted
 text; white space collapsed but in ``pre``; list markers with nesting;
 table cells in columns.  Elements are hidden by their kind (head, script,
 style, template ...), ``hidden``, ``display: none``, closed ``details`` and
-``dialog``; ``visibility: hidden`` hides text until a descendant is visible.
+``dialog``; ``visibility: hidden`` hides text until a descendant is visible,
+through sections, rows and cells of tables too; ``collapse`` takes out a row or
+section of a table.  Of drawings the text elements and foreign objects are
+shown, of formulas everything but their annotations.
 
 Scale: one pass that moves no rows; time is linear in the page (no pattern
 can backtrack over it twice), memory is that of one batch of pages.
 
 Defined results: a null or empty page has an empty text and title; markup
 that never closes ends with the page; a column is padded to its widest cell
-up to ``COLUMN`` characters, longer cells keep their whole text unpadded;
+up to ``COLUMN`` characters; a longer line keeps its whole text, and the cells
+right of it begin in the line below, at their columns; a cell of several columns
+takes the place of the first;
 tables nested deeper than ``NESTED`` are shown as plain lines, lists and
 quotes are indented by at most ``INDENT`` characters; repeated rows
 and null ids are kept; an empty table gives no rows; extra columns, whatever
@@ -36,13 +41,13 @@ from feedloom.llm.text import slices
 
 COLUMN = 60
 INDENT = 80
-NESTED = 6
+NESTED = 32
 
 # Element kinds of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
 HIDDEN = frozenset("""head title script style template noscript iframe noembed noframes datalist audio video
-                      canvas object svg math param rp map""".split())
+                      canvas object param rp map""".split())
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
                       figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup
                       option p pre search section summary table ul xmp caption tbody thead tfoot tr td th""".split())
@@ -61,12 +66,21 @@ ENDS = {
     "body": (("head",), ("html",)),
 }
 SCOPE = frozenset("table td th caption html button object".split())
+# Start tags that end a drawing or formula, elements of these that hold ordinary
+# text or markup, and parts of drawings and formulas that are never shown.
+BREAKS = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li
+                      listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul
+                      var""".split())
+INSIDE = frozenset("svg math foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+UNDRAWN = frozenset("""defs symbol desc metadata clippath mask pattern marker lineargradient radialgradient filter
+                       annotation annotation-xml""".split())
+SECTIONS = frozenset("tbody thead tfoot".split())
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:=\s*"[^"]*+"|=\s*'[^']*+'|[^>])*+)>""")
 _PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>")
 _ATTR = re.compile(r"""([^\s=/"'>][^\s=/>]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
-_NONE = re.compile(r"display\s*:\s*none", re.I)
-_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+_DISPLAY = re.compile(r"(?<![\w-])display\s*:\s*([\w-]+)", re.I)
+_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible)", re.I)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 _ENDS_RAW: dict[str, re.Pattern] = {}
 
@@ -95,6 +109,7 @@ class _Builder:
         self.root = Node("html")
         self.open = [self.root]
         self.count: dict[str, int] = {}  # open elements by tag
+        self.inside: list[int] = []  # stack places of open drawings, formulas and what holds markup in them
 
     def text(self, s: str) -> None:
         if s:
@@ -104,6 +119,12 @@ class _Builder:
         for node in self.open[at:]:
             self.count[node.tag] -= 1
         del self.open[at:]
+        while self.inside and self.inside[-1] >= at:
+            self.inside.pop()
+
+    def drawing(self) -> bool:
+        """Whether a drawing or formula is open, and no part that holds markup."""
+        return bool(self.inside) and self.open[self.inside[-1]].tag in ("svg", "math")
 
     def _find(self, tags, stops) -> int:
         """Stack place of the nearest of ``tags`` before any of ``stops``."""
@@ -121,6 +142,8 @@ class _Builder:
         if tag in ("html",):
             self.root.attrs |= {k: v for k, v in attrs.items() if k not in self.root.attrs}
             return
+        while tag in BREAKS and self.drawing():
+            self._pop_to(self.inside[-1])
         if tag in CLOSES_P:
             at = self._find(("p",), SCOPE)
             if at:
@@ -144,6 +167,8 @@ class _Builder:
 
     def _push(self, node: Node) -> None:
         self.open[-1].children.append(node)
+        if node.tag in INSIDE:
+            self.inside.append(len(self.open))
         self.open.append(node)
         self.count[node.tag] = self.count.get(node.tag, 0) + 1
 
@@ -153,7 +178,7 @@ class _Builder:
             return
         if tag in ("body", "html") or tag in VOID:
             return  # text after </body> still belongs to the page
-        if tag in BLOCKS or tag in HIDDEN or tag in ("table", "select", "button"):
+        if tag in BLOCKS or tag in HIDDEN or tag in ("table", "select", "button", "svg", "math"):
             stops = () if tag in ("table", "head") else ("table",) if tag in (
                 "td", "th", "tr", "tbody", "thead", "tfoot", "caption") else SCOPE - {tag}
             at = self._find((tag,), stops)
@@ -211,8 +236,9 @@ def parse(page: str) -> Node:
             b.end(tag)
             continue
         rest = m.group(3)
-        b.start(tag, _attributes(rest), rest.endswith("/") and tag not in RAW and tag in ("svg", "math", "path"))
-        if tag in RAW or tag == "plaintext":
+        closed = rest.endswith("/") and (tag in ("svg", "math", "path") or b.drawing())
+        b.start(tag, _attributes(rest), closed)
+        if not closed and (tag in RAW or tag == "plaintext"):
             done = None if tag == "plaintext" else _raw_end(tag).search(page, pos)
             body = page[pos:done.start() if done else n]
             b.text(unescape(body) if tag in ("textarea", "title") and "&" in body else body)
@@ -225,7 +251,25 @@ def _hides(node: Node) -> bool:
     a = node.attrs
     if node.tag in HIDDEN or "hidden" in a or (node.tag == "dialog" and "open" not in a):
         return True
-    return bool(a.get("style")) and _NONE.search(a["style"]) is not None
+    style = a.get("style")
+    return bool(style) and _last(_DISPLAY, style) == "none"
+
+
+def _last(pattern: re.Pattern, style: str) -> str:
+    """The last value of a property in a style: it is the one that counts."""
+    found = pattern.findall(style)
+    return found[-1].lower() if found else ""
+
+
+def _visibility(node: Node) -> str:
+    """visible, hidden, collapse, or nothing where the element doesn't say."""
+    style = node.attrs.get("style")
+    return _last(_VISIBILITY, style) if style else ""
+
+
+def _shown(node: Node, around: bool) -> bool:
+    said = _visibility(node)
+    return said == "visible" if said else around
 
 
 class _Page:
@@ -288,57 +332,64 @@ def _number(text: str | None, default: int, most: int) -> int:
         return default
 
 
-def _rows(table: Node):
-    """(caption nodes, rows of cell nodes) of a table; hidden parts left out."""
-    captions, rows, loose, stack = [], [], [], [iter(table.children)]
+def _as(item, shown: bool, around: bool):
+    """An item that stands below an element of other visibility than ``around``."""
+    if shown == around:
+        return item
+    node = Node("span", {"style": "visibility:" + ("visible" if shown else "hidden")})
+    node.children.append(item)
+    return node
+
+
+def _rows(table: Node, shown: bool):
+    """(what stands outside cells, rows of (cell, whether it is shown)) of a table.
+    Parts without display are left out; of collapsed rows the cells are None for shown."""
+    captions, rows, loose, stack = [], [], [], [(iter(table.children), shown, False)]
     while stack:
-        child = next(stack[-1], None)
+        children, seen, gone = stack[-1]
+        child = next(children, None)
         if child is None:
             stack.pop()
         elif isinstance(child, str):
             if child.strip():
-                loose.append(child)
+                loose.append(_as(child, seen, shown))
         elif _hides(child):
             continue
         elif child.tag == "caption":
-            captions.append(child)
-        elif child.tag in ("tbody", "thead", "tfoot"):
-            stack.append(iter(child.children))
+            captions.append(_as(child, seen, shown))
+        elif child.tag in SECTIONS:
+            stack.append((iter(child.children), _shown(child, seen), gone or _visibility(child) == "collapse"))
         elif child.tag == "tr":
-            cells = []
+            row, out, cells = _shown(child, seen), gone or _visibility(child) == "collapse", []
             for c in child.children:
                 if isinstance(c, Node) and c.tag in ("td", "th"):
                     if not _hides(c):
-                        cells.append(c)
+                        cells.append((c, None if out else _shown(c, row)))
                 elif isinstance(c, Node) or c.strip():
-                    loose.append(c)
+                    loose.append(_as(c, row, shown))
             rows.append(cells)
         else:
-            loose.append(child)
-    return captions, rows, loose
+            loose.append(_as(child, seen, shown))
+    return [*loose, *captions], rows
 
 
 def _table(page: _Page, table: Node, depth: int, shown: bool) -> None:
-    captions, rows, loose = _rows(table)
     outside = Node("div")
-    outside.children = [*loose, *captions]
+    outside.children, rows = _rows(table, shown)
     _walk(page, outside, depth, shown)
     page.block(False)
     laid, widths, taken = [], {}, {}
     for cells in rows:
         at, line = 0, []
-        for cell in cells:
+        for cell, seen in cells:
             while taken.get(at, 0) > 0:
                 at += 1
             across = _number(cell.attrs.get("colspan"), 1, 1000)
             down = _number(cell.attrs.get("rowspan"), 1, 65534)
-            lines = _lines(cell, depth + 1, shown)
+            lines = [] if seen is None else _lines(cell, depth + 1, seen)
             line.append((at, lines))
             wide = max(map(len, lines), default=0)
-            if across == 1 and wide <= COLUMN:
-                widths[at] = max(widths.get(at, 0), wide)
-            else:
-                widths.setdefault(at, 0)
+            widths[at] = max(widths.get(at, 0), min(wide, COLUMN) if across == 1 else 0)
             if down > 1:
                 for c in range(at, at + across):
                     taken[c] = down
@@ -354,7 +405,11 @@ def _table(page: _Page, table: Node, depth: int, shown: bool) -> None:
             s = ""
             for at, lines in line:
                 if k < len(lines) and lines[k]:
-                    s = (s + "  " if s and len(s) + 2 > begins[at] else s.ljust(begins[at])) + lines[k]
+                    if s and len(s) + 2 > begins[at]:  # a line longer than its column
+                        page.line.append(s)
+                        page.flush()
+                        s = ""
+                    s = s.ljust(begins[at]) + lines[k]
             if s:
                 page.line.append(s)
                 page.flush()
@@ -374,10 +429,11 @@ def _lines(node: Node, depth: int, shown: bool = True) -> list[str]:
 
 def _walk(page: _Page, top: Node, depth: int, shown: bool = True) -> None:
     """Emit the visible text below ``top``."""
-    # Frames: children, tag, verbatim, shown, list counter [kind, next number, step] or None.
-    stack = [(iter(top.children), "", False, shown, None)]
+    # Frames: children, tag, verbatim, shown, list counter [kind, next number, step] or None,
+    # and "svg" among shapes, "text" in text or formulas.
+    stack = [(iter(top.children), "", False, shown, None, "")]
     while stack:
-        children, tag, pre, seen, counter = stack[-1]
+        children, tag, pre, seen, counter, art = stack[-1]
         child = next(children, None)
         if child is None:
             stack.pop()
@@ -387,19 +443,31 @@ def _walk(page: _Page, top: Node, depth: int, shown: bool = True) -> None:
                 if tag == "li" and page.marker:
                     page.flush(keep=True)  # an item without text still has its marker
                 page.indents.pop()
-            elif tag in ("td", "th"):
+            elif tag in ("td", "th") or art and tag == "text":
                 page.space = True
             continue
         if isinstance(child, str):
-            if seen:
+            if seen and art != "svg":
                 page.verbatim(child) if pre else page.text(child)
             continue
         kind = child.tag
         if _hides(child):
             continue
-        style = child.attrs.get("style")
-        if style and (m := _VISIBILITY.search(style)):
-            seen = m.group(1).lower() == "visible"
+        seen = _shown(child, seen)
+        if kind == "svg":
+            art = "svg"
+        elif kind == "math":
+            art = "text"
+        elif art:
+            said = child.attrs
+            if kind in UNDRAWN or said.get("display") == "none":
+                continue
+            if "visibility" in said and not _visibility(child):
+                seen = said["visibility"] == "visible"
+            if kind == "text":
+                page.space, art = bool(page.line), "text"
+            elif kind == "foreignobject":
+                art = ""
         if kind == "br":
             page.flush(keep=True)
             continue
@@ -442,7 +510,7 @@ def _walk(page: _Page, top: Node, depth: int, shown: bool = True) -> None:
             page.indent(2)
         elif kind == "details" and "open" not in child.attrs:
             inner = next((c for c in child.children if isinstance(c, Node) and c.tag == "summary"), None)
-            stack.append((iter([inner] if inner else []), kind, pre, seen, None))
+            stack.append((iter([inner] if inner else []), kind, pre, seen, None, art))
             continue
         elif kind in ("td", "th"):
             page.space = bool(page.line)
@@ -452,7 +520,7 @@ def _walk(page: _Page, top: Node, depth: int, shown: bool = True) -> None:
                 nodes = [nodes[0][1:], *nodes[1:]]
             if nodes and isinstance(nodes[-1], str) and nodes[-1].endswith("\n"):
                 nodes = [*nodes[:-1], nodes[-1][:-1]]
-        stack.append((iter(nodes), kind, pre or kind in ("pre", "xmp", "textarea", "plaintext"), seen, number))
+        stack.append((iter(nodes), kind, pre or kind in ("pre", "xmp", "textarea", "plaintext"), seen, number, art))
 
 
 def render(tree: Node) -> str:

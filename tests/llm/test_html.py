@@ -34,13 +34,67 @@ def text(page):
     ("</p>a</div>b</br>c", "ab\nc"), ("<b>a<p>b</b>c</p>d", "a\n\nbc\n\nd"), ("<script>never closed", ""),
     ("<html><body>a</body></html>b", "ab"), ("<noscript>no</noscript><template>no</template>y", "y"),
     ("<button>Go</button><input type=submit value=Send><input value=no>", "GoSend"),
-    ("<select><option>a<option>b</select>", "a\nb"), ("<svg><text>no</text></svg>y", "y"), ("&copy; &#x41;&nbsp;B", "© A B"),
+    ("<select><option>a<option>b</select>", "a\nb"), ("&copy; &#x41;&nbsp;B", "© A B"),
 ])
 def test_layout(page, want):
     assert text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<table><tr><td style='visibility:hidden'>no<td>yes<tr><td>a<td>b</table>", "   yes\na  b"),
+    ("<table style='visibility:hidden'><tr><td>no<td style='visibility:visible'>yes</table>", "  yes"),
+    ("<table><tr style='visibility:hidden'><td>no<td><b style='visibility: visible'>yes</b><tr><td>a<td>b</table>",
+     "   yes\na  b"),
+    ("<table><tbody style='visibility:hidden'>no<tr><td>no<tbody><tr><td>a</table>", "a"),
+    ("<table style='visibility:hidden'><caption>no</caption><tbody style='visibility:visible'>yes<tr><td>a</table>", "yes\na"),
+    ("<table><tr><td rowspan=2>x<td>1<tr style='visibility:collapse'><td>no<tr><td>y<td>2</table>", "x  1\ny  2"),
+    ("<table><tbody style='visibility:collapse'><tr><td style='visibility:visible'>no</table>a", "a"),
+    ("<table><tr><td><table style='visibility:hidden'><tr><td>no</table><td>yes</table>", "  yes"),
+    ("<p style='backface-visibility:hidden'>yes</p>", "yes"), ("<p style='display:none;display:block'>yes</p>", "yes"),
+    ("<p style='visibility:visible; visibility:hidden'>no</p>y", "y"),
+])
+def test_visibility(page, want):
+    assert text(page) == want
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<svg><text>a</text><text x=1>b<tspan>c</tspan></text></svg>d", "a bc d"),
+    ("<svg>no<g>no<rect/><text>a</text></g></svg>", "a"), ("<svg><title>no</title><desc/><text>a</text></svg>", "a"),
+    ("<svg><defs><text>no</text></defs><linearGradient id=g /><text>a</text></svg>", "a"),
+    ("<svg><title/><text>a</text></svg>b", "a b"), ("<svg><style>no</style><script>no</script></svg>a", "a"),
+    ("<svg><g visibility=hidden><text>no</text><text visibility=visible>a</text></g></svg>", "a"),
+    ("<svg><g display=none><text>no</text></g><text style='visibility:hidden'>no</text></svg>a", "a"),
+    ("<svg><foreignObject><p>a<p>b</foreignObject></svg>c", "a\n\nb\n\nc"), ("<svg style='display:none'><text>no</text></svg>a", "a"),
+    ("<svg><circle r=1><p>a</p>b", "a\n\nb"), ("<svg/>a", "a"),
+    ("x<math><mi>a</mi><mo>+</mo><mn>1</mn></math>y", "xa+1y"),
+    ("<math><semantics><mi>a</mi><annotation encoding=t>no</annotation><annotation-xml><p>no</p></annotation-xml>"
+     "</semantics></math>b", "ab"),
+    ("<math><mtext>a <b>b</b></mtext><mspace/><mi>c</mi></math>", "a bc"),
+])
+def test_drawings_and_formulas(page, want):
+    assert text(page) == want
+
+
+def test_cells_begin_at_their_columns():
+    long = "w" * 100
+    page = f"<table><tr><td>a<td>{long}<td>c<tr><td>{long} {long}<td>b<td>cc<tr><td>aa<td>bb<td>ccc</table>"
+    lines = text(page).split("\n")
+    begins = {w: x.index(w) for x in lines for w in x.split() if len(w) < 9}
+    assert begins["a"] == begins["aa"] == 0 and begins["b"] == begins["bb"] == html.COLUMN + 2
+    assert begins["c"] == begins["cc"] == begins["ccc"] == 2 * (html.COLUMN + 2)
+    assert lines[0] == "a".ljust(html.COLUMN + 2) + long and lines[2] == f"{long} {long}"
+
+
+def test_nested_tables_keep_their_columns():
+    page = "a<td>b</table>"
+    for _ in range(12):
+        page = f"<table><tr><td>{page}<td>x</table>" if page.startswith("<table>") else f"<table><tr><td>{page}"
+    assert text(page) == "a  b" + "  x" * 11
+
+
 @pytest.mark.parametrize("page", [
+    "<svg>" * 20_000 + "<p>x", "<svg>" + "<g>" * 20_000 + "<text>x", "<svg>" + "<text>x</text>" * 20_000,
+    "<math>" + "<mi>" * 20_000 + "x", "<svg><foreignObject>" * 5000 + "x", "<table><tr><td>x<td>" * 300 + "x",
     "<div>" * 20_000 + "x", "<ul><li>" * 3000 + "x", "<table><tr><td>" * 300 + "x", "<a b=\"" * 20_000, "<" * 50_000,
     "<b><p>" * 5000 + "x", "<!--" * 20_000, "&" * 50_000, "<p>" * 20_000 + "x", "<td>" * 20_000,
     "<table>" + "<tr><td colspan=1000>a" * 2000 + "</table>", "<table>" + "<tr><td rowspan=65534>a" * 500 + "</table>",
