@@ -69,12 +69,12 @@ def encode(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id:
     kind = dict(docs.select(id_col).dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, draws = encoder(tokenizer).ids, _draws(1 << 16)
+        many, draws = encoder(tokenizer).many, _draws(1 << 16)
         for whole in batches:
             for batch in slices(whole, "text"):
                 place, digest, n, wide, ids = [], [], [], [], []
-                for text in batch.column(1).to_pylist():
-                    x = np.append(of(text or ""), np.uint32(end_id))
+                for found in many([text or "" for text in batch.column(1).to_pylist()]):
+                    x = np.append(found, np.uint32(end_id))
                     big = int(x.max()) >= 1 << 16
                     if big and int(x.max()) >= len(draws):
                         draws = _draws(1 << int(x.max()).bit_length())

@@ -29,6 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.text import slices
 from feedloom.llm.tokenizer import encoder, version
 from feedloom.operators.fetch import join_on_key
 
@@ -50,11 +51,12 @@ def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _counts(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = encoder(path).ids
-        for batch in _first_of_each(batches):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(ids(t)) for t in batch.column(1).to_pylist()], pa.int64())],
-                names=["digest", "n_tokens"])
+        many = encoder(path).many
+        for whole in _first_of_each(batches):
+            for batch in slices(whole, "text"):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([len(x) for x in many(batch.column(1).to_pylist())], pa.int64())],
+                    names=["digest", "n_tokens"])
     return count
 
 

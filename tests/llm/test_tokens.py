@@ -3,6 +3,7 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from feedloom.llm import tokens  # noqa: E402
+from feedloom.llm.pieces import Pieces  # noqa: E402
 from feedloom.llm.tokenizer import Encoder, version  # noqa: E402
 from feedloom.session import fresh_dir  # noqa: E402
 from tests.llm.helpers import EDGE_TEXTS, docs  # noqa: E402
@@ -34,6 +35,38 @@ def test_every_code_point_is_split_alike():
     assert [e.ids(t).tolist() for t in texts] == library_ids(texts)
 
 
+def test_pieces_of_every_code_point():
+    e = Encoder(BYTE_BPE)
+    points = [c for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    points += [*range(0x20000, 0x110000, 257)]
+    texts = ["".join(f"ab{chr(c)}c 1{chr(c)}2 !{chr(c)}? {chr(c)} {chr(c)}{chr(c)}'s" for c in points[i:i + 50])
+             for i in range(0, len(points), 50)]
+    texts += [chr(c) for c in points[:0x3100]]
+    judged, _ = e._pieces.ids_of(texts)
+    assert sum(judged) > len(texts) / 2
+    for i in range(0, len(texts), 3000):
+        for text, got in zip(texts[i:i + 3000], e.many(texts[i:i + 3000])):
+            assert got.tolist() == e.ids(text).tolist(), text
+
+
+@pytest.mark.parametrize("bits", [1, 6, 16])
+def test_pieces_of_random_texts(bits):
+    import random
+
+    rng, e = random.Random(bits), Encoder(BYTE_BPE)
+    e._pieces = Pieces(e._pieces.encode, e._pieces.special, bits)
+    parts = [" ", "  ", "\n", "\t", "\u00a0", "'", "''", "s", "t", "re", "ve", "ll", "d", "m", "'s", "'ll", "'re", "S", "é",
+             "漢", "the", "Tokenisation", "1", "23", "!", "...", "\x00", "\x1c", "👍", "\u0301", "x" * 40, "\U000e0fff", "<|endoftext|>"]
+    for _ in range(60):
+        texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(rng.randrange(1, 40))]
+        assert [x.tolist() for x in e.many(texts)] == [e.ids(t).tolist() for t in texts]
+
+
+def test_many_equals_the_library():
+    e, texts = Encoder(BYTE_BPE), ODD + [t or "" for _, t in EDGE_TEXTS] + ["", "word " * 300_000]
+    assert [x.tolist() for x in e.many(texts)] == library_ids(texts) and e.many([]) == [] and e.many([""])[0].tolist() == []
+
+
 def test_text_the_pattern_engine_refuses():
     text = " " * 2_000_000 + "x"
     assert Encoder(BYTE_BPE).ids(text).tolist() == library_ids([text])[0]
