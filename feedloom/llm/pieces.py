@@ -24,7 +24,7 @@ import numpy as np
 
 LONGEST = 1 << 20  # characters
 TOGETHER = 1 << 19  # characters split at a time, or one text
-SLOT_BITS, WIDTH = 20, 6  # the table holds 2 ** SLOT_BITS pieces of up to WIDTH ids: 44 MB
+SLOT_BITS, WIDTH = 19, 6  # the table holds 2 ** SLOT_BITS pieces of up to WIDTH ids: 22 MB
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 # Code points with the property White_Space (fixed values).
 BLANK = (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
