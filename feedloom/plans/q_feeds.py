@@ -60,6 +60,13 @@ def _photos(spark, d):
     return placeholder.normalise(C.blog_photos(load(spark, d, "lineitem")), "photos")
 
 
+def _join(left, right, key):
+    """Join of items taken out of payloads.  Spark knows the number of the
+    payloads, not of their items, and would broadcast millions of them for a
+    few: such sides are always sorted and merged."""
+    return left.join(right.hint("merge"), key)
+
+
 query("jp_users", _USERS_SQL)(_users)
 query("jp_posts", _POSTS_SQL)(_posts)
 query("jp_albums", """
@@ -117,7 +124,7 @@ def jp_posts_users(spark, d):
     """Posts joined with their users (``userId = id``)."""
     posts = _posts(spark, d).select(F.col("id").alias("post_id"), "userId", "body")
     users = _users(spark, d).select(F.col("id").alias("userId"), F.col("name").alias("author"))
-    return posts.join(users, "userId").drop("userId")
+    return _join(posts, users, "userId").drop("userId")
 
 
 @query("jp_posts_comments", """
@@ -129,7 +136,7 @@ def jp_posts_comments(spark, d):
     per_post = _comments(spark, d).groupBy(F.col("postId").alias("post_id")) \
         .agg(F.count(F.lit(1)).alias("n_comments"))
     posts = _posts(spark, d).select(F.col("id").alias("post_id"))
-    return posts.join(per_post, "post_id")
+    return _join(posts, per_post, "post_id")
 
 
 @query("jp_user_photos", """
@@ -141,9 +148,9 @@ def jp_user_photos(spark, d):
     """Users -> albums -> photos; photos counted per album before the joins."""
     per_album = _photos(spark, d).groupBy("albumId").agg(F.count(F.lit(1)).alias("n"))
     albums = _albums(spark, d).select(F.col("id").alias("albumId"), F.col("userId").alias("user_id"))
-    per_user = albums.join(per_album, "albumId").groupBy("user_id").agg(F.sum("n").alias("n_photos"))
+    per_user = _join(albums, per_album, "albumId").groupBy("user_id").agg(F.sum("n").alias("n_photos"))
     users = _users(spark, d).select(F.col("id").alias("user_id"), "name")
-    return users.join(per_user, "user_id")
+    return _join(users, per_user, "user_id")
 
 
 # ------------------------------------------------------------- pull requests
