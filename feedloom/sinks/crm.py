@@ -262,13 +262,22 @@ def outcomes(sent: DataFrame) -> DataFrame:
     """
     r = F.from_json("response", RESULT_SCHEMA)
     recs = F.from_json("payload", "records array<string>")["records"]
-    rows = sent.select("error", r.alias("r"), F.posexplode(F.arrays_zip(
-        F.col("keys").alias("key"), recs.alias("rec"))).alias("pos", "x"))
-    ref = F.concat(F.lit("ref"), F.col("pos").cast("string"))
-    one = F.get(F.filter(F.col("r.results"), lambda x: x["referenceId"] == ref), 0)
-    unreadable = F.col("error").isNotNull() | (F.col("r.hasErrors").isNull() & F.col("r.results").isNull())
+    # Replies and payloads are parsed once each, below the explode, and every record is given its own result there.
+    # (The explode is an outer one: for a plain one Spark tests the whole expression first, parsing the reply for each record.)
+    read = sent.select("error", "keys", r.alias("r"), recs.alias("recs")).select(
+        "error", "keys", "r", "recs", F.transform("r.results", lambda x: x["referenceId"]).alias("refs"))
+    unreadable = F.col("error").isNotNull() | (F.col("r.hasErrors").isNull() & F.col("refs").isNull())
+
+    def with_result(x, i):
+        first = F.array_position(F.col("refs"), F.concat(F.lit("ref"), i.cast("string")))
+        return F.struct(x["key"].alias("key"), x["rec"].alias("rec"), F.get(F.col("r.results"), first.cast("int") - 1).alias("one"))
+
+    each = F.transform(F.arrays_zip(F.col("keys").alias("key"), F.col("recs").alias("rec")), with_result)
+    rows = read.select("error", unreadable.alias("unreadable"), (F.col("r.hasErrors") == F.lit(False)).alias("no_errors"),
+                       each.alias("each")).select("error", "unreadable", "no_errors", F.explode_outer("each").alias("x")).where("x IS NOT NULL")
+    one, unreadable = F.col("x.one"), F.col("unreadable")
     status = (F.when(unreadable, "failed")
-              .when(one["id"].isNotNull() | (F.col("r.hasErrors") == F.lit(False)), "accepted")
+              .when(one["id"].isNotNull() | F.col("no_errors"), "accepted")
               .otherwise("rejected"))
     message = F.when(unreadable, F.coalesce("error", F.lit("reply cannot be read"))).otherwise(
         F.array_join(F.transform(one["errors"], lambda e: e["message"]), "; "))
@@ -350,7 +359,8 @@ def deliver_records(recs: DataFrame, batch_id: str, transport: Callable[[str, st
     singles = batches(first.where("status = 'failed'").select("key", "record"), 1, object_type)
     again = _land(deliver(singles, transport, object_type), f"{root}_singles/batch_id={batch_id}")
     every = _land(first.where("status <> 'failed'").unionByName(outcomes(again)), f"{root}_outcomes/batch_id={batch_id}")
-    (every.where("status = 'accepted'").select("key", "id", _bucket(F.col("key")).alias("bucket"))
+    # a few files a bucket, however many tasks had its records
+    (every.where("status = 'accepted'").select("key", "id", _bucket(F.col("key")).alias("bucket")).hint("rebalance", "bucket")
      .write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/batch_id={batch_id}"))
     for status in ("rejected", "failed"):
         rows = every.where(F.col("status") == status).select("key", "record", "message")
