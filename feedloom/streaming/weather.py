@@ -3,13 +3,19 @@
 ``applyInPandasWithState`` keeps, per (latitude, longitude), only the ISO
 text of the newest entry delivered.  Each micro-batch emits the entries of
 a location strictly after its mark and moves the mark to the newest entry
-seen (an empty batch leaves it unchanged).  State is one short string per
-location; rows of a location are processed by the task that owns its key.
+seen (an empty batch leaves it unchanged).  The state is kept by bucket of
+locations, one short text per location: a call of the function costs
+milliseconds, as much as thousands of rows, so calls must not grow with the
+locations.  Rows of a location are processed by the task that owns its
+bucket.  (A checkpoint with state by location is of another schema, which
+Spark refuses.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -20,24 +26,35 @@ MARKS = "latitude double, longitude double, mark string"
 OUTPUT = "latitude double, longitude double, weather string, timestamp string"
 
 
+BUCKETS = 1024  # of the state; a checkpoint holds for one number of them
+
+
+def _place() -> Column:
+    """A location's name: one text for each pair of coordinates that are equal as
+    group keys (0.0 and -0.0 are, and nulls)."""
+    return F.concat_ws(",", *[F.coalesce((F.col(c) + F.lit(0.0)).cast("string"), F.lit("null"))
+                              for c in ("latitude", "longitude")])
+
+
 def marked_entries(rows: DataFrame, initial_mark: str = weather.INITIAL_MARK) -> DataFrame:
     def step(key, batches, state):
-        mark = state.get[0] if state.exists else initial_mark
-        newest = mark
+        marks = json.loads(state.get[0]) if state.exists else {}
+        newest = dict(marks)
         for pdf in batches:
             # chunk by chunk: a hot location never has all its rows in memory
-            if len(pdf) == 0:
-                continue
-            top = pdf["timestamp"].max()
-            if top is not None and top > newest:
-                newest = top
-            new = pdf[pdf["timestamp"] > mark]
-            if len(new):
-                yield new[["latitude", "longitude", "weather", "timestamp"]]
-        state.update((newest,))
-
-    return (rows.groupBy("latitude", "longitude")
-            .applyInPandasWithState(step, OUTPUT, "mark string", "append",
+            new = []
+            for place, time in zip(pdf["place"].tolist(), pdf["timestamp"].tolist()):
+                top = newest.setdefault(place, initial_mark)
+                if isinstance(time, str) and time > top:
+                    newest[place] = time
+                new.append(isinstance(time, str) and time > marks.get(place, initial_mark))
+            if any(new):
+                yield pdf[new][["latitude", "longitude", "weather", "timestamp"]]
+        state.update((json.dumps(newest),))
+
+    placed = rows.select("latitude", "longitude", "weather", "timestamp", _place().alias("place"))
+    return (placed.withColumn("bucket", F.pmod(F.xxhash64("place"), F.lit(BUCKETS)).cast("int")).groupBy("bucket")
+            .applyInPandasWithState(step, OUTPUT, "marks string", "append",
                                     GroupStateTimeout.NoTimeout))
 
 
