@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedloom.plans import captures as C
+from feedloom.plans.landing import land_text
 from feedloom.plans.registry import ORACLES, query
 from feedloom.plans.tables import load
 from feedloom.session import fresh_dir
@@ -105,7 +106,7 @@ def sheets_csv_split(spark, d):
     path = fresh_dir(spark, "sheets")
     rows = load(spark, d, "lineitem").select(F.concat(
         "l_orderkey", F.lit(","), "l_linenumber", F.lit(',"says ""'), "l_linestatus", F.lit('"",\n\n'), "l_returnflag", F.lit('"')).alias("l"))
-    rows.coalesce(1).write.text(path)
+    land_text(rows, path)
     return sheets.read_sheet(spark, path, has_header=False, schema="id bigint, line int, note string")
 
 
