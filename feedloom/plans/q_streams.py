@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from feedloom.operators.fetch import land
 from feedloom.plans import captures as C
+from feedloom.plans.landing import land_text, slices
 from feedloom.plans.q_feeds import _STATES_SQL, _WEATHER_SQL
 from feedloom.plans.q_sinks import ACCOUNT, NEGATIVE, _accounts, tree_endpoint
 from feedloom.plans.registry import query
@@ -22,6 +24,22 @@ from feedloom.streaming.log import BatchLog, read_table
 from feedloom.streaming.sources import file_chunks, file_monitor, json_lines, run_available
 
 
+#: Bytes of a landed snapshot file: a task writes it.
+SLICE = 128 << 20
+
+
+def _snapshots(spark, d, root):
+    """The snapshots' bodies and their times.  They are landed, so that every
+    choice among them sees the same texts."""
+    snaps = land(C.flight_snapshots(load(spark, d, "events")).select("body"), f"{root}/snapshots", partition_by=None)
+    return snaps, F.get_json_object("body", "$.time").cast("long")
+
+
+def _land_files(part, time, least, path):
+    """Files of some bytes each, every one with a range of the times, newest first."""
+    part.repartitionByRange(slices(part, least, SLICE), time.desc(), F.xxhash64("body")).write.text(path)
+
+
 @query("stream_flights", f"""
 SELECT DISTINCT icao24, time_ingest, callsign, longitude, latitude, category FROM ({_STATES_SQL})
 """)
@@ -32,13 +50,12 @@ def stream_flights(spark, d):
     over re-landed snapshots: the result must not depend on any of it.
     """
     root = fresh_dir(spark, "stream-flights")
-    snaps = C.flight_snapshots(load(spark, d, "events")).select("body")
-    time = F.get_json_object("body", "$.time").cast("long")
+    snaps, time = _snapshots(spark, d, root)
     late = F.pmod(F.xxhash64("body"), F.lit(3)) == 0
     cols = ["icao24", "time_ingest", "callsign", "longitude", "latitude", "category"]
-    first = snaps.where(~late).repartitionByRange(4, time.desc())
-    for run, part in (("run1", first), ("run2", snaps.where(late).unionByName(snaps.where(time % 2 == 0)).coalesce(2))):
-        part.write.text(f"{root}/in/{run}")
+    again = snaps.where(late).unionByName(snaps.where(time % 2 == 0))
+    for run, part, least in (("run1", snaps.where(~late), 4), ("run2", again, 2)):
+        _land_files(part, time, least, f"{root}/in/{run}")
         states = flight_stream.state_rows(spark, f"{root}/in/*", max_files_per_trigger=1).select(*cols)
         flight_stream.write_states(states, f"{root}/out", f"{root}/ckpt").awaitTermination()
     return read_table(spark, f"{root}/out").select(*cols)
@@ -51,7 +68,7 @@ _WEATHER_START = "2023-12-31T00:00:00Z"
 def stream_weather(spark, d):
     """Per-location marks in keyed state: a re-sent overlap is not emitted twice."""
     root = fresh_dir(spark, "stream-weather")
-    bodies = C.weather_timelines(load(spark, d, "events"))
+    bodies = land(C.weather_timelines(load(spark, d, "events")), f"{root}/bodies", partition_by=None)
     day = F.get_json_object("body", "$.timelines.hourly[0].time").substr(9, 2).cast("int")
     first = bodies.where(day <= 15)
     second = bodies.where(day >= 10)  # days 10-15 are landed again
@@ -92,7 +109,7 @@ def stream_files_chunks(spark, d):
     root = fresh_dir(spark, "stream-chunks")
     docs = load(spark, d, "documents").select("lang", "text")
     for run, part in (("a", docs.where("lang < 'es'")), ("b", docs.where("lang >= 'es'"))):
-        part.repartition(1).write.partitionBy("lang").text(f"{root}/in/{run}")
+        land_text(part, f"{root}/in/{run}", "lang")
         run_available(file_chunks(spark, f"{root}/in/*/*", 5000), f"{root}/out", f"{root}/ckpt")
     out = spark.read.parquet(f"{root}/out").withColumn("lang", F.regexp_extract("path", "lang=([^/]*)/", 1))
     return out.groupBy("lang").agg(
@@ -182,11 +199,11 @@ def stream_flights_moved(spark, d):
     output: nothing is lost, nothing twice, though both number their
     micro-batches from 0; days of many micro-batches are merged."""
     root = fresh_dir(spark, "stream-flights-moved")
-    snaps = C.flight_snapshots(load(spark, d, "events")).select("body")
-    time = F.get_json_object("body", "$.time").cast("long")
+    snaps, time = _snapshots(spark, d, root)
     cols = ["icao24", "time_ingest", "callsign", "longitude", "latitude", "category"]
-    snaps.where(time % 3 < 2).repartition(18).write.text(f"{root}/in/a")
-    snaps.where(time % 3 > 0).repartition(3).write.text(f"{root}/in/b")
+    first = snaps.where(time % 3 < 2)
+    first.repartition(slices(first, 18, SLICE)).write.text(f"{root}/in/a")
+    _land_files(snaps.where(time % 3 > 0), time, 3, f"{root}/in/b")
     for run in ("a", "b"):
         states = flight_stream.state_rows(spark, f"{root}/in/{run}", max_files_per_trigger=1).select(*cols)
         flight_stream.write_states(states, f"{root}/out", f"{root}/ckpt-{run}").awaitTermination()
