@@ -72,7 +72,8 @@ def file_chunks(spark, path: str, chunk_bytes: int = CHUNK_BYTES, max_files_per_
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     last = F.greatest(F.ceil(F.col("length") / chunk_bytes) - 1, F.lit(0))
     parts = (r.load(path).select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("chunk"))
-             .repartition("path", "chunk"))
+             # a number of its own: these rows are tiny, and Spark would read all they name by one task
+             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "chunk"))
 
     def read(batches):
         import pyarrow as pa
